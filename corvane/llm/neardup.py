@@ -7,8 +7,8 @@ registers of similar sets agree with about their Jaccard similarity.
 
 1. Documents with equal sets are one class from the start (a group by the set's 128-bit digest).
 2. Bands of registers are hashed into buckets. In a bucket of classes, each member is compared with
-   one leader, not with every member. Compared means: the joint likelihood of both sketches, whose
-   set sizes are known, gives an estimate of the similarity; pairs less than six standard errors
+   one leader, not with every member: first the one that meets most others. Compared means: the joint likelihood of both sketches, whose
+   set sizes are known, gives an estimate of the similarity; pairs less than five standard errors
    below the threshold are verified on their full sets. Links are contracted to components.
 3. That is repeated with random leaders for the buckets that still hold several components.
 4. What is left is compared completely: all members of different components that share a bucket, in
@@ -35,8 +35,8 @@ WORDS, PERCENT = 5, 80
 BANDS, ROWS = 36, 5
 BASE, RATE, TOP = 1.001, 20.0, 2**16 - 2  # b, a and q of the sketch: two bytes a register
 BLOCK = 512  # classes compared at once
-ERRORS = 6.0  # standard errors below the threshold at which an estimate rules a pair out
-LEADER_ROUNDS = 3  # the first with the least member as leader, then with random ones
+ERRORS = 5.0  # standard errors below the threshold at which an estimate rules a pair out
+LEADER_ROUNDS = 2  # the first with the member that meets most others as leader, then with random ones
 _MEMORY = 500_000  # word hashes remembered in a worker
 
 _MIX = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -194,52 +194,93 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").withColumn("both", both).where(F.col("both") * 100 >= union * percent).select("a", "b")
 
 
-def _blocks_compared(members: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components in a bucket that the sketches don't rule out; members: key, rep, comp.
+def _pairs_in_group(rep, comp, block, band, n, regs, least: float):
+    """Indices of the pairs of different components that this bucket has to compare and the sketches don't rule out.
+
+    A pair that shares several bands is compared in the first of them only.
+    """
+    once = block.min() == block.max()
+    bands = regs.reshape(len(rep), BANDS, ROWS)
+    for at in range(0, len(rep), 64):
+        r = regs[at : at + 64, None, :]
+        equal = (r == regs).sum(2)
+        wanted = (comp[at : at + 64, None] != comp) & (rep[at : at + 64, None] < rep) & (equal >= (least - 0.1) * regs.shape[1])
+        if not once:
+            wanted &= block[at : at + 64, None] != block
+        i, j = np.nonzero(wanted)
+        first = (bands[at + i] == bands[j]).all(2).argmax(1) == band[0]
+        i, j = i[first], j[first]
+        e, g = equal[i, j], (regs[at + i] > regs[j]).sum(1)
+        keep = likely_similarity(e, g, regs.shape[1] - e - g, n[at + i], n[j]) >= least
+        yield at + i[keep], j[keep]
+
+
+def _by_group(frames, columns: list[str]):
+    """Rows of sorted frames, a group at a time, as lists of arrays; a group may run over several frames."""
+    held, last = [], None
+    for frame in frames:
+        group = frame.column("group").to_numpy()
+        if not len(group):
+            continue
+        data = [np.frombuffer(b"".join(frame.column(c).to_pylist()), "<u2").reshape(len(group), -1) if c == "regs" else np.array([np.asarray(x) for x in frame.column(c).to_pylist()] + [None], object)[:-1] if c == "shingles" else frame.column(c).to_numpy() for c in columns]
+        starts = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), len(group)]
+        for s, e in zip(starts, starts[1:]):
+            if last is not None and group[s] != last:
+                yield last, [np.concatenate(x) for x in zip(*held)]
+                held = []
+            held.append([c[s:e] for c in data])
+            last = group[s]
+    if held:
+        yield last, [np.concatenate(x) for x in zip(*held)]
+
+
+def _blocks_compared(members: DataFrame, sketch: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Links between members of different components in a bucket; members: key, band, rep, comp.
 
     A bucket of n members is cut into blocks of about BLOCK; each two of its blocks meet in one group
-    of rows, so a group holds at most some 2 * BLOCK rows however large the bucket is.
+    of rows, so a group holds at most some 2 * BLOCK rows however large the bucket is. A first pass over
+    the sketches tells which members have a pair to verify; a second one gets only their full sets, and
+    verifies where the group lies, so pairs that are no links never leave it.
     """
     sizes = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     dealt = members.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    met = dealt.select("key", "rep", "comp", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    groups = met.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("group"), "rep", "comp", "block").join(sketch, "rep")
-    parts = F.col("group")
-    least = _least_estimate(percent)
-
-    def compared(rows):
-        rep, comp, block, n, regs = rows
-        for at in range(0, len(rep), 64):
-            r = regs[at : at + 64, None, :]
-            equal, more = (r == regs).sum(2), (r > regs).sum(2)
-            i, j = np.nonzero((comp[at : at + 64, None] != comp) & (rep[at : at + 64, None] < rep) & ((block[at : at + 64, None] != block) | (block.min() == block.max())) & (equal * 100 >= (percent // 2) * regs.shape[1]))
-            e, g = equal[i, j], more[i, j]
-            keep = likely_similarity(e, g, regs.shape[1] - e - g, n[at + i], n[j]) >= least
-            yield rep[at + i[keep]], rep[j[keep]]
-
-    def work(frames):
-        held: list = []
-
-        def out(rows):
-            a, b = zip(*compared(rows)) if len(rows[0]) > 1 else ((), ())
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in (a, b)], names=PAIRS.names)
-
-        last = None
-        for frame in frames:
-            group = frame.column("group").to_numpy()
-            columns = [frame.column(c).to_numpy(zero_copy_only=False) for c in ("rep", "comp", "block")] + [frame.column("n").to_numpy().astype(float), np.frombuffer(b"".join(frame.column("regs").to_pylist()), "<u2").reshape(len(group), -1)]
-            starts = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), len(group)] if len(group) else []
-            for s, e in zip(starts, starts[1:]):
-                if last is not None and group[s] != last:
-                    yield out([np.concatenate(x) for x in zip(*held)])
-                    held = []
-                held.append([c[s:e] for c in columns])
-                last = group[s]
-        if held:
-            yield out([np.concatenate(x) for x in zip(*held)])
-
-    shaped = groups.select("group", "rep", "comp", "block", "n", "regs").repartition(parts).sortWithinPartitions("group")
-    return shaped.mapInArrow(work, PAIRS)
+    met = dealt.select("key", "band", "rep", "comp", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    groups = met.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("group"), "band", "rep", "comp", "block")
+    least, first = _least_estimate(percent), ["rep", "comp", "block", "band", "n", "regs"]
+
+    def likely(frames):
+        for group, (rep, comp, block, band, n, regs) in _by_group(frames, first):
+            found = np.zeros(len(rep), bool)
+            for i, j in _pairs_in_group(rep, comp, block, band, n.astype(float), regs, least) if len(rep) > 1 else ():
+                found[i] = found[j] = True
+            if found.any():
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(found.sum(), group)), pa.array(rep[found])], names=["group", "rep"])
+
+    def exact(frames):
+        for _, (rep, comp, block, band, n, regs, shingles) in _by_group(frames, [*first, "shingles"]):
+            links = []
+            for i, j in _pairs_in_group(rep, comp, block, band, n.astype(float), regs, least) if len(rep) > 1 else ():
+                for x, y in zip(i.tolist(), j.tolist()):
+                    both = len(np.intersect1d(shingles[x], shingles[y], assume_unique=True))
+                    if both * 100 >= (n[x] + n[y] - both) * percent:
+                        links.append((rep[x], rep[y]))
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], names=PAIRS.names)
+
+    shaped = groups.join(sketch, "rep").select("group", *first).repartition("group").sortWithinPartitions("group")
+    needed = scratch.keep(shaped.mapInArrow(likely, "group long, rep long"))
+    whole = groups.join(needed, ["group", "rep"]).join(sketch, "rep").join(sets.withColumnRenamed("id", "rep"), "rep")
+    return whole.select("group", *first, "shingles").repartition("group").sortWithinPartitions("group").mapInArrow(exact, PAIRS)
+
+
+def _most_crowded(members: DataFrame) -> DataFrame:
+    """key, lead: of each bucket the member that meets most others in all of its buckets.
+
+    What many copies were made from agrees with each of them more than they do with each other, so it
+    lies in the largest buckets. As the leader it links them all at once.
+    """
+    met = members.groupBy("rep").agg(F.sum("size").alias("met"))
+    return members.join(met, "rep").groupBy("key").agg(F.max_by("rep", F.struct("met", -F.col("rep"))).alias("lead"))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -256,9 +297,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         own.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min(F.struct("doc_id", "n", "regs")).alias("least")).select("digest", F.col("least.doc_id").alias("rep"), F.col("least.n").alias("n"), F.col("least.regs").alias("regs"))
     )
     sketch = classes.select("rep", "n", "regs")
-    banded = classes.select("rep", F.explode(_band_keys()).alias("key"))
-    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("lead")).where("size > 1").drop("size")
-    members = scratch.keep(banded.join(shared, "key"))
+    banded = classes.select("rep", F.posexplode(_band_keys()).alias("band", "key"))
+    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    crowded = scratch.keep(banded.join(shared, "key"))
+    members = scratch.keep(crowded.select("key", "band", "rep").join(_most_crowded(crowded), "key"))
     sets = scratch.keep(_full_sets(docs, members.select(F.col("rep").alias("id")).distinct(), words))
 
     labels = None  # rep, comp of the classes that are not their component's least
@@ -266,7 +308,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     current = members.withColumn("comp", F.col("rep"))
     for number in range(LEADER_ROUNDS + 1):
         if number:
-            labelled = members.select("key", "rep").join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+            labelled = members.select("key", "band", "rep").join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
             mixed = labelled.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min_by("rep", F.xxhash64("rep", "key", F.lit(number))).alias("lead"), F.min_by("comp", F.xxhash64("rep", "key", F.lit(number))).alias("lead_comp")).where("low < high")
             current = scratch.keep(labelled.join(mixed.select("key", "lead", "lead_comp"), "key"))
             if current.isEmpty():  # no bucket holds two components
@@ -277,11 +319,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
             if tried is not None:
                 pairs = pairs.join(tried, ["a", "b"], "left_anti")
             likely = scratch.keep(_estimated(pairs, sketch, percent))
+            tried = likely if tried is None else tried.unionByName(likely)
+            links = _verified(likely, sets, percent)
         else:
-            pairs = _blocks_compared(current.select("key", "rep", "comp"), sketch, percent).distinct()
-            likely = scratch.keep(pairs.join(tried, ["a", "b"], "left_anti"))
-        tried = likely if tried is None else tried.unionByName(likely)
-        links = _verified(likely, sets, percent)
+            links = _blocks_compared(current.select("key", "band", "rep", "comp"), sketch, sets, percent, scratch)
         if labels is not None:
             of = labels.select(F.col("rep").alias("x"), F.col("comp").alias("y"))
             links = links.join(of, F.col("a") == F.col("x"), "left").select(F.coalesce("y", "a").alias("a"), "b")
