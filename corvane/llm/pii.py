@@ -6,7 +6,7 @@ numbers, social-security numbers, account numbers, secrets, IPv6 and spelled-out
 candidate gets format features (digits, letters, entropy, checksums, grouping) and context features
 (keywords before it, the characters around it). Boosted trees, grown on a synthetic labelled set
 that ``training_set`` makes from a seed, score it; a threshold for each kind, found on calibration
-rows that the trees have not seen, decides. Of overlapping chosen spans the surest stays.
+rows that the trees have not seen and one half at least, decides. Of overlapping chosen spans the surest stays.
 
 Documents are mapped where they lie; the trees (some 100 KB) travel with the function. Every
 pattern runs in time linear in the text.
@@ -102,6 +102,7 @@ _GENERATORS = {
 _PHONE_WORDS = re.compile(r"(?i)\b(?:tel|phone|call|mobile|cell|fax|telefon|tél|appel|llam)")
 _ID_WORDS = re.compile(r"(?i)(?:ssn|social|security|iban|account|konto|compte|cuenta)")
 _SECRET_WORDS = re.compile(r"(?i)(?:passw|pwd|secret|token|api[_-]?key|credential|auth|bearer|private)")
+_KEY_START = re.compile(r"(?:AKIA|ASIA|ghp_|gho_|github_pat_|sk_live_|sk_test_|sk-|xox[abp]-|AIza|eyJ|glpat-)")  # fixed values: how public services' keys begin
 _OTHER_WORDS = re.compile(r"(?i)(?:order|invoice|version|isbn|issue|page|sku|commit|sha|md5|checksum|date|price|total|uuid|id)\b")
 
 
@@ -121,6 +122,14 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def _nearness(words: re.Pattern, before: str) -> float:
+    """0 without a keyword, towards 1 the nearer the last one stands."""
+    last = None
+    for last in words.finditer(before):
+        pass
+    return 1 - (len(before) - last.end()) / (CONTEXT + 1) if last else 0.0
+
+
 def features(text: str, start: int, end: int, kind: str) -> list[float]:
     span, before = text[start:end], text[max(0, start - CONTEXT) : start]
     n = len(span)
@@ -141,8 +150,8 @@ def features(text: str, start: int, end: int, kind: str) -> list[float]:
         n, digits, digits / n, letters / n, upper / n, hexes / n, float(-(counts * np.log2(counts)).sum()), turned, len(groups), max(map(len, groups)), min(map(len, groups)), len(groups[-1]), len(groups[0]),
         mod97, float(luhn(_only_digits(span))) if digits else 0.0, float("(" in span), float("." in span), float("-" in span), float(" " in span), float("::" in span), float("/" in span), float("_" in span),
         float(near.rstrip(" \"'")[-1:] in ("=", ":")), float(near[-1:] in ("\"", "'")), float(before[-1:] in ("$", "€", "#", "v", "/")), float(text[end : end + 1] in ("%", "€", "$", "/", "°")),
-        float(bool(_PHONE_WORDS.search(before))), float(bool(_ID_WORDS.search(before))), float(bool(_SECRET_WORDS.search(before))), float(bool(_OTHER_WORDS.search(before))),
-        float(groups[0] in ("19", "20") or bool(re.match(r"(?:19|20)[0-9]{2}$", groups[0]))), float(compact[:3] in ("000", "666") or compact[:1] == "9"),
+        *[_nearness(words, before) for words in (_PHONE_WORDS, _ID_WORDS, _SECRET_WORDS, _OTHER_WORDS)],
+        float(groups[0] in ("19", "20") or bool(re.match(r"(?:19|20)[0-9]{2}$", groups[0]))), float(compact[:3] in ("000", "666") or compact[:1] == "9"), float(bool(_KEY_START.match(span))),
     ]
 
 
@@ -172,7 +181,7 @@ def training_set(seed: int = SEED, examples: int = EXAMPLES) -> tuple[np.ndarray
         ),
         "iban": (lambda: (r.choice(("iban ", "account ", prose())), iban(True)), lambda: (r.choice(("order ", "id ", prose())), iban(False))),
         "secret": (
-            lambda: (r.choice(("password=", "token = \"", "api_key: ", "secret=", "Authorization: Bearer ", "auth_token=\"", "passwd: ")), r.choice((chars(r.randint(16, 40), alnum), chars(r.choice((16, 18, 32, 40)), "0123456789abcdef"), chars(r.randint(10, 16), alnum + "!#%")))),
+            lambda: (r.choice(("key ", "aws ", prose(), prose())), r.choice(("AKIA" + chars(16, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), "ghp_" + chars(36, alnum), "sk_live_" + chars(24, alnum), "xoxb-" + chars(24, alnum), "AIza" + chars(35, alnum)))) if r.random() < 0.4 else (r.choice(("password=", "token = \"", "api_key: ", "secret=", "Authorization: Bearer ", "auth_token=\"", "passwd: ")), r.choice((chars(r.randint(16, 40), alnum), chars(r.choice((16, 18, 32, 40)), "0123456789abcdef"), chars(r.randint(10, 16), alnum + "!#%")))),
             lambda: (r.choice(("commit ", "sha ", "see ", prose(), "id=", "url: ")), r.choice((chars(40, "0123456789abcdef"), word() + "_" + word() + "_" + chars(9, low), word() + "-" + chars(9, low) + "-" + word() + "-" + chars(6, low), "/" + "/".join(chars(8, low) for _ in range(3)), chars(r.randint(16, 30), low), digits(r.randint(16, 20)), chars(r.randint(8, 14), low)))),
         ),
         "ipv6": (
@@ -184,12 +193,13 @@ def training_set(seed: int = SEED, examples: int = EXAMPLES) -> tuple[np.ndarray
             lambda: (prose(), f"{r.choice(('look', 'meet', 'is'))} (at) {word()}.{chars(9, low)}"),
         ),
     }
+    others = (lambda: "", prose, lambda: f"tel {digits(3)}-{digits(4)}, ", lambda: f"password={chars(12, alnum)}, ", lambda: f"ssn {digits(3)}-{digits(2)}-{digits(4)}, ", lambda: f"order {digits(6)}, ", lambda: f"iban {chars(8, alnum)}, ")  # keywords that belong to something else
     x, y, kinds = [], [], []
     for k, (kind, pair) in enumerate(makers.items()):
         for outcome, make in ((1, pair[0]), (0, pair[1])):
             for _ in range(examples):
                 context, span = make()
-                start = prose() + context
+                start = prose() + r.choice(others)() + context
                 x.append(features(start + span + r.choice((" ", ", ", "\n", "\" ")) + prose(), len(start), len(start) + len(span), kind))
                 y.append(outcome)
                 kinds.append(k)
@@ -204,7 +214,7 @@ class Model:
         a, b = len(x) * 6 // 10, len(x) * 9 // 10  # grown, calibrated and thresholded, held out
         self.trees = BoostedTrees().fit(x[:a], y[:a]).calibrate(x[a:b], y[a:b])
         p = self.trees.probability(x[a:b])
-        self.thresholds = {k: precise_threshold(p[at], y[a:b][at], precision) for i, k in enumerate(EXTRA_KINDS) for at in [kinds[a:b] == i]}
+        self.thresholds = {k: max(0.5, precise_threshold(p[at], y[a:b][at], precision)) for i, k in enumerate(EXTRA_KINDS) for at in [kinds[a:b] == i]}
         held = self.trees.probability(x[b:])
         chosen = held >= np.array([self.thresholds[EXTRA_KINDS[k]] for k in kinds[b:]])
         self.held_out = {"precision": float(y[b:][chosen].mean()), "recall": float(chosen[y[b:] > 0].mean())}
