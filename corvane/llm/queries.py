@@ -63,5 +63,29 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP3_SQL = f"""WITH dw AS (SELECT doc_id, {_WORDS} AS w FROM documents), bw AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS s FROM bw, unnest(range(1, greatest(len(w) - 9, 1) + 1)) t(i) WHERE len(w) > 0),
+lens AS (SELECT DISTINCT n FROM win),
+occ AS (SELECT doc_id, i, lens.n, array_to_string(w[i:i + lens.n - 1], ' ') AS s FROM dw, lens, unnest(range(1, len(w) - lens.n + 2)) t(i)),
+hits AS (SELECT doc_id, i, occ.n, item_id FROM occ JOIN win ON win.n = occ.n AND win.s = occ.s),
+words AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM hits, unnest(range(i, i + n)) t(k) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR))) AS items_sha256 FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+OP10_SQL = rf"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + least(len(w), 4) - 1], ' ') AS g FROM w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) t(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r(d, least_id) AS (SELECT doc_id, doc_id FROM documents UNION SELECT y, least_id FROM r JOIN e ON x = d),
+c AS (SELECT d AS doc_id, min(least_id) AS component_id FROM r GROUP BY d)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, component_id = doc_id AS kept FROM documents LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_decontamination": OP3_SQL, "op10_near_duplicates": OP10_SQL}
