@@ -60,3 +60,8 @@ def percent(part: Column, whole: Column, digits: int = 2) -> Column:
 def file_stem(query: Column, most: int = 20) -> Column:
     """A file name from a query: spaces as underscores, cut."""
     return F.left(F.replace(query, F.lit(" "), F.lit("_")), F.lit(most))
+
+
+def run_name(prefix: str, at: Column, suffix: str = ".parquet") -> Column:
+    """``prefix`` with a time stamp, as runs name their files."""
+    return F.concat(F.lit(prefix + "_"), F.date_format(at, "yyyyMMdd_HHmmss"), F.lit(suffix))

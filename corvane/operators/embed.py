@@ -77,6 +77,22 @@ class HttpEmbedder:
         raise RuntimeError("no attempt was made")
 
 
+class LocalModelEmbedder:
+    """A sentence-transformers model, loaded at the first text of a task; needs that library on the executors."""
+
+    def __init__(self, model: str, normalize: bool = True, max_tokens: int | None = None):
+        self.model, self.normalize, self.max_tokens, self.loaded = model, normalize, max_tokens, None
+
+    def __call__(self, text: str) -> list[float]:
+        if self.loaded is None:
+            from sentence_transformers import SentenceTransformer
+
+            self.loaded = SentenceTransformer(self.model)
+            if self.max_tokens:
+                self.loaded.max_seq_length = self.max_tokens
+        return self.loaded.encode(text, normalize_embeddings=self.normalize).tolist()
+
+
 RESULT = "paper_id string, title_embedding array<float>, abstract_embedding array<float>, error string"
 
 

@@ -469,6 +469,59 @@ def collection_scroll(spark, sf):
     return collection.scroll(D.table(spark, sf, "embeddings").select(F.col("vec_id").alias("point_id"), "label"), 100, 99)
 
 
+_PARTS = "a AS (SELECT label AS part, vec_id AS pos, CAST(vec_id AS VARCHAR) AS paper_id FROM embeddings), b AS (SELECT label AS part, vec_id AS pos, CAST(vec_id + CASE WHEN label = 4 THEN 1 ELSE 0 END AS VARCHAR) AS paper_id FROM embeddings)"
+
+
+def _parts(spark, sf):
+    e = D.table(spark, sf, "embeddings")
+    part = [F.col("label").alias("part"), F.col("vec_id").alias("pos")]
+    moved = F.col("vec_id") + F.when(F.col("label") == 4, 1).otherwise(0)
+    return e.select(*part, F.col("vec_id").cast("string").alias("paper_id"), "embedding"), e.select(*part, moved.cast("string").alias("paper_id"), "embedding")
+
+
+@query(f"WITH {_PARTS} SELECT a.part, pos, a.paper_id FROM a JOIN b USING (part, pos) WHERE a.part NOT IN (SELECT a.part FROM a JOIN b USING (part, pos) WHERE a.paper_id <> b.paper_id)")
+def zip_parts(spark, sf):
+    return stores.zip_parts(*_parts(spark, sf)).select("part", "pos", "paper_id")
+
+
+@query(f"WITH {_PARTS} SELECT DISTINCT a.part FROM a JOIN b USING (part, pos) WHERE a.paper_id <> b.paper_id")
+def mismatched_parts(spark, sf):
+    return stores.mismatched_parts(*_parts(spark, sf))
+
+
+@query(f"WITH {D.SHARDS_SQL} SELECT paper_id AS id, max(row_index) AS row_index FROM shards GROUP BY paper_id")
+def id_to_index(spark, sf):
+    first, second = D.shards(spark, sf)
+    return stores.id_to_index(first.unionByName(second))
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS id, title, abstract FROM (SELECT doc_id, split_part(text, chr(10), 1) AS title, text AS abstract FROM documents) WHERE CAST(doc_id AS VARCHAR) IN (SELECT CAST(doc_id AS VARCHAR) FROM labels)")
+def papers_of_id_set(spark, sf):
+    return S.papers_with_ids(D.papers(spark, sf), D.stored_ids(spark, sf)).select("id", "title", "abstract")
+
+
+@query(
+    f"""WITH {D.CORPUS_SQL}, x AS (SELECT paper_id, label, unnest(range(1, len(t) + 1)) AS dim, unnest(t) AS a, unnest(ab) AS b FROM pv)
+SELECT paper_id, CAST(dim AS BIGINT) AS dim, round(CASE WHEN label < 5 THEN b ELSE a END, 6) AS last_token, round(CASE WHEN label < 5 THEN (a + b) / 2 ELSE a END, 6) AS mean FROM x"""
+)
+def token_pooling(spark, sf):
+    c = D.corpus(spark, sf).select("paper_id", F.array("title_embedding", "abstract_embedding").alias("states"), F.array(F.lit(1), F.when(F.col("label") < 5, 1).otherwise(0)).alias("mask"))
+    pooled = c.select("paper_id", F.arrays_zip(V.last_token_pool("states", "mask").alias("last"), V.mean_pool("states", "mask").alias("mean")).alias("z"))
+    flat = pooled.select("paper_id", F.posexplode("z").alias("dim", "e"))
+    return flat.select("paper_id", (F.col("dim") + 1).cast("long").alias("dim"), F.round(F.col("e.last").cast("double"), 6).alias("last_token"), F.round("e.mean", 6).alias("mean"))
+
+
+@query(f"WITH {D.CORPUS_SQL} SELECT paper_id, round(sqrt(list_sum(list_transform(t, lambda x: x * x))), 6) AS title_norm, round(sqrt(list_sum(list_transform(ab, lambda x: x * x))), 6) AS abstract_norm, round({_PAIR}, 6) AS similarity FROM pv")
+def export_rows(spark, sf):
+    c = D.corpus(spark, sf)
+    return _rounded(c.select("paper_id", V.norm("title_embedding").alias("title_norm"), V.norm("abstract_embedding").alias("abstract_norm"), V.cosine("title_embedding", "abstract_embedding").alias("similarity")))
+
+
+@query("SELECT event_id, 'run_' || strftime(ts, '%Y%m%d_%H%M%S') || '.parquet' AS name FROM events")
+def run_names(spark, sf):
+    return D.table(spark, sf, "events").select("event_id", X.run_name("run", F.col("ts")).alias("name"))
+
+
 # Sampling
 
 _U = "(CAST('0x' || left(md5(CAST(vec_id AS VARCHAR)), 8) AS BIGINT) + 1) / 4294967297.0::DOUBLE"

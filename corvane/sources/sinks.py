@@ -55,3 +55,14 @@ def sample_rows(vectors: DataFrame, n: int = 100) -> DataFrame:
 def export_sample(vectors: DataFrame, folder: str, n: int = 100) -> None:
     sample_rows(vectors, n).write.mode("overwrite").option("header", True).csv(f"{folder}/csv")
     vectors.orderBy(F.xxhash64("paper_id"), "paper_id").limit(n).write.mode("overwrite").parquet(f"{folder}/vectors")
+
+
+def metadata_sidecar(papers: DataFrame, info: DataFrame) -> DataFrame:
+    """One row: papers, id_to_index, embedding_info, the nested document of small runs.
+
+    A document is one value; large runs keep papers and their row_index as a table instead.
+    """
+    fields = F.struct(*[c for c in papers.columns if c != "row_index"])
+    listed = papers.agg(F.transform(F.array_sort(F.collect_list(F.struct("row_index", fields.alias("p")))), lambda s: s["p"]).alias("papers"))
+    places = papers.groupBy("id").agg(F.max("row_index").alias("i")).agg(F.map_from_entries(F.collect_list(F.struct("id", "i"))).alias("id_to_index"))
+    return listed.crossJoin(places).crossJoin(info.limit(1).select(F.struct("*").alias("embedding_info")))  # one row each

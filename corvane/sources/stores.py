@@ -71,3 +71,76 @@ def download_manifest(spark: SparkSession, first: int = 1, last: int = 1274, yea
     """name, number of the yearly baseline files still to fetch; ``have`` lists names that exist."""
     wanted = spark.range(first, last + 1).select(F.format_string(f"pubmed{year}n%04d.xml.gz", "id").alias("name"), F.col("id").alias("number"))
     return wanted.join(have.select("name"), "name", "left_anti") if have is not None else wanted
+
+
+PARTS = "part string, pos bigint, paper_id string, embedding array<float>"
+
+
+def _read_binary_store(spark: SparkSession, paths: Sequence[str], parse) -> DataFrame:
+    """part, pos, paper_id, embedding of files that a Python library reads from bytes; one task a file."""
+    import pyarrow as pa
+
+    def work(frames):
+        for frame in frames:
+            for name, content in zip(frame.column("path").to_pylist(), frame.column("content").to_pylist()):
+                ids, vectors = parse(content)
+                n = len(ids)
+                values = pa.array(vectors.astype("float32").ravel())
+                lists = pa.ListArray.from_arrays(pa.array([i * vectors.shape[1] for i in range(n + 1)], pa.int32()), values)
+                yield pa.RecordBatch.from_arrays([pa.array([name] * n, pa.string()), pa.array(range(n), pa.int64()), pa.array(ids, pa.string()), lists], names=["part", "pos", "paper_id", "embedding"])
+
+    return spark.read.format("binaryFile").load(list(paths)).select("path", "content").mapInArrow(work, PARTS)
+
+
+def _text_ids(ids) -> list[str]:
+    return [i.decode() if isinstance(i, bytes) else str(i) for i in ids.tolist()]
+
+
+def _parse_npz(content: bytes):
+    import io
+
+    import numpy as np
+
+    with np.load(io.BytesIO(content), allow_pickle=False) as f:
+        return _text_ids(f["ids"]), f["embeddings"]
+
+
+def read_npz(spark: SparkSession, *paths: str) -> DataFrame:
+    """Numbered NPZ parts with arrays ``embeddings`` and ``ids``; half precision is widened."""
+    return _read_binary_store(spark, paths, _parse_npz)
+
+
+def read_hdf5(spark: SparkSession, *paths: str, side: str = "title") -> DataFrame:
+    """HDF5 stores with ``paper_ids`` and ``{side}_embeddings``; needs h5py on the executors."""
+
+    def parse(content: bytes):
+        import io
+
+        import h5py
+
+        with h5py.File(io.BytesIO(content), "r") as f:
+            return _text_ids(f["paper_ids"][:]), f[f"{side}_embeddings"][:]
+
+    return _read_binary_store(spark, paths, parse)
+
+
+def zip_parts(title: DataFrame, abstract: DataFrame) -> DataFrame:
+    """paper_id, both vectors of parts (part, pos, paper_id, embedding) whose ids agree row by row.
+
+    A part whose sides differ in any id or in length is left out whole; ``mismatched_parts`` names those.
+    """
+    bad = mismatched_parts(title, abstract)
+    a = title.select("part", "pos", "paper_id", F.col("embedding").alias("title_embedding"))
+    b = abstract.select("part", "pos", F.col("embedding").alias("abstract_embedding"))
+    return a.join(bad, "part", "left_anti").join(b, ["part", "pos"]).select("part", "pos", "paper_id", "title_embedding", "abstract_embedding")
+
+
+def mismatched_parts(title: DataFrame, abstract: DataFrame) -> DataFrame:
+    a = title.select("part", "pos", F.col("paper_id").alias("id_a"))
+    b = abstract.select("part", "pos", F.col("paper_id").alias("id_b"))
+    return a.join(b, ["part", "pos"], "full_outer").where(~F.col("id_a").eqNullSafe(F.col("id_b"))).select("part").distinct()
+
+
+def id_to_index(rows: DataFrame, column: str = "paper_id", position: str = "row_index") -> DataFrame:
+    """id, row_index: the last place of each id."""
+    return rows.groupBy(F.col(column).alias("id")).agg(F.max(position).alias("row_index"))

@@ -2,9 +2,10 @@ import gzip
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from corvane.sources import papers as S
-from corvane.sources import pubmed, stores
+from corvane.sources import pubmed, sinks, stores
 
 GOOD = [{"id": str(i), "title": f"t\n{i}", "abstract": f"a {i}", "journal-ref": "j"} for i in range(6)]
 
@@ -123,3 +124,24 @@ def test_file_sizes(spark, tmp_path):
     spark.range(100).repartition(3).write.parquet(str(tmp_path / "t"))
     scan = spark.read.parquet(str(tmp_path / "t"))
     assert stores.file_sizes(scan).count() == 3 and stores.storage_report(scan, 4).first()["rows"] == 100
+
+
+def test_npz_parts(spark, tmp_path):
+    import numpy as np
+
+    for side, moved in (("title", 0), ("abstract", 1)):
+        for part in (0, 1):
+            ids = np.array([f"p{part}{i + moved * part}" for i in range(3)])
+            np.savez(tmp_path / f"{side}_part{part}.npz", ids=ids, embeddings=np.full((3, 2), part + 0.5, np.float16))
+    sides = [stores.read_npz(spark, *[str(tmp_path / f"{side}_part{p}.npz") for p in (0, 1)]).withColumn("part", F.regexp_extract("part", "part([0-9])", 1)) for side in ("title", "abstract")]
+    rows = stores.zip_parts(*sides).orderBy("pos").collect()
+    assert [r["paper_id"] for r in rows] == ["p00", "p01", "p02"] and rows[0]["title_embedding"] == [0.5, 0.5]
+    assert [r["part"] for r in stores.mismatched_parts(*sides).collect()] == ["1"]
+
+
+def test_sidecar_round_trip(spark, tmp_path):
+    papers = spark.createDataFrame([("a", "t0", 0), ("b", "t1", 1), ("a", "t2", 2)], "id string, title string, row_index long")
+    info = spark.createDataFrame([("m", 4)], "model string, embedding_dim int")
+    sinks.write_json(sinks.metadata_sidecar(papers, info), str(tmp_path / "side"))
+    row = S.read_sidecar(spark, str(tmp_path / "side")).first()
+    assert row["id_to_index"] == {"a": 2, "b": 1} and len(row["papers"]) == 3 and row["embedding_info"]["model"] == "m"
