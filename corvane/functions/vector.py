@@ -23,9 +23,12 @@ def norm(v) -> Column:
 
 
 def cosine_of(product: Column, norm_a: Column, norm_b: Column) -> Column:
-    """Cosine from a dot product and norms; 0 where a vector is zero."""
+    """Cosine from a dot product and norms; 0 where a vector is zero, null where one is null.
+
+    The product and the norms stand once on the common path, so they are computed once.
+    """
     scale = norm_a * norm_b
-    return F.when(scale > 0, product / scale).when(F.isnan(scale), F.lit(float("nan"))).otherwise(F.lit(0.0))
+    return F.coalesce(F.try_divide(product, scale), F.when(scale == 0, F.lit(0.0)))
 
 
 def cosine(a, b) -> Column:

@@ -41,22 +41,26 @@ def _cosine(frame: DataFrame, side: str) -> Column:
     return V.cosine_of(V.dot(f"{side}_embedding", "q"), F.col(f"{side}_norm") if f"{side}_norm" in have else V.norm(f"{side}_embedding"), F.col("q_norm"))
 
 
-def ranked(hits: DataFrame, k: int, nearest_first: bool = True) -> DataFrame:
-    """paper_id, score, rank of the k best; nulls never are hits."""
-    best = hits.where("score is not null").orderBy(F.desc("score") if nearest_first else F.asc("score"), "paper_id").limit(k)
-    order = Window.orderBy(F.desc("score") if nearest_first else F.asc("score"), "paper_id")
+def ranked(hits: DataFrame, k: int, nearest_first: bool = True, threshold: float | None = None) -> DataFrame:
+    """paper_id, score, rank of the k best; nulls never are hits.
+
+    Nulls and scores beyond the threshold sort last, so they are dropped from the k best: a filter
+    before would be pushed below the projection and compute every score twice.
+    """
+    order = F.desc_nulls_last("score") if nearest_first else F.asc_nulls_last("score")
+    best = hits.orderBy(order, "paper_id").limit(k).where("score is not null")
+    if threshold is not None:
+        best = best.where(F.col("score") >= threshold if nearest_first else F.col("score") <= threshold)
+    order = Window.orderBy(order, "paper_id")
     return best.withColumn("rank", F.row_number().over(order))  # over k rows
 
 
 def search(corpus: DataFrame, query: Query, k: int = 10, side: str = "title", metric: str = "cosine", threshold: float | None = None) -> DataFrame:
-    """The k nearest by one side; ``threshold`` first drops lower scores (higher distances)."""
+    """The k nearest by one side; ``threshold`` drops lower scores (higher distances)."""
     frame = _with_query(corpus, query)
     function, larger = V.METRICS[metric]
     score = _cosine(frame, side) if metric == "cosine" else function(f"{side}_embedding", "q")
-    hits = frame.select("paper_id", score.alias("score"))
-    if threshold is not None:
-        hits = hits.where(F.col("score") >= threshold if larger else F.col("score") <= threshold)
-    return ranked(hits, k, larger)
+    return ranked(frame.select("paper_id", score.alias("score")), k, larger, threshold)
 
 
 def search_combined(corpus: DataFrame, query: Query, k: int = 10, title_weight: float = TITLE_WEIGHT, abstract_weight: float = ABSTRACT_WEIGHT) -> DataFrame:
@@ -70,8 +74,8 @@ def search_candidates(corpus: DataFrame, query: Query, k: int = 10, title_weight
     frame = _with_query(corpus, query)
 
     def side(name: str, weight: float) -> DataFrame:
-        hits = frame.select("paper_id", _cosine(frame, name).alias("score")).where("score is not null")
-        return hits.orderBy(F.desc("score"), "paper_id").limit(overfetch * k).select("paper_id", (F.col("score") * weight).alias("part"))
+        hits = frame.select("paper_id", _cosine(frame, name).alias("score")).orderBy(F.desc_nulls_last("score"), "paper_id")
+        return hits.limit(overfetch * k).where("score is not null").select("paper_id", (F.col("score") * weight).alias("part"))
 
     both = side("title", title_weight).unionAll(side("abstract", abstract_weight))
     return ranked(both.groupBy("paper_id").agg(F.sum("part").alias("score")), k)
