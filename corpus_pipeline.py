@@ -54,11 +54,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark)
+    docs, scratch, before = table(spark, sf_dir, "documents"), Scratch(spark), None
     for number, (_, stage) in enumerate(STAGES):
+        own = len(Scratch.made)
         docs = stage(spark, docs, sf_dir)
         if number < len(STAGES) - 1:
             docs = scratch.keep(docs)
+            Scratch.clear_since(own)  # what the stage wrote on its way
+            if before is not None:
+                scratch.drop(before)
+            before = docs
     return docs
 
 

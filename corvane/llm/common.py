@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import shutil
 import tempfile
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
+from typing import ClassVar
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -38,12 +38,16 @@ class Scratch:
     """Tables written to the shared folder: they cut lineage and survive lost executors.
 
     ``keep`` writes a frame and reads it back. ``drop`` deletes a table as soon as nothing reads it
-    any more; tables that the result still reads stay until the folder is cleaned.
+    any more; tables that a result still reads stay. Who has written an operator's result elsewhere
+    can delete the operator's tables by ``Scratch.clear_since``.
     """
 
+    made: ClassVar[list[Scratch]] = []
+
     def __init__(self, spark: SparkSession):
         self.spark, self.root = spark, f"{shared_folder(spark)}/corvane-{uuid.uuid4().hex}"
         self.count = 0
+        Scratch.made.append(self)
 
     def keep(self, df: DataFrame, *partition: str) -> DataFrame:
         self.count += 1
@@ -54,17 +58,18 @@ class Scratch:
         return out
 
     def drop(self, df: DataFrame) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(df._corvane_path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def remove_local_folder(path: str) -> None:
-    shutil.rmtree(path, ignore_errors=True)
-
-
-def narrow(df: DataFrame, columns: Iterable[str], **named: Column) -> DataFrame:
-    """Only the columns an operator needs, so that further columns of the caller cannot clash."""
-    return df.select(*columns, *[c.alias(k) for k, c in named.items()])
+        self._delete(df._corvane_path)
+
+    @classmethod
+    def clear_since(cls, number: int) -> None:
+        """Deletes the tables of all Scratch objects made after the first ``number`` ones."""
+        for scratch in cls.made[number:]:
+            scratch._delete(scratch.root)
+        del cls.made[number:]
+
+    def _delete(self, path: str) -> None:
+        there = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        there.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(there, True)
 
 
 def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, rows: int) -> DataFrame:
