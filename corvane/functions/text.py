@@ -48,8 +48,7 @@ def shortened_within(text: Column, most: int, mark: str = "...") -> Column:
 
 def word_count(text: Column) -> Column:
     """Length in words between white space; 0 for null and empty texts."""
-    trimmed = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " "))
-    return F.when(trimmed == "", 0).otherwise(F.size(F.split(trimmed, " "))).cast("long")
+    return F.coalesce(F.regexp_count(text, F.lit(r"\S+")), F.lit(0)).cast("long")
 
 
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:

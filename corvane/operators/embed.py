@@ -30,14 +30,24 @@ class Embedder(Protocol):
 class HashEmbedder:
     """Signed feature hashing of words to unit vectors: deterministic and offline."""
 
+    MEMORY = 200_000  # words whose places are remembered
+
     def __init__(self, dim: int = 64):
-        self.dim = dim
+        self.dim, self.known = dim, {}
 
-    def __call__(self, text: str) -> list[float]:
-        v = np.zeros(self.dim)
-        for word in text.lower().split():
+    def _place(self, word: str) -> int:
+        """The word's dimension, moved by ``dim`` if its sign is negative."""
+        at = self.known.get(word)
+        if at is None:
             h = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
-            v[h % self.dim] += 1.0 if h >> 63 else -1.0
+            if len(self.known) >= self.MEMORY:
+                self.known.clear()
+            at = self.known[word] = h % self.dim + (0 if h >> 63 else self.dim)
+        return at
+
+    def __call__(self, text: str) -> list[float]:
+        counts = np.bincount([self._place(w) for w in text.lower().split()], minlength=2 * self.dim).astype(float)
+        v = counts[: self.dim] - counts[self.dim :]
         if not v.any():  # no words, or words that cancel out
             v[len(text) % self.dim] = 1.0
         return (v / np.linalg.norm(v)).tolist()
@@ -96,13 +106,16 @@ class LocalModelEmbedder:
 RESULT = "paper_id string, title_embedding array<float>, abstract_embedding array<float>, error string"
 
 
-def embed_papers(papers: DataFrame, make: Callable[[], Embedder], concurrency: int = 1, title_prefix: str = TITLE_PREFIX, abstract_prefix: str = ABSTRACT_PREFIX) -> DataFrame:
+def embed_papers(papers: DataFrame, make: Callable[[], Embedder], concurrency: int = 1, title_prefix: str = TITLE_PREFIX, abstract_prefix: str = ABSTRACT_PREFIX, partitions: int | None = None) -> DataFrame:
     """paper_id, both vectors, error of papers (id, title, abstract).
 
     ``make`` builds the embedder once a task. ``concurrency`` requests run at once in a task; with the
     number of task slots that bounds what a server sees. A failed paper is a row with its error and
     null vectors. Tasks may be repeated, so an embedder must not depend on being called once.
+    ``partitions`` deals the papers anew before, where the input has too few splits for the work.
     """
+    if partitions:
+        papers = papers.repartition(partitions)
 
     def work(frames):
         embedder = make()

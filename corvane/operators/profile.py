@@ -13,31 +13,26 @@ EDGES = (0, 128, 256, 512, 1024, 2048, 4096, 8192)
 PERCENTILES = (50, 90, 95, 99, 99.9)
 
 
-def has_key(raw: Column, name: str) -> Column:
-    return F.array_contains(F.json_object_keys(raw), name)
-
-
-def is_falsy(raw: Column, name: str) -> Column:
-    """Whether a present key's value is null, empty text, an empty list or object, zero or false."""
-    value = F.variant_get(F.try_parse_json(raw), f"$['{name}']", "variant")
+def _state(keys: Column, parsed: Column, name: str) -> Column:
+    value = F.variant_get(parsed, f"$['{name}']", "variant")
     text = F.variant_get(value, "$", "string")
-    return F.coalesce(F.when(F.schema_of_variant(value) == "STRING", text == "").otherwise(text.isin("[]", "{}", "0", "0.0", "-0", "-0.0", "false")), F.lit(True))
+    falsy = F.coalesce(F.when(F.schema_of_variant(value) == "STRING", text == "").otherwise(text.isin("[]", "{}", "0", "0.0", "-0", "-0.0", "false")), F.lit(True))
+    return F.when(~F.array_contains(keys, name), "missing").when(falsy, "empty").otherwise("ok")
 
 
 def field_state(raw: Column, name: str) -> Column:
-    """``missing``, ``empty`` or ``ok``; the first two exclude each other."""
-    return F.when(~has_key(raw, name), "missing").when(is_falsy(raw, name), "empty").otherwise("ok")
+    """``missing`` if the key is absent, ``empty`` if its value is null, empty text, an empty list or
+    object, zero or false, else ``ok``."""
+    return _state(F.json_object_keys(raw), F.try_parse_json(raw), name)
 
 
 def objects_only(lines: DataFrame, raw: str = "value") -> DataFrame:
     return lines.where(F.try_parse_json(F.col(raw)).isNotNull() & F.trim(F.col(raw)).startswith("{"))
 
 
-def has_required(raw: Column, fields: Sequence[str] = REQUIRED_FIELDS) -> Column:
-    out = F.lit(True)
-    for f in fields:
-        out = out & (field_state(raw, f) == "ok")
-    return out
+def _with_parsed(lines: DataFrame, raw: str) -> DataFrame:
+    """Objects with ``_keys`` and ``_parsed``: each line is parsed once, whatever the number of fields."""
+    return objects_only(lines, raw).withColumns({"_keys": F.json_object_keys(F.col(raw)), "_parsed": F.try_parse_json(F.col(raw))})
 
 
 def completeness(lines: DataFrame, required: Sequence[str] = REQUIRED_FIELDS, optional: Sequence[str] = OPTIONAL_FIELDS, raw: str = "value") -> DataFrame:
@@ -46,7 +41,7 @@ def completeness(lines: DataFrame, required: Sequence[str] = REQUIRED_FIELDS, op
     total and valid are the same in each row; malformed lines don't count; rates are percentages, 0 of nothing.
     """
     fields = [(f, True) for f in required] + [(f, False) for f in optional]
-    good = objects_only(lines, raw).select(*[field_state(F.col(raw), f).alias(f"s{i}") for i, (f, _) in enumerate(fields)])
+    good = _with_parsed(lines, raw).select(*[_state(F.col("_keys"), F.col("_parsed"), f).alias(f"s{i}") for i, (f, _) in enumerate(fields)])
     valid = F.lit(True)
     for i, (_, needed) in enumerate(fields):
         if needed:
@@ -63,7 +58,8 @@ def completeness(lines: DataFrame, required: Sequence[str] = REQUIRED_FIELDS, op
 
 def complete_lines(lines: DataFrame, required: Sequence[str] = REQUIRED_FIELDS, raw: str = "value") -> DataFrame:
     """The lines whose required fields are all there and not empty."""
-    return objects_only(lines, raw).where(has_required(F.col(raw), required))
+    states = _with_parsed(lines, raw).withColumn("_ok", F.array(*[_state(F.col("_keys"), F.col("_parsed"), f) == "ok" for f in required]))
+    return states.where(F.forall("_ok", lambda ok: ok)).select(*lines.columns)
 
 
 def sample_lines(lines: DataFrame, n: int, raw: str = "value", seed: int = 0) -> DataFrame:
