@@ -18,6 +18,8 @@ registers of similar sets agree with about their Jaccard similarity.
 So every pair that shares a band of registers is either in one component or compared. A pair at the
 threshold shares no band with a probability of ``(1 - 0.8**5)**36``, less than one in a million.
 Nothing per document goes to the driver; every table between the steps lies in the shared folder.
+Counts and leaders of buckets are written before they are joined to the members, so that the planner
+can broadcast few of them and split the members of a hot bucket over tasks.
 """
 
 from __future__ import annotations
@@ -76,8 +78,13 @@ def shingle_set(text: str | None, words: int, hashes: WordHashes) -> np.ndarray:
 def registers(shingles: np.ndarray) -> np.ndarray:
     """SetSketch registers of a non-empty set, as 16-bit numbers."""
     least = np.full(len(_STEP), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(shingles), 2048):
-        least = np.minimum(least, ((shingles[at : at + 2048, None] ^ _SHIFT) * _STEP).min(0))
+    room = np.empty((min(256, len(shingles)), len(_STEP)), np.uint64)  # small enough for a core's cache
+    for at in range(0, len(shingles), 256):
+        some = shingles[at : at + 256, None]
+        h = room[: len(some)]
+        np.bitwise_xor(some, _SHIFT, out=h)
+        np.multiply(h, _STEP, out=h)
+        np.minimum(least, h.min(0), out=least)
     uniform = (least.astype(np.float64) + 0.5) / 2.0**64
     x = -np.log1p(-np.minimum(uniform, 1 - 1e-16)) / RATE
     return np.clip(np.floor(1 - np.log(x) / np.log(BASE)), 0, TOP + 1).astype("<u2")
@@ -242,7 +249,7 @@ def _blocks_compared(members: DataFrame, sketch: DataFrame, sets: DataFrame, per
     the sketches tells which members have a pair to verify; a second one gets only their full sets, and
     verifies where the group lies, so pairs that are no links never leave it.
     """
-    sizes = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    sizes = scratch.keep(members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")))
     dealt = members.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     met = dealt.select("key", "band", "rep", "comp", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     groups = met.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("group"), "band", "rep", "comp", "block")
@@ -298,9 +305,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     )
     sketch = classes.select("rep", "n", "regs")
     banded = classes.select("rep", F.posexplode(_band_keys()).alias("band", "key"))
-    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = scratch.keep(banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
     crowded = scratch.keep(banded.join(shared, "key"))
-    members = scratch.keep(crowded.select("key", "band", "rep").join(_most_crowded(crowded), "key"))
+    members = scratch.keep(crowded.select("key", "band", "rep").join(scratch.keep(_most_crowded(crowded)), "key"))
     sets = scratch.keep(_full_sets(docs, members.select(F.col("rep").alias("id")).distinct(), words))
 
     labels = None  # rep, comp of the classes that are not their component's least
@@ -309,7 +316,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     for number in range(LEADER_ROUNDS + 1):
         if number:
             labelled = members.select("key", "band", "rep").join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-            mixed = labelled.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min_by("rep", F.xxhash64("rep", "key", F.lit(number))).alias("lead"), F.min_by("comp", F.xxhash64("rep", "key", F.lit(number))).alias("lead_comp")).where("low < high")
+            mixed = scratch.keep(labelled.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min_by("rep", F.xxhash64("rep", "key", F.lit(number))).alias("lead"), F.min_by("comp", F.xxhash64("rep", "key", F.lit(number))).alias("lead_comp")).where("low < high"))
             current = scratch.keep(labelled.join(mixed.select("key", "lead", "lead_comp"), "key"))
             if current.isEmpty():  # no bucket holds two components
                 break
