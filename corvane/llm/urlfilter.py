@@ -23,6 +23,7 @@ from .common import Scratch
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
 DAMPING, ROUNDS, RATIO = 0.85, 20, 1.0
 KEEP_EVERY = 5  # rounds between written states
+HUB_EDGES = 100_000  # edges of one node that one task may meet
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _LINK = r"(?i)href\s*=\s*[\"']?\s*([a-z][a-z0-9+.-]*://[^\s\"'<>]+)"
@@ -62,16 +63,20 @@ def propagate(edges: DataFrame, seeds: DataFrame, scratch: Scratch, damping: flo
     """graph, node, rank after ``rounds`` rounds; edges: graph, source, target, weight; seeds: graph, node, weight.
 
     Seeds of a graph are scaled to sum 1. Rank that reaches a node without edges stays out of the
-    next round, so ranks of a graph sum to at most 1.
+    next round, so ranks of a graph sum to at most 1. The edges of a hub are dealt over parts of about
+    HUB_EDGES, and its rank is sent to each of them.
     """
-    out = edges.groupBy("graph", "source").agg(F.sum("weight").alias("total"))
-    shares = scratch.keep(edges.join(out, ["graph", "source"]).select("graph", "source", "target", (F.col("weight") / F.col("total")).alias("share")))
+    out = scratch.keep(edges.groupBy("graph", "source").agg(F.sum("weight").alias("total"), F.ceil(F.count(F.lit(1)) / HUB_EDGES).cast("int").alias("parts")))
+    part = F.pmod(F.xxhash64("target"), F.col("parts")).cast("int").alias("salt")
+    shares = scratch.keep(edges.join(out, ["graph", "source"]).select("graph", "source", part, "target", (F.col("weight") / F.col("total")).alias("share")))
+    hubs = scratch.keep(out.where("parts > 1").select("graph", F.col("source").alias("node"), "parts"))
     sums = seeds.groupBy("graph").agg(F.sum("weight").alias("total"))
     start = scratch.keep(seeds.join(F.broadcast(sums), "graph").select("graph", "node", (F.col("weight") / F.col("total")).alias("rank")))  # one row a graph
     rank = start
     base = start.select("graph", "node", (F.col("rank") * (1 - damping)).alias("part"))
     for number in range(1, rounds + 1):
-        sent = shares.join(rank.select("graph", F.col("node").alias("source"), "rank"), ["graph", "source"]).select("graph", F.col("target").alias("node"), (F.col("rank") * F.col("share") * damping).alias("part"))
+        salted = rank.join(hubs, ["graph", "node"], "left").select("graph", F.col("node").alias("source"), "rank", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("salt"))
+        sent = shares.join(salted, ["graph", "source", "salt"]).select("graph", F.col("target").alias("node"), (F.col("rank") * F.col("share") * damping).alias("part"))
         rank = sent.unionByName(base).groupBy("graph", "node").agg(F.sum("part").alias("rank"))
         if number % KEEP_EVERY == 0:
             rank = scratch.keep(rank)
@@ -91,14 +96,14 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
     table = spark.createDataFrame([(h, p, h + p, v) for v, h, p in rules], "rule_host string, rule_path string, rule string, says string")
     hosts = read.where("host <> ''").select("host").distinct()
     fitting = hosts.withColumn("rule_host", F.explode(F.expr(_SUFFIXES))).join(table, "rule_host")
-    of_host = fitting.groupBy("host").agg(F.array_sort(F.collect_set(F.struct((-F.length("rule")).alias("order"), "rule", "rule_path", "says"))).alias("rules"))  # at most the rules
+    of_host = scratch.keep(fitting.groupBy("host").agg(F.array_sort(F.collect_set(F.struct((-F.length("rule")).alias("order"), "rule", "rule_path", "says"))).alias("rules")))  # at most the rules
     ruled = read.select("page_id", "host", "path").join(of_host, "host", "left").withColumn("hit", F.expr("try_element_at(filter(rules, r -> startswith(path, r.rule_path)), 1)")).select("page_id", "host", "path", F.col("hit.rule").alias("rule"), F.col("hit.says").alias("says"))
     ruled = scratch.keep(ruled)
     edges = host_edges(read)
     both = scratch.keep(edges.select(F.lit("trust").alias("graph"), "source", "target", "weight").unionByName(edges.select(F.lit("distrust").alias("graph"), F.col("target").alias("source"), F.col("source").alias("target"), "weight")))
     seeds = ruled.where("rule is not null").groupBy(F.when(F.col("says") == "allow", "trust").otherwise("distrust").alias("graph"), F.col("host").alias("node")).agg(F.count(F.lit(1)).cast("double").alias("weight"))
     rank = propagate(both, seeds, scratch, damping, rounds)
-    score = rank.groupBy(F.col("node").alias("host")).agg(F.sum(F.when(F.col("graph") == "trust", F.col("rank")).otherwise(0.0)).alias("trust"), F.sum(F.when(F.col("graph") == "distrust", F.col("rank")).otherwise(0.0)).alias("distrust"))
+    score = scratch.keep(rank.groupBy(F.col("node").alias("host")).agg(F.sum(F.when(F.col("graph") == "trust", F.col("rank")).otherwise(0.0)).alias("trust"), F.sum(F.when(F.col("graph") == "distrust", F.col("rank")).otherwise(0.0)).alias("distrust")))
     judged = ruled.join(score, "host", "left").na.fill(0.0, ["trust", "distrust"])
     method = F.when(F.col("distrust") > F.col("trust") * ratio + 1e-12, "block").otherwise("allow")
     return judged.select("page_id", "host", "path", "rule", F.coalesce("says", method).alias("verdict"), F.round("trust", 9).alias("trust"), F.round("distrust", 9).alias("distrust"))
