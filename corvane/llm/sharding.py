@@ -6,10 +6,11 @@ remaining capacities are kept in a balanced tree, so a step costs the logarithm
 shards. ``smallest_capacity`` finds the least fixed capacity at which a given number of shards is
 enough, ``best_fit_decreasing`` the number of shards that a given capacity needs.
 
-Scale. At most ``n_shards * grain`` groups can be larger than ``total / (n_shards * grain)``; those
-are placed one by one. All smaller groups are first bundled by a hash of their text into
-``n_shards * grain`` bundles, whole groups each. So the tree sees at most twice that many items,
-whatever the number of documents, and that is also the proven bound of what is broadcast.
+Scale. With n the number of shards (or the least that a capacity allows), at most ``n * grain``
+groups can be larger than ``total / (n * grain)``; those are placed one by one. All smaller groups are
+first bundled by a hash of their text into ``n * grain`` bundles, whole groups each. So the tree sees at
+most twice that many items, whatever the number of documents. ``grain`` is lowered where that would
+exceed ``MOST_ITEMS``; that is the proven bound of what the driver holds and broadcasts.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, ranked
 
 ROW_BYTES = 16  # each row weighs its UTF-8 bytes and this
+MOST_ITEMS = 500_000  # large groups, and as many bundles
 
 
 class CapacityTree:
@@ -140,11 +142,18 @@ def smallest_capacity(sizes: list[int], shards: int) -> list[int]:
     return fixed + [alone + b for b in best]
 
 
-def shard_documents(docs: DataFrame, n_shards: int = 40, grain: int = 256) -> DataFrame:
+def fixed_capacity(sizes: list[int], capacity: int) -> list[int]:
+    """As few shards of ``capacity`` as best-fit decreasing needs; a larger item gets a shard alone."""
+    alone = sum(s > capacity for s in sizes)
+    return list(range(alone)) + [alone + b for b in best_fit_decreasing(sizes[alone:], capacity)]
+
+
+def shard_documents(docs: DataFrame, n_shards: int | None = 40, capacity: int | None = None, grain: int = 256) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot of every row of ``docs`` (columns doc_id and text).
 
-    size: UTF-8 bytes of the text and ROW_BYTES; shard: from 0, nearly equal in summed size; slot:
-    the row's place in its shard, from 0 without gaps. A null text counts as an empty one and
+    Either into ``n_shards`` of nearly equal size, or, with ``capacity`` (bytes), into as few shards of
+    that capacity as can be found. size: UTF-8 bytes of the text and ROW_BYTES; shard: from 0; slot: the
+    row's place in its shard, from 0 without gaps. A null text counts as an empty one and
     shares its group; repeated rows keep one slot each; null ids are allowed; an empty table gives
     an empty result; further columns are ignored.
     """
@@ -159,17 +168,20 @@ def shard_documents(docs: DataFrame, n_shards: int = 40, grain: int = 256) -> Da
         )
     )
     n, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
-    limit = max(1, total // (n_shards * grain))
+    count = n_shards if capacity is None else max(1, -(-total // capacity))
+    grain = max(1, min(grain, MOST_ITEMS // count))
+    limit = max(1, total // (count * grain))
     groups = scratch.keep(rows.groupBy("_group").agg(F.sum("size").alias("_bytes")))
     large = groups.where(F.col("_bytes") > limit)
-    bundle = F.pmod(F.xxhash64("_group"), F.lit(n_shards * grain))
+    bundle = F.pmod(F.xxhash64("_group"), F.lit(count * grain))
     items = (
         large.select(F.col("_group").alias("_own"), F.lit(None).cast("long").alias("_bundle"), "_bytes")
         .unionByName(groups.where(F.col("_bytes") <= limit).groupBy(bundle.alias("_bundle")).agg(F.sum("_bytes").alias("_bytes")).select(F.lit(None).cast("binary").alias("_own"), "_bundle", "_bytes"))
-        .collect()  # at most 2 * n_shards * grain rows, see above
+        .collect()  # at most 2 * count * grain rows, see above
     )
     items.sort(key=lambda r: (-r["_bytes"], bytes(r["_own"] or b""), r["_bundle"] if r["_bundle"] is not None else -1))
-    shards = smallest_capacity([r["_bytes"] for r in items], n_shards)
+    sizes = [r["_bytes"] for r in items]
+    shards = smallest_capacity(sizes, n_shards) if capacity is None else fixed_capacity(sizes, capacity)
     spark = docs.sparkSession
     own = spark.createDataFrame([(bytes(r["_own"]), s) for r, s in zip(items, shards) if r["_own"] is not None], "_own binary, _own_shard int")
     bundles = spark.createDataFrame([(r["_bundle"], s) for r, s in zip(items, shards) if r["_own"] is None], "_bundle long, _bundle_shard int")

@@ -68,6 +68,18 @@ def test_a_hot_group_has_a_shard_alone(spark):
     assert len(rest) == 9 and max(rest) <= 1.05 * min(rest)
 
 
+def test_fixed_capacity(spark, few_docs):
+    assert S.fixed_capacity([90, 70, 40, 30, 10], 50) == [0, 1, 2, 3, 2]
+    total = few_docs.agg(F.sum(F.octet_length("text") + S.ROW_BYTES)).first()[0]
+    rows = S.shard_documents(few_docs, capacity=60_000).collect()
+    sizes, texts = defaultdict(int), defaultdict(set)
+    for r in rows:
+        sizes[r["shard"]] += r["size"]
+        texts[r["text_crc32"]].add(r["shard"])
+    assert all(v <= 60_000 or sum(r["shard"] == k for r in rows) == 1 for k, v in sizes.items())
+    assert len(sizes) <= -(-total // 60_000) + 1 and all(len(v) == 1 for v in texts.values())
+
+
 def test_edges(edge_docs, no_docs):
     rows = S.shard_documents(edge_docs, 4).collect()
     assert len(rows) == 9 and {r["size"] for r in rows if r["doc_id"] in (1, 2)} == {16}
