@@ -51,9 +51,8 @@ class ChunkTokenizer:
         split = [CHUNK.findall(t if KEEP_CASE.search(t) else t.encode().lower().decode()) for t in texts]
         if len(known) > MEMORY_CHUNKS:
             known.clear()
-        new = {c for chunks in split for c in chunks if c not in known}
-        plain = [c for c in new if PLAIN.fullmatch(c)]
-        self._learn_words(plain)
+        new = set().union(*split).difference(known)
+        self._learn_words([c for c in new if PLAIN.fullmatch(c)])
         large: dict[str, bytes] = {}
         rest = [c for c in new if c not in known]
         for at in range(0, len(rest), 4096):
@@ -62,7 +61,7 @@ class ChunkTokenizer:
                 (known if len(chunk) <= MEMORY_CHARS else large)[chunk] = np.array(found.ids, "<u4").tobytes()
         if large:
             return [b"".join([known[c] if c in known else large[c] for c in chunks]) for chunks in split]
-        return [b"".join([known[c] for c in chunks]) for chunks in split]
+        return [b"".join(map(known.__getitem__, chunks)) for chunks in split]
 
     def _learn_words(self, words: list[str]) -> None:
         """Ids of many words in one call, told apart by the tokens that end a word."""
