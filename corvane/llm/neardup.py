@@ -201,18 +201,17 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").withColumn("both", both).where(F.col("both") * 100 >= union * percent).select("a", "b")
 
 
-def _pairs_in_group(rep, comp, block, band, n, regs, least: float):
+def _pairs_in_group(rep, comp, block, same, band, n, regs, least: float):
     """Indices of the pairs of different components that this bucket has to compare and the sketches don't rule out.
 
     A pair that shares several bands is compared in the first of them only.
     """
-    once = block.min() == block.max()
     bands = regs.reshape(len(rep), BANDS, ROWS)
     for at in range(0, len(rep), 64):
         r = regs[at : at + 64, None, :]
         equal = (r == regs).sum(2)
         wanted = (comp[at : at + 64, None] != comp) & (rep[at : at + 64, None] < rep) & (equal >= (least - 0.1) * regs.shape[1])
-        if not once:
+        if not same.any():  # two blocks meet: pairs within one are compared elsewhere
             wanted &= block[at : at + 64, None] != block
         i, j = np.nonzero(wanted)
         first = (bands[at + i] == bands[j]).all(2).argmax(1) == band[0]
@@ -229,7 +228,7 @@ def _by_group(frames, columns: list[str]):
         group = frame.column("group").to_numpy()
         if not len(group):
             continue
-        data = [np.frombuffer(b"".join(frame.column(c).to_pylist()), "<u2").reshape(len(group), -1) if c == "regs" else np.array([np.asarray(x) for x in frame.column(c).to_pylist()] + [None], object)[:-1] if c == "shingles" else frame.column(c).to_numpy() for c in columns]
+        data = [np.frombuffer(b"".join(frame.column(c).to_pylist()), "<u2").reshape(len(group), -1) if c == "regs" else np.array([np.asarray(x) for x in frame.column(c).to_pylist()] + [None], object)[:-1] if c == "shingles" else frame.column(c).to_numpy(zero_copy_only=False) for c in columns]
         starts = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), len(group)]
         for s, e in zip(starts, starts[1:]):
             if last is not None and group[s] != last:
@@ -244,29 +243,34 @@ def _by_group(frames, columns: list[str]):
 def _blocks_compared(members: DataFrame, sketch: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Links between members of different components in a bucket; members: key, band, rep, comp.
 
-    A bucket of n members is cut into blocks of about BLOCK; each two of its blocks meet in one group
-    of rows, so a group holds at most some 2 * BLOCK rows however large the bucket is. A first pass over
-    the sketches tells which members have a pair to verify; a second one gets only their full sets, and
-    verifies where the group lies, so pairs that are no links never leave it.
+    Members of a bucket's largest component need not be compared with each other. The others are cut
+    into blocks of about BLOCK, and so is that component; each block of the others meets each block in
+    one group of rows, which holds at most some 2 * BLOCK rows however large the bucket is. A first pass
+    over the sketches tells which members have a pair to verify; a second one gets only their full sets,
+    and verifies where the group lies, so pairs that are no links never leave it.
     """
-    sizes = scratch.keep(members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")))
-    dealt = members.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    met = dealt.select("key", "band", "rep", "comp", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    groups = met.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("group"), "band", "rep", "comp", "block")
-    least, first = _least_estimate(percent), ["rep", "comp", "block", "band", "n", "regs"]
+    counts = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
+    in_blocks = lambda c: F.ceil(c / BLOCK).cast("int")
+    sizes = scratch.keep(counts.groupBy("key").agg(F.max_by("comp", F.struct("c", "comp")).alias("largest"), in_blocks(F.sum("c") - F.max("c")).alias("others"), in_blocks(F.max("c")).alias("blocks")))
+    outer, of = F.col("comp") != F.col("largest"), F.xxhash64("rep")
+    block = F.when(outer, F.pmod(of, F.col("others"))).otherwise(F.col("others") + F.pmod(of, F.col("blocks"))).cast("int")
+    last = F.when(outer, F.col("others") + F.col("blocks")).otherwise(F.col("others")) - 1
+    met = members.join(sizes, "key").select("key", "band", "rep", "comp", block.alias("block"), F.explode(F.sequence(F.lit(0), last)).alias("other"))
+    groups = met.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("group"), "band", "rep", "comp", "block", (F.col("block") == F.col("other")).alias("same"))
+    least, first = _least_estimate(percent), ["rep", "comp", "block", "same", "band", "n", "regs"]
 
     def likely(frames):
-        for group, (rep, comp, block, band, n, regs) in _by_group(frames, first):
+        for group, (rep, comp, block, same, band, n, regs) in _by_group(frames, first):
             found = np.zeros(len(rep), bool)
-            for i, j in _pairs_in_group(rep, comp, block, band, n.astype(float), regs, least) if len(rep) > 1 else ():
+            for i, j in _pairs_in_group(rep, comp, block, same, band, n.astype(float), regs, least) if len(rep) > 1 else ():
                 found[i] = found[j] = True
             if found.any():
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(found.sum(), group)), pa.array(rep[found])], names=["group", "rep"])
 
     def exact(frames):
-        for _, (rep, comp, block, band, n, regs, shingles) in _by_group(frames, [*first, "shingles"]):
+        for _, (rep, comp, block, same, band, n, regs, shingles) in _by_group(frames, [*first, "shingles"]):
             links = []
-            for i, j in _pairs_in_group(rep, comp, block, band, n.astype(float), regs, least) if len(rep) > 1 else ():
+            for i, j in _pairs_in_group(rep, comp, block, same, band, n.astype(float), regs, least) if len(rep) > 1 else ():
                 for x, y in zip(i.tolist(), j.tolist()):
                     both = len(np.intersect1d(shingles[x], shingles[y], assume_unique=True))
                     if both * 100 >= (n[x] + n[y] - both) * percent:
@@ -295,7 +299,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
     component_id: the least doc_id that links lead to, itself included; kept: whether it is the own.
     A text of fewer words is one shingle; a null text or one without words is linked with nothing;
-    repeated rows get the same component; a null doc_id is linked with nothing and has a null
+    repeated rows get the same component, and so do rows with one doc_id and different texts; a null doc_id is linked with nothing and has a null
     component and is kept; an empty table gives an empty result; further columns are ignored.
     """
     scratch = Scratch(docs.sparkSession)
