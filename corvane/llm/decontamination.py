@@ -101,27 +101,27 @@ def find_hits(text: str | None, found_in) -> tuple[int, list[tuple[int, int]], l
     return word_count(norm), merged(intervals), sorted(items)
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS, with_spans: bool = True) -> DataFrame:
-    """``docs`` with a struct ``leak``: n_words, hits (word intervals), spans (code points), items.
+def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS, with_spans: bool = True, column: str = "leak") -> DataFrame:
+    """``docs`` with a struct ``column``: n_words, hits (word intervals), spans (code points), items.
 
     A null or empty text has no words; repeated rows are judged alike; an empty benchmark hits
-    nothing; an empty table gives an empty result. A column ``leak`` of the input is replaced.
+    nothing; an empty table gives an empty result. A column of that name in the input is replaced.
     """
     spark = docs.sparkSession
-    found = docs.drop("leak").withColumn("leak", F.lit(None).cast(_HITS))
+    found = docs.drop(column).withColumn(column, F.lit(None).cast(_HITS))
     blocks = pattern_blocks(benchmark, window, block_chars)
-    found = _scanned(found, SharedPatterns(spark, next(blocks, {})), with_spans)
+    found = _scanned(found, SharedPatterns(spark, next(blocks, {})), with_spans, column)
     scratch = Scratch(spark)
     for block in blocks:
-        found = _scanned(scratch.keep(found), SharedPatterns(spark, block), with_spans)
+        found = _scanned(scratch.keep(found), SharedPatterns(spark, block), with_spans, column)
     return found
 
 
-def _scanned(docs: DataFrame, shared: SharedPatterns, with_spans: bool) -> DataFrame:
+def _scanned(docs: DataFrame, shared: SharedPatterns, with_spans: bool, column: str) -> DataFrame:
     def work(frames):
         patterns = automaton(shared)
         for frame in frames:
-            texts, known = frame.column("text").to_pylist(), frame.column("leak").to_pylist()
+            texts, known = frame.column("text").to_pylist(), frame.column(column).to_pylist()
             out = []
             for text, before in zip(texts, known):
                 n, hits, items = find_hits(text, patterns)
@@ -136,9 +136,8 @@ def _scanned(docs: DataFrame, shared: SharedPatterns, with_spans: bool) -> DataF
                         start, stop = next(at)
                         spans.append({"start": start, "end": next(at)[1] if b - a > 1 else stop})
                 out.append({"n_words": n, "hits": [{"first": a, "end": b} for a, b in hits], "spans": spans, "items": items})
-            leak = pa.array(out, frame.schema.field("leak").type)
-            at = frame.schema.get_field_index("leak")
-            yield frame.set_column(at, frame.schema.field("leak"), leak)
+            field = frame.schema.field(column)
+            yield frame.set_column(frame.schema.get_field_index(column), field, pa.array(out, field.type))
 
     return docs.mapInArrow(work, docs.schema)
 
@@ -160,4 +159,5 @@ def judge(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` in which no window occurs, with their columns."""
-    return scan(docs, benchmark, window, with_spans=False).where(F.size("leak.hits") == 0).select(*docs.columns)
+    free = max(docs.columns, key=len) + "_leak"  # no column has this name
+    return scan(docs, benchmark, window, with_spans=False, column=free).where(F.size(F.col(free)["hits"]) == 0).select(*docs.columns)
