@@ -58,7 +58,7 @@ def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Papers as JSON lines with defects by language: French lacks the title, German has an empty one,
     Spanish a null one; one source's lines are cut off."""
     p = papers(spark, sf_dir)
-    rest = ["id", F.left("abstract", F.lit(200)).alias("abstract"), "categories", F.lit("").alias("doi")]
+    rest = ["id", "abstract", "categories", F.lit("").alias("doi")]
     plain = {"ignoreNullFields": "false"}
     line = (
         F.when(F.col("categories") == "fr", F.to_json(F.struct(*rest)))
