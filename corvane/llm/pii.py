@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from collections import Counter
 from functools import cache
 
 import numpy as np
@@ -95,10 +96,12 @@ _GENERATORS = {
     "national_phone": (re.compile(r"(?<![0-9A-Za-z+.-])\(?[0-9]{2,5}\)?(?:[ .-]{1,2}[0-9]{2,5}){1,5}(?![0-9A-Za-z])"), "digit"),
     "ssn": (re.compile(r"(?<![0-9-])[0-9]{3}[- ][0-9]{2}[- ][0-9]{4}(?![0-9-])"), "digit"),
     "iban": (re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![A-Za-z0-9])"), "digit"),
-    "secret": (re.compile(r"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{16,128}(?![A-Za-z0-9_/+-])|(?<=[=:])[ \t]?[\"']?[^\s\"',;]{8,128}"), "any"),
+    "secret": (re.compile(r"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{16,}+|(?<=[=:])[ \t]?[\"']?[^\s\"',;]{8,}+"), "any"),
     "ipv6": (re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])"), "colon"),
     "spelled_email": (re.compile(r"(?<![A-Za-z0-9])[A-Za-z0-9._]{2,40} ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]{2,40}(?: ?[\[(](?:dot|DOT)[\])] ?[A-Za-z0-9-]{2,20}|\.[A-Za-z0-9-]{2,20}){1,3}"), "bracket"),
 }
+_INNER = re.compile(r"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{16,}+|(?<=[=:])[^=:&]{8,}+")  # tokens and values inside a longer value
+_LONG_VALUE = 128  # characters; a longer value (a URL, packed code) is proposed whole and by what it holds
 _PHONE_WORDS = re.compile(r"(?i)\b(?:tel|phone|call|mobile|cell|fax|telefon|tél|appel|llam)")
 _ID_WORDS = re.compile(r"(?i)(?:ssn|social|security|iban|account|konto|compte|cuenta)")
 _SECRET_WORDS = re.compile(r"(?i)(?:passw|pwd|secret|token|api[_-]?key|credential|auth|bearer|private)")
@@ -119,6 +122,8 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
                     start += 1
                 if end > start:
                     out.append((start, end, kind))
+                if kind == "secret" and end - start > _LONG_VALUE:
+                    out += [(*i.span(), kind) for i in _INNER.finditer(text, start, end) if i.span() != (start, end)]
     return out
 
 
@@ -137,7 +142,7 @@ def features(text: str, start: int, end: int, kind: str) -> list[float]:
     letters = sum(c.isalpha() for c in span)
     upper = sum(c.isupper() for c in span)
     hexes = sum(c in "0123456789abcdefABCDEF" for c in span)
-    counts = np.array([span.count(c) for c in set(span)]) / n
+    counts = np.array(list(Counter(span).values())) / n
     groups = re.split(r"[^0-9A-Za-z]+", span)
     compact = re.sub(r"[^0-9A-Za-z]", "", span)
     turned = sum((a.isdigit() != b.isdigit()) for a, b in zip(compact, compact[1:]))

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from hypothesis import given, settings
@@ -74,3 +75,24 @@ def test_edges(edge_docs, no_docs):
     out = {r["doc_id"]: r for r in pii.redact(edge_docs).collect()}
     assert out[None]["text"] == "mail me at [EMAIL]" and out[None]["n_chars"] == 18 and out[1]["text"] is None
     assert pii.find_spans(edge_docs).where("doc_id is null").first()["spans"][0]["kind"] == "email"
+
+
+def test_long_secrets_are_redacted_whole():
+    r = random.Random(8)
+    token = lambda n: "".join(r.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(n))
+    for n in (129, 210, 500, 5000):
+        a, b, c, d = token(n), token(n), token(n), token(n)
+        text = f'my key {a} here, token = "{b}", password={c}!%#x then, Authorization: Bearer eyJ{token(30)}.eyJ{d}.{token(43)} end'
+        assert {(text.index(s), text.index(s) + n, "secret") for s in (a, b)} <= set(pii.candidates(text))
+        done = pii.redact_text(text, pii.model().choose([text])[0])
+        assert not any(s[k : k + 16] in done for s in (a, b, c, d) for k in range(n - 15)), done
+        assert done.startswith("my key [SECRET] here") and done.endswith(" end")
+
+
+def test_long_value_keeps_what_it_holds():
+    text = "see url=http://host.example.org/" + "path." * 40 + "?x=1&password=7602ad27cf5550de1c&y=2 end"
+    assert "7602ad27cf5550de1c" in {text[a:b] for a, b, _ in pii.candidates(text)}
+    for run in ("a=b." * 80_000, "=abcdefgh" * 30_000, "k=" + "日本語" * 80_000, "x" * 300_000):
+        found = pii.candidates(run)
+        assert sum(b - a for a, b, _ in found) <= 3 * len(run)
+        pii.model().choose([run])
