@@ -10,6 +10,7 @@ evaluated against the ids that a corpus may use. Documents are mapped where they
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -50,7 +51,7 @@ FAMILIES = (
 BASE_WEIGHT, TAG_WEIGHT = 0.7, 0.95
 
 TOKEN = re.compile(r"[A-Za-z0-9][A-Za-z0-9.+-]*|[()]")
-EXPRESSION_CHARS = 2_000  # longer lines after a tag are no expression
+AFTER_TAG = re.compile(r"[ \t\"']*[:=]")
 PRECEDENCE = {"with": 3, "and": 2, "or": 1}
 
 SCAN = T.StructType(
@@ -67,17 +68,19 @@ def family(identifier: str) -> str:
     return next((label for start, label in FAMILIES if low == start or low.startswith(f"{start}-")), low)
 
 
-def shunting_yard(tokens: list[str]) -> list[str] | None:
+def shunting_yard(tokens: Iterable[str]) -> list[str] | None:
     """Postfix form of the longest prefix of ``tokens`` that is an expression; None if none is.
 
-    An operand must not follow an operand, so trailing prose ends the expression.
+    An operand must not follow an operand, so trailing prose ends the expression; no token after
+    that is read. Time is linear: outside parentheses the stack holds one operator a precedence.
     """
-    out, stack, operand, best = [], [], True, None
+    out, stack, operand, depth, best = [], [], True, 0, None
     for t in tokens:
         low = t.lower()
         if operand:
             if t == "(":
                 stack.append(t)
+                depth += 1
                 continue
             if t == ")" or low in PRECEDENCE:
                 break
@@ -89,6 +92,7 @@ def shunting_yard(tokens: list[str]) -> list[str] | None:
             if not stack:
                 break
             stack.pop()
+            depth -= 1
         elif low in PRECEDENCE:
             while stack and stack[-1] != "(" and PRECEDENCE[stack[-1]] >= PRECEDENCE[low]:
                 out.append(stack.pop())
@@ -97,9 +101,9 @@ def shunting_yard(tokens: list[str]) -> list[str] | None:
             continue
         else:
             break
-        if "(" not in stack:
-            best = out + stack[::-1]
-    return best
+        if not depth:
+            best = len(out), stack[::-1]
+    return out[: best[0]] + best[1] if best else None
 
 
 def evaluate(postfix: list[str], permitted: tuple[str, ...] = PERMITTED) -> bool:
@@ -116,14 +120,16 @@ def evaluate(postfix: list[str], permitted: tuple[str, ...] = PERMITTED) -> bool
 
 def licences_in(postfix: list[str]) -> list[str]:
     """Labels of the operands without the exceptions after ``with``."""
-    stack: list[list[str]] = []
+    found, starts = [], []  # labels, and where those of each operand on the stack start
     for t in postfix:
         if t in PRECEDENCE:
-            b, a = stack.pop(), stack.pop()
-            stack.append(a if t == "with" else a + b)
+            start = starts.pop()
+            if t == "with":
+                del found[start:]
         else:
-            stack.append([family(t)])
-    return stack[0]
+            starts.append(len(found))
+            found.append(family(t))
+    return found
 
 
 def build_automaton():
@@ -166,9 +172,12 @@ def scan_text(text: str | None, patterns) -> dict:
         for k, m in enumerate(WORD.finditer(text)):
             if k in wanted:
                 ends.append(m.end())
+        stop = -1
         for end in ends:
-            line = text[end : end + EXPRESSION_CHARS].split("\n", 1)[0]
-            postfix = shunting_yard(TOKEN.findall(line)) if line.lstrip(" \t\"'")[:1] in (":", "=") else None
+            if stop < end:
+                stop = text.find("\n", end)
+                stop = len(text) if stop < 0 else stop
+            postfix = shunting_yard(m.group() for m in TOKEN.finditer(text, end, stop)) if AFTER_TAG.match(text, end, stop) else None
             if postfix:
                 doubt *= 1 - TAG_WEIGHT
                 labels.update(licences_in(postfix))

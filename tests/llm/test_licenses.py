@@ -61,3 +61,18 @@ def test_tag_in_text():
 def test_edges(edge_docs, no_docs):
     out = L.scan_licenses(edge_docs).collect()
     assert len(out) == 9 and all(r["score"] == 0 for r in out) and L.scan_licenses(no_docs).count() == 0
+
+
+def test_long_expressions_are_read_whole():
+    patterns = L.build_automaton()
+    many = " OR ".join(["MIT", "Apache-2.0"] * 400)
+    row = L.scan_text(f"SPDX-License-Identifier: ({many}) AND GPL-3.0\nISC", patterns)
+    assert row["labels"] == "apache,gpl,mit" and row["permitted"] is False and row["expressions"][0].count(" ") == 800 * 2
+    row = L.scan_text(f"SPDX-License-Identifier: ({many} OR MPL-2.0)", patterns)
+    assert row["labels"] == "apache,mit,mpl" and row["permitted"] is True and row["score"] == pytest.approx(L.TAG_WEIGHT)
+
+
+def test_long_lines_take_linear_time():
+    for line in (" and ".join(["MIT"] * 100_000), "(MIT or " * 100_000 + "MIT" + ")" * 100_000, "(" * 200_000, "SPDX-License-Identifier: MIT " * 20_000, "MIT" + " !" * 200_000):
+        L.scan_text("SPDX-License-Identifier: " + line, L.build_automaton())
+    assert L.licences_in(["A", "B", "with", "C", "D", "with", "E", "or", "and"]) == ["a", "c", "e"]
