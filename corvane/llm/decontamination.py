@@ -41,12 +41,15 @@ def windows(text: str | None, window: int = WINDOW) -> list[str]:
     return [f" {' '.join(words[k : k + window])} " for k in range(max(1, len(words) - window + 1))] if words else []
 
 
-def pattern_blocks(benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS) -> Iterator[dict[str, list[int]]]:
+def in_order(items: set[int | None]) -> list[int | None]:
+    """Ascending; the null id, which stands for all items without an id, comes last."""
+    return sorted(items, key=lambda i: (i is None, i or 0))
+
+
+def pattern_blocks(benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS) -> Iterator[dict[str, list[int | None]]]:
     """Pattern -> item ids, in blocks of bounded size; items come one by one from the executors."""
     block, held = {}, 0
     for row in benchmark.select("item_id", "text").toLocalIterator():
-        if row["item_id"] is None:
-            continue
         for w in windows(row["text"], window):
             if w not in block:
                 block[w], held = [], held + len(w)
@@ -79,14 +82,14 @@ def automaton(shared):
 class SharedPatterns:
     """A broadcast of one block of patterns, with an id by which workers know it."""
 
-    def __init__(self, spark, block: dict[str, list[int]]):
+    def __init__(self, spark, block: dict[str, list[int | None]]):
         self.id, self.value = uuid.uuid4().hex, spark.sparkContext.broadcast(block)
 
     def items(self):
         return self.value.value.items()
 
 
-def find_hits(text: str | None, found_in) -> tuple[int, list[tuple[int, int]], list[int]]:
+def find_hits(text: str | None, found_in) -> tuple[int, list[tuple[int, int]], list[int | None]]:
     """Words of the text, the word intervals [first, end) inside windows, and the items."""
     norm = normalised(text)
     if not norm or len(found_in) == 0:
@@ -98,14 +101,15 @@ def find_hits(text: str | None, found_in) -> tuple[int, list[tuple[int, int]], l
         last = word_at(spaces, place)
         intervals.append((last - length + 1, last + 1))
         items.update(owners)
-    return word_count(norm), merged(intervals), sorted(items)
+    return word_count(norm), merged(intervals), in_order(items)
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS, with_spans: bool = True, column: str = "leak") -> DataFrame:
     """``docs`` with a struct ``column``: n_words, hits (word intervals), spans (code points), items.
 
     A null or empty text has no words; repeated rows are judged alike; an empty benchmark hits
-    nothing; an empty table gives an empty result. A column of that name in the input is replaced.
+    nothing; an empty table gives an empty result. Items with a null id hit as others do and stand in
+    ``items`` as one null, the last. A column of that name in the input is replaced.
     """
     spark = docs.sparkSession
     found = docs.drop(column).withColumn(column, F.lit(None).cast(_HITS))
@@ -127,7 +131,7 @@ def _scanned(docs: DataFrame, shared: SharedPatterns, with_spans: bool, column:
                 n, hits, items = find_hits(text, patterns)
                 if before:
                     hits = merged(hits + [(h["first"], h["end"]) for h in before["hits"]])
-                    items = sorted({*items, *before["items"]})
+                    items = in_order({*items, *before["items"]})
                 spans = []
                 if hits and with_spans:
                     ends = original_spans(text, [w for a, b in hits for w in ((a, b - 1) if b - a > 1 else (a,))])
@@ -143,7 +147,10 @@ def _scanned(docs: DataFrame, shared: SharedPatterns, with_spans: bool, column:
 
 
 def judge(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every row of ``docs``."""
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every row of ``docs``.
+
+    Items with a null id together count as one in n_items and are left out of items_sha256.
+    """
     found = scan(docs.select("doc_id", "text"), benchmark, window, with_spans=False)
     hits = F.aggregate("leak.hits", F.lit(0).cast("long"), lambda n, h: n + h["end"] - h["first"])
     items = F.array_sort(F.transform("leak.items", lambda i: i.cast("string")))

@@ -63,3 +63,21 @@ def test_edges(edge_docs, no_docs, spark):
     assert D.judge(no_docs, bench).count() == 0 and not any(r["contaminated"] for r in D.judge(edge_docs, bench.limit(0)).collect())
     kept = D.clean(edge_docs, bench)
     assert kept.count() == 7 and kept.columns == edge_docs.columns and {r["leak"] for r in kept.collect()} == {"junk"}
+
+
+def test_items_without_an_id_hit_as_in_sql(spark):
+    import duckdb
+
+    from corvane.llm.queries import OP3_SQL
+
+    con = duckdb.connect()
+    con.sql("CREATE TABLE benchmark AS SELECT * FROM (VALUES (NULL::BIGINT, 'no id here'), (NULL, 'nor here either'), (7, 'Nor here EITHER'), (12, 'x y')) t(item_id, text)")
+    con.sql("CREATE TABLE documents AS SELECT * FROM (VALUES (1::BIGINT, 'a no id here b'), (2, 'nor here either x y no id here'), (3, 'x y'), (4, 'clean')) t(doc_id, text)")
+    docs = spark.createDataFrame(con.sql("FROM documents").fetchall(), "doc_id long, text string")
+    bench = spark.createDataFrame(con.sql("FROM benchmark").fetchall(), "item_id long, text string").coalesce(1)
+    got = D.judge(docs, bench)
+    want = con.sql(OP3_SQL)
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(want.fetchall())
+    assert [r["doc_id"] for r in D.clean(docs, bench).collect()] == [4]
+    one, many = (D.scan(docs, bench, block_chars=n).orderBy("doc_id").collect() for n in (10**6, 5))
+    assert one == many and one[1]["leak"]["items"] == [7, 12, None]
