@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from contextlib import contextmanager, suppress
+from contextvars import ContextVar
 from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,13 +26,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where it is unset (a local session, as in tests) a temporary folder is made and set.
+    Only in a local session where it is unset, as in tests, a temporary folder is made and set; on a
+    cluster executors would each write to a disk of their own, so there it must be set.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
         found = known.get() if known.isDefined() else None
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="corvane-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -37,17 +44,29 @@ def shared_folder(spark: SparkSession) -> str:
 class Scratch:
     """Tables written to the shared folder: they cut lineage and survive lost executors.
 
-    ``keep`` writes a frame and reads it back. ``drop`` deletes a table as soon as nothing reads it
-    any more; tables that a result still reads stay. Who has written an operator's result elsewhere
-    can delete the operator's tables by ``Scratch.clear_since``.
+    ``keep`` writes a frame and reads it back. ``drop`` deletes tables as soon as nothing reads them
+    any more; tables that a result still reads stay until the driver's Python ends, or until ``clear``.
+    Inside ``with scratch.owning():`` operators put their tables below this one's folder, so who has
+    written an operator's result elsewhere can ``clear`` that operator's tables, and only those.
     """
 
-    made: ClassVar[list[Scratch]] = []
+    _owner: ClassVar[ContextVar[Scratch | None]] = ContextVar("owner", default=None)
+    _made: ClassVar[list[Scratch]] = []  # roots without an owner, deleted at the end
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.root = spark, f"{shared_folder(spark)}/corvane-{uuid.uuid4().hex}"
+        owner = Scratch._owner.get()
+        self.spark, self.root = spark, f"{owner.root if owner else shared_folder(spark)}/corvane-{uuid.uuid4().hex}"
         self.count = 0
-        Scratch.made.append(self)
+        if owner is None:
+            Scratch._made.append(self)
+
+    @contextmanager
+    def owning(self):
+        before = Scratch._owner.set(self)
+        try:
+            yield self
+        finally:
+            Scratch._owner.reset(before)
 
     def keep(self, df: DataFrame, *partition: str) -> DataFrame:
         self.count += 1
@@ -57,20 +76,44 @@ class Scratch:
         out._corvane_path = path
         return out
 
-    def drop(self, df: DataFrame) -> None:
-        self._delete(df._corvane_path)
+    def drop(self, *frames: DataFrame) -> None:
+        for df in frames:
+            self._delete(df._corvane_path)
 
-    @classmethod
-    def clear_since(cls, number: int) -> None:
-        """Deletes the tables of all Scratch objects made after the first ``number`` ones."""
-        for scratch in cls.made[number:]:
-            scratch._delete(scratch.root)
-        del cls.made[number:]
+    def clear(self) -> None:
+        self._delete(self.root)
 
     def _delete(self, path: str) -> None:
         there = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         there.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(there, True)
 
+    @classmethod
+    def clear_all(cls) -> None:
+        for scratch in cls._made:
+            with suppress(Exception):  # the session may be gone
+                scratch.clear()
+        cls._made.clear()
+
+
+atexit.register(Scratch.clear_all)
+
+BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
+
+
+def mapped(df: DataFrame, work: Callable, out: T.StructType | str) -> DataFrame:
+    """``df.mapInArrow(work, out)`` with batches of bounded size.
+
+    Spark's own bounds are 10,000 rows and 256 MB, which two tasks of an executor with their Python
+    workers hold several times over. The session's are lowered to BATCH_ROWS and BATCH_BYTES, unless
+    they are lower already; a single longer text makes a batch of its own.
+    """
+    conf = df.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = re.fullmatch(r"(-?\d+)([kmg]?)b?", conf.get(key).lower())
+        if not now or not 0 < int(now[1]) << {"": 0, "k": 10, "m": 20, "g": 30}[now[2]] <= most:
+            conf.set(key, str(most))
+    return df.mapInArrow(work, out)
+
 
 def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, rows: int) -> DataFrame:
     """Adds ``out``: the row's place from 0, without gaps, among the rows with its ``keys``.

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BINARY, LONG, Scratch, schema
+from .common import BINARY, LONG, Scratch, mapped, schema
 from .components import components
 
 WORDS, PERCENT = 5, 80
@@ -141,7 +141,7 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
                     hashes.clear()
             yield pa.RecordBatch.from_arrays([frame.column("doc_id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(regs, pa.binary())], names=SKETCH.names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(work, SKETCH)
+    return mapped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), work, SKETCH)
 
 
 def _band_keys() -> F.Column:

@@ -1,5 +1,5 @@
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -21,11 +21,40 @@ def naive(sizes, capacity):
     return out
 
 
+def runs_of(sizes):
+    return sorted(Counter(sizes).items(), reverse=True)
+
+
+def shards_of(plan, runs):
+    """Size -> the shard of each rank."""
+    out = {}
+    for size, n in runs:
+        own = sorted(p[1:] for p in plan if p[0] == size) + [(n, 1, 0)]
+        out[size] = [first + (r - rank) // each for (rank, each, first), (end, *_) in zip(own, own[1:]) for r in range(rank, end)]
+        assert len(out[size]) == n and own[0][0] == 0
+    return out
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(1, 70), min_size=1, max_size=60))
+def test_runs_pack_as_groups_one_by_one(sizes):
+    runs = runs_of(sizes)
+    plan, opened = S.packed(runs, 60)
+    held = defaultdict(list)
+    for size, shards in shards_of(plan, runs).items():
+        for shard in shards:
+            held[shard].append(size)
+    assert set(held) == set(range(opened)) and all(sum(h) <= 60 or len(h) == 1 for h in held.values())
+    large = [s for s in sizes if s > 60]
+    assert opened == len(large) + len(set(naive(sorted((s for s in sizes if s <= 60), reverse=True), 60)))
+
+
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.integers(1, 60), max_size=60))
-def test_best_fit_decreasing(sizes):
-    sizes = sorted(sizes, reverse=True)
-    assert S.best_fit_decreasing(sizes, 60) == naive(sizes, 60)
+@given(st.lists(st.integers(1, 500), min_size=1, max_size=80), st.integers(1, 9))
+def test_smallest_capacity_uses_every_rank_once(sizes, shards):
+    runs = runs_of(sizes)
+    plan, opened = S.smallest_capacity(runs, shards)
+    assert opened <= shards and sum(map(len, shards_of(plan, runs).values())) == len(sizes)
 
 
 @settings(max_examples=200, deadline=None)
@@ -68,8 +97,32 @@ def test_a_hot_group_has_a_shard_alone(spark):
     assert len(rest) == 9 and max(rest) <= 1.05 * min(rest)
 
 
+def test_rounded_up(spark):
+    sizes = [16, 8191, 8192, 8193, 16_383, 16_385, 100_000, 10**12 + 1]
+    got = [r[0] for r in spark.createDataFrame([(s,) for s in sizes], "s long").select(S.rounded_up(F.col("s"))).collect()]
+    want = [-(-s // 2 ** max(0, s.bit_length() - 13)) * 2 ** max(0, s.bit_length() - 13) for s in sizes]
+    assert got == want and all(s <= g <= s * (1 + 2**-12) for s, g in zip(sizes, got))
+
+
+def test_many_small_shards_never_exceed_their_capacity(spark):
+    """As many shards as a third of the groups, and one group that is larger than a shard."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    copies = docs.where("doc_id < 3").crossJoin(spark.range(300)).select("doc_id", "text")
+    rows = S.shard_documents(docs.select("doc_id", "text").unionAll(copies), capacity=8_000).collect()
+    sizes, groups, of_group, bytes_of = Counter(), defaultdict(set), defaultdict(set), Counter()
+    for r in rows:
+        key = (r["text_crc32"], r["size"])
+        sizes[r["shard"]] += r["size"]
+        groups[r["shard"]].add(key)
+        of_group[key].add(r["shard"])
+        bytes_of[key] += r["size"]
+    assert len(rows) == docs.count() + copies.count() and all(len(v) == 1 for v in of_group.values())
+    assert all(v <= 8_000 or len(groups[k]) == 1 for k, v in sizes.items()) and any(v > 8_000 for v in sizes.values())
+    small = sorted((v for v in bytes_of.values() if v <= 8_000), reverse=True)
+    assert len(sizes) == len(set(naive(small, 8_000))) + sum(v > 8_000 for v in bytes_of.values())
+
+
 def test_fixed_capacity(spark, few_docs):
-    assert S.fixed_capacity([90, 70, 40, 30, 10], 50) == [0, 1, 2, 3, 2]
     total = few_docs.agg(F.sum(F.octet_length("text") + S.ROW_BYTES)).first()[0]
     rows = S.shard_documents(few_docs, capacity=60_000).collect()
     sizes, texts = defaultdict(int), defaultdict(set)
