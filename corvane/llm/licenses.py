@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import BOOLEAN, DOUBLE, LONG, STRING
+from .common import BOOLEAN, DOUBLE, LONG, STRING, mapped
 from .words import WORD, normalised, space_places, word_at, word_count
 
 BASE_PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -204,7 +204,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
             columns = [frame.column("doc_id")] + [pa.array([r[f.name] for r in rows], kind) for f, kind in zip(SCAN.fields[1:], _ARROW)]
             yield pa.RecordBatch.from_arrays(columns, names=SCAN.names)
 
-    return docs.select("doc_id", "text").mapInArrow(work, SCAN)
+    return mapped(docs.select("doc_id", "text"), work, SCAN)
 
 
 _ARROW = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), pa.list_(pa.string()), pa.bool_()]

@@ -4,8 +4,8 @@
 tables with checksums, access units as packetised elementary packets with presentation times, and a
 random-access mark with a clock reference at every unit that can be entered. ``read_streams`` parses
 such streams: program association and map tables, continuity counters, adaptation fields and
-elementary packets, and returns the payload with the time line of its units. Both are mapped where
-the rows lie and work on whole arrays of packets.
+elementary packets of all programs and streams, and returns the payload with the time line of its
+units. Both are mapped where the rows lie and work on whole arrays of packets.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BINARY, LONG, schema
+from .common import BINARY, LONG, mapped, schema
 
 PACKET, SYNC = 188, 0x47  # fixed values of the format
 PAT_PID, PMT_PID, DATA_PID, PROGRAM, PRIVATE_DATA = 0x0000, 0x1000, 0x0100, 1, 0x06
@@ -102,61 +102,116 @@ def _fill(packet: np.ndarray, field: bytes, data: bytes) -> None:
     packet[PACKET - len(data) :] = np.frombuffer(data, np.uint8)
 
 
+def _payload_starts(packets: np.ndarray) -> np.ndarray:
+    """Where each packet's payload begins: after the header and the adaptation field, at most at its end."""
+    return np.minimum(np.where(packets[:, 3] & 0x20 > 0, 5 + packets[:, 4].astype(np.int64), 4), PACKET)
+
+
+def _without_repeats(packets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Packets with payload of one id without those sent twice, and whether packets are missing before each.
+
+    A repeat has its predecessor's counter and payload; a break that the packet itself announces is none.
+    """
+    packets = packets[packets[:, 3] & 0x10 > 0]
+    if not len(packets):
+        return packets, np.zeros(0, bool)
+    counter, start = packets[:, 3] & 15, _payload_starts(packets)
+    again = np.zeros(len(packets), bool)
+    for k in (np.flatnonzero(counter[1:] == counter[:-1]) + 1).tolist():
+        again[k] = start[k] == start[k - 1] and (packets[k, start[k] :] == packets[k - 1, start[k] :]).all()
+    packets, counter = packets[~again], counter[~again].astype(np.int64)
+    announced = (packets[:, 3] & 0x20 > 0) & (packets[:, 4] > 0) & (packets[:, 5] & 0x80 > 0)
+    return packets, np.append(False, (np.diff(counter) & 15) != 1) & ~announced
+
+
+def _whole(data: bytes) -> bytes:
+    """The table section at the start of ``data`` if it is there to its end and its checksum holds."""
+    size = 3 + ((data[1] & 15) << 8 | data[2]) if len(data) >= 3 else 0
+    return data[:size] if 0 < size <= len(data) and section_crc(data[:size]) == 0 else b""
+
+
 def _section(packets: np.ndarray, pid: np.ndarray, wanted: int) -> bytes:
-    """The first table section that starts in a packet with this id; empty if damaged."""
-    found = np.flatnonzero((pid == wanted) & (packets[:, 1] & 0x40 > 0))
-    if not len(found):
-        return b""
-    raw = packets[found[0]].tobytes()
-    start = 4 + (1 + raw[4] if raw[3] & 0x20 else 0)
-    start += 1 + raw[start]
-    section = raw[start : start + 3 + ((raw[start + 1] & 15) << 8 | raw[start + 2])]
-    return section if section_crc(section) == 0 else b""
-
-
-def read_stream(media: bytes) -> tuple[bytes, list[tuple[int, bool, int, int]], dict[str, int]]:
-    """Payload, units (time, random access, payload start, length), and counts of what was met.
-
-    Packets without the sync byte count as damaged and are skipped; a break in the continuity
-    counters is counted; without a valid program table there is no payload.
+    """The first whole table section of this id, over as many packets as it takes; empty if there is none."""
+    own, missing = _without_repeats(packets[pid == wanted])
+    data = b""  # of the section that began last
+    for packet, lost, start in zip(own, missing, _payload_starts(own)):
+        raw = packet[start:].tobytes()
+        if lost:
+            data = b""
+        if packet[1] & 0x40 and raw:  # a section begins; the first byte says after how many of the one before
+            after = 1 + raw[0]
+            if data and (found := _whole(data + raw[1:after])):
+                return found
+            data = raw[after:]
+        elif data:
+            data += raw
+        if found := _whole(data):
+            return found
+    return b""
+
+
+def _units(own: np.ndarray, missing: np.ndarray, counts: dict[str, int]) -> tuple[list[bytes], list[tuple[int, bool, bool]]]:
+    """Data of each access unit, and its time (-1: none), whether it can be entered, whether a part is missing."""
+    skip = _payload_starts(own)
+    marked = (own[:, 3] & 0x20 > 0) & (own[:, 4] > 0) & (own[:, 5] & 0x40 > 0)
+    body = own[np.arange(PACKET) >= skip[:, None]].tobytes()
+    place = np.concatenate([[0], np.cumsum(PACKET - skip)]).tolist()
+    starts = np.flatnonzero(own[:, 1] & 0x40 > 0).tolist()
+    if starts[:1] != [0]:
+        counts["damaged"] += 1  # what stands before the first start belongs to no unit
+    parts, met = [], []
+    for k, stop in zip(starts, [*starts[1:], len(own)]):
+        unit = body[place[k] : place[stop]]
+        if len(unit) < 9 or unit[:3] != b"\x00\x00\x01":
+            counts["damaged"] += 1
+            continue
+        length, head = unit[4] << 8 | unit[5], unit[8]
+        t = unit[9:14]
+        time = (t[0] & 0x0E) << 29 | t[1] << 22 | (t[2] & 254) << 14 | t[3] << 7 | t[4] >> 1 if unit[7] & 0x80 and len(t) == 5 else -1
+        data = unit[9 + head : 6 + length if length else len(unit)]  # a length of 0: up to the next unit
+        broken = bool(missing[k + 1 : stop].any() or stop < len(own) and missing[stop]) or bool(length) and len(unit) < 6 + length
+        parts.append(data)
+        met.append((time, bool(marked[k]), broken))
+    return parts, met
+
+
+def read_stream(media: bytes) -> tuple[bytes, list[tuple[int, bool, int, int, int, int, bool]], dict[str, int]]:
+    """Payload, units, and counts of what was met.
+
+    A unit: time (-1 if it has none), random access, payload start, length, program, packet id, and
+    whether a part of it is missing. Units of all programs and of all their streams are read, one stream
+    after the other; the payload is their data joined. A unit ends where its length says, and at the
+    latest where the next one of its stream starts, so a lost packet never pulls in another unit's bytes;
+    packets sent twice count once. Packets without the sync byte count as damaged and are skipped, and
+    so do units without a start code; breaks in the continuity counters are counted; units that miss a
+    part are counted as broken. Without a valid program table there is no payload.
     """
-    counts = {"packets": len(media) // PACKET, "damaged": int(len(media) % PACKET > 0), "discontinuities": 0, "programs": 0}
+    counts = {"packets": len(media) // PACKET, "damaged": int(len(media) % PACKET > 0), "discontinuities": 0, "programs": 0, "broken": 0}
     packets = np.frombuffer(media, np.uint8, counts["packets"] * PACKET).reshape(-1, PACKET)
     good = packets[:, 0] == SYNC
     counts["damaged"] += int((~good).sum())
     packets = packets[good & (packets[:, 1] & 0x80 == 0)]
     pid = (packets[:, 1] & 0x1F).astype(np.int64) << 8 | packets[:, 2]
     pat = _section(packets, pid, PAT_PID)
-    maps = [(pat[i + 2] & 0x1F) << 8 | pat[i + 3] for i in range(8, len(pat) - 4, 4) if pat[i] or pat[i + 1]]
+    maps = [(pat[i] << 8 | pat[i + 1], (pat[i + 2] & 0x1F) << 8 | pat[i + 3]) for i in range(8, len(pat) - 4, 4) if pat[i] or pat[i + 1]]
     counts["programs"] = len(maps)
-    pmt = _section(packets, pid, maps[0]) if maps else b""
-    if not pmt:
-        return b"", [], counts
-    at = 12 + ((pmt[10] & 15) << 8 | pmt[11])
-    data_pid = (pmt[at + 1] & 0x1F) << 8 | pmt[at + 2]
-    own = packets[(pid == data_pid) & (packets[:, 3] & 0x10 > 0)]
-    if not len(own):
-        return b"", [], counts
-    counter = own[:, 3].astype(np.int64) & 15
-    counts["discontinuities"] = int((np.diff(counter) & 15 != 1).sum())
-    extra = own[:, 3] & 0x20 > 0
-    skip = np.where(extra, 5 + own[:, 4].astype(np.int64), 4)
-    marked = extra & (own[:, 4] > 0) & (own[:, 5] & 0x40 > 0)
-    body = own[np.arange(PACKET) >= skip[:, None]].tobytes()
-    place = np.concatenate([[0], np.cumsum(PACKET - skip)])
-    parts, units, done = [], [], 0
-    for k in np.flatnonzero(own[:, 1] & 0x40 > 0).tolist():
-        p = int(place[k])
-        if body[p : p + 3] != b"\x00\x00\x01":
-            counts["damaged"] += 1
-            continue
-        length, head = body[p + 4] << 8 | body[p + 5], body[p + 8]
-        t = body[p + 9 : p + 14]
-        time = (t[0] & 0x0E) << 29 | t[1] << 22 | (t[2] & 254) << 14 | t[3] << 7 | t[4] >> 1 if body[p + 7] & 0x80 else -1
-        data = body[p + 9 + head : p + 6 + length]
-        parts.append(data)
-        units.append((time, bool(marked[k]), done, len(data)))
-        done += len(data)
+    parts, units, done, read = [], [], 0, set()
+    for program, map_pid in maps:
+        pmt = _section(packets, pid, map_pid)
+        at = 12 + ((pmt[10] & 15) << 8 | pmt[11]) if pmt else 0
+        while at and at + 5 <= len(pmt) - 4:
+            stream = (pmt[at + 1] & 0x1F) << 8 | pmt[at + 2]
+            at += 5 + ((pmt[at + 3] & 15) << 8 | pmt[at + 4])
+            own, missing = _without_repeats(packets[pid == stream])
+            if stream in read or not len(own):  # programs may share a stream
+                continue
+            read.add(stream)
+            counts["discontinuities"] += int(missing.sum())
+            for data, (time, entry, broken) in zip(*_units(own, missing, counts)):
+                parts.append(data)
+                units.append((time, entry, done, len(data), program, stream, broken))
+                counts["broken"] += broken
+                done += len(data)
     return b"".join(parts), units, counts
 
 
@@ -181,16 +236,22 @@ def write_streams(docs: DataFrame) -> DataFrame:
             found = [padded(t) for t in frame.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([frame.column("doc_id"), pa.array([n for n, _ in found], pa.int64()), pa.array([write_stream(p) for _, p in found], pa.binary())], names=STREAMS.names)
 
-    return docs.select("doc_id", "text").mapInArrow(work, STREAMS)
+    return mapped(docs.select("doc_id", "text"), work, STREAMS)
 
 
-UNITS = T.ArrayType(T.StructType([T.StructField("time", LONG), T.StructField("random_access", T.BooleanType()), T.StructField("start", LONG), T.StructField("length", LONG)]))
-READ = schema(doc_id=LONG, n_bytes=LONG, media=BINARY, payload=BINARY, units=UNITS, packets=LONG, damaged=LONG, discontinuities=LONG, programs=LONG, entropy=T.DoubleType())
+UNITS = T.ArrayType(T.StructType([T.StructField("time", LONG), T.StructField("random_access", T.BooleanType()), *[T.StructField(n, LONG) for n in ("start", "length", "program", "pid")], T.StructField("broken", T.BooleanType())]))
+COUNTS = ("packets", "damaged", "discontinuities", "programs", "broken")
+READ = T.StructType([*schema(doc_id=LONG, n_bytes=LONG, media=BINARY, payload=BINARY, units=UNITS).fields, *[T.StructField(n, LONG) for n in COUNTS], T.StructField("entropy", T.DoubleType())])
 
 
 def read_streams(streams: DataFrame) -> DataFrame:
-    """The streams with payload, time line, counts of the parse and the payload's entropy in bits a byte."""
-    kind = pa.list_(pa.struct([("time", pa.int64()), ("random_access", pa.bool_()), ("start", pa.int64()), ("length", pa.int64())]))
+    """The streams with payload, time line, counts of the parse and the payload's entropy in bits a byte.
+
+    ``streams``: doc_id, n_bytes, media; other columns are ignored. A null, empty or damaged stream is a
+    row with what could be read, an empty payload at the least; repeated rows are read alike; an empty
+    table gives an empty result.
+    """
+    kind = pa.list_(pa.struct([("time", pa.int64()), ("random_access", pa.bool_()), *[(n, pa.int64()) for n in ("start", "length", "program", "pid")], ("broken", pa.bool_())]))
 
     def work(frames):
         for frame in frames:
@@ -200,18 +261,23 @@ def read_streams(streams: DataFrame) -> DataFrame:
                 share = np.bincount(np.frombuffer(payload, np.uint8), minlength=1) / max(1, len(payload))
                 share = share[share > 0]
                 payloads.append(payload)
-                lines.append([{"time": a, "random_access": b, "start": c, "length": d} for a, b, c, d in units])
+                lines.append([dict(zip(("time", "random_access", "start", "length", "program", "pid", "broken"), u)) for u in units])
                 counts.append(met)
                 entropy.append(float(-(share * np.log2(share)).sum()) + 0.0)
             columns = [frame.column(c) for c in STREAMS.names] + [pa.array(payloads, pa.binary()), pa.array(lines, kind)]
-            columns += [pa.array([c[k] for c in counts], pa.int64()) for k in ("packets", "damaged", "discontinuities", "programs")] + [pa.array(entropy, pa.float64())]
+            columns += [pa.array([c[k] for c in counts], pa.int64()) for k in COUNTS] + [pa.array(entropy, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=READ.names)
 
-    return streams.select(*STREAMS.names).mapInArrow(work, READ)
+    return mapped(streams.select(*STREAMS.names), work, READ)
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """Writes and reads back every text of ``docs`` and describes both forms, one row a document."""
+    """Writes and reads back every text of ``docs`` (doc_id, text) and describes both forms, one row a document.
+
+    A null or empty text is stored as 64 zero bytes; texts of any length are stored whole; equal texts
+    and repeated rows give equal values; a null id stays null; an empty table gives an empty result;
+    further columns are ignored.
+    """
     read = read_streams(write_streams(docs))
     points = F.size(F.filter("units", lambda u: u["random_access"]))
     return read.select(

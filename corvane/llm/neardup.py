@@ -168,7 +168,7 @@ def _full_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([frame.column("id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], names=SETS.names)
 
     wanted = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
-    return wanted.mapInArrow(work, SETS)
+    return mapped(wanted, work, SETS)
 
 
 PAIRS = schema(a=LONG, b=LONG)
@@ -189,7 +189,7 @@ def _estimated(pairs: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
                 keep = likely_similarity((r == s).sum(1), (r > s).sum(1), (r < s).sum(1), n, m) >= least
                 yield pa.RecordBatch.from_arrays([frame.column(c).filter(pa.array(keep)) for c in PAIRS.names], names=PAIRS.names)
 
-    return joined.select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(work, PAIRS)
+    return mapped(joined.select("a", "b", "n_a", "n_b", "r_a", "r_b"), work, PAIRS)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

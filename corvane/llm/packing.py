@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LONG, Scratch, ranked, schema
+from .common import LONG, Scratch, mapped, ranked, schema
 from .tokens import batches, tokenizer
 
 CAPACITY, END_ID = 4096, 1
@@ -56,7 +56,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
                         out.append((doc, piece, start, stop - start, zlib.crc32(view[4 * start : 4 * stop])))
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=PIECES.names)
 
-    return docs.select("doc_id", "text").mapInArrow(cut, PIECES)
+    return mapped(docs.select("doc_id", "text"), cut, PIECES)
 
 
 def superstep_plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[np.ndarray, int]:
@@ -125,7 +125,7 @@ def place(pieces: DataFrame, capacity: int = CAPACITY, broadcast_entries: int =
                 step, inside = np.divmod(rank - entry[:, 1], entry[:, 2])
                 yield pa.RecordBatch.from_arrays([*frame.columns, pa.array(entry[:, 3] + step), pa.array(entry[:, 4] + inside * length)], names=kinds.names)
 
-        return placed.mapInArrow(assign, kinds).drop("_rank")
+        return mapped(placed, assign, kinds).drop("_rank")
     ends = np.append(plan[1:, 1], 0)
     same = np.append(plan[1:, 0] == plan[:-1, 0], False)
     ends = np.where(same, ends, [counts[x] for x in plan[:, 0].tolist()])

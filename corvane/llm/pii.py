@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .boosting import BoostedTrees, precise_threshold
-from .common import DOUBLE, LONG, STRING, schema
+from .common import DOUBLE, LONG, STRING, mapped, schema
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 EXTRA_KINDS = ("national_phone", "ssn", "iban", "secret", "ipv6", "spelled_email")
@@ -279,7 +279,7 @@ def _chosen(docs: DataFrame, out: T.StructType, build) -> DataFrame:
             texts = [t or "" for t in frame.column("text").to_pylist()]
             yield build(frame, texts, grown.choose(texts))
 
-    return docs.mapInArrow(work, out)
+    return mapped(docs, work, out)
 
 
 def find_spans(docs: DataFrame) -> DataFrame:

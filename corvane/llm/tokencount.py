@@ -19,7 +19,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import LONG, schema
+from .common import LONG, mapped, schema
 
 SEGMENT = re.compile(rb" ?[A-Za-z\x80-\xff]++| ?[0-9]++| ?[^\sA-Za-z0-9\x80-\xff]++|\s(?:(?=[^\s])|\s*+(?<= )(?=[^\s])|\s*+)")
 MEMORY_SEGMENTS, MEMORY_BYTES = 500_000, 64
@@ -99,8 +99,9 @@ COUNTS = schema(doc_id=LONG, n_bytes=LONG, n_segments=LONG, n_tokens=LONG)
 def count_tokens(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     """doc_id, n_bytes, n_segments, n_tokens of every row of ``docs`` (doc_id, text).
 
-    A null or empty text has 0 of each; texts are read whole; repeated rows are counted alike; an
-    empty table gives an empty result; further columns are ignored.
+    A null or empty text has 0 of each; texts are read whole; repeated rows are counted alike; a null id
+    stays null; an empty table gives an empty result; further columns are ignored. A vocabulary that
+    lacks a byte of a text is an error, not a wrong count.
     """
 
     def work(frames):
@@ -117,6 +118,8 @@ def count_tokens(docs: DataFrame, vocabulary_path: str) -> DataFrame:
                     n = known.get(s)
                     if n is None:
                         n = automaton.count(s)
+                        if n < 0:
+                            raise ValueError(f"the vocabulary cannot cover {s[:40]!r}")
                         if len(s) <= MEMORY_BYTES:
                             known[s] = n
                     total += n
@@ -125,4 +128,4 @@ def count_tokens(docs: DataFrame, vocabulary_path: str) -> DataFrame:
                 out.append((doc, len(raw), len(segments), total))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)] if out else [pa.array([], pa.int64())] * 4, names=COUNTS.names)
 
-    return docs.select("doc_id", "text").mapInArrow(work, COUNTS)
+    return mapped(docs.select("doc_id", "text"), work, COUNTS)

@@ -48,6 +48,61 @@ def test_damage_is_counted():
     assert M.read_stream(b"")[0] == b"" and M.read_stream(b"junk" * 100)[0] == b""
 
 
+def _pieces(stream):
+    return [stream[i : i + 188] for i in range(0, len(stream), 188)]
+
+
+def test_packets_sent_twice_count_once():
+    payload = random.Random(1).randbytes(3 * M.UNIT + 100)
+    packets = _pieces(M.write_stream(payload))
+    for k in (0, 1, 2, 3, 50, len(packets) - 1):
+        back, units, counts = M.read_stream(b"".join(packets[: k + 1] + packets[k:]))
+        assert back == payload and counts["discontinuities"] == counts["broken"] == 0 and not any(u[6] for u in units)
+
+
+def test_a_lost_packet_touches_its_own_unit_only():
+    payload = random.Random(2).randbytes(4 * M.UNIT)
+    packets = _pieces(M.write_stream(payload))
+    starts = [i for i, p in enumerate(packets) if i > 1 and p[1] & 0x40]
+    for lost, unit in ((starts[1] + 5, 1), (starts[2] - 1, 1), (len(packets) - 1, 3), (starts[2], None)):
+        back, units, counts = M.read_stream(b"".join(packets[:lost] + packets[lost + 1 :]))
+        whole = {u[0] // M.STEP: back[u[2] : u[2] + u[3]] for u in units if not u[6]}
+        assert all(data == payload[n * M.UNIT : (n + 1) * M.UNIT] for n, data in whole.items())
+        assert counts["discontinuities"] == (lost != len(packets) - 1) and counts["broken"] == 1
+        assert set(whole) == {0, 1, 2, 3} - ({1, 2} if unit is None else {unit})
+
+
+def test_a_unit_without_a_length_runs_to_the_next():
+    payload = random.Random(3).randbytes(3 * M.UNIT + 9)
+    packets = [bytearray(p) for p in _pieces(M.write_stream(payload))]
+    for p in packets[2:]:
+        if p[1] & 0x40:
+            at = 4 + (1 + p[4] if p[3] & 0x20 else 0)
+            p[at + 4] = p[at + 5] = 0
+    back, units, counts = M.read_stream(b"".join(map(bytes, packets)))
+    assert back == payload and len(units) == 4 and counts["broken"] == 0
+
+
+def test_programs_streams_and_sections_over_packets():
+    one, two = random.Random(4).randbytes(20_000), random.Random(5).randbytes(700)
+    first, second = _pieces(M.write_stream(one))[2:], []
+    for p in _pieces(M.write_stream(two))[2:]:
+        p = bytearray(p)
+        p[1], p[2] = p[1] & 0xE0 | 0x02, 0x22
+        second.append(bytes(p))
+    section = bytes([0, 0xB0, 5 + 4 * 60 + 4, 0, 1, 0xC1, 0, 0]) + b"".join(bytes([0, n, 0xE1, n]) for n in range(1, 61))
+    section += M.section_crc(section).to_bytes(4, "big")
+    tables = [bytes([0x47, 0x40, 0, 0x10, 0]) + section[:183], (bytes([0x47, 0, 0, 0x11]) + section[183:]).ljust(188, b"\xff")]
+    maps = []
+    for n, pids in ((1, [0x100]), (7, [0x222, 0x100])):
+        body = bytes([0xE1, 0, 0xF0, 0]) + b"".join(bytes([6, 0xE0 | pid >> 8, pid & 255, 0xF0, 0]) for pid in pids)
+        maps.append(M._table_packet(0x100 | n, 2, n, body))
+    mixed = tables + maps + [p for pair in zip(first, second) for p in pair] + first[len(second) :] + second[len(first) :]
+    back, units, counts = M.read_stream(b"".join(mixed))
+    assert back == one + two and counts["programs"] == 60 and counts["discontinuities"] == counts["broken"] == 0
+    assert [(u[4], u[5]) for u in units] == [(1, 0x100)] * 2 + [(7, 0x222)]
+
+
 def test_known_checksum():
     assert M.section_crc(b"123456789") == 0x0376E6E7
 
