@@ -1,44 +1,126 @@
 """Benchmark decontamination by one Aho-Corasick automaton over normalised test items.
 
-The patterns are the windows of ``window`` consecutive words of each item (an item of fewer words
-is one window), written with a space around each word. Each normalised document is scanned once;
-every place where a window ends is reported, mapped to word numbers and, through those, to offsets
-in the original text.
-
-Scale. Documents are mapped where they lie, without a shuffle. The automaton is built in each
-worker from a broadcast list of patterns. Its size is bounded by ``BLOCK_CHARS``: benchmarks with
-more pattern text are scanned in several blocks, one automaton after the other.
+A window is ``window`` consecutive words of an item; an item of fewer words is one window. The items
+are stored once, as numbers of words. The automaton's patterns are anchors in them: runs of half a
+window, chosen so close that every window holds a whole one (a short item is an anchor by itself). Each
+normalised document is scanned once, word by word. From an anchor that is met, the match is extended
+word by word to both sides in its item; all windows inside the match are hits. Hits are intervals of
+word numbers and, through those, offsets in the original text.
+
+Scale. Documents are mapped where they lie, without a shuffle. The automaton has about as many nodes
+as the items have words (patterns of whole windows would take ten times as many, of characters
+seventy). It is built in each worker from broadcast arrays of at most BLOCK_WORDS words, some 6 MB of
+items. Larger benchmarks are scanned in several blocks: then the documents are written once with a
+number, and each block gives the hits by number only.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch
-from .words import merged, normalised, original_spans, space_places, word_at, word_count
+from .common import LONG, Scratch, mapped, schema
+from .words import merged, normalised, original_spans, word_count
 
 WINDOW = 10
-BLOCK_CHARS = 4_000_000
+BLOCK_WORDS = 1_000_000  # of items in one automaton, some 100 MB in a worker
 
-_HITS = T.StructType(
-    [
-        T.StructField("n_words", T.LongType()),
-        T.StructField("hits", T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("end", T.LongType())]))),
-        T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
-        T.StructField("items", T.ArrayType(T.LongType())),
-    ]
-)
 
+def _pairs(*names: str) -> T.ArrayType:
+    return T.ArrayType(schema(**{n: LONG for n in names}))
 
-def windows(text: str | None, window: int = WINDOW) -> list[str]:
-    words = normalised(text).split()
-    return [f" {' '.join(words[k : k + window])} " for k in range(max(1, len(words) - window + 1))] if words else []
+
+_HITS = schema(n_words=LONG, hits=_pairs("first", "end"), spans=_pairs("start", "end"), items=T.ArrayType(LONG))
+
+
+def anchors(often: list[int], spread: int) -> list[int]:
+    """Starts such that any ``spread`` starts in a row hold one: the rarest of the next ones, of ties the last.
+
+    ``often`` tells for each possible start how often its run stands in the items, so a phrase that many
+    items share is no anchor while there is a rarer one.
+    """
+    out, at = [], -1
+    while at + spread < len(often):
+        at = min(range(at + spread, at, -1), key=often.__getitem__)
+        out.append(at)
+    return out
+
+
+class Block:
+    """Items as word numbers one after the other, each with its id; what a worker's automaton is built from."""
+
+    def __init__(self, items: Sequence[tuple[int | None, list[str]]], window: int):
+        self.key, self.window, self.numbers, self.length = uuid.uuid4().hex, window, {}, (window + 1) // 2
+        self.ids = [i for i, _ in items]
+        self.starts = np.cumsum([0, *(len(w) for _, w in items)])
+        self.words = np.fromiter((self.numbers.setdefault(w, len(self.numbers)) for _, words in items for w in words), np.int32, int(self.starts[-1]))
+
+    def _often(self) -> list[int]:
+        """How often the run of ``length`` words at each place stands in the items (by a hash)."""
+        n = max(0, len(self.words) - self.length + 1)
+        mixed = np.zeros(n, np.uint64)
+        for i in range(self.length):
+            mixed = (mixed ^ self.words[i : i + n].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            mixed ^= mixed >> np.uint64(29)
+        _, which, counts = np.unique(mixed, return_inverse=True, return_counts=True)
+        return counts[which].tolist()
+
+    def automaton(self):
+        """Anchor -> the places in ``words`` where it stands, with the item of each."""
+        import ahocorasick
+
+        made, places, often = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE), {}, self._often()
+        for item, (a, b) in enumerate(zip(self.starts.tolist(), self.starts[1:].tolist())):
+            own = tuple(self.words[a:b].tolist())
+            if b - a <= self.window:
+                places.setdefault(own, []).append((a, item))
+                continue
+            for at in anchors(often[a : b - self.length + 1], self.window - self.length + 1):
+                places.setdefault(own[at : at + self.length], []).append((a + at, item))
+        for anchor, found in places.items():
+            made.add_word(anchor, (len(anchor), found))
+        if places:
+            made.make_automaton()
+        return made
+
+
+class Matcher:
+    def __init__(self, block: Block):
+        self.block, self.found_in = block, block.automaton()
+        self.words, self.starts = block.words.tolist(), block.starts.tolist()
+
+    def find(self, norm: str) -> tuple[list[tuple[int, int]], set[int | None]]:
+        """Word intervals [first, end) of a normalised text that lie in windows, and the ids of the items."""
+        if not norm or not len(self.found_in):
+            return [], set()
+        number, unknown = self.block.numbers.get, len(self.block.numbers)
+        text = tuple([number(w, unknown) for w in norm.split()])
+        words, starts, window, intervals, items = self.words, self.starts, self.block.window, set(), set()
+        done: dict[tuple[int, int], int] = {}  # (item, place in it less place in the text) -> end of the last match there
+        for last, (length, places) in self.found_in.iter(text):
+            first, end = last - length + 1, last + 1
+            for at, item in places:
+                diagonal = (item, at - first)
+                if done.get(diagonal, -1) >= end:
+                    continue
+                low, high = starts[item], starts[item + 1]
+                a, i = first, at
+                while a > 0 and i > low and text[a - 1] == words[i - 1]:
+                    a, i = a - 1, i - 1
+                b, j = end, at + length
+                while b < len(text) and j < high and text[b] == words[j]:
+                    b, j = b + 1, j + 1
+                done[diagonal] = b
+                if b - a >= min(window, high - low):
+                    intervals.add((a, b))
+                    items.add(self.block.ids[item])
+        return merged(intervals), items
 
 
 def in_order(items: set[int | None]) -> list[int | None]:
@@ -46,110 +128,129 @@ def in_order(items: set[int | None]) -> list[int | None]:
     return sorted(items, key=lambda i: (i is None, i or 0))
 
 
-def pattern_blocks(benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS) -> Iterator[dict[str, list[int | None]]]:
-    """Pattern -> item ids, in blocks of bounded size; items come one by one from the executors."""
-    block, held = {}, 0
+def blocks(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> Iterator[Block]:
+    """The items in blocks of bounded size; they come one by one from the executors. A single longer item is a block."""
+    held, words = [], 0
     for row in benchmark.select("item_id", "text").toLocalIterator():
-        for w in windows(row["text"], window):
-            if w not in block:
-                block[w], held = [], held + len(w)
-            if row["item_id"] not in block[w]:
-                block[w].append(row["item_id"])
-        if held >= block_chars:
-            yield block
-            block, held = {}, 0
-    if block:
-        yield block
+        own = normalised(row["text"]).split()
+        if held and words + len(own) > block_words:
+            yield Block(held, window)
+            held, words = [], 0
+        if own:
+            held.append((row["item_id"], own))
+            words += len(own)
+    if held:
+        yield Block(held, window)
 
 
-_built: dict = {}
+_built: dict[str, Matcher] = {}
 
 
-def automaton(shared):
-    """The worker's automaton for this broadcast; an older one makes way."""
-    if shared.id not in _built:
-        import ahocorasick
-
+def _matcher(shared) -> Matcher:
+    """The worker's automaton of this broadcast block; an older one makes way."""
+    block = shared.value
+    if block.key not in _built:
         _built.clear()
-        made = ahocorasick.Automaton()
-        for pattern, items in shared.items():
-            made.add_word(pattern, (pattern.count(" ") - 1, items))
-        made.make_automaton()
-        _built[shared.id] = made
-    return _built[shared.id]
+        _built[block.key] = Matcher(block)
+    return _built[block.key]
+
+
+def _spans(text: str, hits: list[tuple[int, int]]) -> list[dict[str, int]]:
+    """Code points of the intervals' words in the original text."""
+    ends = iter(original_spans(text, [w for a, b in hits for w in ((a, b - 1) if b - a > 1 else (a,))]))
+    out = []
+    for a, b in hits:
+        start, stop = next(ends)
+        out.append({"start": start, "end": next(ends)[1] if b - a > 1 else stop})
+    return out
+
+
+def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, with_spans: bool = True, column: str = "leak") -> DataFrame:
+    """``docs`` with a struct ``column``: n_words, hits (word intervals), spans (code points), items.
 
+    A null or empty text has no words; texts are read whole; repeated rows are judged alike; an empty
+    benchmark hits nothing; an empty table gives an empty result. Items with a null id hit as others do
+    and stand in ``items`` as one null, the last; repeated items count once. A column of that name in the
+    input is replaced, the others stay.
+    """
+    spark, docs = docs.sparkSession, docs.drop(column)
+    made = blocks(benchmark, window, block_words)
+    first, second = next(made, Block([], window)), next(made, None)
+    if second is None:
+        return _with_leak(docs, spark.sparkContext.broadcast(first), with_spans, column)
+    scratch, number = Scratch(spark), max(docs.columns, key=len) + "_number"  # no column has this name
+    numbered = scratch.keep(docs.withColumn(number, F.monotonically_increasing_id()))  # written, so the numbers stay
+    found = None
+    for block in (first, second, *made):
+        part = scratch.keep(_hits_by_number(numbered.select(F.col(number).alias("number"), "text"), spark.sparkContext.broadcast(block)))
+        found = part if found is None else found.unionAll(part)
+    known = found.groupBy("number").agg(F.flatten(F.collect_list("hits")).alias("hits"), F.flatten(F.collect_list("items")).alias("items"))  # a row a block at most
+    both = known.select(F.col("number").alias(number), F.struct(F.lit(0).cast("long").alias("n_words"), "hits", F.lit(None).cast(_pairs("start", "end")).alias("spans"), "items").alias(column))
+    return _collected(numbered.join(both, number, "left").select(*docs.columns, column), with_spans, column)
+
+
+def _described(text: str | None, norm: str, hits: list[tuple[int, int]], items: set, with_spans: bool) -> dict:
+    return {"n_words": word_count(norm), "hits": [{"first": a, "end": b} for a, b in hits], "spans": _spans(text, hits) if hits and with_spans else [], "items": in_order(items)}
+
+
+def _with_leak(docs: DataFrame, shared, with_spans: bool, column: str) -> DataFrame:
+    out = T.StructType([*docs.schema.fields, T.StructField(column, _HITS)])
+    kind = _arrow(_HITS)
 
-class SharedPatterns:
-    """A broadcast of one block of patterns, with an id by which workers know it."""
+    def work(frames):
+        matcher = _matcher(shared)
+        for frame in frames:
+            rows = []
+            for text in frame.column("text").to_pylist():
+                norm = normalised(text)
+                rows.append(_described(text, norm, *matcher.find(norm), with_spans))
+            yield pa.RecordBatch.from_arrays([*frame.columns, pa.array(rows, kind)], names=out.names)
 
-    def __init__(self, spark, block: dict[str, list[int | None]]):
-        self.id, self.value = uuid.uuid4().hex, spark.sparkContext.broadcast(block)
+    return mapped(docs, work, out)
 
-    def items(self):
-        return self.value.value.items()
 
+def _arrow(kind: T.DataType) -> pa.DataType:
+    from pyspark.sql.pandas.types import to_arrow_type
 
-def find_hits(text: str | None, found_in) -> tuple[int, list[tuple[int, int]], list[int | None]]:
-    """Words of the text, the word intervals [first, end) inside windows, and the items."""
-    norm = normalised(text)
-    if not norm or len(found_in) == 0:
-        return word_count(norm), [], []
-    spaces, intervals, items = None, [], set()
-    for place, (length, owners) in found_in.iter(norm):
-        if spaces is None:
-            spaces = space_places(norm)
-        last = word_at(spaces, place)
-        intervals.append((last - length + 1, last + 1))
-        items.update(owners)
-    return word_count(norm), merged(intervals), in_order(items)
+    return to_arrow_type(kind)
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS, with_spans: bool = True, column: str = "leak") -> DataFrame:
-    """``docs`` with a struct ``column``: n_words, hits (word intervals), spans (code points), items.
+def _hits_by_number(texts: DataFrame, shared) -> DataFrame:
+    """number, hits, items of the texts that have hits."""
+    out = schema(number=LONG, hits=_pairs("first", "end"), items=T.ArrayType(LONG))
+    kinds = [_arrow(f.dataType) for f in out]
+
+    def work(frames):
+        matcher = _matcher(shared)
+        for frame in frames:
+            rows = [(n, [{"first": a, "end": b} for a, b in hits], in_order(items)) for n, text in zip(frame.column("number").to_pylist(), frame.column("text").to_pylist()) for hits, items in [matcher.find(normalised(text))] if hits]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), kind) for c, kind in zip(zip(*rows) if rows else ((), (), ()), kinds)], names=out.names)
+
+    return mapped(texts, work, out)
 
-    A null or empty text has no words; repeated rows are judged alike; an empty benchmark hits
-    nothing; an empty table gives an empty result. Items with a null id hit as others do and stand in
-    ``items`` as one null, the last. A column of that name in the input is replaced.
-    """
-    spark = docs.sparkSession
-    found = docs.drop(column).withColumn(column, F.lit(None).cast(_HITS))
-    blocks = pattern_blocks(benchmark, window, block_chars)
-    found = _scanned(found, SharedPatterns(spark, next(blocks, {})), with_spans, column)
-    scratch = Scratch(spark)
-    for block in blocks:
-        found = _scanned(scratch.keep(found), SharedPatterns(spark, block), with_spans, column)
-    return found
 
+def _collected(docs: DataFrame, with_spans: bool, column: str) -> DataFrame:
+    """The same column from the hits and items of several blocks."""
+    kind, names = _arrow(_HITS), docs.columns
 
-def _scanned(docs: DataFrame, shared: SharedPatterns, with_spans: bool, column: str) -> DataFrame:
     def work(frames):
-        patterns = automaton(shared)
         for frame in frames:
-            texts, known = frame.column("text").to_pylist(), frame.column(column).to_pylist()
-            out = []
-            for text, before in zip(texts, known):
-                n, hits, items = find_hits(text, patterns)
-                if before:
-                    hits = merged(hits + [(h["first"], h["end"]) for h in before["hits"]])
-                    items = in_order({*items, *before["items"]})
-                spans = []
-                if hits and with_spans:
-                    ends = original_spans(text, [w for a, b in hits for w in ((a, b - 1) if b - a > 1 else (a,))])
-                    at = iter(ends)
-                    for a, b in hits:
-                        start, stop = next(at)
-                        spans.append({"start": start, "end": next(at)[1] if b - a > 1 else stop})
-                out.append({"n_words": n, "hits": [{"first": a, "end": b} for a, b in hits], "spans": spans, "items": items})
-            field = frame.schema.field(column)
-            yield frame.set_column(frame.schema.get_field_index(column), field, pa.array(out, field.type))
-
-    return docs.mapInArrow(work, docs.schema)
+            rows = []
+            for text, before in zip(frame.column("text").to_pylist(), frame.column(column).to_pylist()):
+                hits = merged([(h["first"], h["end"]) for h in before["hits"]] if before else [])
+                rows.append(_described(text, normalised(text), hits, {*before["items"]} if before else set(), with_spans))
+            at = frame.schema.get_field_index(column)
+            yield pa.RecordBatch.from_arrays([*frame.columns[:at], pa.array(rows, kind), *frame.columns[at + 1 :]], names=names)
+
+    return mapped(docs, work, docs.schema)
 
 
 def judge(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every row of ``docs``.
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every row of ``docs`` (doc_id, text).
 
-    Items with a null id together count as one in n_items and are left out of items_sha256.
+    A null or empty text has no words and no hits; texts of any length are read whole; repeated rows are
+    judged alike; a null id stays null; an empty table gives an empty result; further columns are
+    ignored. Items with a null id together count as one in n_items and are left out of items_sha256.
     """
     found = scan(docs.select("doc_id", "text"), benchmark, window, with_spans=False)
     hits = F.aggregate("leak.hits", F.lit(0).cast("long"), lambda n, h: n + h["end"] - h["first"])
@@ -165,6 +266,10 @@ def judge(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of ``docs`` in which no window occurs, with their columns."""
+    """The rows of ``docs`` in which no window occurs, with all their columns, whatever their names.
+
+    Rows with a null or empty text stay, repeated rows share their fate, a null id is nothing special,
+    and an empty benchmark or table takes nothing away.
+    """
     free = max(docs.columns, key=len) + "_leak"  # no column has this name
     return scan(docs, benchmark, window, with_spans=False, column=free).where(F.size(F.col(free)["hits"]) == 0).select(*docs.columns)

@@ -1,6 +1,10 @@
 import hashlib
+import random
 import re
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
 from corvane.llm import decontamination as D
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -38,24 +42,57 @@ def test_whole_table(few_docs, spark):
     bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     items = [tuple(r) for r in bench.collect()]
     rows = {r["doc_id"]: tuple(r[1:5]) for r in D.judge(few_docs, bench).collect()}
-    hits = 0
-    for d in few_docs.collect()[:60]:
-        want = brute(d["text"], items)
-        hits += want[1] > 0
-        assert rows[d["doc_id"]] == want
-    assert sum(r[1] > 0 for r in rows.values()) >= hits
+    table = {}
+    for item, t in items:
+        v = words(t)
+        for k in range(max(1, len(v) - 9)) if v else ():
+            table.setdefault(tuple(v[k : k + 10]), set()).add(item)
+    lengths = {len(w) for w in table}
+    for d in few_docs.collect():
+        w, hit, found = words(d["text"]), set(), set()
+        for n in lengths:
+            for i in range(len(w) - n + 1):
+                if owners := table.get(tuple(w[i : i + n])):
+                    hit.update(range(i, i + n))
+                    found |= owners
+        assert rows[d["doc_id"]] == (len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest())
+    assert any(r[1] for r in rows.values())
 
 
 def test_blocks_and_spans(spark):
     docs = spark.createDataFrame([(0, "Zz -- Short, item; then B c d e f g h i j K end"), (1, "nothing")], "doc_id long, text string")
     bench = spark.createDataFrame([(1, "short item"), (2, "b c d e f g h i j k")], "item_id long, text string").coalesce(1)
-    one, many = (D.scan(docs, bench, block_chars=n).orderBy("doc_id").collect() for n in (10**6, 5))
+    one, many = (D.scan(docs, bench, block_words=n).orderBy("doc_id").collect() for n in (10**6, 4))
     assert one == many
     text, leak = one[0]["text"], one[0]["leak"]
     assert [text[s["start"] : s["end"]] for s in leak["spans"]] == ["Short, item", "B c d e f g h i j K"]
     assert [(h["first"], h["end"]) for h in leak["hits"]] == [(1, 3), (4, 14)] and leak["items"] == [1, 2]
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abc"), max_size=25), max_size=6), st.lists(st.sampled_from("abcd"), max_size=60))
+def test_anchors_find_every_window(items, text):
+    """Few different words, so that windows and anchors repeat and overlap."""
+    block = D.Block([(k, w) for k, w in enumerate(items) if w], 10)
+    hits, found = D.Matcher(block).find(f" {' '.join(text)} " if text else "")
+    want = brute(" ".join(text), [(k, " ".join(w)) for k, w in enumerate(items)])
+    assert sum(b - a for a, b in hits) == want[1] and hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest() == want[3]
+
+
+def test_ten_million_pattern_characters_in_one_automaton(spark):
+    """Items of 1.5 million characters, whose windows take ten million; one phrase stands in every item."""
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(6))
+    items = [(k, " ".join(["which of the following is true", *(word() for _ in range(45))])) for k in range(4_200)]
+    assert sum(len(" ".join(words(t)[i : i + 10])) + 2 for _, t in items for i in range(len(words(t)) - 9)) > 10_000_000
+    texts = [" ".join(["which of the following is true"] * 200), "x " + " ".join(words(items[7][1])[20:31]) + " y", " ".join(words(items[9][1])[20:29]), items[4_199][1]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert len(list(D.blocks(bench))) == 1
+    rows = {x["doc_id"]: (x["n_hit"], x["n_items"]) for x in D.judge(docs, bench).collect()}
+    assert rows == {0: (0, 0), 1: (11, 1), 2: (0, 0), 3: (51, 1)}
+
+
 def test_edges(edge_docs, no_docs, spark):
     bench = spark.createDataFrame([(1, "one two")], "item_id long, text string")
     rows = D.judge(edge_docs, bench).collect()
@@ -79,5 +116,5 @@ def test_items_without_an_id_hit_as_in_sql(spark):
     want = con.sql(OP3_SQL)
     assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(want.fetchall())
     assert [r["doc_id"] for r in D.clean(docs, bench).collect()] == [4]
-    one, many = (D.scan(docs, bench, block_chars=n).orderBy("doc_id").collect() for n in (10**6, 5))
+    one, many = (D.scan(docs, bench, block_words=n).orderBy("doc_id").collect() for n in (10**6, 4))
     assert one == many and one[1]["leak"]["items"] == [7, 12, None]
