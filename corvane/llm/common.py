@@ -80,6 +80,13 @@ class Scratch:
         for df in frames:
             self._delete(df._corvane_path)
 
+    def drop_others(self, *kept: DataFrame) -> None:
+        """Deletes all tables of this object but these."""
+        stay = {df._corvane_path for df in kept}
+        for number in range(1, self.count + 1):
+            if f"{self.root}/{number}" not in stay:
+                self._delete(f"{self.root}/{number}")
+
     def clear(self) -> None:
         self._delete(self.root)
 

@@ -11,12 +11,19 @@ registers of similar sets agree with about their Jaccard similarity.
    set sizes are known, gives an estimate of the similarity; pairs less than five standard errors
    below the threshold are verified on their full sets. Links are contracted to components.
 3. That is repeated with random leaders for the buckets that still hold several components.
-4. What is left is compared completely: all members of different components that share a bucket, in
-   blocks of registers, so that no pair is left out and no list of all pairs is made. Large buckets
+4. What is left are members of buckets that still hold several components. An exact prefix filter on
+   rare shingles takes out those that cannot be linked beyond their component: sets of sizes n and m
+   that reach the similarity have o = 0.8 / 1.8 * (n + m) shingles in common, so of both, in one order
+   of all shingles, the first n - o + 1 and m - o + 1 share one. The rarest come first, and before them
+   those that only one component has, which use up places and match nothing. So texts that differ
+   from their family in more than a ninth of their shingles go, however many they are, by a count, a
+   join on shingles and a grouped sum.
+5. Those who stay are compared completely: all members of different components that share a bucket,
+   in blocks of registers, so that no pair is left out and no list of all pairs is made. Large buckets
    are cut into blocks that are dealt over tasks.
 
-So every pair that shares a band of registers is either in one component or compared. A pair at the
-threshold shares no band with a probability of ``(1 - 0.8**5)**36``, less than one in a million.
+So every pair that shares a band of registers is either in one component, ruled out or compared. A pair
+at the threshold shares no band with a probability of ``(1 - 0.8**5)**36``, less than one in a million.
 Nothing per document goes to the driver; every table between the steps lies in the shared folder.
 Counts and leaders of buckets are written before they are joined to the members, so that the planner
 can broadcast few of them and split the members of a hot bucket over tasks.
@@ -38,6 +45,7 @@ BANDS, ROWS = 36, 5
 BASE, RATE, TOP = 1.001, 20.0, 2**16 - 2  # b, a and q of the sketch: two bytes a register
 BLOCK = 512  # classes compared at once
 ERRORS = 5.0  # standard errors below the threshold at which an estimate rules a pair out
+CLASSES = 16  # of set sizes, an octave
 LEADER_ROUNDS = 2  # the first with the member that meets most others as leader, then with random ones
 _MEMORY = 500_000  # word hashes remembered in a worker
 
@@ -284,6 +292,40 @@ def _blocks_compared(members: DataFrame, sketch: DataFrame, sets: DataFrame, per
     return whole.select("group", *first, "shingles").repartition("group").sortWithinPartitions("group").mapInArrow(exact, PAIRS)
 
 
+def _size_class(n: F.Column, up: bool = False) -> F.Column:
+    """Number of the size class: CLASSES an octave."""
+    return F.floor(F.log2(n.cast("double")) * CLASSES + (1e-9 if up else -1e-9)).cast("int")
+
+
+def _can_meet(left: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """rep of the rows of ``left`` (rep, comp) that may be linked to a row of another component: an exact prefix filter.
+
+    Shingles of one component only are no rows of ``met``, so they cost a count; a shingle that very many
+    rows share is counted beforehand, and its rows are joined to one row. A set's shingles come together
+    again, as they lie together in ``sets``. A prefix is as long as the smallest size of the partner's
+    size class allows.
+    """
+    own = scratch.keep(left.join(sets.select(F.col("id").alias("rep"), "shingles"), "rep").where(F.size("shingles") > 0))
+    flat = own.select("rep", "comp", F.explode("shingles").alias("s"))
+    met = scratch.keep(flat.groupBy("s").agg(F.count(F.lit(1)).alias("often"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("s", "often"))
+    ordered = flat.join(met, "s").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("often", "s"))).alias("shared"))  # a set's shingles at most
+    t = percent / 100
+    n, least = F.col("n"), lambda m: F.ceil((n + m) * (t / (1 + t)) - 1e-6)  # noqa: E731  the overlap that sizes n and m need
+    known = own.select("rep", "comp", F.size("shingles").alias("n")).join(ordered, "rep").where(F.size("shared") >= F.ceil(n * t - 1e-6))
+    classes = F.sequence(_size_class(n * t), _size_class(n / t, up=True))
+    other = F.col("other")
+    smallest = F.greatest(F.ceil(F.pow(F.lit(2.0), other / CLASSES) - 1e-6), F.ceil(n * t - 1e-6))
+    places = n - least(smallest) + 1 - (n - F.size("shared"))  # in the prefix, after the shingles that match nothing
+    prefixes = known.select("rep", "comp", "n", "shared", F.explode(classes).alias("other")).withColumn("places", places.cast("int")).where("places > 0")
+    mine = _size_class(n)
+    key = F.xxhash64(F.least(mine, other), F.greatest(mine, other), "s")
+    rows = scratch.keep(prefixes.select("rep", "comp", "n", "other", F.explode(F.transform(F.slice("shared", F.lit(1), F.col("places")), lambda x: x["s"])).alias("s")).select("rep", "comp", key.alias("key")))
+    shared = scratch.keep(rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key"))
+    found = scratch.keep(rows.join(shared, "key", "left_semi").select("rep").distinct())
+    scratch.drop(own, met, rows, shared)
+    return found
+
+
 def _most_crowded(members: DataFrame) -> DataFrame:
     """key, lead: of each bucket the member that meets most others in all of its buckets.
 
@@ -311,21 +353,25 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     banded = classes.select("rep", F.posexplode(_band_keys()).alias("band", "key"))
     shared = scratch.keep(banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
     crowded = scratch.keep(banded.join(shared, "key"))
-    members = scratch.keep(crowded.select("key", "band", "rep").join(scratch.keep(_most_crowded(crowded)), "key"))
+    leaders = scratch.keep(_most_crowded(crowded))
+    members = scratch.keep(crowded.join(leaders, "key"))
+    scratch.drop(shared, crowded, leaders)
     sets = scratch.keep(_full_sets(docs, members.select(F.col("rep").alias("id")).distinct(), words))
 
     labels = None  # rep, comp of the classes that are not their component's least
     tried = None
-    current = members.withColumn("comp", F.col("rep"))
     for number in range(LEADER_ROUNDS + 1):
-        if number:
-            labelled = members.select("key", "band", "rep").join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+        if not number:
+            with_leader = members.where("rep <> lead")
+        else:  # in a bucket of two the first round has compared all
+            labelled = members.where("size > 2").select("key", "band", "rep").join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
             mixed = scratch.keep(labelled.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min_by("rep", F.xxhash64("rep", "key", F.lit(number))).alias("lead"), F.min_by("comp", F.xxhash64("rep", "key", F.lit(number))).alias("lead_comp")).where("low < high"))
             current = scratch.keep(labelled.join(mixed.select("key", "lead", "lead_comp"), "key"))
+            scratch.drop(mixed)
             if current.isEmpty():  # no bucket holds two components
                 break
+            with_leader = current.where("comp <> lead_comp")
         if number < LEADER_ROUNDS:
-            with_leader = current.where("rep <> lead") if not number else current.where("comp <> lead_comp")
             pairs = with_leader.select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b")).distinct()
             if tried is not None:
                 pairs = pairs.join(tried, ["a", "b"], "left_anti")
@@ -333,7 +379,11 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
             tried = likely if tried is None else tried.unionByName(likely)
             links = _verified(likely, sets, percent)
         else:
-            links = _blocks_compared(current.select("key", "band", "rep", "comp"), sketch, sets, percent, scratch)
+            staying = _can_meet(current.select("rep", "comp").distinct(), sets, percent, scratch)
+            left = scratch.keep(current.select("key", "band", "rep", "comp").join(staying, "rep", "left_semi"))
+            if left.isEmpty():
+                break
+            links = _blocks_compared(left, sketch, sets, percent, scratch)
         if labels is not None:
             of = labels.select(F.col("rep").alias("x"), F.col("comp").alias("y"))
             links = links.join(of, F.col("a") == F.col("x"), "left").select(F.coalesce("y", "a").alias("a"), "b")
@@ -344,11 +394,11 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         else:
             moved = labels.join(joined, F.col("comp") == F.col("x"), "left").select("rep", F.coalesce("y", "comp").alias("comp"))
             labels = scratch.keep(moved.unionByName(joined.select(F.col("x").alias("rep"), F.col("y").alias("comp"))))
-    scratch.drop(sets)
-    scratch.drop(members)
-    of_class = classes.select("digest", "rep").join(labels, "rep", "left").select("digest", F.coalesce("comp", "rep").alias("component"))
+    of_class = scratch.keep(classes.select("digest", "rep").join(labels, "rep", "left").select("digest", F.coalesce("comp", "rep").alias("component")))
+    rows = scratch.keep(own.select("doc_id", "n", "digest"))
+    scratch.drop_others(of_class, rows)
     component = F.coalesce("component", "doc_id")
-    return own.select("doc_id", "n", "digest").join(of_class, "digest", "left").select(
+    return rows.join(of_class, "digest", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), component).alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept")
     )
 

@@ -1,7 +1,9 @@
 import random
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corvane.llm import neardup as N
 from corvane.llm.common import Scratch
@@ -74,6 +76,65 @@ def test_whole_table(spark, few_docs):
     assert got == brute(rows, 4)
 
 
+def exact_join(docs, k, percent=80):
+    """Component of each document by an exact prefix-filter join of all distinct sets, without sketches."""
+    sets, parent = {d: shingles(t, k) for d, t in docs}, {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    often = Counter(g for s in set(sets.values()) for g in s)
+    first, index = {}, defaultdict(list)
+    for d in sorted(sets, key=lambda d: (len(sets[d]), d)):
+        if not sets[d]:
+            continue
+        if sets[d] in first:
+            parent[max(root(d), root(first[sets[d]]))] = min(root(d), root(first[sets[d]]))
+            continue
+        first[sets[d]], n = d, len(sets[d])
+        order = sorted(sets[d], key=lambda g: (often[g], g))
+        met = {e for g in order[: n - -(-n * percent // 100) + 1] for e in index[g]}
+        for e in met:
+            if len(sets[e]) * 100 >= n * percent:
+                both = len(sets[d] & sets[e])
+                if 100 * both >= percent * (n + len(sets[e]) - both):
+                    x, y = sorted((root(d), root(e)))
+                    parent[y] = x
+        for g in order[: n - -(-n * percent // 100) + 1]:
+            index[g].append(d)
+    return {d: root(d) for d in sets}
+
+
+def test_equals_an_exact_prefix_join(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    want = exact_join([(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()], 5)
+    got = {r["doc_id"]: r["component_id"] for r in N.near_duplicates(docs).select("doc_id", "component_id").collect()}
+    assert got == want and len(set(want.values())) < len(want)
+
+
+def test_prefix_filter_loses_no_link(spark):
+    """Every class of its own component: whoever has a link stays; most of a family far apart go."""
+    r, w = random.Random(6), 5
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    docs = []
+    for changed in (0.02, 0.04, 0.08):
+        base = [word() for _ in range(200)]
+        docs += [" ".join(word() if r.random() < changed else x for x in base) for _ in range(40)]
+    docs += [" ".join(word() for _ in range(r.randint(3, 300))) for _ in range(40)]
+    docs += [" ".join(d.split()[: len(d.split()) * r.randint(75, 99) // 100]) for d in docs[:60]]
+    rows = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    sets = N._full_sets(rows, rows.select(F.col("doc_id").alias("id")), w)
+    left = rows.select(F.col("doc_id").alias("rep"), F.col("doc_id").alias("comp"))
+    stay = {x["rep"] for x in N._can_meet(left, sets, 80, Scratch(spark)).collect()}
+    own = [shingles(d, w) for d in docs]
+    linked = {i for i in range(len(own)) for j in range(len(own)) if i != j and 100 * len(own[i] & own[j]) >= 80 * len(own[i] | own[j])}
+    assert linked and linked <= stay and len(stay) < 0.75 * len(docs)
+    one = left.withColumn("comp", F.lit(1).cast("long"))
+    assert N._can_meet(one, sets, 80, Scratch(spark)).isEmpty()
+
+
 def test_sketches_merge_and_estimate():
     r = np.random.default_rng(1)
     pool = r.integers(0, 2**63, 4000, dtype=np.uint64)
@@ -93,6 +154,13 @@ def test_long_chains_are_one_component(spark):
     assert got == {i: 0 for i in range(1, 301)} | {2000: 1999}
 
 
+def test_only_what_the_result_reads_stays(spark, few_docs):
+    out = N.near_duplicates(few_docs)
+    path = out.inputFiles()[0].rsplit("/", 2)[0]
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path)
+    assert len(fs.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(fs)) == 2 and out.count() == few_docs.count()
+
+
 def test_edges(edge_docs, no_docs):
     rows = N.near_duplicates(edge_docs).collect()
     assert len(rows) == 9 and all(r["component_id"] == r["doc_id"] for r in rows) and all(r["kept"] for r in rows)
