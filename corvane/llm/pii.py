@@ -98,7 +98,7 @@ _GENERATORS = {
     "iban": (re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![A-Za-z0-9])"), "digit"),
     "secret": (re.compile(r"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{16,}+|(?<=[=:])[ \t]?[\"']?[^\s\"',;]{8,}+"), "any"),
     "ipv6": (re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])"), "colon"),
-    "spelled_email": (re.compile(r"(?<![A-Za-z0-9])[A-Za-z0-9._]{2,40} ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]{2,40}(?: ?[\[(](?:dot|DOT)[\])] ?[A-Za-z0-9-]{2,20}|\.[A-Za-z0-9-]{2,20}){1,3}"), "bracket"),
+    "spelled_email": (re.compile(r"(?<![A-Za-z0-9._])[A-Za-z0-9._]{2,}+ ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]{2,}+(?: ?[\[(](?:dot|DOT)[\])] ?[A-Za-z0-9-]{2,}+|\.[A-Za-z0-9-]{2,}+)++"), "bracket"),
 }
 _INNER = re.compile(r"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{16,}+|(?<=[=:])[^=:&]{8,}+")  # tokens and values inside a longer value
 _LONG_VALUE = 128  # characters; a longer value (a URL, packed code) is proposed whole and by what it holds
@@ -308,7 +308,11 @@ def redact_text(text: str, spans: list[tuple]) -> str:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """``docs`` with its columns, the chosen spans of ``text`` replaced and ``n_chars`` counted anew."""
+    """``docs`` with its columns, the chosen spans of ``text`` replaced and ``n_chars`` counted anew, where it is there.
+
+    A null text stays null, an empty one empty; texts and spans of any length are replaced whole; repeated
+    rows are treated alike; other columns stay, whatever their names; an empty table gives an empty result.
+    """
 
     def build(frame, texts, chosen):
         raw = frame.column("text").to_pylist()
@@ -321,7 +325,12 @@ def redact(docs: DataFrame) -> DataFrame:
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """doc_id, counts of the base kinds, base_sha256, spans as text, and the number of added spans."""
+    """doc_id, counts of the base kinds, base_sha256, spans as text, and the number of added spans.
+
+    One row a row of ``docs`` (doc_id, text). A null text counts as an empty one, which has no spans; texts
+    are read whole; repeated rows are judged alike; a null id stays null; an empty table gives an empty
+    result; further columns are ignored.
+    """
     out = schema(doc_id=LONG, n_email=LONG, n_ip=LONG, n_card=LONG, n_phone=LONG, base_sha256=STRING, spans=STRING, n_added=LONG)
 
     def joined(spans):
