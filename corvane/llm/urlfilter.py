@@ -26,7 +26,7 @@ KEEP_EVERY = 5  # rounds between written states
 HUB_EDGES = 100_000  # edges of one node that one task may meet
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-_LINK = r"(?i)href\s*=\s*[\"']?\s*([a-z][a-z0-9+.-]*://[^\s\"'<>]+)"
+_LINK = r"(?i)href\s*=\s*[\"']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^\s\"'<>]+)"  # with a scheme, or with the page's own
 
 
 def host_of(url: Column) -> Column:
@@ -43,7 +43,7 @@ _SUFFIXES = "transform(sequence(1, size(split(host, '[.]'))), i -> array_join(sl
 
 def read_pages(pages: DataFrame) -> DataFrame:
     """page_id, host, path, targets: the distinct other hosts that the page links to."""
-    links = F.transform(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(_LINK), F.lit(1)), host_of)
+    links = F.transform(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(_LINK), F.lit(1)), lambda u: host_of(F.when(u.startswith("//"), F.concat(F.lit(":"), u)).otherwise(u)))
     return pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), F.array_distinct(links).alias("targets")).withColumn("targets", F.expr("filter(targets, t -> t <> '' and t <> host)"))
 
 
@@ -104,6 +104,7 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
     seeds = ruled.where("rule is not null").groupBy(F.when(F.col("says") == "allow", "trust").otherwise("distrust").alias("graph"), F.col("host").alias("node")).agg(F.count(F.lit(1)).cast("double").alias("weight"))
     rank = propagate(both, seeds, scratch, damping, rounds)
     score = scratch.keep(rank.groupBy(F.col("node").alias("host")).agg(F.sum(F.when(F.col("graph") == "trust", F.col("rank")).otherwise(0.0)).alias("trust"), F.sum(F.when(F.col("graph") == "distrust", F.col("rank")).otherwise(0.0)).alias("distrust")))
+    scratch.drop_others(ruled, score)
     judged = ruled.join(score, "host", "left").na.fill(0.0, ["trust", "distrust"])
     method = F.when(F.col("distrust") > F.col("trust") * ratio + 1e-12, "block").otherwise("allow")
     return judged.select("page_id", "host", "path", "rule", F.coalesce("says", method).alias("verdict"), F.round("trust", 9).alias("trust"), F.round("distrust", 9).alias("distrust"))

@@ -1,3 +1,7 @@
+import random
+import re
+from collections import Counter
+
 import numpy as np
 
 from corvane.llm import urlfilter as U
@@ -36,14 +40,73 @@ def test_hosts_paths_and_rules(spark):
         assert r["verdict"] == says if says else r["verdict"] in ("allow", "block")
 
 
-def test_whole_table(spark):
-    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+def ranks(pages):
+    """Trust and distrust of each host of (url, html) rows, by matrices."""
+    edges, hosts, seeds = Counter(), set(), {"allow": Counter(), "block": Counter()}
+    for url, html in pages:
+        host, path = split(url)
+        if not host:
+            continue
+        hosts.add(host)
+        says = rule(host, path)[1]
+        if says:
+            seeds[says][host] += 1
+        links = {split(":" + u if u.startswith("//") else u)[0] for u in re.findall(r"(?i)href\s*=\s*[\"']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^\s\"'<>]+)", html or "")}
+        for to in links - {host, ""}:
+            edges[host, to] += 1
+            hosts.add(to)
+    chain = {".".join(h.split(".")[k:]) for h in hosts for k in range(h.count("."))}
+    for h in chain:
+        parent = h.split(".", 1)[1]
+        if "." in parent:
+            edges[h, parent] += 1
+            edges[parent, h] += 1
+    names = sorted(hosts | chain)
+    at = {h: i for i, h in enumerate(names)}
+    out = {}
+    for kind in ("allow", "block"):
+        m, start = np.zeros((len(names), len(names))), np.zeros(len(names))
+        for (a, b), w in edges.items():
+            m[(at[b], at[a]) if kind == "allow" else (at[a], at[b])] += w
+        m = np.divide(m, m.sum(0), out=np.zeros_like(m), where=m.sum(0) > 0)
+        for h, n in seeds[kind].items():
+            start[at[h]] = n / sum(seeds[kind].values())
+        x = start
+        for _ in range(U.ROUNDS):
+            x = U.DAMPING * m @ x + (1 - U.DAMPING) * start
+        out[kind] = dict(zip(names, x))
+    return out["allow"], out["block"]
+
+
+def held_against_matrices(pages):
     rows = {r["page_id"]: r for r in U.filter_urls(pages).collect()}
+    trust, distrust = ranks([(p["url"], p["html"]) for p in pages.collect()])
     for p in pages.collect():
         host, path = split(p["url"])
         want, says = rule(host, path)
         r = rows[p["page_id"]]
-        assert (r["host"], r["path"], r["rule"]) == (host, path, want) and (says is None or r["verdict"] == says)
+        assert (r["host"], r["path"], r["rule"]) == (host, path, want)
+        assert abs(r["trust"] - trust.get(host, 0)) < 2e-9 and abs(r["distrust"] - distrust.get(host, 0)) < 2e-9
+        assert r["verdict"] == (says or ("block" if distrust.get(host, 0) > trust.get(host, 0) * U.RATIO + 1e-12 else "allow"))
+    return rows
+
+
+def test_whole_table(spark):
+    held_against_matrices(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
+
+
+def test_method_verdicts_over_links_of_all_kinds(spark):
+    r, link = random.Random(9), lambda u: f"<a href='{u}'>x</a>"
+    hosts = [f"{a}.{b}" for a in ("www.example", "a.example", "b", "c.d", "e") for b in ("com", "org", "net", "info")]
+    pages = [(k, f"http://{r.choice(hosts)}/{r.choice(('en', 'es', 'fr', 'de'))}/{k}", "".join(link(f"{r.choice(('http://', 'https://', '//'))}{r.choice(hosts).upper()}/x") for _ in range(r.randint(0, 3)))) for k in range(150)]
+    rows = held_against_matrices(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    assert {r["verdict"] for r in rows.values() if r["rule"] is None} == {"allow", "block"}
+
+
+def test_links_without_a_scheme(spark):
+    pages = [(1, "http://bad.net/es/", ""), (2, "https://fan.org/", "<a href='//bad.net/x'> <a href=//  > <a href='/local//x'>")]
+    rows = U.filter_urls(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["verdict"] for r in rows} == {1: "block", 2: "block"}
 
 
 def test_propagation_against_matrix(spark):
