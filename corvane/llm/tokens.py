@@ -21,10 +21,14 @@ CHUNK = re.compile(rf"[{_LETTERS}]++(?=[.,]*+(?:[ \t\n\r]|\Z))|[.,]++(?=[ \t\n\r
 PLAIN = re.compile(rf"[{_LETTERS}]{{1,64}}+")
 #: Beyond Latin letters, lower-casing and composing of characters may not commute; < opens a special token.
 KEEP_CASE = re.compile(r"[̀-\U0010ffff]|<\|")
-MEMORY_CHUNKS = 700_000  # chunks remembered at once in a worker, then the memory is emptied
+MEMORY_CHUNKS = 500_000  # chunks remembered in a worker, some 100 MB; beyond, only those of the batch at hand stay
 MEMORY_CHARS = 64  # longer chunks are not remembered
 
 
+def _keeps_case(text: str) -> bool:
+    return "<|" in text if text.isascii() else KEEP_CASE.search(text) is not None
+
+
 class ChunkTokenizer:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -46,18 +50,18 @@ class ChunkTokenizer:
     def ids(self, texts: Sequence[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         if not self.by_chunk:
-            return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(list(texts), add_special_tokens=False)]
-        known = self.known
-        split = [CHUNK.findall(t if KEEP_CASE.search(t) else t.encode().lower().decode()) for t in texts]
-        if len(known) > MEMORY_CHUNKS:
-            known.clear()
-        new = set().union(*split).difference(known)
+            return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)]
+        split = [CHUNK.findall(t if _keeps_case(t) else t.encode().lower().decode()) for t in texts]
+        here = set().union(*split)
+        if len(self.known) > MEMORY_CHUNKS:
+            self.known = {c: self.known[c] for c in here.intersection(self.known)}
+        known, new = self.known, here.difference(self.known)
         self._learn_words([c for c in new if PLAIN.fullmatch(c)])
         large: dict[str, bytes] = {}
         rest = [c for c in new if c not in known]
         for at in range(0, len(rest), 4096):
             some = rest[at : at + 4096]
-            for chunk, found in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
+            for chunk, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
                 (known if len(chunk) <= MEMORY_CHARS else large)[chunk] = np.array(found.ids, "<u4").tobytes()
         if large:
             return [b"".join([known[c] if c in known else large[c] for c in chunks]) for chunks in split]
@@ -67,7 +71,7 @@ class ChunkTokenizer:
         """Ids of many words in one call, told apart by the tokens that end a word."""
         for at in range(0, len(words), 4096):
             some = words[at : at + 4096]
-            ids = np.array(self.words.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.words.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) == len(some):
                 raw, start = ids.tobytes(), 0

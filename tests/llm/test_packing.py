@@ -90,11 +90,21 @@ def test_edges(edge_docs, no_docs):
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_chunks_give_the_tokenizer_s_ids(name):
     own = ChunkTokenizer(tokenizer_path(name))
-    texts = ["It's Α ΑΣ. Σ.x WORLD, I'M <|endoftext|> <|EndOfText|> W̊ foo-bar., İ ÷ a÷b œuf 12ab,, .", "", " \n", "x" * 5000, "É́,a", "straße,. ÿþ Ð", "a\u0085b c\x1cd a b", "ﬁ ﬀx ½ ²", "The end. The END, the"]
+    texts = ["It's Α ΑΣ. Σ.x WORLD, I'M <|endoftext|> <|EndOfText|> W̊ foo-bar., İ ÷ a÷b œuf 12ab,, .", "", " \n", "x" * 5000, "É́,a", "straße,. ÿþ Ð", "a\u0085b c\x1cd a b", "ﬁ ﬀx ½ ²", "The end. The END, the", "," * 300 + " x" + "." * 300, "y" * 63 + ". " + "y" * 64 + ", " + "y" * 65 + ".", "é" * 60 + ",", "A <|EndOfText|> B."]
     for text, ids in zip(texts, own.ids(texts)):
         assert np.frombuffer(ids, "<u4").tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_a_small_memory_gives_the_same_ids(few_docs, monkeypatch):
+    from corvane.llm import tokens
+
+    texts = [r["text"] for r in few_docs.orderBy("doc_id").collect()]
+    own = ChunkTokenizer(tokenizer_path())
+    want = own.ids(texts)
+    monkeypatch.setattr(tokens, "MEMORY_CHUNKS", 50)
+    assert [ids for k in range(0, len(texts), 7) for ids in own.ids(texts[k : k + 7])] == want
+
+
 def test_hot_length_is_dealt(spark):
     pieces = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit(0).cast("long").alias("piece"), F.lit(100).cast("long").alias("length"))
     rows = P.place(Scratch(spark).keep(pieces)).collect()
