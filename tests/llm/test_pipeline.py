@@ -100,3 +100,26 @@ def test_packing_takes_every_document(stages):
 def test_run_gives_the_last_stage_s_rows(stages, spark):
     rows = pipeline.run(spark, SF).collect()
     assert {tuple(r)[:5] for r in rows} == {tuple(r)[:5] for r in stages["best-fit packing"][1]}
+
+
+def test_stages_on_odd_rows(spark, edge_docs, no_docs, tmp_path):
+    """Nulls, empty and long texts, repeated rows, rows without an id, and columns with names used inside."""
+    for name, given, left in (("odd", edge_docs, {"quality classifier": 9, "near duplicates": 8, "benchmark decontamination": 8, "personal data": 8}), ("none", no_docs, {})):
+        docs = given
+        for number, (stage, function) in enumerate(pipeline.STAGES):
+            path = f"{tmp_path}/{name}{number}"
+            labels = SF if name == "none" else f"{tmp_path}/sf"
+            if name == "odd" and not number:
+                spark.read.parquet(f"{SF}/labels.parquet").limit(0).write.parquet(f"{labels}/labels.parquet")
+                spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{labels}/benchmark.parquet")
+            function(spark, docs, labels).write.parquet(path)
+            docs = spark.read.parquet(path)
+            if number < 4:
+                assert docs.columns == DOCUMENT_COLUMNS and docs.count() == left.get(stage, 0)
+        rows = docs.collect()
+        assert len({(r["sequence_id"], r["offset"]) for r in rows}) == len(rows) and (len(rows) >= 8) == (name == "odd")
+
+
+def test_runs_side_by_side_leave_each_other_s_tables(spark):
+    first, second = pipeline.run(spark, SF), pipeline.run(spark, SF)
+    assert first.count() == second.count() > 0
