@@ -11,13 +11,13 @@ registers of similar sets agree with about their Jaccard similarity.
    set sizes are known, gives an estimate of the similarity; pairs less than five standard errors
    below the threshold are verified on their full sets. Links are contracted to components.
 3. That is repeated with random leaders for the buckets that still hold several components.
-4. What is left are members of buckets that still hold several components. An exact prefix filter on
-   rare shingles takes out those that cannot be linked beyond their component: sets of sizes n and m
-   that reach the similarity have o = 0.8 / 1.8 * (n + m) shingles in common, so of both, in one order
-   of all shingles, the first n - o + 1 and m - o + 1 share one. The rarest come first, and before them
-   those that only one component has, which use up places and match nothing. So texts that differ
-   from their family in more than a ninth of their shingles go, however many they are, by a count, a
-   join on shingles and a grouped sum.
+4. What is left are members of buckets that still hold several components. From large buckets an exact
+   prefix filter on rare shingles takes out those that cannot be linked beyond their component: sets of
+   sizes n and m that reach the similarity have o = 0.8 / 1.8 * (n + m) shingles in common, so of both,
+   in one order of all shingles, the first n - o + 1 and m - o + 1 share one. The rarest come first, and
+   before them those that only one component has, which use up places and match nothing. So texts that
+   differ from their family in more than a ninth of their shingles go, however many they are, by a
+   count, a join on shingles and a grouped sum.
 5. Those who stay are compared completely: all members of different components that share a bucket,
    in blocks of registers, so that no pair is left out and no list of all pairs is made. Large buckets
    are cut into blocks that are dealt over tasks.
@@ -43,11 +43,11 @@ from .components import components
 WORDS, PERCENT = 5, 80
 BANDS, ROWS = 36, 5
 BASE, RATE, TOP = 1.001, 20.0, 2**16 - 2  # b, a and q of the sketch: two bytes a register
-BLOCK = 512  # classes compared at once
+BLOCK = 256  # classes of a block; a group of rows holds two
 ERRORS = 5.0  # standard errors below the threshold at which an estimate rules a pair out
 CLASSES = 16  # of set sizes, an octave
 LEADER_ROUNDS = 2  # the first with the member that meets most others as leader, then with random ones
-_MEMORY = 500_000  # word hashes remembered in a worker
+_MEMORY = 200_000  # word hashes remembered in a worker
 
 _MIX = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.random.Generator(np.random.PCG64(11)).integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -253,7 +253,7 @@ def _blocks_compared(members: DataFrame, sketch: DataFrame, sets: DataFrame, per
 
     Members of a bucket's largest component need not be compared with each other. The others are cut
     into blocks of about BLOCK, and so is that component; each block of the others meets each block in
-    one group of rows, which holds at most some 2 * BLOCK rows however large the bucket is. A first pass
+    one group of rows, which holds some 2 * BLOCK rows at most, however large the bucket is. A first pass
     over the sketches tells which members have a pair to verify; a second one gets only their full sets,
     and verifies where the group lies, so pairs that are no links never leave it.
     """
@@ -326,6 +326,19 @@ def _can_meet(left: DataFrame, sets: DataFrame, percent: int, scratch: Scratch)
     return found
 
 
+def _without_those_far_from_all(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """``members`` (key, band, rep, comp), in buckets of more than a block only those that ``_can_meet``.
+
+    Smaller buckets are one group of rows as they are.
+    """
+    hot = scratch.keep(members.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > BLOCK).select("key"))
+    if hot.isEmpty():
+        return members
+    inside = scratch.keep(members.join(hot, "key", "left_semi"))
+    staying = _can_meet(inside.select("rep", "comp").distinct(), sets, percent, scratch)
+    return scratch.keep(members.join(hot, "key", "left_anti").unionByName(inside.join(staying, "rep", "left_semi").select(*members.columns)))
+
+
 def _most_crowded(members: DataFrame) -> DataFrame:
     """key, lead: of each bucket the member that meets most others in all of its buckets.
 
@@ -379,10 +392,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
             tried = likely if tried is None else tried.unionByName(likely)
             links = _verified(likely, sets, percent)
         else:
-            staying = _can_meet(current.select("rep", "comp").distinct(), sets, percent, scratch)
-            left = scratch.keep(current.select("key", "band", "rep", "comp").join(staying, "rep", "left_semi"))
-            if left.isEmpty():
-                break
+            left = _without_those_far_from_all(current.select("key", "band", "rep", "comp"), sets, percent, scratch)
             links = _blocks_compared(left, sketch, sets, percent, scratch)
         if labels is not None:
             of = labels.select(F.col("rep").alias("x"), F.col("comp").alias("y"))

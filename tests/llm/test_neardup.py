@@ -55,7 +55,7 @@ def family():
     return list(enumerate(docs))
 
 
-@pytest.mark.parametrize("block", [16, 512])
+@pytest.mark.parametrize("block", [16, 256])
 def test_components_equal_brute_force(spark, family, block, monkeypatch):
     monkeypatch.setattr(N, "BLOCK", block)
     docs = spark.createDataFrame(family, "doc_id long, text string")
