@@ -7,8 +7,9 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions import vector as V
 from .functions.text import PROMPTS, SEARCH_PROMPTS, word_count
-from .operators import collection, embed, merge, profile, quality, reconcile, sampling, search
+from .operators import collection, compare, embed, merge, profile, quality, reconcile, sampling, search
 from .session import session
 from .sources import papers as papers_source
 from .sources import pubmed, sinks, stores
@@ -33,6 +34,7 @@ def do_profile(spark: SparkSession, a) -> None:
     if a.sample:
         lines = profile.sample_lines(lines, a.sample)
     _show(profile.completeness(lines, a.required.split(",")), a.out)
+    _show(profile.valid_rate(lines, a.required.split(",")), None)
     if a.filtered:
         sinks.write_lines(profile.complete_lines(lines, a.required.split(",")), a.filtered, "value")
 
@@ -41,6 +43,8 @@ def do_lengths(spark: SparkSession, a) -> None:
     rows = papers_source.read_papers(spark, a.input).select("id", "row_index", "title", "abstract", word_count(F.col("abstract")).alias("n"))
     for df in (profile.length_stats(rows, "n"), profile.length_percentiles(rows, "n"), profile.length_histogram(rows, "n"), profile.longest(rows, "n", "row_index", "id", "title"), profile.processable(rows, "n", a.model_max)):
         _show(df, None)
+    if a.summary:
+        sinks.write_lines(profile.summary_text(rows, "n", "row_index", "abstract", a.model_max).orderBy("line").coalesce(1), a.summary, "value")
 
 
 def do_embed(spark: SparkSession, a) -> None:
@@ -49,37 +53,52 @@ def do_embed(spark: SparkSession, a) -> None:
         return
     rows = papers_source.read_papers(spark, a.input, a.start, a.limit)
     results = embed.embed_papers(rows, _embedder(a), a.concurrency).persist()
-    sinks.append_vectors(embed.succeeded(results), a.out)
+    sinks.append_vectors(stores.with_positions(embed.succeeded(results), "row_index", start=stores.next_position(spark, a.out)), a.out)
     embed.failures(results).write.mode("append").json(f"{a.out}.failed")
     sinks.write_json(sinks.run_info(results, a.model or a.api, a.dim, a.prompt), f"{a.out}.info")
 
 
-def _vectors(spark: SparkSession, path: str) -> DataFrame:
-    v = spark.read.parquet(path)
-    return v if "row_index" in v.columns else v.withColumn("row_index", F.monotonically_increasing_id())
+def _hits(corpus: DataFrame, a, text: str) -> DataFrame:
+    if a.paper_id:
+        return search.similar_to(corpus, a.paper_id, a.top_k, "title" if a.side == "title" else "abstract")
+    q = _embedder(a)()(PROMPTS[a.prompt or SEARCH_PROMPTS[a.side if a.side in SEARCH_PROMPTS else "combined"]] + text)
+    if a.side == "combined":
+        return (search.search_candidates if a.candidates else search.search_combined)(corpus, q, a.top_k)
+    if a.side == "mean":
+        return search.search_mean(corpus, q, a.top_k)
+    return search.search(corpus, q, a.top_k, a.side, a.metric, a.threshold)
 
 
 def do_search(spark: SparkSession, a) -> None:
-    corpus = _vectors(spark, a.vectors)
-    if a.paper_id:
-        hits = search.similar_to(corpus, a.paper_id, a.top_k, "title" if a.side == "title" else "abstract")
+    if a.parts:  # numbered NPZ parts of both sides
+        corpus = stores.zip_parts(stores.read_npz(spark, *a.parts[0].split(",")), stores.read_npz(spark, *a.parts[1].split(",")))
     else:
-        q = _embedder(a)()(PROMPTS[a.prompt or SEARCH_PROMPTS[a.side if a.side in SEARCH_PROMPTS else "combined"]] + a.query)
-        if a.side == "combined":
-            hits = (search.search_candidates if a.candidates else search.search_combined)(corpus, q, a.top_k)
-        elif a.side == "mean":
-            hits = search.search_mean(corpus, q, a.top_k)
-        else:
-            hits = search.search(corpus, q, a.top_k, a.side, a.metric, a.threshold)
-    _show((search.with_metadata(hits, papers_source.load_metadata(spark, a.metadata)) if a.metadata else hits).orderBy("rank"), a.out)
+        corpus = stores.read_store(spark, a.vectors)
+    metadata = papers_source.load_metadata(spark, a.metadata) if a.metadata else None
+
+    def answer(text: str, out: str | None) -> None:
+        hits = _hits(corpus, a, text)
+        _show((search.with_metadata(hits, metadata) if a.metadata else hits).orderBy("rank"), out)
+
+    if not a.interactive:
+        return answer(a.query, a.out)
+    corpus = search.prepare(corpus).persist()  # held, with norms, for all questions
+    metadata = metadata.persist() if a.metadata else None
+    print("A question a line; an empty line ends.")
+    for line in iter(lambda: input("> ").strip(), ""):
+        answer(line, None)
+    corpus.unpersist()
 
 
 def do_merge(spark: SparkSession, a) -> None:
-    shards = [_vectors(spark, p) for p in a.inputs]
+    shards = [stores.read_store(spark, p) for p in a.inputs]
     if faults := merge.incompatibilities(shards):
         raise SystemExit("\n".join(faults))
-    merge.merge(shards, remove_duplicates=not a.keep_duplicates).drop("shard").write.mode("errorifexists").parquet(a.out)
-    sinks.write_json(merge.manifest(shards, a.inputs, spark.read.parquet(a.out).count()), f"{a.out}.manifest")
+    merged = merge.merge(shards, remove_duplicates=not a.keep_duplicates).persist()
+    order = F.col("shard") * (1 << 40) + F.col("row_index")
+    stores.with_positions(merged, order).drop("shard").write.mode("errorifexists").parquet(a.out)
+    merged.unpersist()
+    sinks.write_json(merge.manifest(shards, a.inputs, merge.assert_equal_lengths(spark.read.parquet(a.out))), f"{a.out}.manifest")
 
 
 def do_failed(spark: SparkSession, a) -> None:
@@ -94,7 +113,7 @@ def do_failed(spark: SparkSession, a) -> None:
 
 
 def do_stats(spark: SparkSession, a) -> None:
-    v = _vectors(spark, a.vectors)
+    v = stores.read_store(spark, a.vectors)
     _show(stores.store_structure(v), None)
     _show(quality.integrity(v), None)
     for side in quality.SIDES:
@@ -106,7 +125,7 @@ def do_stats(spark: SparkSession, a) -> None:
 
 
 def do_audit(spark: SparkSession, a) -> None:
-    v = _vectors(spark, a.vectors)
+    v = stores.read_store(spark, a.vectors)
     some = sampling.sample(v, a.samples, a.strategy, strength=a.strength)
     found = embed.reembedded(some, papers_source.load_metadata(spark, a.metadata), _embedder(a), a.concurrency).persist()
     for side in ("title", "abstract"):
@@ -114,17 +133,18 @@ def do_audit(spark: SparkSession, a) -> None:
 
 
 def do_sample(spark: SparkSession, a) -> None:
-    rows = _vectors(spark, a.vectors).select("paper_id", "row_index")
+    rows = stores.read_store(spark, a.vectors).select("paper_id", "row_index")
     total = rows.count()
     some = sampling.sample(rows, a.samples, a.strategy, strength=a.strength, total=total)
     _show(sampling.quartiles(some, total), None)
+    _show(sampling.mean_position(some, total), None)
     _show(sampling.density(some, total).orderBy("bin"), None)
     _show(some.orderBy("row_index"), a.out)
 
 
 def do_import(spark: SparkSession, a) -> None:
-    new = collection.points(_vectors(spark, a.vectors), papers_source.load_metadata(spark, a.metadata), a.start, a.limit)
-    collection.create(spark, a.collection, new, a.recreate)
+    new = collection.points(stores.read_store(spark, a.vectors), papers_source.load_metadata(spark, a.metadata), a.start, a.limit)
+    collection.create(spark, a.collection, new, a.recreate, a.metric)
     collection.upsert(spark, a.collection, new)
 
 
@@ -135,7 +155,34 @@ def do_articles(spark: SparkSession, a) -> None:
 
 
 def do_manifest(spark: SparkSession, a) -> None:
-    _show(stores.download_manifest(spark, a.first, a.last), a.out)
+    wanted = stores.download_manifest(spark, a.first, a.last)
+    if a.fetch:
+        done = stores.fetch(wanted.repartition(a.at_once), a.url, a.fetch).persist()
+        _show(stores.fetch_report(done), None)
+        _show(done.where("error is not null"), a.out)
+        return
+    _show(wanted, a.out)
+
+
+def do_lookup(spark: SparkSession, a) -> None:
+    v = stores.read_store(spark, a.vectors)
+    _show(stores.store_structure(v), None)
+    one = v.where(F.col("paper_id") == a.paper_id) if a.paper_id is not None else v.where(F.col("row_index") == a.index)
+    shown = one.select("paper_id", "row_index", *[c for s in ("title", "abstract") for c in (F.size(f"{s}_embedding").alias(f"{s}_dim"), V.norm(f"{s}_embedding").alias(f"{s}_norm"), V.preview(f"{s}_embedding").alias(f"{s}_preview"))])
+    _show(shown, a.out)
+    if a.pca:
+        _show(quality.principal_components(sampling.sample(v, a.pca), "title_embedding"), None)
+
+
+def do_compare(spark: SparkSession, a) -> None:
+    """Vectors that several stores have of the same papers."""
+    backends = None
+    for path in a.stores:
+        part = stores.read_store(spark, path).select(F.col("paper_id").alias("text_id"), F.lit(path).alias("backend"), F.col(f"{a.side}_embedding").alias("v"))
+        backends = part if backends is None else backends.unionByName(part)
+    found = compare.agreement(backends)
+    _show(found, a.out)
+    _show(quality.passes(found), None)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -153,8 +200,11 @@ def parser() -> argparse.ArgumentParser:
     commands.choices["profile"].add_argument("--filtered")
     commands.choices["profile"].add_argument("--sample", type=int)
     add("lengths", do_lengths, "input").add_argument("--model_max", type=int, default=4096)
+    commands.choices["lengths"].add_argument("--summary")
     add("embed", do_embed, "input", "must_out", "window", "embedder").add_argument("--stream", action="store_true")
-    p = add("search", do_search, "vectors", "out", "embedder")
+    p = add("search", do_search, "some_vectors", "out", "embedder")
+    p.add_argument("--parts", nargs=2, metavar=("TITLE", "ABSTRACT"), help="NPZ parts of each side, comma-separated, in place of --vectors")
+    p.add_argument("--interactive", action="store_true", help="read questions from standard input, over vectors that stay loaded")
     p.add_argument("--query", default="")
     p.add_argument("--paper_id")
     p.add_argument("--metadata")
@@ -174,16 +224,28 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--metadata", required=True)
     p.add_argument("--collection", default="papers")
     p.add_argument("--recreate", action="store_true")
+    p.add_argument("--metric", choices=["cosine", "dot", "euclidean"], default="cosine")
+    p = add("lookup", do_lookup, "vectors", "out")
+    p.add_argument("--paper_id")
+    p.add_argument("--index", type=int, default=0)
+    p.add_argument("--pca", type=int, help="show principal components of so many sampled rows")
+    p = add("compare", do_compare, "out")
+    p.add_argument("stores", nargs="+")
+    p.add_argument("--side", choices=["title", "abstract"], default="title")
     add("articles", do_articles, "input", "must_out").add_argument("--strict_ids", action="store_true")
     p = add("manifest", do_manifest, "out")
     p.add_argument("--first", type=int, default=1)
     p.add_argument("--last", type=int, default=1274)
+    p.add_argument("--fetch", help="a shared folder into which the files are fetched")
+    p.add_argument("--url", default="")
+    p.add_argument("--at_once", type=int, default=5)
     return top
 
 
 GROUPS = {
     "input": [("--input", {"required": True})],
     "vectors": [("--vectors", {"required": True})],
+    "some_vectors": [("--vectors", {})],
     "out": [("--out", {})],
     "must_out": [("--out", {"required": True})],
     "window": [("--start", {"type": int, "default": 0}), ("--limit", {"type": int})],

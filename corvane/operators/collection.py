@@ -26,26 +26,71 @@ def points(vectors: DataFrame, papers: DataFrame, start: int = 0, count: int | N
     return joined.select(F.col("row_index").alias("point_id"), *[F.col(f"{s}_embedding").alias(s) for s in sides], payload.alias("payload"))
 
 
-def upserted(stored: DataFrame, new: DataFrame, key: str = "point_id") -> DataFrame:
-    """Stored rows without those that are replaced, and the new rows; the result must go to another place."""
-    return stored.join(new.select(key), key, "left_anti").unionByName(new, allowMissingColumns=True)
+def upserted(stored: DataFrame, new: DataFrame, key: str = "point_id", order: str | None = None) -> DataFrame:
+    """Stored rows without those that are replaced, and of each key in ``new`` the last row.
+
+    Last by ``order``, or where none is given by the frame's own order. The result must go to another place.
+    """
+    placed = new.withColumn("_place", F.col(order) if order else F.monotonically_increasing_id())
+    last = placed.groupBy(key).agg(F.max_by(F.struct(*[c for c in new.columns if c != key]), "_place").alias("_row"))
+    one = last.select(key, "_row.*").select(*new.columns)
+    return stored.join(one.select(key), key, "left_anti").unionByName(one, allowMissingColumns=True)
+
+
+def _table_folder(spark: SparkSession, name: str):
+    """Where a table of that name would lie, as a path and its file system."""
+    session = spark._jsparkSession.sessionState()
+    path = spark._jvm.org.apache.hadoop.fs.Path(session.catalog().defaultTablePath(session.sqlParser().parseTableIdentifier(name)))
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _remove(spark: SparkSession, name: str) -> None:
+    """The table and what a write that was broken off has left in its folder."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    path, fs = _table_folder(spark, name)
+    fs.delete(path, True)
 
 
-def create(spark: SparkSession, name: str, sample: DataFrame, recreate: bool = False) -> bool:
-    """An empty collection table of the sample's columns; False if it is there and stays."""
-    there = spark.catalog.tableExists(name)
-    if there and not recreate:
-        return False
-    sample.limit(0).write.mode("overwrite").saveAsTable(name)
+def recover(spark: SparkSession, name: str) -> None:
+    """Ends an upsert that was broken off: the next version takes the name if the old one is gone, else it goes."""
+    following = f"{name}__next"
+    if spark.catalog.tableExists(following) and not spark.catalog.tableExists(name):
+        _table_folder(spark, name)[1].delete(_table_folder(spark, name)[0], True)
+        spark.sql(f"ALTER TABLE {following} RENAME TO {name}")
+    else:
+        _remove(spark, following)
+
+
+def create(spark: SparkSession, name: str, sample: DataFrame, recreate: bool = False, metric: str = "cosine") -> bool:
+    """An empty collection table of the sample's columns that knows its metric; False if it is there and stays."""
+    recover(spark, name)
+    if spark.catalog.tableExists(name):
+        if not recreate:
+            return False
+        _remove(spark, name)
+    sample.limit(0).write.saveAsTable(name)
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('metric' = '{metric}')")
     return True
 
 
-def upsert(spark: SparkSession, name: str, new: DataFrame, key: str = "point_id") -> None:
-    """Upserts into a table: the next version is written beside it and then takes its name."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}__next")
-    upserted(spark.table(name), new, key).write.saveAsTable(f"{name}__next")
+def metric_of(spark: SparkSession, name: str) -> str:
+    """The metric that the collection was made for."""
+    found = spark.sql(f"SHOW TBLPROPERTIES {name}").where("key = 'metric'").first()
+    return found["value"] if found else "cosine"
+
+
+def upsert(spark: SparkSession, name: str, new: DataFrame, key: str = "point_id", order: str | None = None) -> None:
+    """Upserts into a table: the next version is written beside it and then takes its name.
+
+    The next version is whole before the old one is dropped. Broken off anywhere, the next call first
+    ends the exchange (``recover``), so no version is lost.
+    """
+    recover(spark, name)
+    following, metric = f"{name}__next", metric_of(spark, name)
+    upserted(spark.table(name), new, key, order).write.saveAsTable(following)
+    spark.sql(f"ALTER TABLE {following} SET TBLPROPERTIES ('metric' = '{metric}')")
     spark.sql(f"DROP TABLE {name}")
-    spark.sql(f"ALTER TABLE {name}__next RENAME TO {name}")
+    spark.sql(f"ALTER TABLE {following} RENAME TO {name}")
 
 
 def scroll(collection: DataFrame, n: int, after: int | None = None) -> DataFrame:

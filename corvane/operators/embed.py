@@ -103,38 +103,90 @@ class LocalModelEmbedder:
         return self.loaded.encode(text, normalize_embeddings=self.normalize).tolist()
 
 
+class TransformersEmbedder:
+    """A transformers model: the state of the last token that the mask keeps, at length 1; loaded at the first text of a task.
+
+    ``load`` gives tokenizer and model, by default from that library, which the executors then need; tests
+    can give others.
+    """
+
+    def __init__(self, model: str, max_tokens: int = 4096, load: Callable | None = None):
+        self.model, self.max_tokens, self.load, self.loaded = model, max_tokens, load, None
+
+    def _load(self):
+        if self.load:
+            return self.load(self.model)
+        from transformers import AutoModel, AutoTokenizer
+
+        return AutoTokenizer.from_pretrained(self.model), AutoModel.from_pretrained(self.model).eval()
+
+    def __call__(self, text: str) -> list[float]:
+        if self.loaded is None:
+            self.loaded = self._load()
+        tokenizer, model = self.loaded
+        tokens = tokenizer([text], max_length=self.max_tokens, truncation=True, return_tensors="pt")
+        states = model(**tokens).last_hidden_state[0]
+        mask = np.asarray(tokens["attention_mask"][0]) > 0
+        kept = np.asarray(states.detach().float().cpu() if hasattr(states, "detach") else states, float)[np.flatnonzero(mask)[-1]]
+        length = np.linalg.norm(kept)
+        return (kept / length if length else kept).tolist()
+
+
+class WordCounter:
+    """Length by a tokenizer file, or where it cannot be loaded by words between white space."""
+
+    def __init__(self, path: str | None = None):
+        self.tokenizer = None
+        if path:
+            try:
+                from tokenizers import Tokenizer
+
+                self.tokenizer = Tokenizer.from_file(path)
+            except Exception:  # no library or no such file: count words
+                self.tokenizer = None
+
+    def __call__(self, text: str) -> int:
+        return len(self.tokenizer.encode(text).ids) if self.tokenizer else len(text.split())
+
+
 RESULT = "paper_id string, title_embedding array<float>, abstract_embedding array<float>, error string"
 
 
 def embed_papers(papers: DataFrame, make: Callable[[], Embedder], concurrency: int = 1, title_prefix: str = TITLE_PREFIX, abstract_prefix: str = ABSTRACT_PREFIX, partitions: int | None = None) -> DataFrame:
-    """paper_id, both vectors, error of papers (id, title, abstract).
+    """paper_id, both vectors, error of papers (id, title, abstract), and their row_index if they have one.
 
-    ``make`` builds the embedder once a task. ``concurrency`` requests run at once in a task; with the
-    number of task slots that bounds what a server sees. A failed paper is a row with its error and
-    null vectors. Tasks may be repeated, so an embedder must not depend on being called once.
-    ``partitions`` deals the papers anew before, where the input has too few splits for the work.
+    ``make`` builds the embedder once a task. ``concurrency`` requests run at once in a task, titles and
+    abstracts alike; with the number of task slots that bounds what a server sees. A failed paper is a row
+    with its error and null vectors. Tasks may be repeated, so an embedder must not depend on being called
+    once. ``partitions`` deals the papers anew before, where the input has too few splits for the work.
     """
     if partitions:
         papers = papers.repartition(partitions)
+    placed = "row_index" in papers.columns
 
     def work(frames):
         embedder = make()
 
-        def one(row):
+        def one(text):
             try:
-                pair = embedder(title_prefix + (row[1] or "")), embedder(abstract_prefix + (row[2] or ""))
-                return (row[0], *pair, None) if None not in pair else (row[0], None, None, "no vector")
+                found = embedder(text)
+                return (found, None) if found is not None else (None, "no vector")
             except Exception as e:  # a paper's failure is a result
-                return row[0], None, None, f"{type(e).__name__}: {e}"
+                return None, f"{type(e).__name__}: {e}"
 
         with ThreadPoolExecutor(concurrency) as pool:
             for frame in frames:
-                rows = list(zip(*(frame.column(c).to_pylist() for c in ("id", "title", "abstract"))))
-                out = list(pool.map(one, rows)) if concurrency > 1 else [one(r) for r in rows]
-                kinds = [pa.string(), pa.list_(pa.float32()), pa.list_(pa.float32()), pa.string()]
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], names=["paper_id", "title_embedding", "abstract_embedding", "error"])
-
-    return papers.select("id", "title", "abstract").mapInArrow(work, RESULT)
+                titles, abstracts = ([prefix + (t or "") for t in frame.column(c).to_pylist()] for c, prefix in (("title", title_prefix), ("abstract", abstract_prefix)))
+                texts = [t for pair in zip(titles, abstracts) for t in pair]
+                made = list(pool.map(one, texts)) if concurrency > 1 else [one(t) for t in texts]
+                pairs = list(zip(made[::2], made[1::2]))
+                errors = [a[1] or b[1] for a, b in pairs]
+                vectors = [pa.array([None if e else pair[side][0] for pair, e in zip(pairs, errors)], pa.list_(pa.float32())) for side in (0, 1)]
+                columns = [frame.column("id"), *vectors, pa.array(errors, pa.string())] + ([frame.column("row_index")] if placed else [])
+                yield pa.RecordBatch.from_arrays(columns, names=["paper_id", "title_embedding", "abstract_embedding", "error"] + ["row_index"] * placed)
+
+    columns = ["id", "title", "abstract"] + [F.col("row_index").cast("long").alias("row_index")] * placed
+    return papers.select(*columns).mapInArrow(work, RESULT + ", row_index bigint" * placed)
 
 
 def succeeded(results: DataFrame) -> DataFrame:

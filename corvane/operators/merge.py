@@ -42,6 +42,16 @@ def merge(shards: Sequence[DataFrame], key: str = "paper_id", position: str = "r
     return keep_first(union, key, "shard", position) if remove_duplicates else union
 
 
+def assert_equal_lengths(merged: DataFrame, arrays: Sequence[str] | None = None) -> int:
+    """The number of rows; ValueError if one lacks a vector or has one of another length than the others."""
+    columns = arrays or [c for c, kind in merged.dtypes if kind.startswith("array")]
+    one = merged.agg(F.count(F.lit(1)).alias("n"), *[f.alias(f"{c}_{k}") for c in columns for k, f in (("n", F.count(c)), ("low", F.min(F.size(c))), ("high", F.max(F.size(c))))]).first()
+    bad = [c for c in columns if one[f"{c}_n"] != one["n"] or one[f"{c}_low"] != one[f"{c}_high"]]
+    if bad:
+        raise ValueError(f"{', '.join(bad)}: not one vector of one length a row")
+    return one["n"]
+
+
 def duplicate_count(shards: Sequence[DataFrame], key: str = "paper_id") -> DataFrame:
     """total, unique_ids, duplicates."""
     union = shards[0].select(key)

@@ -56,6 +56,21 @@ def completeness(lines: DataFrame, required: Sequence[str] = REQUIRED_FIELDS, op
     return one.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
+def valid_rate(lines: DataFrame, required: Sequence[str] = REQUIRED_FIELDS, raw: str = "value") -> DataFrame:
+    """total, valid, valid_rate (percent, 0 of nothing): lines whose required fields are all there and not empty."""
+    good = _with_parsed(lines, raw).select(F.array(*[_state(F.col("_keys"), F.col("_parsed"), f) == "ok" for f in required]).alias("ok"))
+    one = good.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.forall("ok", lambda x: x)).alias("valid"))
+    return one.withColumn("valid_rate", F.round(F.coalesce(F.try_divide(F.col("valid") * 100.0, F.col("total")), F.lit(0.0)), 6))
+
+
+def summary_text(rows: DataFrame, column: str, order: str, text: str, most: int, clip: int = 2000) -> DataFrame:
+    """line, value: a text report of lengths, with the longest text clipped."""
+    stats, top, share = length_stats(rows, column), longest(rows, column, order, text), processable(rows, column, most)
+    one = stats.crossJoin(top.select(F.col(order).alias("_at"), F.when(F.length(text) > clip, F.concat(F.left(text, F.lit(clip)), F.lit("..."))).otherwise(F.col(text)).alias("_shown"))).crossJoin(share.select("processable", "percent"))  # one row each
+    lines = [F.format_string("texts: %d", "total"), F.format_string("mean length: %.2f", "mean"), F.format_string("median length: %.2f", "median"), F.format_string("longest: %d (at %s)", F.col("longest"), F.col("_at").cast("string")), F.format_string(f"up to {most}: %d (%.2f%%%%)", "processable", "percent"), F.concat(F.lit("longest text: "), "_shown")]
+    return one.select(F.posexplode(F.array(*lines)).alias("line", "value"))
+
+
 def complete_lines(lines: DataFrame, required: Sequence[str] = REQUIRED_FIELDS, raw: str = "value") -> DataFrame:
     """The lines whose required fields are all there and not empty."""
     states = _with_parsed(lines, raw).withColumn("_ok", F.array(*[_state(F.col("_keys"), F.col("_parsed"), f) == "ok" for f in required]))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,10 +43,38 @@ def pair_stats(vectors: DataFrame, a: str = SIDES[0], b: str = SIDES[1]) -> Data
 
 
 def dimension_stats(vectors: DataFrame, column: str) -> DataFrame:
-    """dim (from 1), mean, std, least, largest of each dimension; sums are combined before the shuffle."""
-    flat = vectors.select(F.posexplode(column).alias("d", "x"))
-    x = F.col("x").cast("double")
-    return flat.groupBy((F.col("d") + 1).cast("long").alias("dim")).agg(F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), F.min(x).alias("least"), F.max(x).alias("largest"))
+    """dim (from 1), mean, std (population), least, largest of each dimension, of vectors of any lengths; nulls don't count.
+
+    Each task reduces its vectors to one row a dimension; those meet, not the values.
+    """
+    out = "dim bigint, n bigint, mean double, spread double, least double, largest double"
+
+    def work(frames):
+        held = np.zeros((5, 0))  # n, mean, squared deviations, least, largest
+        for frame in frames:
+            lists = frame.column(0)
+            flat, lengths = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64), np.diff(lists.offsets.to_numpy())
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            size = max(held.shape[1], int(lengths.max(initial=0)))
+            n = np.bincount(place, minlength=size).astype(float)
+            mean = np.divide(np.bincount(place, flat, size), n, out=np.zeros(size), where=n > 0)
+            spread = np.bincount(place, (flat - mean[place]) ** 2, size)
+            least, largest = np.full(size, np.inf), np.full(size, -np.inf)
+            np.minimum.at(least, place, flat)
+            np.maximum.at(largest, place, flat)
+            old = np.zeros((5, size))
+            old[3], old[4] = np.inf, -np.inf
+            old[:, : held.shape[1]] = held
+            total = old[0] + n
+            shift = np.divide(n, total, out=np.zeros(size), where=total > 0) * (mean - old[1])
+            held = np.stack([total, old[1] + shift, old[2] + spread + old[0] * shift * (mean - old[1]), np.minimum(old[3], least), np.maximum(old[4], largest)])
+        if held.shape[1]:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(1, held.shape[1] + 1)), pa.array(held[0].astype(np.int64)), *map(pa.array, held[1:])], names=["dim", "n", "mean", "spread", "least", "largest"])
+
+    sums = vectors.where(F.col(column).isNotNull()).select(F.filter(column, lambda x: x.isNotNull()).alias("v")).mapInArrow(work, out)
+    centre = sums.groupBy("dim").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("mean")).alias("sum"), F.sum(F.col("spread") + F.col("n") * F.col("mean") * F.col("mean")).alias("squares"), F.min("least").alias("least"), F.max("largest").alias("largest"))
+    mean = F.col("sum") / F.col("n")
+    return centre.where("n > 0").select("dim", mean.alias("mean"), F.sqrt(F.greatest(F.col("squares") / F.col("n") - mean * mean, F.lit(0.0))).alias("std"), "least", "largest")
 
 
 def dimension_ranges(per_dimension: DataFrame) -> DataFrame:
@@ -91,7 +121,11 @@ def integrity(vectors: DataFrame, id_column: str = "paper_id", sides: tuple[str,
 
 
 def audit(pairs: DataFrame, similarity: str = "similarity", least: float = CONSISTENT) -> DataFrame:
-    """consistent, inconsistent, failed (null) and the spread of re-embedding similarities."""
+    """consistent, inconsistent, failed (null) and the spread of re-embedding similarities.
+
+    The quantiles are exact, so the distinct similarities meet in one task: ``pairs`` are those of a sample
+    (``sampling.sample`` bounds it to some thousands), as every re-embedded row costs a model call.
+    """
     s = F.col(similarity)
     return pairs.agg(
         F.count_if(s >= least).alias("consistent"), F.count_if(s < least).alias("inconsistent"), F.count_if(s.isNull()).alias("failed"), F.min(s).alias("least"), F.max(s).alias("largest"), F.avg(s).alias("mean"),

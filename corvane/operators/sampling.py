@@ -44,8 +44,14 @@ def tail_heavy_counts(total: int, n: int, ratio: float) -> tuple[int, int]:
 
 
 def sample(rows: DataFrame, n: int, strategy: str = "random", position: str = "row_index", strength: float = 0.8, id_column: str | None = None, total: int | None = None, seed: str = "") -> DataFrame:
-    """``rows`` of the sample; all rows if there are no more than ``n``."""
-    total = rows.count() if total is None else total
+    """``rows`` of the sample; all rows if there are no more than ``n``.
+
+    Positions must be those of a store of ``total`` rows: ValueError if one lies outside [0, total).
+    """
+    met = rows.agg(F.count(F.lit(1)).alias("n"), F.min(position).alias("low"), F.max(position).alias("high")).first()
+    total = met["n"] if total is None else total
+    if met["n"] and not 0 <= met["low"] <= met["high"] < total:
+        raise ValueError(f"positions from {met['low']} to {met['high']} are none of a store of {total} rows")
     name = id_column or position
     if strategy == "tail_heavy":
         head, tail = tail_heavy_counts(total, min(n, total), strength)
@@ -67,6 +73,12 @@ def quartiles(sampled: DataFrame, total: int, position: str = "row_index") -> Da
     return one.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
+def mean_position(sampled: DataFrame, total: int, position: str = "row_index") -> DataFrame:
+    """n, mean_position, share (of the last position) of a sample."""
+    one = sampled.agg(F.count(F.lit(1)).alias("n"), F.avg(position).alias("mean_position"))
+    return one.withColumn("share", F.try_divide(F.col("mean_position"), F.lit(float(max(1, total - 1)))))
+
+
 def density(sampled: DataFrame, total: int, bins: int = 20, position: str = "row_index") -> DataFrame:
     """bin, n for the bins that have rows; the last bin takes what the division leaves."""
     width = max(1, total // bins)

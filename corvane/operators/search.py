@@ -8,12 +8,13 @@ nothing is sorted whole. ``prepare`` selects norms once, for corpora that are se
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions import vector as V
@@ -42,11 +43,12 @@ def _cosine(frame: DataFrame, side: str) -> Column:
 
 
 def ranked(hits: DataFrame, k: int, nearest_first: bool = True, threshold: float | None = None) -> DataFrame:
-    """paper_id, score, rank of the k best; nulls never are hits.
+    """paper_id, score, rank of the k best; nulls and what is no number never are hits.
 
     Nulls and scores beyond the threshold sort last, so they are dropped from the k best: a filter
     before would be pushed below the projection and compute every score twice.
     """
+    hits = hits.withColumn("score", F.nanvl("score", F.lit(None).cast("double")))
     order = F.desc_nulls_last("score") if nearest_first else F.asc_nulls_last("score")
     best = hits.orderBy(order, "paper_id").limit(k).where("score is not null")
     if threshold is not None:
@@ -74,7 +76,7 @@ def search_candidates(corpus: DataFrame, query: Query, k: int = 10, title_weight
     frame = _with_query(corpus, query)
 
     def side(name: str, weight: float) -> DataFrame:
-        hits = frame.select("paper_id", _cosine(frame, name).alias("score")).orderBy(F.desc_nulls_last("score"), "paper_id")
+        hits = frame.select("paper_id", F.nanvl(_cosine(frame, name), F.lit(None).cast("double")).alias("score")).orderBy(F.desc_nulls_last("score"), "paper_id")
         return hits.limit(overfetch * k).where("score is not null").select("paper_id", (F.col("score") * weight).alias("part"))
 
     both = side("title", title_weight).unionAll(side("abstract", abstract_weight))
@@ -93,51 +95,113 @@ def similar_to(corpus: DataFrame, paper_id: str, k: int = 10, side: str = "title
     return search(corpus, query, k, side)
 
 
-def multi_search(corpus: DataFrame, queries: DataFrame, k: int = 10, side: str = "title", block: int = 256) -> DataFrame:
-    """query_id, paper_id, score, rank for many queries (query_id, q), in blocks of queries.
+QUERY_BYTES = 64 << 20  # of queries that one scan of the corpus takes along
 
-    Each block is sent to the executors as one matrix of at most ``block`` rows; a partition keeps its
-    k best of each query, and only those are shuffled. Zero vectors score 0.
+
+def multi_search(corpus: DataFrame, queries: DataFrame, k: int = 10, side: str = "title", block: int = 256, metric: str = "cosine", query_bytes: int = QUERY_BYTES) -> DataFrame:
+    """query_id, paper_id, score, rank for many queries (query_id, q), of any id types.
+
+    One scan of the corpus takes up to ``query_bytes`` of queries along and scores them ``block`` at a
+    time; more queries take more scans. A partition keeps its k best of each query, and only those are
+    shuffled. As in ``search``, a null vector or one of another length than the query's is no hit, nor is a
+    score that isn't a number; zero vectors score 0; ties go to the smaller paper_id. A query without a
+    vector has no hits.
     """
     spark, found = corpus.sparkSession, None
-    rows = queries.select("query_id", "q").toLocalIterator()
-    kind = corpus.select("paper_id").schema["paper_id"].dataType
-    while some := [r for _, r in zip(range(block), rows)]:
-        matrix = np.array([r["q"] for r in some], np.float64)
-        scale = np.linalg.norm(matrix, axis=1, keepdims=True)
-        shared = spark.sparkContext.broadcast(([r["query_id"] for r in some], np.divide(matrix, scale, out=np.zeros_like(matrix), where=scale > 0)))
-        part = corpus.select("paper_id", f"{side}_embedding").mapInArrow(_best_of_partition(shared, k), f"query_id {dict(queries.dtypes)['query_id']}, paper_id {kind.simpleString()}, score double")
+    asked = queries.where("query_id is not null and q is not null and size(q) > 0").select("query_id", F.transform("q", lambda x: x.cast("double")).alias("q"))
+    kinds = {"query_id": queries.schema["query_id"].dataType, "paper_id": corpus.schema["paper_id"].dataType}
+    out = T.StructType([*[T.StructField(n, t) for n, t in kinds.items()], T.StructField("score", T.DoubleType())])
+    for some in _chunks(asked.toLocalIterator(), query_bytes):
+        shared = spark.sparkContext.broadcast(some)
+        part = corpus.select("paper_id", F.transform(f"{side}_embedding", lambda x: x.cast("double")).alias("v")).where("paper_id is not null and v is not null").mapInArrow(_best_of_partition(shared, k, block, metric, out), out)
         found = part if found is None else found.unionAll(part)
     if found is None:
-        return spark.createDataFrame([], f"query_id {dict(queries.dtypes)['query_id']}, paper_id {kind.simpleString()}, score double, rank int")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "paper_id")
+        return spark.createDataFrame([], T.StructType([*out.fields, T.StructField("rank", T.IntegerType())]))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score") if V.METRICS[metric][1] else F.asc("score"), "paper_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _best_of_partition(shared, k: int):
+def _chunks(rows: Iterator, most: int) -> Iterator[dict[int, tuple[list, np.ndarray]]]:
+    """Length of vector -> ids and matrix of the queries of that length, up to ``most`` bytes at once."""
+    held, size = {}, 0
+    for r in rows:
+        held.setdefault(len(r["q"]), []).append((r["query_id"], [np.nan if x is None else x for x in r["q"]]))
+        size += 8 * len(r["q"]) + 64
+        if size >= most:
+            yield _matrices(held)
+            held, size = {}, 0
+    if held:
+        yield _matrices(held)
+
+
+def _matrices(held: dict) -> dict[int, tuple[list, np.ndarray]]:
+    return {n: ([i for i, _ in some], np.array([q for _, q in some], np.float64)) for n, some in held.items()}
+
+
+def _scores(vectors: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray:
+    """A row a query; larger is nearer."""
+    if metric == "euclidean":
+        return -np.stack([np.linalg.norm(vectors - q, axis=1) for q in queries])
+    products = queries @ vectors.T
+    if metric == "dot":
+        return products
+    scale = np.linalg.norm(queries, axis=1)[:, None] * np.linalg.norm(vectors, axis=1)[None, :]
+    return np.divide(products, scale, out=np.where(np.isnan(scale), np.nan, 0.0), where=scale > 0)
+
+
+def _best_of_partition(shared, k: int, block: int, metric: str, out: T.StructType):
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    kinds = [to_arrow_type(f.dataType) for f in out]
+
     def work(frames):
-        ids, units = shared.value
-        kept_ids, kept = None, None
+        queries = shared.value
+        best: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}  # (length, first query of the block) -> scores and ids, a row a query
         for frame in frames:
-            if not frame.num_rows:
-                continue
+            names = np.array([*frame.column(0).to_pylist(), None], dtype=object)[:-1]
             lists = frame.column(1)
-            vectors = lists.values.to_numpy(zero_copy_only=False).reshape(frame.num_rows, -1).astype(np.float64)
-            length = np.linalg.norm(vectors, axis=1)
-            scores = np.divide(vectors @ units.T, length[:, None], out=np.zeros((frame.num_rows, len(ids))), where=length[:, None] > 0).T
-            names = np.array(frame.column(0).to_pylist(), dtype=object)
-            if kept is not None:
-                scores, names = np.concatenate([kept, scores], 1), np.concatenate([kept_ids, np.broadcast_to(names, (len(ids), len(names)))], 1)
-            else:
-                names = np.broadcast_to(names, (len(ids), len(names)))
-            order = np.stack([np.lexsort((n, -s))[:k] for s, n in zip(scores, names)])
-            kept, kept_ids = np.take_along_axis(scores, order, 1), np.take_along_axis(names, order, 1)
-        if kept is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(ids, dtype=object), kept.shape[1])), pa.array(kept_ids.ravel()), pa.array(kept.ravel())], names=["query_id", "paper_id", "score"])
+            starts, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False).astype(np.float64)
+            lengths = np.diff(starts)
+            for n, (_, matrix) in queries.items():
+                at = np.flatnonzero(lengths == n)
+                if not len(at):
+                    continue
+                vectors = flat[(starts[at][:, None] + np.arange(n)).ravel()].reshape(len(at), n)
+                for first in range(0, len(matrix), block):
+                    scores = _scores(vectors, matrix[first : first + block], metric)
+                    own = np.broadcast_to(names[at], scores.shape)
+                    if (n, first) in best:
+                        scores, own = np.concatenate([best[n, first][0], scores], 1), np.concatenate([best[n, first][1], own], 1)
+                    scores = np.where(np.isnan(scores), -np.inf, scores)  # sorts last, and is left out below
+                    order = np.stack([_first_k(s, i, k) for s, i in zip(scores, own)])
+                    best[n, first] = np.take_along_axis(scores, order, 1), np.take_along_axis(own, order, 1)
+        for (n, first), (scores, own) in best.items():
+            ids = np.array([*queries[n][0][first : first + block], None], dtype=object)[:-1]
+            good = (scores > -np.inf).ravel()
+            columns = np.repeat(ids, scores.shape[1])[good], own.ravel()[good], (scores if V.METRICS[metric][1] else -scores).ravel()[good]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), kind) for c, kind in zip(columns, kinds)], names=out.names)
 
     return work
 
 
+def _first_k(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Indices of the k best, ties by id: only those that reach the k-th score are sorted."""
+    if len(scores) > k:
+        near = np.flatnonzero(scores >= np.partition(scores, len(scores) - k)[len(scores) - k])
+        return near[np.lexsort((ids[near], -scores[near]))][:k]
+    return np.lexsort((ids, -scores))
+
+
+def search_parts(title: DataFrame, abstract: DataFrame, query: Query, k: int = 10, side: str = "title") -> DataFrame:
+    """The k nearest over numbered parts (part, pos, paper_id, embedding) of both sides, as one corpus.
+
+    Parts whose sides don't agree are left out, as ``zip_parts`` does.
+    """
+    from ..sources.stores import zip_parts
+
+    return search(zip_parts(title, abstract), query, k, side)
+
+
 def with_metadata(hits: DataFrame, papers: DataFrame, fields: Sequence[str] = ("title", "abstract", "authors", "categories", "doi", "journal_ref", "update_date")) -> DataFrame:
     """Hits with the fields of their paper, empty where there is none. Hits are few: papers are scanned once."""
     some = papers.select(F.col("id").alias("_id"), *fields)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 # Wordings of failure lines in logs; group 1 is the paper's id.
 FAILURE_PATTERNS = [
@@ -26,6 +27,98 @@ def read_vectors(spark: SparkSession, *paths: str) -> DataFrame:
     return out
 
 
+def with_positions(rows: DataFrame, order: Column | str, tie: str = "paper_id", start: int = 0, out: str = "row_index", width: int = 100_000) -> DataFrame:
+    """``rows`` with ``out``: their places from ``start`` on, without gaps, by ``order`` (a whole number), then ``tie``.
+
+    Rows are dealt by ranges of ``width`` of the order and numbered within; only the counts of the ranges
+    meet in one task. ``rows`` is read twice, so it should be stored or persisted.
+    """
+    by = F.col(order) if isinstance(order, str) else order
+    dealt = rows.withColumns({"_order": by, "_range": F.floor(by / width)})
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    moved = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy("_order", tie)) - 1
+    placed = dealt.withColumn("_inside", inside).join(moved, "_range").withColumn("_at", (F.col("_before") + F.col("_inside") + start).cast("long"))
+    return placed.select(*[c for c in rows.columns if c != out], F.col("_at").alias(out))
+
+
+def read_store(spark: SparkSession, path: str) -> DataFrame:
+    """A vector store with ``row_index``: the stored one, or else the places of the rows in order of file name and row.
+
+    Places that are read off the files are dense, but change when files are rewritten; ``with_positions``
+    stores them with the rows.
+    """
+    scan = spark.read.parquet(path)
+    if "row_index" in scan.columns:
+        return scan
+    placed = scan.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    counts = scan.groupBy(F.col("_metadata.file_path").alias("_f")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_f").rowsBetween(Window.unboundedPreceding, -1)
+    moved = counts.select("_f", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))  # a row a file
+    return placed.join(moved, F.col("_file") == F.col("_f")).select(*scan.columns, (F.col("_before") + F.col("_row")).cast("long").alias("row_index"))
+
+
+def next_position(spark: SparkSession, path: str) -> int:
+    """Where the rows that are appended to a store begin: 0 if there is none."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there):
+        return 0
+    last = read_store(spark, path).agg(F.max("row_index")).first()[0]
+    return 0 if last is None else last + 1
+
+
+def fetch(manifest: DataFrame, base_url: str, folder: str, retries: int = 3, opener: Callable[[str], bytes] | None = None) -> DataFrame:
+    """name, bytes, error of the files of a manifest, fetched below ``folder``; one file at a time in a task.
+
+    ``folder`` is one that all executors share and see as a path, such as a mounted store. A file is
+    written under another name and then takes its own, so a task that is run again leaves whole files; files
+    that are there are not fetched again. What cannot be fetched is a row with its error. The rows are
+    counted once they are written: ``fetch_report``.
+    """
+
+    def work(frames):
+        import os
+        import time
+        import urllib.request
+
+        import pyarrow as pa
+
+        def get(url):
+            if opener:
+                return opener(url)
+            with urllib.request.urlopen(url, timeout=60) as answer:
+                return answer.read()
+
+        def one(name):
+            target = f"{folder}/{name}"
+            if os.path.exists(target):
+                return name, os.path.getsize(target), None
+            for attempt in range(retries):
+                try:
+                    content = get(f"{base_url.rstrip('/')}/{name}")
+                    part = f"{target}.{os.getpid()}.{time.time_ns()}.part"
+                    with open(part, "wb") as f:
+                        f.write(content)
+                    os.replace(part, target)
+                    return name, len(content), None
+                except Exception as e:  # a file's failure is a result
+                    error = f"{type(e).__name__}: {e}"
+                    if attempt < retries - 1:
+                        time.sleep(2**attempt if opener is None else 0)
+            return name, None, error
+
+        for frame in frames:
+            rows = [one(n) for n in frame.column("name").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.string(), pa.int64(), pa.string()))], names=["name", "bytes", "error"])
+
+    return manifest.select("name").mapInArrow(work, "name string, bytes bigint, error string")
+
+
+def fetch_report(fetched: DataFrame) -> DataFrame:
+    """succeeded, failed, bytes."""
+    return fetched.agg(F.count_if(F.col("error").isNull()).alias("succeeded"), F.count_if(F.col("error").isNotNull()).alias("failed"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))
+
+
 def store_structure(vectors: DataFrame) -> DataFrame:
     """name, kind, rows, dim_min, dim_max of each column, as a catalog of the store."""
     arrays = [c for c, kind in vectors.dtypes if kind.startswith("array")]

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.embed import Embedder, embed_papers
 from ..operators.reconcile import not_yet_embedded
 from ..sources.papers import parsed, valid
+from ..sources.stores import next_position, with_positions
 
 
 def paper_stream(spark: SparkSession, folder: str, files_at_once: int = 16) -> DataFrame:
@@ -19,22 +20,25 @@ def paper_stream(spark: SparkSession, folder: str, files_at_once: int = 16) -> D
 
 
 def embed_stream(papers: DataFrame, store: str, failed: str, checkpoint: str, make: Callable[[], Embedder], concurrency: int = 1, once: bool = True) -> StreamingQuery:
-    """Appends vectors to ``store`` and failures to ``failed``.
+    """Appends vectors with their places to ``store`` and failures to ``failed``, a folder a batch.
 
-    The checkpoint replaces offsets as the place to resume from. A batch that is run again after a
-    failure finds what it had stored and leaves it out, so a paper is stored once.
+    The checkpoint replaces offsets as the place to resume from. A batch that is run again after a failure
+    finds what it had stored and leaves it out, and replaces its own failures, so a paper is stored once and
+    fails once a batch. Papers that failed are tried again when a file brings them again: ``still_failed``
+    lists those without a vector, ``reconcile.retry_input`` makes such a file.
     """
 
     def batch(rows: DataFrame, number: int) -> None:
         spark = rows.sparkSession
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path(store)
-        new = rows.dropDuplicates(["id"])
-        if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+        new, start = rows.dropDuplicates(["id"]), next_position(spark, store)
+        if start:
             new = not_yet_embedded(new, spark.read.parquet(store).select("paper_id"))
         results = embed_papers(new, make, concurrency).persist()
         try:
-            results.where("error is null").drop("error").write.mode("append").parquet(store)
-            results.where("error is not null").select("paper_id", "error", F.lit(number).alias("batch")).write.mode("append").parquet(failed)
+            failures = results.where("error is not null").select("paper_id", "error", F.lit(number).alias("batch"))
+            failures.write.mode("overwrite").parquet(f"{failed}/run={number}")
+            good = results.where("error is null").drop("error")
+            with_positions(good, F.pmod(F.xxhash64("paper_id"), F.lit(1 << 40)), start=start, width=1 << 34).write.mode("append").parquet(store)
         finally:
             results.unpersist()
 
@@ -42,6 +46,12 @@ def embed_stream(papers: DataFrame, store: str, failed: str, checkpoint: str, ma
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def still_failed(spark: SparkSession, store: str, failed: str) -> DataFrame:
+    """paper_id, error (the last) of papers that failed and have no vector since."""
+    last = spark.read.parquet(failed).groupBy("paper_id").agg(F.max_by("error", "batch").alias("error"))
+    return last.join(spark.read.parquet(store).select("paper_id"), "paper_id", "left_anti") if next_position(spark, store) else last
+
+
 def progress(query: StreamingQuery) -> list[dict]:
     """batch, rows, rows a second of the last micro-batches."""
     return [{"batch": p["batchId"], "rows": p["numInputRows"], "rows_per_second": p["processedRowsPerSecond"]} for p in query.recentProgress]
