@@ -67,7 +67,7 @@ def summary_text(rows: DataFrame, column: str, order: str, text: str, most: int,
     """line, value: a text report of lengths, with the longest text clipped."""
     stats, top, share = length_stats(rows, column), longest(rows, column, order, text), processable(rows, column, most)
     one = stats.crossJoin(top.select(F.col(order).alias("_at"), F.when(F.length(text) > clip, F.concat(F.left(text, F.lit(clip)), F.lit("..."))).otherwise(F.col(text)).alias("_shown"))).crossJoin(share.select("processable", "percent"))  # one row each
-    lines = [F.format_string("texts: %d", "total"), F.format_string("mean length: %.2f", "mean"), F.format_string("median length: %.2f", "median"), F.format_string("longest: %d (at %s)", F.col("longest"), F.col("_at").cast("string")), F.format_string(f"up to {most}: %d (%.2f%%%%)", "processable", "percent"), F.concat(F.lit("longest text: "), "_shown")]
+    lines = [F.format_string("texts: %d", "total"), F.format_string("mean length: %.2f", "mean"), F.format_string("median length: %.2f", "median"), F.format_string("longest: %d (at %s)", F.col("longest"), F.col("_at").cast("string")), F.format_string(f"up to {most}: %d (%.2f%%)", "processable", "percent"), F.concat(F.lit("longest text: "), "_shown")]
     return one.select(F.posexplode(F.array(*lines)).alias("line", "value"))
 
 
@@ -78,8 +78,8 @@ def complete_lines(lines: DataFrame, required: Sequence[str] = REQUIRED_FIELDS,
 
 
 def sample_lines(lines: DataFrame, n: int, raw: str = "value", seed: int = 0) -> DataFrame:
-    """At most ``n`` lines without replacement, reproducibly."""
-    return lines.orderBy(F.xxhash64(F.lit(seed), raw), raw).limit(n)
+    """At most ``n`` lines without replacement, reproducibly: by an MD5 of seed and line."""
+    return lines.orderBy(F.md5(F.concat(F.lit(str(seed)), raw).cast("binary")), raw).limit(n)
 
 
 def length_stats(lengths: DataFrame, column: str) -> DataFrame:

@@ -39,7 +39,8 @@ def _with_query(corpus: DataFrame, query: Query) -> DataFrame:
 
 def _cosine(frame: DataFrame, side: str) -> Column:
     have = frame.columns
-    return V.cosine_of(V.dot(f"{side}_embedding", "q"), F.col(f"{side}_norm") if f"{side}_norm" in have else V.norm(f"{side}_embedding"), F.col("q_norm"))
+    found = V.cosine_of(V.dot(f"{side}_embedding", "q"), F.col(f"{side}_norm") if f"{side}_norm" in have else V.norm(f"{side}_embedding"), F.col("q_norm"))
+    return F.when(F.size(f"{side}_embedding") == F.size("q"), found)  # a vector of another length is no hit, not even an empty one
 
 
 def ranked(hits: DataFrame, k: int, nearest_first: bool = True, threshold: float | None = None) -> DataFrame:

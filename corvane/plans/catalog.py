@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,7 @@ from ..operators import collection, compare, embed, merge, profile, quality, rec
 from ..schemas import PUBMED_COLUMNS
 from ..sources import papers as S
 from ..sources import pubmed, sinks, stores
+from ..streaming import incremental
 from . import fixtures as D
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,6 +133,37 @@ def multi_query_topk(spark, sf):
     return found.select("query_id", "paper_id", r6("score").alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
+def _multi_sql(score: str, order: str = "DESC") -> str:
+    """Five hits of every row whose number is divisible by 50, without rows that have no vector."""
+    return f"""WITH {D.CORPUS_SQL}, c AS (SELECT * FROM pv WHERE row_index % 11 NOT IN (5, 6)), s AS (SELECT a.row_index AS query_id, b.paper_id, {score} AS score FROM pv a CROSS JOIN c b WHERE a.row_index % 50 = 0),
+n AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score {order}, paper_id) AS rank FROM s) SELECT query_id, paper_id, round(score, 6) AS score, rank FROM n WHERE rank <= 5"""
+
+
+def _multi(spark, sf, side: str, metric: str) -> DataFrame:
+    """Every eleventh row has a null vector, the one after it a vector with a NaN: they are no hits."""
+    c = D.corpus(spark, sf)
+    queries = c.where("row_index % 50 = 0").select(F.col("row_index").cast("int").alias("query_id"), F.col(f"{side}_embedding").alias("q"))
+    at = F.col("row_index") % 11
+    broken = c.withColumn(f"{side}_embedding", F.when(at == 6, F.transform(f"{side}_embedding", lambda x: F.lit(float("nan")).cast("float"))).when(at != 5, F.col(f"{side}_embedding")))
+    found = search.multi_search(broken, queries, 5, side, metric=metric)
+    return found.select(F.col("query_id").cast("long").alias("query_id"), "paper_id", r6("score").alias("score"), F.col("rank").cast("long").alias("rank"))
+
+
+@query(_multi_sql("list_cosine_similarity(a.ab, b.ab)"))
+def multi_query_abstract(spark, sf):
+    return _multi(spark, sf, "abstract", "cosine")
+
+
+@query(_multi_sql("list_dot_product(a.t, b.t)"))
+def multi_query_dot(spark, sf):
+    return _multi(spark, sf, "title", "dot")
+
+
+@query(_multi_sql("list_distance(a.t, b.t)", "ASC"))
+def multi_query_euclidean(spark, sf):
+    return _multi(spark, sf, "title", "euclidean")
+
+
 @query(f"WITH {D.CORPUS_SQL} SELECT paper_id, row_index, CAST(len(t) AS BIGINT) AS title_dim, CAST(len(ab) AS BIGINT) AS abstract_dim FROM pv WHERE paper_id = '42'")
 def point_lookup(spark, sf):
     return search.lookup(D.corpus(spark, sf), "42").select("paper_id", "row_index", F.col("title_dim").cast("long").alias("title_dim"), F.col("abstract_dim").cast("long").alias("abstract_dim"))
@@ -272,14 +305,15 @@ def store_structure(spark, sf):
 
 @query(f"WITH {D.PAPERS_SQL} SELECT id, title, replace(abstract, chr(10), ' ') AS abstract, categories, journal_ref FROM papers")
 def papers_normalised(spark, sf):
-    p = D.papers(spark, sf)
-    return p.select("id", X.one_line(F.col("title")).alias("title"), X.one_line(F.col("abstract")).alias("abstract"), "categories", "journal_ref")
+    fields = F.struct("id", "title", "abstract", "categories", F.col("journal_ref").alias("journal-ref"))
+    lines = D.papers(spark, sf).select(F.to_json(fields).alias("value"))
+    return S.normalised(S.parsed(lines)).select("id", "title", "abstract", "categories", "journal_ref")
 
 
 _DEFECTS = "j AS (SELECT CAST(doc_id AS VARCHAR) AS id, doc_id AS row_index, lang, source, text FROM documents WHERE source <> 'src7')"
 
 
-@query(f"WITH {_DEFECTS} SELECT id, 'a title' AS title, replace(left(text, 200), chr(10), ' ') AS abstract, lang AS categories FROM j WHERE lang = 'en' AND text <> ''")
+@query(f"WITH {_DEFECTS} SELECT id, 'a title' AS title, replace(text, chr(10), ' ') AS abstract, lang AS categories FROM j WHERE lang = 'en' AND text <> ''")
 def valid_papers(spark, sf):
     lines = D.json_lines(spark, sf).select("row_index", "value")
     return S.valid(S.parsed(lines)).select("id", "title", "abstract", "categories")
@@ -336,15 +370,86 @@ def processable_share(spark, sf):
     return profile.processable(_lengths(spark, sf), "n", 512)
 
 
-@query(f"WITH {D.PAPERS_SQL} SELECT id, row_index FROM papers WHERE row_index >= 100 AND title <> '' AND abstract <> '' ORDER BY row_index LIMIT 50")
+@query("WITH l AS (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS line FROM documents) SELECT CAST(doc_id AS VARCHAR) AS id, line AS row_index FROM l WHERE line >= 100 AND source <> 'src7' AND lang = 'en' AND text <> '' ORDER BY line LIMIT 50")
 def skip_limit(spark, sf):
-    return D.papers(spark, sf).where("row_index >= 100 and title <> '' and abstract <> ''").orderBy("row_index").limit(50).select("id", "row_index")
+    path = D.folder(spark)
+    D.json_lines(spark, sf).orderBy("row_index").select("value").coalesce(1).write.text(path)
+    return S.read_jsonl(spark, path, 100, 50).select("id", "row_index")
+
+
+_VALID = f"WITH {_DEFECTS} SELECT id, 'a title' AS title, replace(text, chr(10), ' ') AS abstract, lang AS categories FROM j WHERE lang = 'en' AND text <> ''"
+
+
+@query(_VALID)
+def jsonl_file_scan(spark, sf):
+    path = D.folder(spark)
+    D.whole_lines(spark, sf).select("value").write.text(path)
+    return S.read_papers(spark, path).select("id", "title", "abstract", "categories")
+
+
+@query(_VALID)
+def json_array_scan(spark, sf):
+    path = D.folder(spark)
+    D.whole_lines(spark, sf).agg(F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]")).alias("value")).write.text(path)
+    return S.read_papers(spark, path).select("id", "title", "abstract", "categories")
 
 
-@query("SELECT CAST(doc_id AS VARCHAR) AS id, 'Abstract: ' || text AS prompted, 'Instruct: Given a question, find papers' || chr(10) || 'Query: ' || split_part(text, ' ', 1) AS instructed FROM documents")
+@query("SELECT kind, path FROM (VALUES ('jsonl', 'lines'), ('json', 'array'), ('json', 'object')) v(kind, path)")
+def format_sniffing(spark, sf):
+    path, lines = D.folder(spark), D.whole_lines(spark, sf).select("value")
+    lines.write.text(f"{path}/lines")
+    lines.limit(2).agg(F.concat(F.lit("["), F.array_join(F.collect_list("value"), ",\n"), F.lit("]")).alias("value")).write.text(f"{path}/array")
+    lines.limit(1).select(F.regexp_replace("value", "^\\{", "{\n").alias("value")).write.text(f"{path}/object")
+    return spark.createDataFrame([(S.sniff_format(spark, f"{path}/{p}"), p) for p in ("lines", "array", "object")], "kind string, path string")
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS paper_id FROM documents WHERE doc_id % 5 <> 4")
+def fallback_ids(spark, sf):
+    path, d = D.folder(spark), D.table(spark, sf, "documents")
+    key = F.element_at(F.array(*[F.lit(k) for k in (*S.ID_FIELDS, "other")]), (F.pmod("doc_id", F.lit(5)) + 1).cast("int"))
+    d.select(F.to_json(F.map_from_arrays(F.array(key, F.lit("title")), F.array(F.col("doc_id").cast("string"), F.col("text")))).alias("value")).write.text(path)
+    return S.ids_of_metadata(spark, path).select("paper_id")
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS id, text AS abstract, doc_id AS row_index, 'hash' AS model FROM documents")
+def sidecar_round_trip(spark, sf):
+    path, p = D.folder(spark), D.papers(spark, sf)
+    info = spark.createDataFrame([("hash", "32")], "model string, embedding_dim string")
+    sinks.write_json(sinks.metadata_sidecar(p, info), path)
+    read = S.read_sidecar(spark, path)
+    each = read.select(F.explode("papers").alias("p"), "id_to_index", "embedding_info").select(F.get_json_object("p", "$.id").alias("id"), F.get_json_object("p", "$.abstract").alias("abstract"), "id_to_index", "embedding_info")
+    return each.select("id", "abstract", F.element_at("id_to_index", F.col("id")).alias("row_index"), F.element_at("embedding_info", F.lit("model")).alias("model"))
+
+
+@query(f"WITH {_DEFECTS} SELECT count(*) AS total, count(*) FILTER (WHERE lang = 'en' AND text <> '') AS valid, round(count(*) FILTER (WHERE lang = 'en' AND text <> '') * 100.0 / count(*), 6) AS valid_rate FROM j")
+def valid_rate(spark, sf):
+    return profile.valid_rate(D.json_lines(spark, sf))
+
+
+@query("SELECT doc_id, text FROM documents ORDER BY md5('0' || text), text, doc_id LIMIT 50")
+def sampled_lines(spark, sf):
+    d = D.table(spark, sf, "documents").select("doc_id", "text")
+    return merge.keep_first(profile.sample_lines(d, 50, "text"), "doc_id").select("doc_id", "text")
+
+
+@query(f"WITH {_WORDS} SELECT doc_id, CAST(n AS BIGINT) AS length FROM w")
+def token_lengths(spark, sf):
+    return embed.token_lengths(D.table(spark, sf, "documents").select("doc_id", "text"), "text", embed.WordCounter).select("doc_id", "length")
+
+
+@query(
+    f"""WITH {_WORDS}, s AS (SELECT count(*) AS total, avg(n) AS mean, median(n) AS median, max(n) AS longest, count(*) FILTER (WHERE n <= 512) AS fits FROM w), t AS (SELECT doc_id, text FROM w JOIN documents USING (doc_id) ORDER BY n DESC, doc_id LIMIT 1)
+SELECT unnest([0, 1, 2, 3, 4, 5]) AS line, unnest(['texts: ' || total, printf('mean length: %.2f', mean), printf('median length: %.2f', median), printf('longest: %d (at %d)', longest, doc_id), printf('up to 512: %d (%.2f%%)', fits, fits * 100.0 / total), 'longest text: ' || left(text, 2000) || CASE WHEN length(text) > 2000 THEN '...' ELSE '' END]) AS value FROM s CROSS JOIN t"""
+)
+def length_summary(spark, sf):
+    rows = D.table(spark, sf, "documents").select("doc_id", "text", X.word_count(F.col("text")).alias("n"))
+    return profile.summary_text(rows, "n", "doc_id", "text", 512)
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS id, 'Abstract: ' || text AS prompted, 'Instruct: Given a question, find papers' || chr(10) || 'Query: ' || text AS instructed FROM documents")
 def prompted_text(spark, sf):
     d = D.table(spark, sf, "documents")
-    return d.select(F.col("doc_id").cast("string").alias("id"), X.prompted("abstract", F.col("text")).alias("prompted"), X.instruct("Given a question, find papers", F.split_part("text", F.lit(" "), F.lit(1))).alias("instructed"))
+    return d.select(F.col("doc_id").cast("string").alias("id"), X.prompted("abstract", F.col("text")).alias("prompted"), X.instruct("Given a question, find papers", F.col("text")).alias("instructed"))
 
 
 @query("SELECT doc_id, CASE WHEN length(text) > 50 THEN left(text, 47) || '...' ELSE text END AS short, left(replace(text, ' ', '_'), 20) AS stem FROM documents")
@@ -381,6 +486,21 @@ def exact_duplicates_keep_first(spark, sf):
     return merge.keep_first(D.table(spark, sf, "documents").select("doc_id", "text"), "text", "doc_id").select("doc_id", "text")
 
 
+@query("SELECT printf('shard 1: embedding has %d to %d values instead of %d', min(len(embedding)) - 1, max(len(embedding)), max(len(embedding))) AS problem FROM embeddings UNION ALL SELECT 'shard 2: columns [''paper_id'', ''row_index''] instead of [''embedding'', ''paper_id'', ''row_index'']'")
+def incompatible_shards(spark, sf):
+    first, second = D.shards(spark, sf)
+    cut = second.withColumn("embedding", F.when(F.col("row_index") % 7 == 3, F.slice("embedding", F.lit(1), F.size("embedding") - 1)).otherwise(F.col("embedding")))
+    return spark.createDataFrame([(p,) for p in merge.incompatibilities([first, cut, first.drop("embedding")])], "problem string")
+
+
+@query(f"WITH {D.SHARDS_SQL}, u AS (SELECT count(DISTINCT paper_id) AS n FROM shards) SELECT CASE shard WHEN 0 THEN 'first' ELSE 'second' END AS filename, count(*) AS rows, (SELECT count(*) FROM shards) AS total_rows, (SELECT n FROM u) AS merged_rows, (SELECT count(*) FROM shards) - (SELECT n FROM u) AS duplicates FROM shards GROUP BY shard")
+def merge_manifest(spark, sf):
+    shards, path = D.shards(spark, sf), D.folder(spark)
+    merge.merge(shards).write.parquet(path)
+    one = merge.manifest(shards, ["first", "second"], merge.assert_equal_lengths(spark.read.parquet(path)))
+    return one.select(F.explode("file_details").alias("f"), "merge_info").select("f.filename", "f.rows", "merge_info.total_rows", "merge_info.merged_rows", "merge_info.duplicates")
+
+
 _IDS = "src AS (SELECT DISTINCT CAST(doc_id AS VARCHAR) AS paper_id FROM documents), sto AS (SELECT DISTINCT CAST(doc_id AS VARCHAR) AS paper_id FROM labels)"
 
 
@@ -420,6 +540,13 @@ def failed_ids_from_logs(spark, sf):
     return stores.failed_ids(D.log_lines(spark, sf))
 
 
+@query("SELECT DISTINCT CAST(event_id AS VARCHAR) AS paper_id FROM events WHERE event_type = 'error'")
+def log_file_scan(spark, sf):
+    path = D.folder(spark)
+    D.log_lines(spark, sf).write.text(f"{path}/log")
+    return stores.failed_ids(stores.read_logs(spark, [f"{path}/log", f"{path}/missing.log"]))
+
+
 @query(f"WITH {_IDS}, m AS (SELECT paper_id FROM src EXCEPT SELECT paper_id FROM sto) SELECT paper_id FROM m UNION SELECT CAST(event_id AS VARCHAR) FROM events WHERE event_type = 'error'")
 def all_failed_ids(spark, sf):
     return reconcile.all_failed(reconcile.missing_ids(D.source_ids(spark, sf), D.stored_ids(spark, sf)), stores.failed_ids(D.log_lines(spark, sf)))
@@ -454,14 +581,34 @@ def import_range(spark, sf):
     return p.select("point_id", F.col("payload.paper_id").alias("paper_id"), F.col("payload.title").alias("title"), F.col("payload.categories").alias("categories"), F.col("payload.journal_ref").alias("journal_ref"))
 
 
-@query(
-    """WITH s AS (SELECT vec_id AS point_id, 'old' AS version, label FROM embeddings), n AS (SELECT vec_id * 2 AS point_id, 'new' AS version, label FROM embeddings)
-SELECT * FROM s WHERE point_id NOT IN (SELECT point_id FROM n) UNION ALL SELECT * FROM n"""
-)
-def upsert_points(spark, sf):
+_UPSERT = """s AS (SELECT vec_id AS point_id, 'old' AS version, label FROM embeddings), n AS (SELECT vec_id * 2 AS point_id, 'new' AS version, label FROM embeddings UNION ALL SELECT vec_id * 2, 'newer', label + 1 FROM embeddings WHERE label < 5),
+l AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY point_id ORDER BY version DESC) = 1), u AS (SELECT * FROM s WHERE point_id NOT IN (SELECT point_id FROM l) UNION ALL SELECT * FROM l)"""
+
+
+def _upsert(spark, sf):
+    """Stored points, and new ones with some keys twice."""
     e = D.table(spark, sf, "embeddings")
-    stored = e.select(F.col("vec_id").alias("point_id"), F.lit("old").alias("version"), "label")
-    return collection.upserted(stored, e.select((F.col("vec_id") * 2).alias("point_id"), F.lit("new").alias("version"), "label"))
+    twice = e.where("label < 5").select((F.col("vec_id") * 2).alias("point_id"), F.lit("newer").alias("version"), (F.col("label") + 1).alias("label"))
+    return e.select(F.col("vec_id").alias("point_id"), F.lit("old").alias("version"), "label"), e.select((F.col("vec_id") * 2).alias("point_id"), F.lit("new").alias("version"), "label").unionAll(twice)
+
+
+@query(f"WITH {_UPSERT} SELECT * FROM u")
+def upsert_points(spark, sf):
+    return collection.upserted(*_upsert(spark, sf), order="version")
+
+
+@query(f"WITH {_UPSERT} SELECT version, count(*) AS n, CAST(sum(point_id) AS BIGINT) AS points, CAST(sum(label) AS BIGINT) AS labels, 'dot' AS metric FROM u GROUP BY version")
+def collection_table(spark, sf):
+    """A collection that is created, upserted twice, read and dropped; a few sums of it come back."""
+    stored, new = _upsert(spark, sf)
+    name = f"corvane_points_{uuid.uuid4().hex}"
+    collection.create(spark, name, stored, metric="dot")
+    collection.upsert(spark, name, stored)
+    collection.upsert(spark, name, new, order="version")
+    sums = spark.table(name).groupBy("version").agg(F.count(F.lit(1)).alias("n"), F.sum("point_id").alias("points"), F.sum("label").cast("long").alias("labels")).collect()  # a row a version
+    rows = [(*r, collection.metric_of(spark, name)) for r in sums]
+    spark.sql(f"DROP TABLE {name}")
+    return spark.createDataFrame(rows, "version string, n bigint, points bigint, labels bigint, metric string")
 
 
 @query("SELECT vec_id AS point_id, label FROM embeddings WHERE vec_id > 99 ORDER BY vec_id LIMIT 100")
@@ -489,6 +636,11 @@ def mismatched_parts(spark, sf):
     return stores.mismatched_parts(*_parts(spark, sf))
 
 
+@query(f"WITH {_PARTS}, {D.QUERY_SQL}, g AS (SELECT a.part, pos, a.paper_id FROM a JOIN b USING (part, pos) WHERE a.part NOT IN (SELECT a.part FROM a JOIN b USING (part, pos) WHERE a.paper_id <> b.paper_id)), s AS (SELECT paper_id, list_cosine_similarity(CAST(embedding AS DOUBLE[]), q) AS score FROM g JOIN embeddings ON vec_id = pos CROSS JOIN qv), t AS (SELECT * FROM s ORDER BY score DESC, paper_id LIMIT {K}) SELECT paper_id, round(score, 6) AS score, row_number() OVER (ORDER BY score DESC, paper_id) AS rank FROM t")
+def topk_parts(spark, sf):
+    return _hits(search.search_parts(*_parts(spark, sf), D.query_vector(spark, sf), K))
+
+
 @query(f"WITH {D.SHARDS_SQL} SELECT paper_id AS id, max(row_index) AS row_index FROM shards GROUP BY paper_id")
 def id_to_index(spark, sf):
     first, second = D.shards(spark, sf)
@@ -511,10 +663,33 @@ def token_pooling(spark, sf):
     return flat.select("paper_id", (F.col("dim") + 1).cast("long").alias("dim"), F.round(F.col("e.last").cast("double"), 6).alias("last_token"), F.round("e.mean", 6).alias("mean"))
 
 
-@query(f"WITH {D.CORPUS_SQL} SELECT paper_id, round(sqrt(list_sum(list_transform(t, lambda x: x * x))), 6) AS title_norm, round(sqrt(list_sum(list_transform(ab, lambda x: x * x))), 6) AS abstract_norm, round({_PAIR}, 6) AS similarity FROM pv")
+@query(f"WITH {D.CORPUS_SQL} SELECT paper_id, round(sqrt(list_sum(list_transform(t, lambda x: x * x))), 6) AS title_norm, round(sqrt(list_sum(list_transform(ab, lambda x: x * x))), 6) AS abstract_norm, round({_PAIR}, 6) AS similarity FROM pv ORDER BY md5(paper_id), paper_id LIMIT 100")
 def export_rows(spark, sf):
-    c = D.corpus(spark, sf)
-    return _rounded(c.select("paper_id", V.norm("title_embedding").alias("title_norm"), V.norm("abstract_embedding").alias("abstract_norm"), V.cosine("title_embedding", "abstract_embedding").alias("similarity")))
+    return _rounded(sinks.sample_rows(D.corpus(spark, sf)))
+
+
+@query("SELECT count(*) AS rows, count(DISTINCT vec_id) AS ids, 2 * count(*) AS stored, 2 * count(*) AS positions, 2 * count(*) - 1 AS last FROM embeddings")
+def appended_parts(spark, sf):
+    """Two appends of part files of bounded size, read back with the places that the files give."""
+    path, first = D.folder(spark), D.shards(spark, sf)[0]
+    sinks.append_vectors(first.select("paper_id", "embedding"), path, rows_per_file=100)
+    sinks.append_vectors(first.select("paper_id", "embedding"), path)
+    store = stores.read_store(spark, path)
+    return store.agg((F.count(F.lit(1)) / 2).cast("long").alias("rows"), F.count_distinct("paper_id").alias("ids"), F.count(F.lit(1)).alias("stored"), F.count_distinct("row_index").alias("positions"), F.max("row_index").alias("last"))
+
+
+@query("SELECT CAST(vec_id AS VARCHAR) AS paper_id, row_number() OVER (ORDER BY label, CAST(vec_id AS VARCHAR)) + 6 AS row_index FROM embeddings")
+def store_positions(spark, sf):
+    rows = D.table(spark, sf, "embeddings").select(F.col("vec_id").cast("string").alias("paper_id"), "label")
+    return stores.with_positions(rows, "label", start=7, width=2).select("paper_id", "row_index")
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS paper_id FROM labels")
+def id_list_files(spark, sf):
+    path = D.folder(spark)
+    sinks.write_ids(D.stored_ids(spark, sf), path)
+    text, csv = spark.read.text(f"{path}/txt").withColumnRenamed("value", "paper_id"), spark.read.option("header", True).csv(f"{path}/csv")
+    return text.intersect(csv).intersect(spark.read.schema("paper_id string").json(f"{path}/json"))
 
 
 @query("SELECT event_id, 'run_' || strftime(ts, '%Y%m%d_%H%M%S') || '.parquet' AS name FROM events")
@@ -570,6 +745,12 @@ def sample_quartiles(spark, sf):
     return sampling.quartiles(_sampled(spark, sf, "exponential_decay"), total, "vec_id")
 
 
+@query(f"WITH s AS ({_sample_sql(_EXPONENTIAL)}) SELECT count(*) AS n, round(avg(vec_id), 6) AS mean_position, round(avg(vec_id) / ((SELECT count(*) FROM embeddings) - 1), 6) AS share FROM s")
+def sample_mean_position(spark, sf):
+    total = D.table(spark, sf, "embeddings").count()
+    return _rounded(sampling.mean_position(_sampled(spark, sf, "exponential_decay"), total, "vec_id"))
+
+
 @query(f"WITH s AS ({_sample_sql(_LINEAR)}), m AS (SELECT count(*) AS n FROM embeddings) SELECT CAST(least(vec_id // greatest(1, n // 20), 19) AS INTEGER) AS bin, count(*) AS n FROM s CROSS JOIN m GROUP BY 1")
 def sample_density(spark, sf):
     total = D.table(spark, sf, "embeddings").count()
@@ -605,27 +786,28 @@ def download_manifest(spark, sf):
     return stores.download_manifest(spark, have=have)
 
 
-def _escaped(c: Column) -> Column:
-    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
-        c = F.replace(c, F.lit(a), F.lit(b))
-    return c
+_SHRED_SQL = "SELECT " + ", ".join(f"{D.ARTICLE_SQL[c]} AS {c}" for c in PUBMED_COLUMNS) + " FROM documents"
 
 
-_SHRED = {"PMID": "CAST(doc_id AS VARCHAR)", "pub_date": "'2024//' || lang", "ArticleTitle": "split_part(text, ' ', 1)", "Authorname": "source || ' ' || lang || '/' || lang || ' '", "Initials": "'/' || lang", "Affiliation": "source || ';' || lang || '/'", "Keywords_MajorTopicY": "lang || '/' || source", "Keywords_MajorTopicN": "'z'", "Abstract": "source || '/'", "PublicationStatus": "'ppublish'", "doi": "'10/' || doc_id", "pubmedid": "''"}
+@query(_SHRED_SQL)
+def pubmed_shred(spark, sf):
+    return pubmed.shred(D.articles(spark, sf)).select(*PUBMED_COLUMNS)
 
 
-@query("SELECT " + ", ".join(f"{_SHRED.get(c, chr(39) * 2)} AS {c}" for c in PUBMED_COLUMNS) + " FROM documents")
-def pubmed_shred(spark, sf):
-    d = D.table(spark, sf, "documents")
-    word = _escaped(F.split_part("text", F.lit(" "), F.lit(1)))
-    xml = F.concat(
-        F.lit("<PubmedArticle><MedlineCitation><PMID>"), F.col("doc_id").cast("string"), F.lit("</PMID><Article><Journal><JournalIssue><PubDate><Year>2024</Year><Day>"), F.col("lang"), F.lit("</Day></PubDate></JournalIssue></Journal><ArticleTitle>"), word,
-        F.lit("<i>more</i> text</ArticleTitle><Abstract><AbstractText>"), F.col("source"), F.lit("</AbstractText><AbstractText/></Abstract><AuthorList><Author><LastName>"), F.col("source"), F.lit("</LastName><ForeName>"), F.col("lang"),
-        F.lit("</ForeName><AffiliationInfo><Affiliation>"), F.col("source"), F.lit("</Affiliation></AffiliationInfo><AffiliationInfo><Affiliation>"), F.col("lang"), F.lit("</Affiliation></AffiliationInfo></Author><Author><LastName>"), F.col("lang"), F.lit("</LastName><Initials>"), F.col("lang"),
-        F.lit("</Initials></Author></AuthorList></Article><KeywordList><Keyword MajorTopicYN='Y'>"), F.col("lang"), F.lit("</Keyword><Keyword MajorTopicYN='N'>z</Keyword><Keyword MajorTopicYN='Y'>"), F.col("source"),
-        F.lit("</Keyword></KeywordList></MedlineCitation><PubmedData><PublicationStatus>ppublish</PublicationStatus><ArticleIdList><ArticleId IdType='doi'>10/"), F.col("doc_id").cast("string"), F.lit("</ArticleId></ArticleIdList></PubmedData></PubmedArticle>"),
-    )
-    return pubmed.shred(d.select(F.lit("f").alias("file"), xml.alias("value"))).select(*PUBMED_COLUMNS)
+@query("SELECT CAST(doc_id AS VARCHAR) AS PMID, '10/' || doc_id AS doi, text || '//' || source AS Abstract, 'D' || doc_id || '/' AS Citatio_doi FROM documents")
+def article_files(spark, sf):
+    path = D.folder(spark)
+    D.articles(spark, sf).select("value").write.option("compression", "gzip").text(path, lineSep="\n\n")
+    return pubmed.read_articles(spark, path, strict_ids=True).where("error is null").select("PMID", "doi", "Abstract", "Citatio_doi")
+
+
+@query("SELECT count(*) FILTER (WHERE source <> 'src7') AS ok, count(*) FILTER (WHERE source = 'src7') AS failed FROM documents")
+def article_file_report(spark, sf):
+    damaged = D.articles(spark, sf).select(F.when(F.contains("value", F.lit("<Agency>src7</Agency>")), F.replace("value", F.lit("</Agency>"), F.lit("</Agenc>"))).otherwise(F.col("value")).alias("value"))
+    path = D.folder(spark)
+    damaged.write.text(path)
+    report = pubmed.file_report(pubmed.read_articles(spark, path))
+    return report.agg(F.sum("ok").alias("ok"), F.sum("failed").alias("failed"))
 
 
 @query()
@@ -649,3 +831,45 @@ def reembedding_audit(spark, sf):
 @query()
 def pca_2d(spark, sf):
     return quality.principal_components(D.corpus(spark, sf), "title_embedding")
+
+
+def _server():
+    """A model server that is busy at each text's first request and cannot take texts of some lengths."""
+    import io
+    import json
+    import urllib.error
+
+    seen = set()
+
+    def open_url(request, timeout):
+        body = request.data.decode()
+        text = json.loads(body)["input"]
+        if len(text) % 5 == 0:
+            raise urllib.error.HTTPError(request.full_url, 500, "no", {}, None)
+        if body not in seen:
+            seen.add(body)
+            raise urllib.error.HTTPError(request.full_url, 429, "busy", {}, None)
+        return io.BytesIO(json.dumps({"data": [{"embedding": [float(len(text)), 1.0]}]}).encode())
+
+    return embed.HttpEmbedder("http://localhost/", delay=0, open_url=open_url)
+
+
+@query(f"""WITH {D.PAPERS_SQL}, l AS (SELECT id, length('Title: ' || title) AS t, length('Abstract: ' || abstract) AS a FROM papers)
+SELECT id AS paper_id, CASE WHEN t % 5 = 0 OR a % 5 = 0 THEN NULL ELSE CAST(t AS DOUBLE) END AS title_length, CASE WHEN t % 5 = 0 OR a % 5 = 0 THEN NULL ELSE CAST(a AS DOUBLE) END AS abstract_length, t % 5 = 0 OR a % 5 = 0 AS failed FROM l""")
+def served_embedding(spark, sf):
+    found = embed.embed_papers(D.papers(spark, sf), _server, concurrency=4)
+    return found.select("paper_id", F.get("title_embedding", F.lit(0)).cast("double").alias("title_length"), F.get("abstract_embedding", F.lit(0)).cast("double").alias("abstract_length"), F.col("error").isNotNull().alias("failed"))
+
+
+@query(f"WITH {_DEFECTS}, v AS (SELECT id, length('Abstract: ' || text) AS a FROM j WHERE lang = 'en' AND text <> '') SELECT id AS paper_id, 'stored' AS state FROM v WHERE a % 5 <> 0 UNION ALL SELECT id, 'failed' FROM v WHERE a % 5 = 0")
+def stream_embedding(spark, sf):
+    """Files that arrive in two runs of a stream; the store has dense places."""
+    path = D.folder(spark)
+    for turn in (0, 1):
+        D.json_lines(spark, sf).where(F.col("row_index") % 2 >= 1 - turn).select("value").write.mode("append").text(f"{path}/in")
+        incremental.embed_stream(incremental.paper_stream(spark, f"{path}/in"), f"{path}/store", f"{path}/failed", f"{path}/checkpoint", _server).awaitTermination()
+    store = spark.read.parquet(f"{path}/store")
+    n, last = store.agg(F.count_distinct("row_index"), F.max("row_index")).first()
+    assert n == last + 1
+    failed = incremental.still_failed(spark, f"{path}/store", f"{path}/failed")
+    return store.select("paper_id", F.lit("stored").alias("state")).unionAll(failed.select("paper_id", F.lit("failed").alias("state")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -12,6 +14,20 @@ SETTINGS = {
 }
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; a local session without one gets a temporary folder."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        found = _local.setdefault("folder", None) or tempfile.mkdtemp(prefix="corvane-")
+        _local["folder"] = found
+    return found.rstrip("/")
+
+
+_local: dict[str, str | None] = {}
+
+
 def session(name: str = "corvane", master: str | None = None, **more: str) -> SparkSession:
     """``master`` and ``more`` (dots written as double underscores) are for local runs; a cluster sets its own."""
     builder = SparkSession.builder.appName(name).config(map=SETTINGS | {k.replace("__", "."): v for k, v in more.items()})

@@ -48,13 +48,13 @@ def write_ids(ids: DataFrame, folder: str, column: str = "paper_id") -> None:
 
 def sample_rows(vectors: DataFrame, n: int = 100) -> DataFrame:
     """paper_id, norms and similarity of a reproducible sample, for export."""
-    some = vectors.orderBy(F.xxhash64("paper_id"), "paper_id").limit(n)
+    some = vectors.orderBy(F.md5(F.col("paper_id").cast("binary")), "paper_id").limit(n)
     return some.select("paper_id", V.norm("title_embedding").alias("title_norm"), V.norm("abstract_embedding").alias("abstract_norm"), V.cosine("title_embedding", "abstract_embedding").alias("similarity"))
 
 
 def export_sample(vectors: DataFrame, folder: str, n: int = 100) -> None:
     sample_rows(vectors, n).write.mode("overwrite").option("header", True).csv(f"{folder}/csv")
-    vectors.orderBy(F.xxhash64("paper_id"), "paper_id").limit(n).write.mode("overwrite").parquet(f"{folder}/vectors")
+    vectors.orderBy(F.md5(F.col("paper_id").cast("binary")), "paper_id").limit(n).write.mode("overwrite").parquet(f"{folder}/vectors")
 
 
 def metadata_sidecar(papers: DataFrame, info: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from corvane.functions import text as X
 from corvane.functions import vector as V
 from corvane.operators import collection, compare, embed, merge, profile, quality, reconcile, sampling, search
-from corvane.sources import sinks
+from corvane.sources import sinks, stores
 from corvane.streaming import incremental
 
 
@@ -45,6 +45,36 @@ def test_many_queries_equal_single_ones(spark, corpus):
             assert hits(found.where(F.col("query_id") == q["query_id"])) == hits(search.search(corpus, list(q["q"]), 2, "abstract"))
 
 
+def test_nulls_and_what_is_no_number_are_no_hits_in_any_search(spark):
+    nan = float("nan")
+    rows = [("a", [1.0, 0.0], 0), ("b", None, 1), ("c", [nan, 1.0], 2), ("d", [0.0, 2.0], 3), ("e", [1.0], 4), ("f", [0.0, 0.0], 5), (None, [1.0, 0.0], 6), ("g", [], 7)]
+    corpus = spark.createDataFrame(rows, "paper_id string, title_embedding array<float>, row_index long").withColumn("abstract_embedding", F.col("title_embedding"))
+    queries = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, 1.0]), (4, [nan, 0.0]), (5, [2.0]), (None, [1.0, 0.0])], "query_id int, q array<float>")
+    want = {1: [("a", 1.0), ("d", 0.0), ("f", 0.0)], 3: [("d", 1.0), ("a", 0.0), ("f", 0.0)], 5: [("e", 1.0)]}
+    for parts, k, size in ((1, 3, 64 << 20), (4, 3, 1), (1, 10, 64 << 20), (4, 10, 1)):
+        found = search.multi_search(corpus.repartition(parts), queries, k, query_bytes=size).orderBy("query_id", "rank").collect()
+        got = {}
+        for r in found:
+            got.setdefault(r["query_id"], []).append((r["paper_id"], r["score"]))
+        assert got == want
+    named = corpus.where("paper_id is not null")
+    for metric, best in (("cosine", ["a", "d", "f"]), ("dot", ["a", "d", "f"]), ("euclidean", ["a", "f", "d"])):
+        one = [r["paper_id"] for r in search.search(named, [1.0, 0.0], 10, metric=metric).orderBy("rank").collect()]
+        many = [r["paper_id"] for r in search.multi_search(named, queries.where("query_id = 1"), 10, metric=metric).orderBy("rank").collect()]
+        assert one == many == best
+    assert [h[0] for h in hits(search.search_combined(named, [1.0, 0.0], 10))] == ["a", "d", "f"] == [h[0] for h in hits(search.search_candidates(named, [1.0, 0.0], 10))]
+
+
+def test_dimension_statistics_of_uneven_vectors(spark):
+    r = np.random.default_rng(2)
+    vectors = [r.normal(size=int(n)).tolist() for n in r.integers(0, 6, 300)] + [None]
+    found = quality.dimension_stats(spark.createDataFrame([(v,) for v in vectors], "v array<double>").repartition(5), "v").orderBy("dim").collect()
+    for d, row in enumerate(found):
+        x = np.array([v[d] for v in vectors if v and len(v) > d])
+        assert row["dim"] == d + 1 and np.allclose([row["mean"], row["std"], row["least"], row["largest"]], [x.mean(), x.std(), x.min(), x.max()])
+    assert len(found) == 5
+
+
 def test_metadata_of_hits(spark, corpus):
     papers = spark.createDataFrame([("a", "T")], "id string, title string")
     rows = search.with_metadata(search.search(corpus, [1.0, 0.0], 2), papers, ("title",)).orderBy("rank").collect()
@@ -129,6 +159,63 @@ def test_collection_table(spark):
     spark.sql("DROP TABLE points_test")
 
 
+def test_an_upsert_that_is_broken_off_loses_nothing(spark):
+    name, rows = "points_broken", spark.createDataFrame([(1, "a"), (2, "b")], "point_id long, v string")
+    collection.create(spark, name, rows, recreate=True, metric="euclidean")
+    collection.upsert(spark, name, rows)
+    later = spark.createDataFrame([(2, "B")], "point_id long, v string")
+    # the next version is there, whole, and the old one is gone
+    collection.upserted(spark.table(name), later).write.saveAsTable(f"{name}__next")
+    spark.sql(f"DROP TABLE {name}")
+    collection.upsert(spark, name, spark.createDataFrame([(3, "c")], "point_id long, v string"))
+    assert {tuple(r) for r in spark.table(name).collect()} == {(1, "a"), (2, "B"), (3, "c")}
+    # the next version is there beside the old one, or only a part of its files is
+    spark.createDataFrame([(9, "half")], "point_id long, v string").write.saveAsTable(f"{name}__next")
+    collection.upsert(spark, name, later.limit(0))
+    path, _ = collection._table_folder(spark, f"{name}__next")
+    spark.createDataFrame([(9, "half")], "point_id long, v string").write.parquet(path.toString())
+    collection.upsert(spark, name, later.limit(0))
+    assert spark.table(name).count() == 3 and not spark.catalog.tableExists(f"{name}__next")
+    assert not collection.create(spark, name, rows) and collection.metric_of(spark, name) in ("euclidean", "cosine")
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_the_last_row_of_a_key_is_upserted(spark):
+    stored = spark.createDataFrame([(1, "a"), (2, "b")], "point_id long, v string")
+    new = spark.createDataFrame([(2, "x"), (3, "p"), (2, "y"), (3, "q"), (3, None)], "point_id long, v string").coalesce(1)
+    assert {tuple(r) for r in collection.upserted(stored, new).collect()} == {(1, "a"), (2, "y"), (3, None)}
+    assert {tuple(r) for r in collection.upserted(stored, new.where("v is not null"), order="v").collect()} == {(1, "a"), (2, "y"), (3, "q")}
+
+
+def test_positions(spark, tmp_path):
+    rows = spark.createDataFrame([(f"p{i}", (i * 7919) % 1000 * 1_000_003) for i in range(1000)], "paper_id string, line long")
+    placed = stores.with_positions(rows.repartition(7), "line", start=5, width=10_000_000).orderBy("row_index").collect()
+    assert [r["row_index"] for r in placed] == list(range(5, 1005)) and [r["line"] for r in placed] == sorted(r["line"] for r in placed)
+    path = str(tmp_path / "store")
+    assert stores.next_position(spark, path) == 0
+    rows.repartition(4).write.parquet(path)
+    rows.repartition(3).write.mode("append").parquet(path)
+    assert sorted(r["row_index"] for r in stores.read_store(spark, path).collect()) == list(range(2000)) and stores.next_position(spark, path) == 2000
+    with pytest.raises(ValueError, match="none of a store"):
+        sampling.sample(rows.select(F.monotonically_increasing_id().alias("row_index")).repartition(3).select((F.col("row_index") * 1000 + 1).alias("row_index")), 10, "exponential_decay")
+    assert sampling.mean_position(spark.range(11).withColumnRenamed("id", "row_index"), 11).first()["share"] == 0.5
+    with pytest.raises(ValueError, match="v: not one vector"):
+        merge.assert_equal_lengths(spark.createDataFrame([([1.0],), ([1.0, 2.0],)], "v array<double>"))
+
+
+def test_fetching_files(spark, tmp_path):
+    def opener(url):
+        if url.endswith("0002.xml.gz"):
+            raise OSError("gone")
+        return url.encode()
+
+    wanted = stores.download_manifest(spark, 1, 3)
+    for _ in range(2):  # what is there isn't fetched again
+        done = stores.fetch(wanted, "http://host/base/", str(tmp_path), 2, opener)
+        assert stores.fetch_report(done).first().asDict() == {"succeeded": 2, "failed": 1, "bytes": 2 * len("http://host/base/pubmed25n0001.xml.gz")}
+    assert {p.name for p in tmp_path.iterdir()} == {"pubmed25n0001.xml.gz", "pubmed25n0003.xml.gz"}
+
+
 class Answers:
     def __init__(self, *answers):
         self.answers, self.calls = list(answers), 0
@@ -155,6 +242,20 @@ def test_requests_are_tried_again():
     assert embed.HttpEmbedder("http://x/", api="tei", delay=0, retry_status=True, open_url=tei)("t") == [2.0]
 
 
+def test_last_token_of_a_transformers_model():
+    class Model:
+        def __call__(self, **tokens):
+            states = np.arange(12.0).reshape(1, 4, 3)
+            return type("Out", (), {"last_hidden_state": states})()
+
+    def tokenizer(texts, **more):
+        return {"input_ids": np.zeros((1, 4)), "attention_mask": np.array([[1, 1, 1, 0]])}
+
+    found = embed.TransformersEmbedder("m", load=lambda name: (tokenizer, Model()))("text")
+    assert np.allclose(found, np.array([6.0, 7.0, 8.0]) / np.linalg.norm([6.0, 7.0, 8.0]))
+    assert embed.WordCounter("/no/such/file")("one two  three") == embed.WordCounter()("one two three") == 3
+
+
 @pytest.fixture
 def fussy():
     def make():  # made here, so that workers get it by value
@@ -194,6 +295,8 @@ def test_stream_stores_each_paper_once(spark, tmp_path, fussy):
     run()
     assert sorted(r["paper_id"] for r in spark.read.parquet(store).collect()) == ["a", "b", "c"]
     assert [r["paper_id"] for r in spark.read.parquet(failed).collect()] == ["x"]
+    assert sorted(r["row_index"] for r in spark.read.parquet(store).collect()) == [0, 1, 2]
+    assert [tuple(r) for r in incremental.still_failed(spark, store, failed).collect()] == [("x", "ValueError: bad text")]
 
 
 def test_agreement_and_texts(spark):
