@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BINARY, LONG, Scratch, mapped, schema
+from .common import BINARY, LONG, Scratch, few_of, mapped, schema
 from .components import components
 
 WORDS, PERCENT = 5, 80
@@ -160,8 +160,8 @@ def _band_keys() -> F.Column:
 SETS = schema(id=LONG, shingles=T.ArrayType(LONG))
 
 
-def _full_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """id and shingle hashes of the documents with these ids."""
+def _full_sets(docs: DataFrame, ids: DataFrame, words: int, n: int | None = None) -> DataFrame:
+    """id and shingle hashes of the documents with these ids, a written table of ``n`` rows."""
 
     def work(frames):
         hashes = WordHashes()
@@ -175,8 +175,8 @@ def _full_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
             values = np.concatenate(sets) if sets else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([frame.column("id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], names=SETS.names)
 
-    wanted = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
-    return mapped(wanted, work, SETS)
+    whole = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    return mapped((whole if n is None else few_of(whole, "id", ids, n)).join(ids, "id", "left_semi"), work, SETS)
 
 
 PAIRS = schema(a=LONG, b=LONG)
@@ -369,7 +369,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     leaders = scratch.keep(_most_crowded(crowded))
     members = scratch.keep(crowded.join(leaders, "key"))
     scratch.drop(shared, crowded, leaders)
-    sets = scratch.keep(_full_sets(docs, members.select(F.col("rep").alias("id")).distinct(), words))
+    ids = scratch.keep(members.select(F.col("rep").alias("id")).distinct())
+    known = ids.count()
+    sets = scratch.keep(_full_sets(docs, ids, words, known))
+    sketch = scratch.keep(few_of(sketch, "rep", ids, known).join(ids.withColumnRenamed("id", "rep"), "rep", "left_semi"))
 
     labels = None  # rep, comp of the classes that are not their component's least
     tried = None

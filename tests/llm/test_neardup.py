@@ -168,3 +168,16 @@ def test_edges(edge_docs, no_docs):
     assert N.near_duplicates(no_docs).count() == 0
     kept = N.keep_one(edge_docs)
     assert kept.columns == edge_docs.columns and kept.count() == 8
+
+
+@pytest.mark.parametrize("most", [1 << 15, 1 << 29])
+def test_few_of_loses_none(spark, monkeypatch, most):
+    from corvane.llm import common
+
+    monkeypatch.setattr(common, "MOST_BITS", most)
+    ids = Scratch(spark).keep(spark.range(0, 90_000, 30).withColumnRenamed("id", "k"))
+    rows = spark.range(100_000).select((F.col("id") - 5000).alias("rep"), F.lit("x").alias("_row_of"))
+    stay = {r[0] for r in common.few_of(rows, "rep", ids, ids.count()).select("rep").collect()}
+    wanted = {k for k in range(0, 90_000, 30)}
+    assert wanted <= stay and (len(stay) < 1.2 * len(wanted)) == (most > 1 << 15)
+    assert common.few_of(rows, "rep", Scratch(spark).keep(ids.limit(0)), 0).count() == 0
