@@ -156,10 +156,10 @@ def few_of(df: DataFrame, column: str, ids: DataFrame, n: int) -> DataFrame:
     """The rows of ``df`` whose ``column`` may be among the ``n`` values of the first column of ``ids``, a written table.
 
     None that is among them is lost, and nearly none of the others stays: a bitmap of the values' hashes with
-    16 bits a value, MOST_BITS at most, is broadcast. So a join with ``ids`` after it shuffles few rows. With
-    more than MOST_BITS / 16 values more of the others stay; the result of the join is the same.
+    128 bits a value, MOST_BITS at most, is broadcast. So a join with ``ids`` after it shuffles few rows. With
+    more than MOST_BITS / 128 values more of the others stay; the result of the join is the same.
     """
-    rows = max(1, min(MOST_BITS, 1 << (16 * max(1, n) - 1).bit_length()) // _ROW_BITS)
+    rows = max(1, min(MOST_BITS, 1 << (128 * max(1, n) - 1).bit_length()) // _ROW_BITS)
     place = F.pmod(F.xxhash64(F.col(ids.columns[0])), F.lit(rows * _ROW_BITS))
     bits = ids.select(place.alias("_p")).groupBy(F.expr(f"_p div {_ROW_BITS}").alias("_row")).agg(F.bitmap_construct_agg(F.expr(f"_p % {_ROW_BITS}")).alias("_bits"))
     own = F.pmod(F.xxhash64(F.col(column)), F.lit(rows * _ROW_BITS))
