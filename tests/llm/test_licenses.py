@@ -76,3 +76,24 @@ def test_long_lines_take_linear_time():
     for line in (" and ".join(["MIT"] * 100_000), "(MIT or " * 100_000 + "MIT" + ")" * 100_000, "(" * 200_000, "SPDX-License-Identifier: MIT " * 20_000, "MIT" + " !" * 200_000):
         L.scan_text("SPDX-License-Identifier: " + line, L.build_automaton())
     assert L.licences_in(["A", "B", "with", "C", "D", "with", "E", "or", "and"]) == ["a", "c", "e"]
+
+
+def test_all_labels_of_a_whole_table_equal_a_plain_scan(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    notices = [("spdx-license-identifier: (MIT or GPL-3.0-only) and Apache-2.0", 1), ("Licensed under CC BY-SA 4.0, all rights reserved", 2), ("redistribution and use in source and binary forms; ISC license", 3), ("License-Expression = EPL-2.0 with Classpath-exception-2.0", 4)]
+    rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+    rows += [(10**6 + k, f"{t[:200]} {notice} {t[200:400]}") for (k, (_, t)), (notice, _) in zip(enumerate(rows[:40]), notices * 10)]
+    got = {r["doc_id"]: r for r in L.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    phrases = L.BASE_PHRASES | {p: label for p, (label, _) in L.NOTICE_PHRASES.items()}
+    for doc, text in rows:
+        words = f" {' '.join(re.findall(r'[0-9a-z\x80-\U0010ffff]+', re.sub('[A-Z]', lambda m: m.group().lower(), text)))} "
+        want = {label for p, label in phrases.items() if f" {p} " in words}
+        for line in re.split("(?i)(?=spdx-license-identifier|license-expression)", text)[1:]:
+            found = re.match(r"[A-Za-z-]+[ \t\"']*[:=]([^\n]*)", line)
+            tokens = re.findall(r"[A-Za-z0-9][A-Za-z0-9.+-]*|[()]", found[1]) if found else []
+            for k, t in enumerate(tokens):  # the made lines above end where a word follows a word
+                if k and t not in "()" and tokens[k - 1] not in "()" and t.lower() not in L.PRECEDENCE and tokens[k - 1].lower() not in L.PRECEDENCE:
+                    break
+                if t not in "()" and t.lower() not in L.PRECEDENCE and (not k or tokens[k - 1].lower() != "with"):
+                    want.add(L.family(t))
+        assert set(filter(None, got[doc]["labels"].split(","))) == want, text
