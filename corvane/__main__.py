@@ -151,6 +151,8 @@ def do_import(spark: SparkSession, a) -> None:
 def do_articles(spark: SparkSession, a) -> None:
     rows = pubmed.read_articles(spark, a.input, a.strict_ids)
     sinks.write_parts_by_file(rows, a.out)
+    if a.workbooks:
+        _show(sinks.write_workbooks(spark.read.parquet(a.out), a.workbooks), None)
     _show(pubmed.file_report(spark.read.parquet(a.out)), None)
 
 
@@ -233,6 +235,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("stores", nargs="+")
     p.add_argument("--side", choices=["title", "abstract"], default="title")
     add("articles", do_articles, "input", "must_out").add_argument("--strict_ids", action="store_true")
+    commands.choices["articles"].add_argument("--workbooks", help="a shared folder for one XLSX workbook a file")
     p = add("manifest", do_manifest, "out")
     p.add_argument("--first", type=int, default=1)
     p.add_argument("--last", type=int, default=1274)

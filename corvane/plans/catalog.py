@@ -415,7 +415,7 @@ def fallback_ids(spark, sf):
 def sidecar_round_trip(spark, sf):
     path, p = D.folder(spark), D.papers(spark, sf)
     info = spark.createDataFrame([("hash", "32")], "model string, embedding_dim string")
-    sinks.write_json(sinks.metadata_sidecar(p, info), path)
+    sinks.write_sidecar(sinks.metadata_sidecar(p, info), path)
     read = S.read_sidecar(spark, path)
     each = read.select(F.explode("papers").alias("p"), "id_to_index", "embedding_info").select(F.get_json_object("p", "$.id").alias("id"), F.get_json_object("p", "$.abstract").alias("abstract"), "id_to_index", "embedding_info")
     return each.select("id", "abstract", F.element_at("id_to_index", F.col("id")).alias("row_index"), F.element_at("embedding_info", F.lit("model")).alias("model"))

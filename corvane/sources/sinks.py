@@ -20,6 +20,72 @@ def write_parts_by_file(rows: DataFrame, path: str, file: str = "file") -> None:
     rows.write.mode("overwrite").partitionBy(file).parquet(path)
 
 
+SHEET_ROWS = 1_048_575  # fixed value: what a sheet takes besides its header
+_SHEET_START = '<?xml version="1.0" encoding="UTF-8"?><worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>'
+_BOOK = {
+    "[Content_Types].xml": '<?xml version="1.0" encoding="UTF-8"?><Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/><Override PartName="/xl/worksheets/sheet1.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/></Types>',
+    "_rels/.rels": '<?xml version="1.0" encoding="UTF-8"?><Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="r1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/officeDocument" Target="xl/workbook.xml"/></Relationships>',
+    "xl/workbook.xml": '<?xml version="1.0" encoding="UTF-8"?><workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets><sheet name="Sheet1" sheetId="1" r:id="r1"/></sheets></workbook>',
+    "xl/_rels/workbook.xml.rels": '<?xml version="1.0" encoding="UTF-8"?><Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="r1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/worksheet" Target="worksheets/sheet1.xml"/></Relationships>',
+}  # fixed values: the parts of a workbook with one sheet
+
+
+def write_workbooks(rows: DataFrame, folder: str, file: str = "file") -> DataFrame:
+    """workbook, rows: one XLSX workbook a source file below ``folder``, which all executors see as a path.
+
+    The rows of a file are sorted together and written one by one, so no file is held whole. A file with
+    more rows than a sheet takes goes on in further workbooks. A workbook is written under another name and
+    then takes its own, so a task that is run again leaves whole ones. Cells are text; a null is an empty cell.
+    """
+    columns = [c for c in rows.columns if c != file]
+
+    def work(frames):
+        import os
+        import re
+        import time
+        import zipfile
+        from xml.sax.saxutils import escape
+
+        import pyarrow as pa
+
+        odd = re.compile("[^\t\n\r -\ud7ff\ue000-\ufffd\U00010000-\U0010ffff]")  # what XML cannot hold
+        made, now = [], None
+
+        def line(values):
+            return f"<row>{''.join(f'<c t=\"inlineStr\"><is><t xml:space=\"preserve\">{escape(odd.sub("", v or ""))}</t></is></c>' for v in values)}</row>".encode()
+
+        def close():
+            name, book, sheet, part, n = now
+            sheet.write(b"</sheetData></worksheet>")
+            sheet.close()
+            book.close()
+            os.replace(part, f"{folder}/{name}")
+            made.append((name, n))
+
+        for frame in frames:
+            for source, *values in zip(frame.column(0).to_pylist(), *(frame.column(i + 1).to_pylist() for i in range(len(columns)))):
+                if now is None or key != source or now[4] >= SHEET_ROWS:
+                    number = number + 1 if now is not None and key == source else 0
+                    if now is not None:
+                        close()
+                    key, name = source, f"{source}{f'.{number}' if number else ''}.xlsx"
+                    part = f"{folder}/{name}.{os.getpid()}.{time.time_ns()}.part"
+                    book = zipfile.ZipFile(part, "w", zipfile.ZIP_DEFLATED)
+                    for path, text in _BOOK.items():
+                        book.writestr(path, text)
+                    sheet = book.open("xl/worksheets/sheet1.xml", "w", force_zip64=True)
+                    sheet.write(_SHEET_START.encode() + line(columns))
+                    now = [name, book, sheet, part, 0]
+                now[2].write(line(values))
+                now[4] += 1
+        if now is not None:
+            close()
+        yield pa.RecordBatch.from_arrays([pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.int64())], names=["workbook", "rows"])
+
+    texts = rows.select(F.col(file).cast("string"), *[F.col(c).cast("string") for c in columns])
+    return texts.repartition(file).sortWithinPartitions(file).mapInArrow(work, "workbook string, rows bigint")
+
+
 def run_info(results: DataFrame, model: str, dim: int, prompt_name: str | None = None, batch_size: int = 50, method: str = "arrow_batches", created: str | None = None) -> DataFrame:
     """One row of counts and settings of an embedding run; results have ``error``, null where it worked."""
     ok, failed = F.count_if(F.col("error").isNull()), F.count_if(F.col("error").isNotNull())
@@ -57,12 +123,29 @@ def export_sample(vectors: DataFrame, folder: str, n: int = 100) -> None:
     vectors.orderBy(F.md5(F.col("paper_id").cast("binary")), "paper_id").limit(n).write.mode("overwrite").parquet(f"{folder}/vectors")
 
 
-def metadata_sidecar(papers: DataFrame, info: DataFrame) -> DataFrame:
+SIDECAR_PAPERS = 1_000_000  # that one document may hold
+
+
+def metadata_sidecar(papers: DataFrame, info: DataFrame, most: int = SIDECAR_PAPERS) -> DataFrame:
     """One row: papers, id_to_index, embedding_info, the nested document of small runs.
 
-    A document is one value; large runs keep papers and their row_index as a table instead.
+    A document is one value: with more than ``most`` papers it is a ValueError, and large runs keep papers
+    and their row_index as a table instead.
     """
+    if (n := papers.count()) > most:
+        raise ValueError(f"{n} papers are too many for one document of {most}; keep them as a table")
     fields = F.struct(*[c for c in papers.columns if c != "row_index"])
     listed = papers.agg(F.transform(F.array_sort(F.collect_list(F.struct("row_index", fields.alias("p")))), lambda s: s["p"]).alias("papers"))
     places = papers.groupBy("id").agg(F.max("row_index").alias("i")).agg(F.map_from_entries(F.collect_list(F.struct("id", "i"))).alias("id_to_index"))
     return listed.crossJoin(places).crossJoin(info.limit(1).select(F.struct("*").alias("embedding_info")))  # one row each
+
+
+def write_sidecar(sidecar: DataFrame, path: str) -> None:
+    """Writes the document to ``path`` + ``.temp`` and then gives it its name: a reader never meets a part of it."""
+    spark = sidecar.sparkSession
+    write_json(sidecar, f"{path}.temp")
+    part, whole = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (f"{path}.temp", path))
+    fs = whole.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(whole, True)
+    if not fs.rename(part, whole):
+        raise OSError(f"{path}.temp cannot be renamed")

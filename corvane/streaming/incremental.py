@@ -14,9 +14,13 @@ from ..sources.papers import parsed, valid
 from ..sources.stores import next_position, with_positions
 
 
-def paper_stream(spark: SparkSession, folder: str, files_at_once: int = 16) -> DataFrame:
-    """Valid papers of the JSON-line files that appear in a folder; files_at_once bounds a micro-batch."""
-    return valid(parsed(spark.readStream.option("maxFilesPerTrigger", files_at_once).text(folder)))
+def paper_stream(spark: SparkSession, folder: str, files_at_once: int | None = 16, bytes_at_once: str | None = None) -> DataFrame:
+    """Valid papers of the JSON-line files that appear in a folder.
+
+    A micro-batch is flushed with so many files, or with so many bytes of them (``512m``); one of both.
+    """
+    bound = ("maxBytesPerTrigger", bytes_at_once) if bytes_at_once else ("maxFilesPerTrigger", files_at_once or 16)
+    return valid(parsed(spark.readStream.option(*bound).text(folder)))
 
 
 def embed_stream(papers: DataFrame, store: str, failed: str, checkpoint: str, make: Callable[[], Embedder], concurrency: int = 1, once: bool = True) -> StreamingQuery:

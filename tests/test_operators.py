@@ -2,6 +2,8 @@ import io
 import json
 import math
 import urllib.error
+import zipfile
+from xml.etree import ElementTree
 
 import numpy as np
 import pytest
@@ -306,6 +308,33 @@ def test_agreement_and_texts(spark):
     assert tuple(row) == ("a b", "Title: a\nb", "a\nb", 0, "0%")
 
 
+def test_workbooks(spark, tmp_path, monkeypatch):
+    rows = [("f1", f"a{i}", None if i % 3 else 'x <&> "y"\x01\n z') for i in range(40)] + [("f2", "only", "")]
+    made = sinks.write_workbooks(spark.createDataFrame(rows, "file string, k string, v string").repartition(5), str(tmp_path))
+    assert {tuple(r) for r in made.collect()} == {("f1.xlsx", 40), ("f2.xlsx", 1)}
+    for name, want in (("f1", rows[:40]), ("f2", rows[40:])):
+        with zipfile.ZipFile(tmp_path / f"{name}.xlsx") as book:
+            assert book.testzip() is None and set(book.namelist()) == {*sinks._BOOK, "xl/worksheets/sheet1.xml"}
+            for part in book.namelist():
+                root = ElementTree.fromstring(book.read(part))
+        with zipfile.ZipFile(tmp_path / f"{name}.xlsx") as book:
+            root = ElementTree.fromstring(book.read("xl/worksheets/sheet1.xml"))
+        space = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+        cells = [[c.findtext(f"{space}is/{space}t") or "" for c in row] for row in root.iter(f"{space}row")]
+        assert cells[0] == ["k", "v"] and sorted(map(tuple, cells[1:])) == sorted((k, (v or "").replace("\x01", "")) for _, k, v in want)
+    assert not list(tmp_path.glob("*.part"))
+
+
+def test_a_sidecar_takes_its_name_when_it_is_whole(spark, tmp_path):
+    papers = spark.createDataFrame([("a", "T", 0), ("b", "U", 1)], "id string, title string, row_index long")
+    info = spark.createDataFrame([("m",)], "model string")
+    for _ in range(2):
+        sinks.write_sidecar(sinks.metadata_sidecar(papers, info), str(tmp_path / "meta"))
+    assert {p.name for p in tmp_path.iterdir()} == {"meta"} and spark.read.json(str(tmp_path / "meta")).count() == 1
+    with pytest.raises(ValueError, match="too many"):
+        sinks.metadata_sidecar(papers, info, most=1)
+
+
 def test_sinks(spark, tmp_path, corpus):
     out = str(tmp_path / "v")
     sinks.append_vectors(corpus, out, rows_per_file=1)
