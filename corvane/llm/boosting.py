@@ -69,13 +69,25 @@ class BoostedTrees:
         return score
 
     def calibrate(self, x: np.ndarray, y: np.ndarray, steps: int = 50) -> BoostedTrees:
-        """Platt scaling on rows that the trees were not grown on, by Newton steps."""
+        """Platt scaling on rows that the trees were not grown on, by Newton steps.
+
+        A step that would raise the loss is halved: where the trees tell all rows apart, whole steps run away
+        and would make every probability 0 or 1.
+        """
         z = np.stack([self.raw(x), np.ones(len(x))], axis=1)
         target = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
+
+        def loss(w):
+            m = z @ w
+            return (np.logaddexp(0, m) - target * m).sum()
+
         w = np.array([1.0, 0.0])
         for _ in range(steps):
             p = _sigmoid(z @ w)
-            w -= np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + 1e-3 * np.eye(2), z.T @ (p - target))
+            step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + 1e-3 * np.eye(2), z.T @ (p - target))
+            while np.abs(step).max() > 1e-12 and loss(w - step) > loss(w):
+                step = step / 2
+            w = w - step
         self.slope, self.shift = map(float, w)
         return self
 
