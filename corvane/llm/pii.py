@@ -2,7 +2,8 @@
 
 The base spans (emails, IPv4 addresses, payment cards, international phone numbers) are exact
 patterns and always stay. Beside them, generators propose overlapping candidates for national phone
-numbers, social-security numbers, account numbers, secrets, IPv6 and spelled-out emails. Each
+numbers, social-security numbers, account numbers, secrets, IPv6, spelled-out emails, and cards that
+other digits touch, which the exact pattern takes into one long number and drops. Each
 candidate gets format features (digits, letters, entropy, checksums, grouping) and context features
 (keywords before it, the characters around it). Boosted trees, grown on a synthetic labelled set
 that ``training_set`` makes from a seed, score it; a threshold for each kind, found on calibration
@@ -30,8 +31,9 @@ from .boosting import BoostedTrees, precise_threshold
 from .common import DOUBLE, LONG, STRING, mapped, schema
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-EXTRA_KINDS = ("national_phone", "ssn", "iban", "secret", "ipv6", "spelled_email")
+EXTRA_KINDS = ("national_phone", "ssn", "iban", "secret", "ipv6", "spelled_email", "adjacent_card")
 KINDS = BASE_KINDS + EXTRA_KINDS
+FAMILIES = (EXTRA_KINDS[:-1], EXTRA_KINDS[-1:])  # kinds that share trees: what tells a card says nothing of the others
 PRECISION = 0.97  # that each kind's threshold reaches on the calibration rows
 SEED, EXAMPLES = 20240229, 400  # of the synthetic training set: examples of each kind and outcome
 CONTEXT = 40  # characters before a candidate in which keywords count
@@ -92,6 +94,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(out, key=lambda s: (s[0], BASE_KINDS.index(s[2])))
 
 
+_CARD_FORM = r"(?:[2-6][0-9]{14,15}|[3-6][0-9]{3}(?:[ -][0-9]{4}){3}|3[0-9]{3}[ -][0-9]{6}[ -][0-9]{5})"
 _GENERATORS = {
     "national_phone": (re.compile(r"(?<![0-9A-Za-z+.-])\(?[0-9]{2,5}\)?(?:[ .-]{1,2}[0-9]{2,5}){1,5}(?![0-9A-Za-z])"), "digit"),
     "ssn": (re.compile(r"(?<![0-9-])[0-9]{3}[- ][0-9]{2}[- ][0-9]{4}(?![0-9-])"), "digit"),
@@ -99,6 +102,7 @@ _GENERATORS = {
     "secret": (re.compile(r"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{16,}+|(?<=[=:])[ \t]?[\"']?[^\s\"',;]{8,}+"), "any"),
     "ipv6": (re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])"), "colon"),
     "spelled_email": (re.compile(r"(?<![A-Za-z0-9._])[A-Za-z0-9._]{2,}+ ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]{2,}+(?: ?[\[(](?:dot|DOT)[\])] ?[A-Za-z0-9-]{2,}+|\.[A-Za-z0-9-]{2,}+)++"), "bracket"),
+    "adjacent_card": (re.compile(rf"(?<![0-9])(?=({_CARD_FORM}(?![0-9])))(?:(?<![0-9][ -])|(?={_CARD_FORM}(?![0-9]|[ -][0-9]{{4}})))"), "digit"),  # first or last in a run of digits, so no column of numbers
 }
 _INNER = re.compile(r"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{16,}+|(?<=[=:])[^=:&]{8,}+")  # tokens and values inside a longer value
 _LONG_VALUE = 128  # characters; a longer value (a URL, packed code) is proposed whole and by what it holds
@@ -117,7 +121,7 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
     for kind, (pattern, need) in _GENERATORS.items():
         if can[need]:
             for m in pattern.finditer(text):
-                start, end = m.span()
+                start, end = m.span(pattern.groups)  # the group where the pattern looks ahead
                 while start < end and text[start] in " \t\"'":
                     start += 1
                 if end > start:
@@ -160,8 +164,8 @@ def features(text: str, start: int, end: int, kind: str) -> list[float]:
     ]
 
 
-def training_set(seed: int = SEED, examples: int = EXAMPLES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features, outcomes and kinds of made-up candidates: personal data, and look-alikes of it."""
+def training_set(family: tuple[str, ...], seed: int = SEED, examples: int = EXAMPLES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features, outcomes and kinds (their places in ``family``) of made-up candidates: personal data, and look-alikes of it."""
     r = random.Random(seed)
     digits = lambda n: "".join(r.choice("0123456789") for _ in range(n))
     chars = lambda n, of: "".join(r.choice(of) for _ in range(n))
@@ -175,6 +179,12 @@ def training_set(seed: int = SEED, examples: int = EXAMPLES) -> tuple[np.ndarray
         text = f"DE{(check if good else (check + r.randint(1, 90)) % 97 + 2):02d}{body}"
         return " ".join(text[i : i + 4] for i in range(0, 22, 4)) if r.random() < 0.5 else text
 
+    def card(good: bool) -> str:
+        body = r.choice("3456") + digits(r.choice((13, 14, 14, 14)))
+        check = next(c for c in "0123456789" if luhn(body + c))
+        text = body + (check if good else r.choice("0123456789".replace(check, "")))
+        return text if len(text) < 16 or r.random() < 0.5 else r.choice(" -").join(text[i : i + 4] for i in range(0, 16, 4))
+
     makers = {
         "national_phone": (
             lambda: (r.choice(("tel ", "call ", "phone: ", "mobile ", "fax ", "cell: ", prose())), r.choice((f"({digits(3)}) {digits(3)}-{digits(4)}", f"{digits(3)}-{digits(3)}-{digits(4)}", f"{digits(3)}.{digits(3)}.{digits(4)}", f"0{digits(1)} {digits(2)} {digits(2)} {digits(2)} {digits(2)}"))),
@@ -197,11 +207,14 @@ def training_set(seed: int = SEED, examples: int = EXAMPLES) -> tuple[np.ndarray
             lambda: (r.choice(("mail ", "write to ", prose())), f"{word()}.{word()} {r.choice(('(at)', '[at]', '[AT]'))} {word()}{r.choice((' [dot] ', ' (dot) ', '.'))}{r.choice(('com', 'org', 'net', 'de'))}"),
             lambda: (prose(), f"{r.choice(('look', 'meet', 'is'))} (at) {word()}.{chars(9, low)}"),
         ),
+        "adjacent_card": tuple(
+            lambda good=good: (r.choice(("card ", "+1 ", prose(), prose())) + r.choice((f"({digits(3)}) {digits(3)}-{digits(4)} ", f"{digits(2)} ", f"{digits(4)}-")), card(good)) for good in (True, False)
+        ),
     }
     others = (lambda: "", prose, lambda: f"tel {digits(3)}-{digits(4)}, ", lambda: f"password={chars(12, alnum)}, ", lambda: f"ssn {digits(3)}-{digits(2)}-{digits(4)}, ", lambda: f"order {digits(6)}, ", lambda: f"iban {chars(8, alnum)}, ")  # keywords that belong to something else
     x, y, kinds = [], [], []
-    for k, (kind, pair) in enumerate(makers.items()):
-        for outcome, make in ((1, pair[0]), (0, pair[1])):
+    for k, kind in enumerate(family):
+        for outcome, make in zip((1, 0), makers[kind]):
             for _ in range(examples):
                 context, span = make()
                 start = prose() + r.choice(others)() + context
@@ -215,20 +228,33 @@ def training_set(seed: int = SEED, examples: int = EXAMPLES) -> tuple[np.ndarray
 
 class Model:
     def __init__(self, seed: int = SEED, examples: int = EXAMPLES, precision: float = PRECISION):
-        x, y, kinds = training_set(seed, examples)
-        a, b = len(x) * 6 // 10, len(x) * 9 // 10  # grown, calibrated and thresholded, held out
-        self.trees = BoostedTrees().fit(x[:a], y[:a]).calibrate(x[a:b], y[a:b])
-        p = self.trees.probability(x[a:b])
-        self.thresholds = {k: max(0.5, precise_threshold(p[at], y[a:b][at], precision)) for i, k in enumerate(EXTRA_KINDS) for at in [kinds[a:b] == i]}
-        held = self.trees.probability(x[b:])
-        chosen = held >= np.array([self.thresholds[EXTRA_KINDS[k]] for k in kinds[b:]])
-        self.held_out = {"precision": float(y[b:][chosen].mean()), "recall": float(chosen[y[b:] > 0].mean())}
+        self.trees, self.thresholds, right = {}, {}, []
+        for family in FAMILIES:
+            x, y, kinds = training_set(family, seed, examples)
+            a, b = len(x) * 6 // 10, len(x) * 9 // 10  # grown, calibrated and thresholded, held out
+            trees = BoostedTrees().fit(x[:a], y[:a]).calibrate(x[a:b], y[a:b])
+            p = trees.probability(x[a:b])
+            self.thresholds |= {k: max(0.5, precise_threshold(p[at], y[a:b][at], precision)) for i, k in enumerate(family) for at in [kinds[a:b] == i]}
+            chosen = trees.probability(x[b:]) >= np.array([self.thresholds[family[k]] for k in kinds[b:]])
+            self.trees |= dict.fromkeys(family, trees)
+            right.append(np.stack([y[b:], chosen]))
+        y, chosen = np.concatenate(right, 1)
+        self.held_out = {"precision": float(y[chosen > 0].mean()), "recall": float(chosen[y > 0].mean())}
+
+    def probability(self, texts: list[str], found: list[tuple[int, tuple[int, int, str]]]) -> np.ndarray:
+        """Of candidates (number of the text, span)."""
+        p = np.zeros(len(found))
+        for family in FAMILIES:
+            at = [k for k, (_, s) in enumerate(found) if s[2] in family]
+            if at:
+                p[at] = self.trees[family[0]].probability(np.array([features(texts[found[k][0]], *found[k][1]) for k in at]))
+        return p
 
     def choose(self, texts: list[str]) -> list[list[tuple[int, int, str, float]]]:
         """Of each text the base spans, and the candidates that pass and overlap no surer span."""
         base = [base_spans(t) for t in texts]
-        found = [(i, s) for i, t in enumerate(texts) for s in candidates(t)]
-        p = self.trees.probability(np.array([features(texts[i], *s) for i, s in found]).reshape(len(found), -1)) if found else []
+        found = [(i, s) for i, t in enumerate(texts) for s in candidates(t) if s[2] != "adjacent_card" or not _overlaps([b[:2] for b in base[i]], *s[:2])]
+        p = self.probability(texts, found)
         out = [[(*s, 1.0) for s in b] for b in base]
         passed = [(i, s, float(v)) for (i, s), v in zip(found, p) if v >= self.thresholds[s[2]]]
         for i, group in _grouped(passed):

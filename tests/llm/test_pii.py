@@ -147,3 +147,24 @@ def test_spelled_emails_of_any_length():
     assert text[9:-4] in {text[a:b] for a, b, k in pii.candidates(text) if k == "spelled_email"}
     for run in ("a." * 200_000 + " (at)", "x (at) " + "b [dot] " * 50_000, "x (at) " * 50_000):
         pii.candidates(run)
+
+
+def test_cards_that_other_digits_touch():
+    r = random.Random(5)
+    for _ in range(50):
+        body = "4" + "".join(r.choice("0123456789") for _ in range(14))
+        card = body + next(c for c in "0123456789" if pii.luhn(body + c))
+        wrong = body + next(c for c in "0123456789" if not pii.luhn(body + c))
+        for shown in (str, lambda c: " ".join(c[i : i + 4] for i in range(0, 16, 4))):
+            text = f"reach me on +1 (269) 555-3296 {shown(card)} or by mail"
+            assert pii.base_spans(text) == brute(text)
+            (chosen,) = pii.model().choose([text])
+            if not any(k == "card" for *_, k, _ in chosen):  # the digits before may make up another number that passes
+                assert (text.index(shown(card)), text.index(shown(card)) + len(shown(card)), "adjacent_card") in {s[:3] for s in chosen}
+                assert shown(card) not in pii.redact_text(text, chosen)
+        assert not any(s[2] == "adjacent_card" for s in pii.model().choose([f"order 12 {wrong} of today"])[0])
+    years, numbers = " ".join(map(str, range(1900, 2025))), " ".join(str(r.randint(1, 9)) + "".join(r.choice("0123456789") for _ in range(15)) for _ in range(100))
+    assert not any(k == "adjacent_card" for *_, k in pii.candidates(years))
+    assert sum(k == "adjacent_card" for *_, k in pii.candidates(numbers)) <= 2
+    for run in ("1" * 300_000, "5234 " * 60_000, "1234-123456-12345 " * 15_000):
+        pii.model().choose([run])
