@@ -35,6 +35,7 @@ EXTRA_KINDS = ("national_phone", "ssn", "iban", "secret", "ipv6", "spelled_email
 KINDS = BASE_KINDS + EXTRA_KINDS
 FAMILIES = (EXTRA_KINDS[:-1], EXTRA_KINDS[-1:])  # kinds that share trees: what tells a card says nothing of the others
 PRECISION = 0.97  # that each kind's threshold reaches on the calibration rows
+ROUNDING = 1e-9  # a threshold is some row's own probability, whose last bits may differ between processors
 SEED, EXAMPLES = 20240229, 400  # of the synthetic training set: examples of each kind and outcome
 CONTEXT = 40  # characters before a candidate in which keywords count
 
@@ -234,7 +235,7 @@ class Model:
             a, b = len(x) * 6 // 10, len(x) * 9 // 10  # grown, calibrated and thresholded, held out
             trees = BoostedTrees().fit(x[:a], y[:a]).calibrate(x[a:b], y[a:b])
             p = trees.probability(x[a:b])
-            self.thresholds |= {k: max(0.5, precise_threshold(p[at], y[a:b][at], precision)) for i, k in enumerate(family) for at in [kinds[a:b] == i]}
+            self.thresholds |= {k: max(0.5, precise_threshold(p[at], y[a:b][at], precision) - ROUNDING) for i, k in enumerate(family) for at in [kinds[a:b] == i]}
             chosen = trees.probability(x[b:]) >= np.array([self.thresholds[family[k]] for k in kinds[b:]])
             self.trees |= dict.fromkeys(family, trees)
             right.append(np.stack([y[b:], chosen]))
