@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(Q.oracle_sql()))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "labels", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want = con.sql(Q.oracle_sql()[name])
     got = Q.queries()[name](spark, SF)
@@ -22,4 +22,4 @@ def test_query_equals_sql(spark, name):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in Q.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in Q.queries()) == list(range(1, 14))
