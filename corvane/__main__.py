@@ -12,7 +12,7 @@ from .functions.text import PROMPTS, SEARCH_PROMPTS, word_count
 from .operators import collection, compare, embed, merge, profile, quality, reconcile, sampling, search
 from .session import session
 from .sources import papers as papers_source
-from .sources import pubmed, sinks, stores
+from .sources import hdf5, pubmed, sinks, stores
 from .streaming import incremental
 
 
@@ -176,6 +176,16 @@ def do_lookup(spark: SparkSession, a) -> None:
         _show(quality.principal_components(sampling.sample(v, a.pca), "title_embedding"), None)
 
 
+def do_convert(spark: SparkSession, a) -> None:
+    """A store of either format as one of the other."""
+    rows = stores.read_store(spark, a.vectors)
+    if a.out.endswith((".h5", ".hdf5")):
+        count = [F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows")]
+        _show(hdf5.write_hdf5(rows.repartitionByRange(a.files, "row_index").sortWithinPartitions("row_index"), a.out, dtype=a.dtype).agg(*count), None)
+    else:
+        rows.write.mode("errorifexists").option("compression", "zstd").parquet(a.out)
+
+
 def do_compare(spark: SparkSession, a) -> None:
     """Vectors that several stores have of the same papers."""
     backends = None
@@ -231,6 +241,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--paper_id")
     p.add_argument("--index", type=int, default=0)
     p.add_argument("--pca", type=int, help="show principal components of so many sampled rows")
+    p = add("convert", do_convert, "vectors", "must_out")
+    p.add_argument("--files", type=int, default=1, help="HDF5 files to write")
+    p.add_argument("--dtype", choices=["float16", "float32"], default="float16")
     p = add("compare", do_compare, "out")
     p.add_argument("stores", nargs="+")
     p.add_argument("--side", choices=["title", "abstract"], default="title")

@@ -13,7 +13,7 @@ from ..functions import vector as V
 from ..operators import collection, compare, embed, merge, profile, quality, reconcile, sampling, search
 from ..schemas import PUBMED_COLUMNS
 from ..sources import papers as S
-from ..sources import pubmed, sinks, stores
+from ..sources import hdf5, pubmed, sinks, stores
 from ..streaming import incremental
 from . import fixtures as D
 
@@ -678,6 +678,22 @@ def appended_parts(spark, sf):
     return store.agg((F.count(F.lit(1)) / 2).cast("long").alias("rows"), F.count_distinct("paper_id").alias("ids"), F.count(F.lit(1)).alias("stored"), F.count_distinct("row_index").alias("positions"), F.max("row_index").alias("last"))
 
 
+@query(f"WITH {D.CORPUS_SQL} SELECT paper_id, row_index, round(sqrt(list_sum(list_transform(t, lambda x: x * x))), 6) AS title_norm, round(ab[1], 6) AS abstract_first FROM pv")
+def hdf5_slab_scan(spark, sf):
+    """Vectors written to HDF5 files in the order of their places, and read back in slabs."""
+    path = f"{D.folder(spark)}/store.h5"
+    hdf5.write_hdf5(D.corpus(spark, sf).repartitionByRange(3, "row_index").sortWithinPartitions("row_index"), path, dtype="float32", chunk_rows=50).count()
+    store = hdf5.read_hdf5(spark, path, slab_rows=100)
+    return store.select("paper_id", "row_index", r6(V.norm("title_embedding")).alias("title_norm"), r6(F.get("abstract_embedding", F.lit(0)).cast("double")).alias("abstract_first"))
+
+
+@query("SELECT CAST(vec_id AS VARCHAR) AS paper_id FROM embeddings WHERE label <> 3")
+def hdf5_id_scan(spark, sf):
+    path = f"{D.folder(spark)}/store.h5"
+    hdf5.write_hdf5(D.corpus(spark, sf).where("label <> 3"), path).count()
+    return hdf5.read_hdf5(spark, path, sides=()).select("paper_id")
+
+
 @query("SELECT CAST(vec_id AS VARCHAR) AS paper_id, row_number() OVER (ORDER BY label, CAST(vec_id AS VARCHAR)) + 6 AS row_index FROM embeddings")
 def store_positions(spark, sf):
     rows = D.table(spark, sf, "embeddings").select(F.col("vec_id").cast("string").alias("paper_id"), "label")

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .hdf5 import read_hdf5
+
 # Wordings of failure lines in logs; group 1 is the paper's id.
 FAILURE_PATTERNS = [
     r"处理论文 ([^\s]+) 时出错",
@@ -45,9 +47,13 @@ def with_positions(rows: DataFrame, order: Column | str, tie: str = "paper_id",
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     """A vector store with ``row_index``: the stored one, or else the places of the rows in order of file name and row.
 
+    A path that ends in ``.h5`` or ``.hdf5`` is read as HDF5 files with title and abstract vectors.
+
     Places that are read off the files are dense, but change when files are rewritten; ``with_positions``
     stores them with the rows.
     """
+    if path.endswith((".h5", ".hdf5")):
+        return read_hdf5(spark, path).drop("part", "pos")
     scan = spark.read.parquet(path)
     if "row_index" in scan.columns:
         return scan
@@ -203,20 +209,6 @@ def read_npz(spark: SparkSession, *paths: str) -> DataFrame:
     return _read_binary_store(spark, paths, _parse_npz)
 
 
-def read_hdf5(spark: SparkSession, *paths: str, side: str = "title") -> DataFrame:
-    """HDF5 stores with ``paper_ids`` and ``{side}_embeddings``; needs h5py on the executors."""
-
-    def parse(content: bytes):
-        import io
-
-        import h5py
-
-        with h5py.File(io.BytesIO(content), "r") as f:
-            return _text_ids(f["paper_ids"][:]), f[f"{side}_embeddings"][:]
-
-    return _read_binary_store(spark, paths, parse)
-
-
 def zip_parts(title: DataFrame, abstract: DataFrame) -> DataFrame:
     """paper_id, both vectors of parts (part, pos, paper_id, embedding) whose ids agree row by row.
 
