@@ -390,7 +390,7 @@ def jsonl_file_scan(spark, sf):
 @query(_VALID)
 def json_array_scan(spark, sf):
     path = D.folder(spark)
-    D.whole_lines(spark, sf).agg(F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]")).alias("value")).write.text(path)
+    D.write_arrays(D.whole_lines(spark, sf).repartition(3), path)
     return S.read_papers(spark, path).select("id", "title", "abstract", "categories")
 
 
@@ -416,9 +416,10 @@ def sidecar_round_trip(spark, sf):
     path, p = D.folder(spark), D.papers(spark, sf)
     info = spark.createDataFrame([("hash", "32")], "model string, embedding_dim string")
     sinks.write_sidecar(sinks.metadata_sidecar(p, info), path)
-    read = S.read_sidecar(spark, path)
-    each = read.select(F.explode("papers").alias("p"), "id_to_index", "embedding_info").select(F.get_json_object("p", "$.id").alias("id"), F.get_json_object("p", "$.abstract").alias("abstract"), "id_to_index", "embedding_info")
-    return each.select("id", "abstract", F.element_at("id_to_index", F.col("id")).alias("row_index"), F.element_at("embedding_info", F.lit("model")).alias("model"))
+    papers, places, settings = S.sidecar_tables(spark, path)
+    model = settings.where("name = 'model'").select(F.col("value").alias("model"))
+    each = papers.select(F.get_json_object("value", "$.id").alias("id"), F.get_json_object("value", "$.abstract").alias("abstract"))
+    return each.join(places, "id").crossJoin(model).select("id", "abstract", "row_index", "model")  # one row
 
 
 @query(f"WITH {_DEFECTS} SELECT count(*) AS total, count(*) FILTER (WHERE lang = 'en' AND text <> '') AS valid, round(count(*) FILTER (WHERE lang = 'en' AND text <> '') * 100.0 / count(*), 6) AS valid_rate FROM j")

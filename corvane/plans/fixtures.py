@@ -93,6 +93,23 @@ def whole_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return json_lines(spark, sf_dir).join(table(spark, sf_dir, "documents").where("source = 'src7'").select(F.col("doc_id").alias("row_index")), "row_index", "left_anti")
 
 
+def write_arrays(lines: DataFrame, path: str) -> None:
+    """JSON lines (value) as array documents, one a partition."""
+
+    def work(frames):
+        import pyarrow as pa
+
+        yield pa.RecordBatch.from_arrays([pa.array(["["])], names=["value"])
+        first = True
+        for frame in frames:
+            values = frame.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array([v if first and i == 0 else f",{v}" for i, v in enumerate(values)], pa.string())], names=["value"])
+            first = first and not values
+        yield pa.RecordBatch.from_arrays([pa.array(["]"])], names=["value"])
+
+    lines.select("value").mapInArrow(work, "value string").write.text(path)
+
+
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """file, value: each document as an article's XML in which every element that is read stands, most of them twice."""
     d = table(spark, sf_dir, "documents")

@@ -14,12 +14,15 @@ from pyspark.sql.window import Window
 
 from ..functions.text import one_line
 from ..schemas import PAPER_FIELDS, RAW_PAPER
+from .jsonsplit import Document, top_level
 
 ID_FIELDS = ["id", "paper_id", "arxiv_id", "doi"]
 
 
 def sniff_format(spark: SparkSession, path: str) -> str:
-    """``jsonl`` or ``json`` from the first lines of a file; ValueError if it is empty or neither."""
+    """``jsonl`` or ``json`` from the first lines of a file; ValueError if it is empty or neither. An array is told by its first bytes."""
+    if top_level(spark, path) == "[":
+        return "json"
     head = [r["value"] for r in spark.read.text(path).limit(2).collect()]
 
     def parses(text: str) -> bool:
@@ -32,8 +35,6 @@ def sniff_format(spark: SparkSession, path: str) -> str:
     if not head or not head[0].strip():
         raise ValueError(f"{path} is empty")
     first = head[0].strip()
-    if first.startswith("["):
-        return "json"
     if parses(first) and (len(head) == 1 or not head[1].strip() or parses(head[1])):
         return "jsonl"
     if first.startswith("{"):  # an object over several lines
@@ -75,14 +76,13 @@ def read_jsonl(spark: SparkSession, path: str, start: int = 0, limit: int | None
 def read_json_array(spark: SparkSession, path: str, start: int = 0, limit: int | None = None) -> DataFrame:
     """Valid papers of a JSON array: the window of elements is taken first, so fewer rows may come out.
 
-    An array is one JSON value and cannot be split; JSON lines are the format for large data.
+    The array is read in splits, however its lines end; see ``jsonsplit``.
     """
-    whole = spark.read.text(path, wholetext=True)
-    elements = whole.select(F.posexplode(F.from_json("value", "array<string>")).alias("row_index", "value"))
+    elements = Document(spark, path).elements().select(F.col("index").alias("row_index"), "value")
     window = F.col("row_index") >= start
     if limit:
         window = window & (F.col("row_index") < start + limit)
-    return valid(parsed(elements.where(window).withColumn("row_index", F.col("row_index").cast("long"))))
+    return valid(parsed(elements.where(window)))
 
 
 def read_papers(spark: SparkSession, path: str, start: int = 0, limit: int | None = None) -> DataFrame:
@@ -109,15 +109,17 @@ def valid(rows: DataFrame) -> DataFrame:
 
 def load_metadata(spark: SparkSession, path: str) -> DataFrame:
     """Papers by id from JSON lines, a list, ``{papers: [...]}`` or one object; the last of an id wins."""
-    if sniff_format(spark, path) == "jsonl":
+    if sniff_format(spark, path) == "jsonl" and spark.read.text(path).where(F.trim("value") != "").limit(2).count() == 2:
         lines = numbered_lines(spark, path).select("line", "value")
+    elif top_level(spark, path) == "[":
+        lines = Document(spark, path).elements().select(F.col("index").alias("line"), "value")
     else:
-        whole = spark.read.text(path, wholetext=True)
-        text = F.trim(F.col("value"))
-        papers = F.when(text.startswith("["), F.from_json("value", "array<string>")).when(
-            F.array_contains(F.json_object_keys("value"), "papers"), F.from_json(F.get_json_object("value", "$.papers"), "array<string>")
-        ).otherwise(F.array("value"))
-        lines = whole.select(F.posexplode(papers).alias("line", "value"))
+        document = Document(spark, path, level=2)
+        papers = document.names().where("name = 'papers'").select("file", "container")
+        if papers.isEmpty():  # one paper
+            lines = spark.read.text(path, wholetext=True).select(F.lit(0).cast("long").alias("line"), "value")
+        else:
+            lines = document.elements().join(papers, ["file", "container"], "left_semi").select(F.col("index").alias("line"), "value")
     found = parsed(lines).where(F.array_contains("_present", "id"))
     rows = normalised(found.withColumn("authors_parsed", F.coalesce("paper.authors_parsed", F.array().cast("array<array<string>>"))))
     return last_of_id(rows, "line")
@@ -138,14 +140,27 @@ def ids_of_metadata(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(chosen.alias("paper_id"), "line").where("paper_id <> ''")
 
 
+def sidecar_tables(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """papers (row_index, value: raw JSON), id_to_index (id, row_index), embedding_info (name, value) of a metadata sidecar.
+
+    The document is read in splits, so neither list is ever one value. A container that is missing gives no rows.
+    """
+    document = Document(spark, path, level=2)
+    elements = document.elements().join(document.names(), ["file", "container"])
+    own = lambda name: elements.where(F.col("name") == name)
+    papers, first = own("papers"), F.min("index").over(Window.partitionBy("file", "container"))
+    one = lambda kind: F.map_entries(F.from_json(F.concat(F.lit("{"), "value", F.lit("}")), f"map<string,{kind}>"))[0]
+    pairs = lambda name, kind, *names: own(name).select(one(kind).alias("e")).select(F.col("e.key").alias(names[0]), F.col("e.value").alias(names[1]))
+    return papers.select((F.col("index") - first).alias("row_index"), "value"), pairs("id_to_index", "bigint", "id", "row_index"), pairs("embedding_info", "string", "name", "value")
+
+
 def read_sidecar(spark: SparkSession, path: str) -> DataFrame:
-    """One row: papers (raw JSON), id_to_index, embedding_info of a metadata sidecar."""
-    whole = spark.read.text(path, wholetext=True)
-    return whole.select(
-        F.coalesce(F.from_json(F.get_json_object("value", "$.papers"), "array<string>"), F.array().cast("array<string>")).alias("papers"),
-        F.coalesce(F.from_json(F.get_json_object("value", "$.id_to_index"), "map<string,bigint>"), F.create_map().cast("map<string,bigint>")).alias("id_to_index"),
-        F.from_json(F.get_json_object("value", "$.embedding_info"), "map<string,string>").alias("embedding_info"),
-    )
+    """One row: papers (raw JSON), id_to_index, embedding_info, as ``sinks.metadata_sidecar`` makes it; for small runs, else ``sidecar_tables``."""
+    papers, places, info = sidecar_tables(spark, path)
+    listed = papers.agg(F.transform(F.array_sort(F.collect_list(F.struct("row_index", "value"))), lambda p: p["value"]).alias("papers"))
+    one = places.agg(F.map_from_entries(F.collect_list(F.struct("id", "row_index"))).alias("id_to_index"))
+    held = info.agg(F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("embedding_info"))
+    return listed.crossJoin(one).crossJoin(held)  # one row each
 
 
 def papers_with_ids(papers: DataFrame, ids: DataFrame) -> DataFrame:
