@@ -138,3 +138,25 @@ def test_links_decide_where_no_rule_does(spark):
 def test_edges(spark):
     pages = spark.createDataFrame([(None, "http://a.com/x", None, "junk"), (1, None, "x", "junk"), (1, None, "x", "junk")], "page_id long, url string, html string, host string")
     assert U.filter_urls(pages, rounds=1).count() == 3 and U.filter_urls(pages.limit(0), rounds=1).count() == 0
+
+
+def test_hosts_of_many_labels(spark):
+    """Time and space linear in a host's length; its verdict is as for short ones."""
+    import time
+
+    far = ".".join(f"l{i % 7}" for i in range(20_000))
+    link = f"<a href='http://{far}.friend.org/'>x</a>"
+    pages = [(1, f"http://{far}.good.com/", link), (2, f"http://{far}.net/es/x", ""), (3, f"http://{far}.friend.org/", ""), (4, "http://a..b./en/", ""), (5, "http://" + "." * 20_000 + "/x", "")]
+    began = time.perf_counter()
+    rows = {r["page_id"]: r for r in U.filter_urls(spark.createDataFrame(pages, "page_id long, url string, html string"), rounds=2).collect()}
+    assert time.perf_counter() - began < 60
+    assert [rows[i]["verdict"] for i in range(1, 6)] == ["allow", "block", "allow", "allow", "allow"] and [rows[i]["rule"] for i in (1, 2, 3)] == ["com/", "net/es/", None]
+    assert rows[3]["trust"] > 0
+
+
+def test_nodes_are_those_of_the_walk(spark):
+    hosts = ["a.b.c.com", "b.c.com", "x", "", "\u00e4.\U0001f600.org", "a..com.", "."]
+    df = spark.createDataFrame([(h,) for h in hosts], "host string")
+    node = {r[0]: bytes(r[1]) for h in [df, spark.createDataFrame([("c.com",), ("\U0001f600.org",), (".com.",), ("com.",), ("..com.",)], "host string")] for r in h.select("host", U.node_of(U.F.col("host"))).collect()}
+    pairs = {(bytes(r[0]), bytes(r[1])) for r in U.mapped(df, U._domain_pairs, "domain binary, parent binary").collect()}
+    assert pairs == {(node[a], node[b]) for a, b in (("a.b.c.com", "b.c.com"), ("b.c.com", "c.com"), ("\u00e4.\U0001f600.org", "\U0001f600.org"), ("a..com.", ".com."), (".com.", "com."))}
