@@ -7,10 +7,11 @@ normalised document is scanned once, word by word. From an anchor that is met, t
 word by word to both sides in its item; all windows inside the match are hits. Hits are intervals of
 word numbers and, through those, offsets in the original text.
 
-Scale. Documents are mapped where they lie, without a shuffle. The automaton has about as many nodes
-as the items have words (patterns of whole windows would take ten times as many, of characters
-seventy). It is built in each worker from broadcast arrays of at most BLOCK_WORDS words, some 6 MB of
-items. Larger benchmarks are scanned in several blocks: then the documents are written once with a
+Scale. Documents are mapped where they lie, without a shuffle. The automaton has fewer nodes than the
+items have words (patterns of whole windows would take ten times as many, of characters seventy). It is
+built once, on the driver, and broadcast as arrays for at most BLOCK_WORDS words, some 6 MB of items. Its
+edges are hashed, and a filter of word pairs stands before it, so the time a word takes doesn't grow with
+the benchmark. Larger benchmarks are scanned in several blocks: then the documents are written once with a
 number, and each block gives the hits by number only.
 """
 
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +44,8 @@ _HITS = schema(n_words=LONG, hits=_pairs("first", "end"), spans=_pairs("start",
 def anchors(often: list[int], spread: int) -> list[int]:
     """Starts such that any ``spread`` starts in a row hold one: the rarest of the next ones, of ties the last.
 
-    ``often`` tells for each possible start how often its run stands in the items, so a phrase that many
-    items share is no anchor while there is a rarer one.
+    ``often`` tells for each possible start how often what stands there does so in the items, so a phrase that
+    many items share is no anchor while there is a rarer one.
     """
     out, at = [], -1
     while at + spread < len(often):
@@ -52,30 +54,79 @@ def anchors(often: list[int], spread: int) -> list[int]:
     return out
 
 
+class Automaton(NamedTuple):
+    """Aho-Corasick over word numbers as arrays; state 0 is the root, and states are numbered by depth."""
+
+    keys: np.ndarray  # state * words + word of each edge, ascending
+    targets: np.ndarray
+    fail: np.ndarray  # the state of the longest proper suffix of at least two words that is one, else 0
+    anchor: np.ndarray  # what ends in a state: an anchor's number, or -1
+    shorter: np.ndarray  # the next state along the failure links in which an anchor ends, or 0
+    lengths: np.ndarray  # of the anchors
+    first_place: np.ndarray  # anchor -> where its places begin in ``places``; one more at the end
+    places: np.ndarray  # (place in the items' words, item)
+
+
+def build(anchors_at: dict[tuple[int, ...], list[tuple[int, int]]], words: int) -> Automaton:
+    """The automaton of anchors (word numbers below ``words``), each with its places."""
+    edges: dict[int, int] = {}
+    parent, letter, depth, ends = [0], [0], [0], {}
+    for number, anchor in enumerate(anchors_at):
+        state = 0
+        for d, word in enumerate(anchor, 1):
+            key = state * words + word
+            state = edges.get(key, -1)
+            if state < 0:
+                state = edges[key] = len(parent)
+                parent.append(key // words)
+                letter.append(word)
+                depth.append(d)
+        ends[state] = number
+    fail, anchor_of, shorter = [0] * len(parent), [-1] * len(parent), [0] * len(parent)
+    for state in sorted(range(len(parent)), key=depth.__getitem__):
+        if depth[state] > 1:
+            link, word = fail[parent[state]], letter[state]
+            while link and (to := edges.get(link * words + word)) is None:
+                link = fail[link]
+            fail[state] = to if link else edges.get(word, 0)
+        anchor_of[state] = ends.get(state, -1)
+        link = fail[state]
+        shorter[state] = link if anchor_of[link] >= 0 else shorter[link]
+    single = np.array(depth) == 1  # anchors of one word are told by the word, so links end before them
+    fail, shorter = np.array(fail, np.int32), np.array(shorter, np.int32)
+    fail[single[fail]] = 0
+    shorter[single[shorter]] = 0
+    keys, targets = np.fromiter(edges, np.int64, len(edges)), np.fromiter(edges.values(), np.int32, len(edges))
+    order = np.argsort(keys)
+    places = np.array([p for found in anchors_at.values() for p in found], np.int64).reshape(-1, 2)
+    first = np.cumsum([0, *map(len, anchors_at.values())])
+    return Automaton(keys[order], targets[order], fail, np.array(anchor_of, np.int32), shorter, np.array([*map(len, anchors_at)], np.int32), first, places)
+
+
 class Block:
-    """Items as word numbers one after the other, each with its id; what a worker's automaton is built from."""
+    """Items as word numbers one after the other, each with its id, and their automaton, built once on the driver."""
 
     def __init__(self, items: Sequence[tuple[int | None, list[str]]], window: int):
         self.key, self.window, self.numbers, self.length = uuid.uuid4().hex, window, {}, (window + 1) // 2
         self.ids = [i for i, _ in items]
         self.starts = np.cumsum([0, *(len(w) for _, w in items)])
         self.words = np.fromiter((self.numbers.setdefault(w, len(self.numbers)) for _, words in items for w in words), np.int32, int(self.starts[-1]))
+        self.automaton = build(self._anchors(), len(self.numbers) + 1)  # one number more: any other word
 
     def _often(self) -> list[int]:
-        """How often the run of ``length`` words at each place stands in the items (by a hash)."""
-        n = max(0, len(self.words) - self.length + 1)
+        """How often the pair of words at each place stands in the items (by a hash): what texts have often begins no anchor."""
+        length = min(2, self.length)
+        n = max(0, len(self.words) - length + 1)
         mixed = np.zeros(n, np.uint64)
-        for i in range(self.length):
+        for i in range(length):
             mixed = (mixed ^ self.words[i : i + n].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
             mixed ^= mixed >> np.uint64(29)
         _, which, counts = np.unique(mixed, return_inverse=True, return_counts=True)
         return counts[which].tolist()
 
-    def automaton(self):
+    def _anchors(self) -> dict[tuple[int, ...], list[tuple[int, int]]]:
         """Anchor -> the places in ``words`` where it stands, with the item of each."""
-        import ahocorasick
-
-        made, places, often = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE), {}, self._often()
+        places, often = {}, self._often()
         for item, (a, b) in enumerate(zip(self.starts.tolist(), self.starts[1:].tolist())):
             own = tuple(self.words[a:b].tolist())
             if b - a <= self.window:
@@ -83,29 +134,85 @@ class Block:
                 continue
             for at in anchors(often[a : b - self.length + 1], self.window - self.length + 1):
                 places.setdefault(own[at : at + self.length], []).append((a + at, item))
-        for anchor, found in places.items():
-            made.add_word(anchor, (len(anchor), found))
-        if places:
-            made.make_automaton()
-        return made
+        return places
+
+
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Matcher:
+    """What a worker makes of a block: its edges as a dictionary, and a filter of the pairs of words that lead to depth two.
+
+    A text's words are numbered and all neighbouring pairs looked up in the filter at once; the automaton runs
+    from the pairs that pass, along its failure links, until it falls below depth two. So most words cost two
+    lookups in arrays, whatever the number of edges, and only what begins like an anchor costs a step each.
+    """
+
     def __init__(self, block: Block):
-        self.block, self.found_in = block, block.automaton()
-        self.words, self.starts = block.words.tolist(), block.starts.tolist()
+        self.block, made = block, block.automaton
+        self.words, self.starts, self.many = block.words.tolist(), block.starts.tolist(), len(block.numbers) + 1
+        self.edges = dict(zip(made.keys.tolist(), made.targets.tolist()))
+        self.fail, self.anchor, self.shorter, self.lengths = (x.tolist() for x in (made.fail, made.anchor, made.shorter, made.lengths))
+        from_root = made.keys < self.many
+        second = np.isin(made.keys // self.many, made.targets[from_root])
+        first_word = np.zeros(len(made.fail), np.int64)
+        first_word[made.targets[from_root]] = made.keys[from_root]
+        pairs = first_word[made.keys[second] // self.many], made.keys[second] % self.many
+        self.shift = np.uint64(64 - max(16, min(28, int(64 * len(pairs[0]) + 1).bit_length())))
+        self.may = np.zeros(1 << 64 - int(self.shift), bool)
+        self.may[self._slot(*pairs)] = True
+        self.single = np.zeros(self.many, bool)
+        self.single[made.keys[from_root][made.anchor[made.targets[from_root]] >= 0]] = True
+        self.any_single = bool(self.single.any())
+
+    def _slot(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return ((a.astype(np.uint64) * _MIX) ^ (b.astype(np.uint64) + (b.astype(np.uint64) << np.uint64(32)))) * _MIX >> self.shift
+
+    def _anchors_in(self, text: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(last word, anchor) of each anchor that stands in the text."""
+        if self.any_single:
+            for at in np.flatnonzero(self.single[text]).tolist():
+                yield at, self.anchor[self.edges[int(text[at])]]
+        candidates = np.flatnonzero(self.may[self._slot(text[:-1], text[1:])]).tolist()
+        if not candidates:
+            return
+        words, edges, fail, many, n, free = text.tolist(), self.edges, self.fail, self.many, len(text), 0
+        for at in candidates:
+            if at < free:
+                continue
+            state = edges.get(edges.get(words[at], -1) * many + words[at + 1])
+            if state is None:
+                continue
+            at += 1
+            while True:
+                found = state if self.anchor[state] >= 0 else self.shorter[state]
+                while found:
+                    yield at, self.anchor[found]
+                    found = self.shorter[found]
+                at += 1
+                if at == n:
+                    break
+                word = words[at]
+                while state and (to := edges.get(state * many + word)) is None:
+                    state = fail[state]
+                if not state:
+                    break
+                state = to
+            free = at - 1  # the last word that fitted may begin a pair with the one that didn't
 
     def find(self, norm: str) -> tuple[list[tuple[int, int]], set[int | None]]:
         """Word intervals [first, end) of a normalised text that lie in windows, and the ids of the items."""
-        if not norm or not len(self.found_in):
+        if not norm or not self.edges:
             return [], set()
-        number, unknown = self.block.numbers.get, len(self.block.numbers)
-        text = tuple([number(w, unknown) for w in norm.split()])
+        number, unknown = self.block.numbers.get, self.many - 1
+        text = np.array([number(w, unknown) for w in norm.split()], np.int64)
         words, starts, window, intervals, items = self.words, self.starts, self.block.window, set(), set()
+        places, first_place = self.block.automaton.places, self.block.automaton.first_place
         done: dict[tuple[int, int], int] = {}  # (item, place in it less place in the text) -> end of the last match there
-        for last, (length, places) in self.found_in.iter(text):
+        for last, anchor in self._anchors_in(text):
+            length = self.lengths[anchor]
             first, end = last - length + 1, last + 1
-            for at, item in places:
+            for at, item in places[first_place[anchor] : first_place[anchor + 1]].tolist():
                 diagonal = (item, at - first)
                 if done.get(diagonal, -1) >= end:
                     continue

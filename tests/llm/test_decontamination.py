@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -118,3 +120,49 @@ def test_items_without_an_id_hit_as_in_sql(spark):
     assert [r["doc_id"] for r in D.clean(docs, bench).collect()] == [4]
     one, many = (D.scan(docs, bench, block_words=n).orderBy("doc_id").collect() for n in (10**6, 4))
     assert one == many and one[1]["leak"]["items"] == [7, 12, None]
+
+
+class _Anchors:
+    """A matcher of given anchors."""
+
+    def __new__(cls, found, words):
+        block = object.__new__(D.Block)
+        block.numbers, block.words, block.starts, block.ids, block.window = {i: i for i in range(words)}, np.zeros(0, int), np.zeros(1, int), [], 10
+        block.automaton = D.build({a: [(0, 0)] for a in found}, words + 1)
+        return D.Matcher(block)
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_every_anchor_is_met_at_every_place(seed):
+    """Anchors of one to six words over few words, so that they overlap, nest and follow one another."""
+    r = random.Random(seed)
+    words = r.randint(2, 5)
+    found = list(dict.fromkeys(tuple(r.randrange(words) for _ in range(r.randint(1 if seed % 3 else 2, 6))) for _ in range(r.randint(1, 25))))
+    text = [r.randrange(words + 1) for _ in range(300)]
+    got = sorted(_Anchors(found, words)._anchors_in(np.array(text)))
+    assert got == sorted((at + len(a) - 1, k) for k, a in enumerate(found) for at in range(len(text) - len(a) + 1) if tuple(text[at : at + len(a)]) == a)
+
+
+def test_time_a_word_does_not_grow_with_the_benchmark():
+    """20,000 and 1,000,000 benchmark words, over texts that know most of them."""
+    import time
+
+    r = np.random.default_rng(0)
+
+    def words(n, of):
+        return [f"w{i}" for i in np.minimum(of ** r.random(n), of - 1).astype(int)]
+
+    text = words(100_000, 300_000)
+    texts = [f" {' '.join(text[a : a + 400])} " for a in range(0, len(text), 400)]
+    took = []
+    for n, of in ((20_000, 10_000), (1_000_000, 200_000)):
+        own = words(n, of)
+        matcher = D.Matcher(D.Block([(i, own[i : i + 50]) for i in range(0, n, 50)], 10))
+        best = []
+        for _ in range(3):
+            began = time.perf_counter()
+            for t in texts:
+                matcher.find(t)
+            best.append(time.perf_counter() - began)
+        took.append(min(best))
+    assert took[1] < 2.5 * took[0], took
