@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import pii_examples
 from .boosting import BoostedTrees, precise_threshold
 from .common import DOUBLE, LONG, STRING, mapped, schema
 
@@ -36,7 +37,7 @@ KINDS = BASE_KINDS + EXTRA_KINDS
 FAMILIES = (EXTRA_KINDS[:-1], EXTRA_KINDS[-1:])  # kinds that share trees: what tells a card says nothing of the others
 PRECISION = 0.97  # that each kind's threshold reaches on the calibration rows
 ROUNDING = 1e-9  # a threshold is some row's own probability, whose last bits may differ between processors
-SEED, EXAMPLES = 20240229, 400  # of the synthetic training set: examples of each kind and outcome
+SEED, EXAMPLES = 20240229, 500  # of the synthetic training set: examples of each kind, and look-alikes
 CONTEXT = 40  # characters before a candidate in which keywords count
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -97,21 +98,29 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 _CARD_FORM = r"(?:[2-6][0-9]{14,15}|[3-6][0-9]{3}(?:[ -][0-9]{4}){3}|3[0-9]{3}[ -][0-9]{6}[ -][0-9]{5})"
 _GENERATORS = {
-    "national_phone": (re.compile(r"(?<![0-9A-Za-z+.-])\(?[0-9]{2,5}\)?(?:[ .-]{1,2}[0-9]{2,5}){1,5}(?![0-9A-Za-z])"), "digit"),
+    "national_phone": (re.compile(r"(?<![0-9A-Za-z+./-])(?:\(?[0-9]{2,5}\)?(?:[ ./-]{1,2}[0-9]{2,9}){1,5}|0[0-9]{8,11})(?![0-9A-Za-z])"), "digit"),
     "ssn": (re.compile(r"(?<![0-9-])[0-9]{3}[- ][0-9]{2}[- ][0-9]{4}(?![0-9-])"), "digit"),
     "iban": (re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![A-Za-z0-9])"), "digit"),
-    "secret": (re.compile(r"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{16,}+|(?<=[=:])[ \t]?[\"']?[^\s\"',;]{8,}+"), "any"),
+    "secret": (re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+(?:\.[A-Za-z0-9_-]{8,}+){1,2}|(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{16,}+|(?<=[=:])[ \t]?[\"']?[^\s\"',;]{8,}+"), "any"),
     "ipv6": (re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])"), "colon"),
     "spelled_email": (re.compile(r"(?<![A-Za-z0-9._])[A-Za-z0-9._]{2,}+ ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]{2,}+(?: ?[\[(](?:dot|DOT)[\])] ?[A-Za-z0-9-]{2,}+|\.[A-Za-z0-9-]{2,}+)++"), "bracket"),
     "adjacent_card": (re.compile(rf"(?<![0-9])(?=({_CARD_FORM}(?![0-9])))(?:(?<![0-9][ -])|(?={_CARD_FORM}(?![0-9]|[ -][0-9]{{4}})))"), "digit"),  # first or last in a run of digits, so no column of numbers
 }
 _INNER = re.compile(r"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{16,}+|(?<=[=:])[^=:&]{8,}+")  # tokens and values inside a longer value
-_LONG_VALUE = 128  # characters; a longer value (a URL, packed code) is proposed whole and by what it holds
-_PHONE_WORDS = re.compile(r"(?i)\b(?:tel|phone|call|mobile|cell|fax|telefon|tél|appel|llam)")
+_LONG_VALUE = 128  # characters; a longer value, or a link, is proposed whole and by what it holds
+_PHONE_WORDS = re.compile(r"(?i)(?:\b(?:tel|phone|call|mobile|mobil|cell|fax|tél|appel|llam|handy|num[eé]ro|número|dial|whatsapp|ring|portable|móvil)|rufnummer|phone)")
 _ID_WORDS = re.compile(r"(?i)(?:ssn|social|security|iban|account|konto|compte|cuenta)")
-_SECRET_WORDS = re.compile(r"(?i)(?:passw|pwd|secret|token|api[_-]?key|credential|auth|bearer|private)")
+_SECRET_WORDS = re.compile(r"(?i)(?:passw|pwd|secret|token|api[_ -]?key|credential|auth|bearer|private|access[_-]?key)")
+_OWN_NAME = re.compile(r"([A-Za-z0-9_:-]*)[\"']?\s?[=:]\s?[\"']?$|(?:[Bb]earer|is|to) $")  # what a value is given to
+_LINK_NAME = re.compile(r"(?i)(?:href|src|srcset|action|url|link|poster|cite|content|from)$")
+_TAG_NAME = re.compile(r"(?i)(?:class|id|style|rel|type|name|title|alt|lang|target|role|property|media|for|label|color|width|height|display|placeholder|onclick|integrity)$")
+_LINK_START = re.compile(r"(?i)(?:[a-z][a-z0-9+.-]*:)?//|\.{0,2}/|#|www\.|[a-z]:\\|mailto:|data:")
+_FILE_END = re.compile(r"\.(?:[a-z]{2,5}|woff2|mp[34])(?:[?#].*)?/?$")
+_HOST = re.compile(r"(?<=[a-z0-9])\.(?:com|org|net|edu|gov|info|io|de|fr|es|uk|co)\b")
+_WORDLIKE = re.compile(r"[A-Z]?[a-z]{3,}+|[A-Z]{3,}+")
+_HARSH = re.compile(r"[bcdfghjklmnpqrstvwxz]{5,}|[aeiou]{5,}|[a-z][A-Z][a-z][A-Z]")  # what hardly stands in a word
 _KEY_START = re.compile(r"(?:AKIA|ASIA|ghp_|gho_|github_pat_|sk_live_|sk_test_|sk-|xox[abp]-|AIza|eyJ|glpat-)")  # fixed values: how public services' keys begin
-_OTHER_WORDS = re.compile(r"(?i)(?:order|invoice|version|isbn|issue|page|sku|commit|sha|md5|checksum|date|price|total|uuid|id)\b")
+_OTHER_WORDS = re.compile(r"(?i)(?:order|invoice|version|isbn|issue|page|sku|commit|sha|sha256|md5|checksum|date|price|total|uuid|id|score|final|won|sets|results?|zip|population|merged in|integrity|part|lot)\b")
 
 
 def candidates(text: str) -> list[tuple[int, int, str]]:
@@ -127,7 +136,7 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
                     start += 1
                 if end > start:
                     out.append((start, end, kind))
-                if kind == "secret" and end - start > _LONG_VALUE:
+                if kind == "secret" and (end - start > _LONG_VALUE or text.find("//", start, end) >= 0 or text.find("@", start, end) >= 0):
                     out += [(*i.span(), kind) for i in _INNER.finditer(text, start, end) if i.span() != (start, end)]
     return out
 
@@ -140,6 +149,22 @@ def _nearness(words: re.Pattern, before: str) -> float:
     return 1 - (len(before) - last.end()) / (CONTEXT + 1) if last else 0.0
 
 
+def _value_features(span: str, before: str) -> list[float]:
+    """What tells links, files, attributes, code and words from random text."""
+    n, own = len(span), _OWN_NAME.search(before)
+    name = own[1] or "" if own else ""
+    lower = span.lower()
+    letters = sum("a" <= c <= "z" for c in lower)
+    words = [m.group() for m in _WORDLIKE.finditer(span)]
+    in_words = sum(len(w) for w in words if any(c in "aeiouyAEIOUY" for c in w) and not _HARSH.search(w.lower()))
+    opened, closed = before.rfind("<"), before.rfind(">")
+    return [
+        in_words / n, max(map(len, words), default=0), sum(c in "aeiou" for c in lower) / max(1, letters), float(bool(_HARSH.search(span))), span.count("."), span.count("/"), span.count("-") + span.count("_"), sum(c in "()[]{}<>;|$\\`" for c in span), sum(c in "=&?%+" for c in span),
+        float(bool(_LINK_START.match(span))), float(bool(_FILE_END.search(lower))), float(bool(_HOST.search(lower))), float(opened > closed), float(bool(_LINK_NAME.search(name))), float(bool(_TAG_NAME.search(name))), float(bool(_SECRET_WORDS.search(name))), float(bool(own)), float(bool(name)),
+        float(before.endswith("base64,")), float(before[-1:] in ("/", ".", "?", "&", "#", "-")), float(before.rfind("://") >= 0 and " " not in before[before.rfind("://") :]), float(len(set(span)) / n), float(lower == span), float(not span.isascii()), max((len(g) for g in re.findall(r"[0-9]+", span)), default=0),
+    ]
+
+
 def features(text: str, start: int, end: int, kind: str) -> list[float]:
     span, before = text[start:end], text[max(0, start - CONTEXT) : start]
     n = len(span)
@@ -161,69 +186,27 @@ def features(text: str, start: int, end: int, kind: str) -> list[float]:
         mod97, float(luhn(_only_digits(span))) if digits else 0.0, float("(" in span), float("." in span), float("-" in span), float(" " in span), float("::" in span), float("/" in span), float("_" in span),
         float(near.rstrip(" \"'")[-1:] in ("=", ":")), float(near[-1:] in ("\"", "'")), float(before[-1:] in ("$", "€", "#", "v", "/")), float(text[end : end + 1] in ("%", "€", "$", "/", "°")),
         *[_nearness(words, before) for words in (_PHONE_WORDS, _ID_WORDS, _SECRET_WORDS, _OTHER_WORDS)],
+        *_value_features(span, before),
         float(groups[0] in ("19", "20") or bool(re.match(r"(?:19|20)[0-9]{2}$", groups[0]))), float(compact[:3] in ("000", "666") or compact[:1] == "9"), float(bool(_KEY_START.match(span))),
     ]
 
 
 def training_set(family: tuple[str, ...], seed: int = SEED, examples: int = EXAMPLES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features, outcomes and kinds (their places in ``family``) of made-up candidates: personal data, and look-alikes of it."""
-    r = random.Random(seed)
-    digits = lambda n: "".join(r.choice("0123456789") for _ in range(n))
-    chars = lambda n, of: "".join(r.choice(of) for _ in range(n))
-    low, alnum = "abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
-    word = lambda: chars(r.randint(2, 9), low)
-    prose = lambda: " ".join(word() for _ in range(r.randint(1, 6))) + r.choice((" ", " ", ": ", ", "))
-
-    def iban(good: bool) -> str:
-        body = digits(18)
-        check = 98 - int("".join(str(int(c, 36)) for c in body + "DE00")) % 97
-        text = f"DE{(check if good else (check + r.randint(1, 90)) % 97 + 2):02d}{body}"
-        return " ".join(text[i : i + 4] for i in range(0, 22, 4)) if r.random() < 0.5 else text
-
-    def card(good: bool) -> str:
-        body = r.choice("3456") + digits(r.choice((13, 14, 14, 14)))
-        check = next(c for c in "0123456789" if luhn(body + c))
-        text = body + (check if good else r.choice("0123456789".replace(check, "")))
-        return text if len(text) < 16 or r.random() < 0.5 else r.choice(" -").join(text[i : i + 4] for i in range(0, 16, 4))
-
-    makers = {
-        "national_phone": (
-            lambda: (r.choice(("tel ", "call ", "phone: ", "mobile ", "fax ", "cell: ", prose())), r.choice((f"({digits(3)}) {digits(3)}-{digits(4)}", f"{digits(3)}-{digits(3)}-{digits(4)}", f"{digits(3)}.{digits(3)}.{digits(4)}", f"0{digits(1)} {digits(2)} {digits(2)} {digits(2)} {digits(2)}"))),
-            lambda: (r.choice(("order ", "page ", "version ", "price $", "date ", prose())), r.choice((f"20{digits(2)}-{r.randint(1, 12):02d}-{r.randint(1, 28):02d}", f"{digits(2)}.{digits(2)}", f"{digits(4)}-{digits(4)}", f"{digits(3)} {digits(3)} {digits(3)}", f"{digits(2)}-{digits(2)}", f"{digits(4)} {digits(4)} {digits(4)} {digits(4)}", f"{digits(3)} {digits(3)}", f"{digits(2)} {digits(3)} {digits(2)} {digits(5)}"))),
-        ),
-        "ssn": (
-            lambda: (r.choice(("ssn ", "SSN: ", "social security ", "social ")), f"{r.randint(1, 665):03d}-{digits(2)}-{digits(4)}"),
-            lambda: (r.choice(("order ", "isbn ", "sku ", prose())), f"{digits(3)}{r.choice('- ')}{digits(2)}{r.choice('- ')}{digits(4)}"),
-        ),
-        "iban": (lambda: (r.choice(("iban ", "account ", prose())), iban(True)), lambda: (r.choice(("order ", "id ", prose())), iban(False))),
-        "secret": (
-            lambda: (r.choice(("key ", "aws ", prose(), prose())), r.choice(("AKIA" + chars(16, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), "ghp_" + chars(36, alnum), "sk_live_" + chars(24, alnum), "xoxb-" + chars(24, alnum), "AIza" + chars(35, alnum)))) if r.random() < 0.4 else (r.choice(("password=", "token = \"", "api_key: ", "secret=", "Authorization: Bearer ", "auth_token=\"", "passwd: ")), r.choice((chars(r.randint(16, 40), alnum), chars(r.choice((16, 18, 32, 40)), "0123456789abcdef"), chars(r.randint(10, 16), alnum + "!#%")))),
-            lambda: (r.choice(("commit ", "sha ", "see ", prose(), "id=", "url: ")), r.choice((chars(40, "0123456789abcdef"), word() + "_" + word() + "_" + chars(9, low), word() + "-" + chars(9, low) + "-" + word() + "-" + chars(6, low), "/" + "/".join(chars(8, low) for _ in range(3)), chars(r.randint(16, 30), low), digits(r.randint(16, 20)), chars(r.randint(8, 14), low)))),
-        ),
-        "ipv6": (
-            lambda: (r.choice(("ip ", "from ", "host ", prose())), r.choice((":".join(chars(4, "0123456789abcdef") for _ in range(8)), f"2001:db8:{chars(4, '0123456789abcdef')}::{chars(3, '0123456789abcdef')}", f"fe80::{chars(4, '0123456789abcdef')}:{chars(4, '0123456789abcdef')}"))),
-            lambda: (r.choice(("at ", "date ", "ratio ", prose())), r.choice((f"{digits(2)}:{digits(2)}:{digits(2)}", f"{digits(1)}:{digits(2)}:{digits(2)}", f"{digits(2)}:{digits(2)}:{digits(2)}:{digits(3)}"))),
-        ),
-        "spelled_email": (
-            lambda: (r.choice(("mail ", "write to ", prose())), f"{word()}.{word()} {r.choice(('(at)', '[at]', '[AT]'))} {word()}{r.choice((' [dot] ', ' (dot) ', '.'))}{r.choice(('com', 'org', 'net', 'de'))}"),
-            lambda: (prose(), f"{r.choice(('look', 'meet', 'is'))} (at) {word()}.{chars(9, low)}"),
-        ),
-        "adjacent_card": tuple(
-            lambda good=good: (r.choice(("card ", "+1 ", prose(), prose())) + r.choice((f"({digits(3)}) {digits(3)}-{digits(4)} ", f"{digits(2)} ", f"{digits(4)}-")), card(good)) for good in (True, False)
-        ),
-    }
-    others = (lambda: "", prose, lambda: f"tel {digits(3)}-{digits(4)}, ", lambda: f"password={chars(12, alnum)}, ", lambda: f"ssn {digits(3)}-{digits(2)}-{digits(4)}, ", lambda: f"order {digits(6)}, ", lambda: f"iban {chars(8, alnum)}, ")  # keywords that belong to something else
+    """Features, outcomes and kinds (their places in ``family``) of the candidates that the generators make of made-up examples.
+
+    A candidate is right if it is the example's span and of its kind. One that meets the span in part, but
+    is of its kind, is left out, and so is a number that happens to pass as a card; any other that meets it is wrong, so the kinds are told from each other.
+    """
     x, y, kinds = [], [], []
-    for k, kind in enumerate(family):
-        for outcome, make in zip((1, 0), makers[kind]):
-            for _ in range(examples):
-                context, span = make()
-                start = prose() + r.choice(others)() + context
-                x.append(features(start + span + r.choice((" ", ", ", "\n", "\" ")) + prose(), len(start), len(start) + len(span), kind))
-                y.append(outcome)
-                kinds.append(k)
+    for text, start, end, kind in pii_examples.examples(seed, examples, luhn):
+        for a, b, k in candidates(text):
+            real = k == "adjacent_card" and luhn(_only_digits(text[a:b]))  # by chance, in a look-alike of something else
+            if k in family and a < end and start < b and ((k != kind and not real) or (a, b) == (start, end)):
+                x.append(features(text, a, b, k))
+                y.append(k == kind)
+                kinds.append(family.index(k))
     order = list(range(len(x)))
-    r.shuffle(order)
+    random.Random(seed).shuffle(order)
     return np.array(x)[order], np.array(y, float)[order], np.array(kinds)[order]
 
 
