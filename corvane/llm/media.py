@@ -10,6 +10,8 @@ units. Both are mapped where the rows lie and work on whole arrays of packets.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -130,10 +132,10 @@ def _whole(data: bytes) -> bytes:
     return data[:size] if 0 < size <= len(data) and section_crc(data[:size]) == 0 else b""
 
 
-def _section(packets: np.ndarray, pid: np.ndarray, wanted: int) -> bytes:
-    """The first whole table section of this id, over as many packets as it takes; empty if there is none."""
+def _found_sections(packets: np.ndarray, pid: np.ndarray, wanted: int) -> Iterator[bytes]:
+    """The whole table sections of this id in their order, each over as many packets as it takes."""
     own, missing = _without_repeats(packets[pid == wanted])
-    data = b""  # of the section that began last
+    data = b""  # what is not yet a whole section
     for packet, lost, start in zip(own, missing, _payload_starts(own)):
         raw = packet[start:].tobytes()
         if lost:
@@ -141,13 +143,28 @@ def _section(packets: np.ndarray, pid: np.ndarray, wanted: int) -> bytes:
         if packet[1] & 0x40 and raw:  # a section begins; the first byte says after how many of the one before
             after = 1 + raw[0]
             if data and (found := _whole(data + raw[1:after])):
-                return found
+                yield found
             data = raw[after:]
         elif data:
             data += raw
-        if found := _whole(data):
-            return found
-    return b""
+        while found := _whole(data):  # several may stand one behind the other
+            yield found
+            data = data[len(found) :]
+
+
+def _sections(packets: np.ndarray, pid: np.ndarray, wanted: int) -> list[bytes]:
+    """A table's sections 0 to the last that it names, of the version that is whole first; else what is there of the version seen last."""
+    held: dict[int, bytes] = {}
+    version = None
+    for found in _found_sections(packets, pid, wanted):
+        if len(found) < 12:
+            continue
+        if found[5] != version:
+            held, version = {}, found[5]
+        held[found[6]] = found
+        if len(held) > found[7]:
+            break
+    return [held[n] for n in sorted(held)]
 
 
 def _units(own: np.ndarray, missing: np.ndarray, counts: dict[str, int]) -> tuple[list[bytes], list[tuple[int, bool, bool]]]:
@@ -192,12 +209,10 @@ def read_stream(media: bytes) -> tuple[bytes, list[tuple[int, bool, int, int, in
     counts["damaged"] += int((~good).sum())
     packets = packets[good & (packets[:, 1] & 0x80 == 0)]
     pid = (packets[:, 1] & 0x1F).astype(np.int64) << 8 | packets[:, 2]
-    pat = _section(packets, pid, PAT_PID)
-    maps = [(pat[i] << 8 | pat[i + 1], (pat[i + 2] & 0x1F) << 8 | pat[i + 3]) for i in range(8, len(pat) - 4, 4) if pat[i] or pat[i + 1]]
+    maps = [(pat[i] << 8 | pat[i + 1], (pat[i + 2] & 0x1F) << 8 | pat[i + 3]) for pat in _sections(packets, pid, PAT_PID) for i in range(8, len(pat) - 4, 4) if pat[i] or pat[i + 1]]
     counts["programs"] = len(maps)
     parts, units, done, read = [], [], 0, set()
-    for program, map_pid in maps:
-        pmt = _section(packets, pid, map_pid)
+    for program, pmt in ((program, pmt) for program, map_pid in maps for pmt in _sections(packets, pid, map_pid) if pmt[3] << 8 | pmt[4] == program):
         at = 12 + ((pmt[10] & 15) << 8 | pmt[11]) if pmt else 0
         while at and at + 5 <= len(pmt) - 4:
             stream = (pmt[at + 1] & 0x1F) << 8 | pmt[at + 2]
@@ -248,8 +263,8 @@ def read_streams(streams: DataFrame) -> DataFrame:
     """The streams with payload, time line, counts of the parse and the payload's entropy in bits a byte.
 
     ``streams``: doc_id, n_bytes, media; other columns are ignored. A null, empty or damaged stream is a
-    row with what could be read, an empty payload at the least; repeated rows are read alike; an empty
-    table gives an empty result.
+    row with what could be read, an empty payload at the least; tables of several sections are read whole,
+    and streams of any length; repeated rows are read alike; an empty table gives an empty result.
     """
     kind = pa.list_(pa.struct([("time", pa.int64()), ("random_access", pa.bool_()), *[(n, pa.int64()) for n in ("start", "length", "program", "pid")], ("broken", pa.bool_())]))
 

@@ -411,7 +411,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     rows = scratch.keep(own.select("doc_id", "n", "digest"))
     scratch.drop_others(of_class, rows)
     component = F.coalesce("component", "doc_id")
-    return rows.join(of_class, "digest", "left").select(
+    wordless = rows.where("digest is null").withColumn("component", F.lit(None).cast("long"))  # of no class: not to be sent to one task by the join
+    return rows.where("digest is not null").join(of_class, "digest", "left").unionByName(wordless).select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), component).alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept")
     )
 

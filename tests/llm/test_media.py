@@ -2,6 +2,7 @@ import hashlib
 import random
 import zlib
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -103,6 +104,28 @@ def test_programs_streams_and_sections_over_packets():
     assert [(u[4], u[5]) for u in units] == [(1, 0x100)] * 2 + [(7, 0x222)]
 
 
+@pytest.mark.parametrize("order", [(0, 1), (1, 0), (1, 1, 0)])
+def test_tables_of_several_sections(order):
+    """Programs 1 to 3 in the first section, 4 to 6 in the second, both in one packet or in several; the map of program 5 has two sections."""
+    payload = random.Random(6).randbytes(30_000)
+    data = _pieces(M.write_stream(payload))[2:]
+
+    def section(kind, number, n, body):
+        head = bytes([kind, 0xB0, len(body) + 9]) + number.to_bytes(2, "big") + bytes([0xC1, n, 1])
+        return head + body + M.section_crc(head + body).to_bytes(4, "big")
+
+    def packets(pid, sections):
+        return [bytes([0x47, 0x40 | pid >> 8, pid & 255, 0x10 | k & 15, 0]) + s.ljust(183, b"\xff") for k, s in enumerate(sections)]
+
+    pats = [section(0, 1, n, b"".join(bytes([0, p, 0xE1, p]) for p in range(3 * n + 1, 3 * n + 4))) for n in (0, 1)]
+    stream = lambda pid: bytes([6, 0xE0 | pid >> 8, pid & 255, 0xF0, 0])
+    maps = [section(2, 5, n, bytes([0xE1, 0, 0xF0, 0]) + stream(pid)) for n, pid in ((0, 0x333), (1, 0x100))]
+    joined = b"".join(pats[n] for n in order)
+    for tables in (packets(0, [pats[n] for n in order]), packets(0, [joined])):
+        back, units, counts = M.read_stream(b"".join(tables + packets(0x105, maps) + data))
+        assert back == payload and counts["programs"] == 6 and {u[4] for u in units} == {5}
+
+
 def test_known_checksum():
     assert M.section_crc(b"123456789") == 0x0376E6E7
 
