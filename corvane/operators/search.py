@@ -8,6 +8,8 @@ nothing is sorted whole. ``prepare`` selects norms once, for corpora that are se
 
 from __future__ import annotations
 
+import itertools
+import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -18,6 +20,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions import vector as V
+from ..session import shared_folder
+from . import bounded
 
 TITLE_WEIGHT, ABSTRACT_WEIGHT = 0.3, 0.7
 OVERFETCH = 3
@@ -58,6 +62,15 @@ def ranked(hits: DataFrame, k: int, nearest_first: bool = True, threshold: float
     return best.withColumn("rank", F.row_number().over(order))  # over k rows
 
 
+def bounded_search(corpus: DataFrame, query: Sequence[float], k: int = 10, side: str = "title", metric: str = "cosine", threshold: float | None = None, group: int = bounded.GROUP) -> DataFrame:
+    """As ``search``, over Arrow blocks with bounds (``bounded``): for vectors of many dimensions. ``side`` may be ``combined`` too, with the weights of ``search_combined``."""
+    if side == "combined":
+        found = bounded.best_rows(corpus, {"title": (query, TITLE_WEIGHT), "abstract": (query, ABSTRACT_WEIGHT)}, k, group=group)
+    else:
+        found = bounded.best_rows(corpus, {side: (query, 1.0)}, k, metric, group)
+    return ranked(found, k, V.METRICS[metric][1], threshold)
+
+
 def search(corpus: DataFrame, query: Query, k: int = 10, side: str = "title", metric: str = "cosine", threshold: float | None = None) -> DataFrame:
     """The k nearest by one side; ``threshold`` drops lower scores (higher distances)."""
     frame = _with_query(corpus, query)
@@ -103,21 +116,36 @@ def multi_search(corpus: DataFrame, queries: DataFrame, k: int = 10, side: str =
     """query_id, paper_id, score, rank for many queries (query_id, q), of any id types.
 
     One scan of the corpus takes up to ``query_bytes`` of queries along and scores them ``block`` at a
-    time; more queries take more scans. A partition keeps its k best of each query, and only those are
+    time; more queries take more scans, one after the other: the best of each are written to the shared folder and
+    its queries forgotten before the next are fetched, so the driver holds ``query_bytes`` at a time, however
+    many there are. A partition keeps its k best of each query, and only those are
     shuffled. As in ``search``, a null vector or one of another length than the query's is no hit, nor is a
     score that isn't a number; zero vectors score 0; ties go to the smaller paper_id. A query without a
     vector has no hits.
     """
-    spark, found = corpus.sparkSession, None
+    spark = corpus.sparkSession
     asked = queries.where("query_id is not null and q is not null and size(q) > 0").select("query_id", F.transform("q", lambda x: x.cast("double")).alias("q"))
     kinds = {"query_id": queries.schema["query_id"].dataType, "paper_id": corpus.schema["paper_id"].dataType}
     out = T.StructType([*[T.StructField(n, t) for n, t in kinds.items()], T.StructField("score", T.DoubleType())])
-    for some in _chunks(asked.toLocalIterator(), query_bytes):
-        shared = spark.sparkContext.broadcast(some)
-        part = corpus.select("paper_id", F.transform(f"{side}_embedding", lambda x: x.cast("double")).alias("v")).where("paper_id is not null and v is not null").mapInArrow(_best_of_partition(shared, k, block, metric, out), out)
-        found = part if found is None else found.unionAll(part)
-    if found is None:
+    ready = corpus.select("paper_id", F.transform(f"{side}_embedding", lambda x: x.cast("double")).alias("v")).where("paper_id is not null and v is not null")
+
+    def best(shared) -> DataFrame:
+        return ready.mapInArrow(_best_of_partition(shared, k, block, metric, out), out)
+
+    made = _chunks(asked.toLocalIterator(), query_bytes)
+    first, second = next(made, None), next(made, None)
+    if first is None:
         return spark.createDataFrame([], T.StructType([*out.fields, T.StructField("rank", T.IntegerType())]))
+    if second is None:  # one scan, which runs when the result is read
+        found = best(spark.sparkContext.broadcast(first))
+    else:
+        path = f"{shared_folder(spark)}/corvane-hits-{uuid.uuid4().hex}"
+        for some in itertools.chain((first, second), made):
+            first = second = None
+            shared = spark.sparkContext.broadcast(some)
+            best(shared).write.mode("append").parquet(path)
+            shared.destroy()
+        found = spark.read.schema(out).parquet(path)
     order = Window.partitionBy("query_id").orderBy(F.desc("score") if V.METRICS[metric][1] else F.asc("score"), "paper_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 

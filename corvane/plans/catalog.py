@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions import vector as V
-from ..operators import collection, compare, embed, merge, profile, quality, reconcile, sampling, search
+from ..operators import bounded, collection, compare, embed, merge, profile, quality, reconcile, sampling, search
 from ..schemas import PUBMED_COLUMNS
 from ..sources import papers as S
 from ..sources import hdf5, pubmed, sinks, stores
@@ -64,6 +64,18 @@ _T, _A = "list_cosine_similarity(t, q)", "list_cosine_similarity(ab, q)"
 # Search
 
 
+@query(_top_sql(_T))
+def topk_bounded(spark, sf):
+    """Title search over blocks whose rows are left when a bound says so; norms are stored with the vectors."""
+    q = D.query_vector(spark, sf).first()["q"]
+    return _hits(search.bounded_search(bounded.with_group_norms(D.corpus(spark, sf), ("title",), 16), q, K, group=16))
+
+
+@query(_top_sql(f"0.3 * {_T} + 0.7 * {_A}"))
+def topk_bounded_combined(spark, sf):
+    return _hits(search.bounded_search(D.corpus(spark, sf), D.query_vector(spark, sf).first()["q"], K, "combined", group=16))
+
+
 @query(_top_sql(_T))
 def topk_title(spark, sf):
     return _hits(search.search(D.corpus(spark, sf), D.query_vector(spark, sf), K))
