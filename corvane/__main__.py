@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,10 +53,15 @@ def do_embed(spark: SparkSession, a) -> None:
         incremental.embed_stream(incremental.paper_stream(spark, a.input), a.out, f"{a.out}.failed", f"{a.out}.checkpoint", _embedder(a), a.concurrency).awaitTermination()
         return
     rows = papers_source.read_papers(spark, a.input, a.start, a.limit)
-    results = embed.embed_papers(rows, _embedder(a), a.concurrency).persist()
-    sinks.append_vectors(stores.with_positions(embed.succeeded(results), "row_index", start=stores.next_position(spark, a.out)), a.out)
-    embed.failures(results).write.mode("append").json(f"{a.out}.failed")
-    sinks.write_json(sinks.run_info(results, a.model or a.api, a.dim, a.prompt), f"{a.out}.info")
+    run = uuid.uuid4().hex
+    with stores.appending(spark, a.out, run) as start:
+        counts = embed.write_results(embed.embed_papers(rows, _embedder(a), a.concurrency), f"{a.out}.results/{run}")
+        results = spark.read.parquet(f"{a.out}.results/{run}")
+        sinks.append_vectors(stores.with_positions(embed.succeeded(results), "row_index", start=start), a.out)
+        embed.failures(results).write.mode("append").json(f"{a.out}.failed")
+    sinks.write_json(sinks.run_info(counts, a.model or a.api, a.dim, a.prompt), f"{a.out}.info")
+    gone = spark._jvm.org.apache.hadoop.fs.Path(f"{a.out}.results/{run}")
+    gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
 
 
 def _hits(corpus: DataFrame, a, text: str) -> DataFrame:

@@ -8,16 +8,16 @@ import time
 import urllib.error
 import urllib.request
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import vector as V
 from ..functions.text import PROMPTS
+from . import requests
 
 TITLE_PREFIX, ABSTRACT_PREFIX = PROMPTS["title"], PROMPTS["abstract"]
 
@@ -57,9 +57,11 @@ class HttpEmbedder:
     """A model server: ``openai`` or ``tei`` requests, tried again after waiting.
 
     Status 429 waits twice as long each time; ``retry_status`` says whether other statuses are tried
-    again too. ``open_url`` can be replaced in tests.
+    again too. ``watch``, if it is set, is called at each 429. ``open_url`` can be replaced in tests.
     """
 
+    watch: Callable[[], None] | None = None
+
     def __init__(self, url: str, model: str = "", api: str = "openai", retries: int = 3, delay: float = 1.0, timeout: float = 30.0, normalize: bool | None = False, retry_status: bool = False, open_url: Callable | None = None):
         self.url, self.model, self.api, self.retries, self.delay, self.timeout, self.normalize, self.retry_status, self.open_url = url, model, api, retries, delay, timeout, normalize, retry_status, open_url
 
@@ -77,6 +79,8 @@ class HttpEmbedder:
                     found = json.loads(answer.read())
                 return found["data"][0]["embedding"] if self.api == "openai" else found[0]
             except urllib.error.HTTPError as e:
+                if e.code == 429 and self.watch:
+                    self.watch()
                 if last or e.code != 429 and not self.retry_status:
                     raise
                 time.sleep(self.delay * 2**attempt if e.code == 429 else self.delay)
@@ -152,20 +156,32 @@ class WordCounter:
 RESULT = "paper_id string, title_embedding array<float>, abstract_embedding array<float>, error string"
 
 
-def embed_papers(papers: DataFrame, make: Callable[[], Embedder], concurrency: int = 1, title_prefix: str = TITLE_PREFIX, abstract_prefix: str = ABSTRACT_PREFIX, partitions: int | None = None) -> DataFrame:
+BATCH_ROWS, MEMORY_MB = 1000, 2048
+
+
+def embed_papers(
+    papers: DataFrame, make: Callable[[], Embedder], concurrency: int = 1, title_prefix: str = TITLE_PREFIX, abstract_prefix: str = ABSTRACT_PREFIX, partitions: int | None = None,
+    batch_rows: int = BATCH_ROWS, memory_mb: float = MEMORY_MB, memory: Callable[[], float] = requests.resident_mb,
+) -> DataFrame:
     """paper_id, both vectors, error of papers (id, title, abstract), and their row_index if they have one.
 
-    ``make`` builds the embedder once a task. ``concurrency`` requests run at once in a task, titles and
-    abstracts alike; with the number of task slots that bounds what a server sees. A failed paper is a row
-    with its error and null vectors. Tasks may be repeated, so an embedder must not depend on being called
-    once. ``partitions`` deals the papers anew before, where the input has too few splits for the work.
+    ``make`` builds the embedder once a task. Up to ``concurrency`` requests are under way in a task, titles and
+    abstracts alike, in a window that follows the server (``requests``); with the number of task slots that bounds
+    what a server sees. Papers come as they are done. They are given on once there are ``batch_rows``, or
+    once the worker holds more than ``memory_mb``. A failed paper is a row with its error and null vectors.
+    Tasks may be repeated, so an embedder must not depend on being called once. ``partitions`` deals the
+    papers anew before, where the input has too few splits for the work.
     """
     if partitions:
         papers = papers.repartition(partitions)
     placed = "row_index" in papers.columns
+    names = ["paper_id", "title_embedding", "abstract_embedding", "error"] + ["row_index"] * placed
 
     def work(frames):
-        embedder = make()
+        embedder, window = make(), requests.RequestWindow(concurrency)
+        if hasattr(embedder, "watch"):
+            embedder.watch = window.busy
+        kind = None
 
         def one(text):
             try:
@@ -174,21 +190,54 @@ def embed_papers(papers: DataFrame, make: Callable[[], Embedder], concurrency: i
             except Exception as e:  # a paper's failure is a result
                 return None, f"{type(e).__name__}: {e}"
 
-        with ThreadPoolExecutor(concurrency) as pool:
+        def texts():
+            """(the paper's row, which side, text); a row holds its id, its place and the answers."""
+            nonlocal kind
             for frame in frames:
-                titles, abstracts = ([prefix + (t or "") for t in frame.column(c).to_pylist()] for c, prefix in (("title", title_prefix), ("abstract", abstract_prefix)))
-                texts = [t for pair in zip(titles, abstracts) for t in pair]
-                made = list(pool.map(one, texts)) if concurrency > 1 else [one(t) for t in texts]
-                pairs = list(zip(made[::2], made[1::2]))
-                errors = [a[1] or b[1] for a, b in pairs]
-                vectors = [pa.array([None if e else pair[side][0] for pair, e in zip(pairs, errors)], pa.list_(pa.float32())) for side in (0, 1)]
-                columns = [frame.column("id"), *vectors, pa.array(errors, pa.string())] + ([frame.column("row_index")] if placed else [])
-                yield pa.RecordBatch.from_arrays(columns, names=["paper_id", "title_embedding", "abstract_embedding", "error"] + ["row_index"] * placed)
+                kind = frame.column("id").type
+                for i, row in enumerate(zip(*(frame.column(c).to_pylist() for c in ("id", "title", "abstract")))):
+                    held = [row[0], frame.column("row_index")[i].as_py() if placed else None, None, None]
+                    yield held, 2, title_prefix + (row[1] or "")
+                    yield held, 3, abstract_prefix + (row[2] or "")
+
+        def answers():
+            if concurrency > 1:
+                yield from requests.sliding(texts(), lambda item: one(item[2]), window)
+            else:
+                yield from ((item, one(item[2])) for item in texts())
+
+        def batch(rows):
+            errors = [r[2][1] or r[3][1] for r in rows]
+            vectors = [pa.array([None if e else r[side][0] for r, e in zip(rows, errors)], pa.list_(pa.float32())) for side in (2, 3)]
+            columns = [pa.array([r[0] for r in rows], kind), *vectors, pa.array(errors, pa.string())] + ([pa.array([r[1] for r in rows], pa.int64())] if placed else [])
+            return pa.RecordBatch.from_arrays(columns, names=names)
+
+        rows = []
+        for (held, side, _), found in answers():
+            held[side] = found
+            if held[2] and held[3]:
+                rows.append(held)
+                if len(rows) >= batch_rows or memory() > memory_mb:
+                    yield batch(rows)
+                    rows = []
+        if rows:
+            yield batch(rows)
 
     columns = ["id", "title", "abstract"] + [F.col("row_index").cast("long").alias("row_index")] * placed
     return papers.select(*columns).mapInArrow(work, RESULT + ", row_index bigint" * placed)
 
 
+def write_results(results: DataFrame, path: str) -> dict[str, float]:
+    """Writes the results of ``embed_papers`` once and tells succeeded, failed and seconds, all from that one pass.
+
+    Whatever is made of them reads the written rows, so no paper goes to the model a second time.
+    """
+    observed, began = Observation(), time.monotonic()
+    error = F.col("error").isNotNull()
+    results.observe(observed, F.count_if(~error).alias("succeeded"), F.count_if(error).alias("failed")).write.mode("overwrite").parquet(path)
+    return {**observed.get, "seconds": time.monotonic() - began}
+
+
 def succeeded(results: DataFrame) -> DataFrame:
     return results.where("error is null").drop("error")
 

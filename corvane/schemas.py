@@ -37,6 +37,7 @@ RUN_INFO = T.StructType(
         T.StructField("data_type", T.StringType()),
         T.StructField("compression", T.StringType()),
         T.StructField("batch_size", T.IntegerType()),
+        T.StructField("papers_per_second", T.DoubleType()),
     ]
 )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import vector as V
@@ -86,13 +86,21 @@ def write_workbooks(rows: DataFrame, folder: str, file: str = "file") -> DataFra
     return texts.repartition(file).sortWithinPartitions(file).mapInArrow(work, "workbook string, rows bigint")
 
 
-def run_info(results: DataFrame, model: str, dim: int, prompt_name: str | None = None, batch_size: int = 50, method: str = "arrow_batches", created: str | None = None) -> DataFrame:
-    """One row of counts and settings of an embedding run; results have ``error``, null where it worked."""
-    ok, failed = F.count_if(F.col("error").isNull()), F.count_if(F.col("error").isNotNull())
-    one = results.agg(ok.alias("total_papers"), failed.alias("failed_papers"))
-    return one.select(
+def run_info(results: DataFrame | dict[str, float], model: str, dim: int, prompt_name: str | None = None, batch_size: int = 50, method: str = "sliding_window", created: str | None = None) -> DataFrame:
+    """One row of counts and settings of an embedding run.
+
+    ``results`` are the counts of the pass that wrote it (``embed.write_results``); of a frame with ``error``, null where it
+    worked, they are made by one more pass.
+    """
+    if isinstance(results, DataFrame):
+        failures = F.col("error").isNotNull()
+        results = results.agg(F.count_if(~failures).alias("succeeded"), F.count_if(failures).alias("failed")).first().asDict()
+    counts = results
+    ok, failed, seconds = F.lit(int(counts["succeeded"])).cast("long"), F.lit(int(counts["failed"])).cast("long"), F.lit(float(counts.get("seconds", 0.0)))
+    return SparkSession.active().range(1).select(
         F.lit(model).alias("model"), F.lit(dim).alias("embedding_dim"), (F.lit(created) if created else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")).alias("creation_date"), F.lit(prompt_name).alias("prompt_name"),
-        "total_papers", "failed_papers", percent(F.col("total_papers"), F.col("total_papers") + F.col("failed_papers")).alias("success_rate"), F.lit(method).alias("processing_method"), F.lit("float32").alias("data_type"), F.lit("zstd").alias("compression"), F.lit(batch_size).alias("batch_size"),
+        ok.alias("total_papers"), failed.alias("failed_papers"), percent(ok, ok + failed).alias("success_rate"), F.lit(method).alias("processing_method"), F.lit("float32").alias("data_type"), F.lit("zstd").alias("compression"), F.lit(batch_size).alias("batch_size"),
+        F.coalesce(F.try_divide((ok + failed).cast("double"), seconds), F.lit(0.0)).alias("papers_per_second"),
     )
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -73,6 +75,29 @@ def next_position(spark: SparkSession, path: str) -> int:
     return 0 if last is None else last + 1
 
 
+@contextmanager
+def appending(spark: SparkSession, path: str, owner: str):
+    """Where rows that ``owner`` appends to a store begin; no other may append meanwhile, else their places would collide.
+
+    A file ``{path}.lock`` that names the owner is made, which only one can do. A run that was broken off goes on
+    under its own name; of another's lock a RuntimeError tells.
+    """
+    lock = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.lock")
+    fs = lock.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        out = fs.create(lock, False)
+        out.write(bytearray(owner.encode()))
+        out.close()
+    except Py4JJavaError:
+        held = "".join(r["value"] for r in spark.read.text(f"{path}.lock").collect()) if fs.exists(lock) else ""
+        if held != owner:
+            raise RuntimeError(f"{path} is being appended to by {held or 'another run'}; if that run is gone, delete {path}.lock") from None
+    try:
+        yield next_position(spark, path)
+    finally:
+        fs.delete(lock, False)
+
+
 def fetch(manifest: DataFrame, base_url: str, folder: str, retries: int = 3, opener: Callable[[str], bytes] | None = None) -> DataFrame:
     """name, bytes, error of the files of a manifest, fetched below ``folder``; one file at a time in a task.
 
