@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .functions import vector as V
 from .functions.text import PROMPTS, SEARCH_PROMPTS, word_count
-from .operators import collection, compare, embed, merge, profile, quality, reconcile, sampling, search
+from .operators import clustered, collection, compare, embed, merge, profile, quality, reconcile, sampling, search
 from .session import session
 from .sources import papers as papers_source
 from .sources import hdf5, pubmed, sinks, stores
@@ -150,6 +150,13 @@ def do_sample(spark: SparkSession, a) -> None:
 
 def do_import(spark: SparkSession, a) -> None:
     new = collection.points(stores.read_store(spark, a.vectors), papers_source.load_metadata(spark, a.metadata), a.start, a.limit)
+    if a.store:
+        new = new.withColumn("paper_id", F.col("payload.paper_id"))
+        there = clustered.PaperStore(spark, a.store)
+        if not there.points.exists():
+            there = clustered.PaperStore.create(spark, a.store, new, metric=a.metric)
+        print(f"buckets written: {len(there.upsert(new))}, points: {there.points.rows()}")
+        return
     collection.create(spark, a.collection, new, a.recreate, a.metric)
     collection.upsert(spark, a.collection, new)
 
@@ -173,6 +180,10 @@ def do_manifest(spark: SparkSession, a) -> None:
 
 
 def do_lookup(spark: SparkSession, a) -> None:
+    if a.store:
+        there = clustered.PaperStore(spark, a.store)
+        found = there.of_paper(a.paper_id) if a.paper_id is not None else there.of_point(a.index)
+        return _show(found.select("point_id", "paper_id", "payload", *[c for s in ("title", "abstract") if s in found.columns for c in (F.size(s).alias(f"{s}_dim"), V.preview(s).alias(f"{s}_preview"))]), a.out)
     v = stores.read_store(spark, a.vectors)
     _show(stores.store_structure(v), None)
     one = v.where(F.col("paper_id") == a.paper_id) if a.paper_id is not None else v.where(F.col("row_index") == a.index)
@@ -241,9 +252,11 @@ def parser() -> argparse.ArgumentParser:
     p = add("import", do_import, "vectors", "window")
     p.add_argument("--metadata", required=True)
     p.add_argument("--collection", default="papers")
+    p.add_argument("--store", help="a clustered store in this folder, in place of a table")
     p.add_argument("--recreate", action="store_true")
     p.add_argument("--metric", choices=["cosine", "dot", "euclidean"], default="cosine")
-    p = add("lookup", do_lookup, "vectors", "out")
+    p = add("lookup", do_lookup, "some_vectors", "out")
+    p.add_argument("--store", help="a clustered store that import --store made, in place of --vectors")
     p.add_argument("--paper_id")
     p.add_argument("--index", type=int, default=0)
     p.add_argument("--pca", type=int, help="show principal components of so many sampled rows")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions import vector as V
-from ..operators import bounded, collection, compare, embed, merge, profile, quality, reconcile, sampling, search
+from ..operators import bounded, clustered, collection, compare, embed, merge, profile, quality, reconcile, sampling, search
 from ..schemas import PUBMED_COLUMNS
 from ..sources import papers as S
 from ..sources import hdf5, pubmed, sinks, stores
@@ -176,14 +176,22 @@ def multi_query_euclidean(spark, sf):
     return _multi(spark, sf, "title", "euclidean")
 
 
+def _paper_store(spark, sf):
+    """All vectors as points of a clustered store."""
+    rows = D.corpus(spark, sf).withColumn("point_id", F.col("row_index"))
+    store = clustered.PaperStore.create(spark, D.folder(spark), rows, width=100, buckets=8)
+    store.upsert(rows)
+    return store
+
+
 @query(f"WITH {D.CORPUS_SQL} SELECT paper_id, row_index, CAST(len(t) AS BIGINT) AS title_dim, CAST(len(ab) AS BIGINT) AS abstract_dim FROM pv WHERE paper_id = '42'")
 def point_lookup(spark, sf):
-    return search.lookup(D.corpus(spark, sf), "42").select("paper_id", "row_index", F.col("title_dim").cast("long").alias("title_dim"), F.col("abstract_dim").cast("long").alias("abstract_dim"))
+    return search.lookup(_paper_store(spark, sf).of_paper("42"), "42").select("paper_id", "row_index", F.col("title_dim").cast("long").alias("title_dim"), F.col("abstract_dim").cast("long").alias("abstract_dim"))
 
 
 @query(f"WITH {D.CORPUS_SQL} SELECT paper_id, row_index, CAST(len(t) AS BIGINT) AS title_dim, CAST(len(ab) AS BIGINT) AS abstract_dim FROM pv WHERE row_index = 17")
 def point_lookup_index(spark, sf):
-    return search.lookup_index(D.corpus(spark, sf), 17).select("paper_id", "row_index", F.col("title_dim").cast("long").alias("title_dim"), F.col("abstract_dim").cast("long").alias("abstract_dim"))
+    return search.lookup_index(_paper_store(spark, sf).of_point(17), 17).select("paper_id", "row_index", F.col("title_dim").cast("long").alias("title_dim"), F.col("abstract_dim").cast("long").alias("abstract_dim"))
 
 
 # Vectors
@@ -626,7 +634,20 @@ def collection_table(spark, sf):
 
 @query("SELECT vec_id AS point_id, label FROM embeddings WHERE vec_id > 99 ORDER BY vec_id LIMIT 100")
 def collection_scroll(spark, sf):
-    return collection.scroll(D.table(spark, sf, "embeddings").select(F.col("vec_id").alias("point_id"), "label"), 100, 99)
+    rows = D.table(spark, sf, "embeddings").select(F.col("vec_id").alias("point_id"), "label")
+    store = clustered.Store.create(spark, D.folder(spark), rows, "point_id", width=50)
+    store.upsert(rows)
+    return store.scroll(100, 99)
+
+
+@query(f"WITH {_UPSERT} SELECT * FROM u")
+def upsert_buckets(spark, sf):
+    """Points of two upserts of a clustered store, the second of which has some keys twice."""
+    stored, new = _upsert(spark, sf)
+    store = clustered.Store.create(spark, D.folder(spark), stored, "point_id", width=100)
+    store.upsert(stored)
+    store.upsert(new, order="version")
+    return store.read()
 
 
 _PARTS = "a AS (SELECT label AS part, vec_id AS pos, CAST(vec_id AS VARCHAR) AS paper_id FROM embeddings), b AS (SELECT label AS part, vec_id AS pos, CAST(vec_id + CASE WHEN label = 4 THEN 1 ELSE 0 END AS VARCHAR) AS paper_id FROM embeddings)"
