@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import OPTIONAL_FIELDS, REQUIRED_FIELDS
+from .quantiles import exact_quantiles
 
 EDGES = (0, 128, 256, 512, 1024, 2048, 4096, 8192)
 PERCENTILES = (50, 90, 95, 99, 99.9)
@@ -83,15 +84,16 @@ def sample_lines(lines: DataFrame, n: int, raw: str = "value", seed: int = 0) ->
 
 
 def length_stats(lengths: DataFrame, column: str) -> DataFrame:
-    """total, mean, median, population std, max in one row."""
+    """total, mean, median, population std, max in one row; the median is exact (``quantiles``)."""
     c = F.col(column)
-    return lengths.agg(F.count(c).alias("total"), F.avg(c).alias("mean"), F.percentile(c, F.lit(0.5)).alias("median"), F.stddev_pop(c).alias("std"), F.max(c).alias("longest"))
+    (median,) = exact_quantiles(lengths, column, [0.5])
+    return lengths.agg(F.count(c).alias("total"), F.avg(c).alias("mean"), F.lit(median).cast("double").alias("median"), F.stddev_pop(c).alias("std"), F.max(c).alias("longest"))
 
 
 def length_percentiles(lengths: DataFrame, column: str, percents: Sequence[float] = PERCENTILES) -> DataFrame:
-    """percent, value by linear interpolation, exactly."""
-    one = lengths.agg(F.percentile(F.col(column), F.array(*[F.lit(p / 100) for p in percents])).alias("v"))
-    return one.select(F.explode(F.arrays_zip(F.array(*[F.lit(float(p)) for p in percents]).alias("percent"), F.col("v").alias("value"))).alias("e")).select(F.col("e.percent").alias("percent"), F.col("e.value").alias("value"))
+    """percent, value by linear interpolation, exactly (``quantiles``)."""
+    found = exact_quantiles(lengths, column, [p / 100 for p in percents])
+    return lengths.sparkSession.createDataFrame([(float(p), v) for p, v in zip(percents, found)], "percent double, value double")
 
 
 def length_histogram(lengths: DataFrame, column: str, edges: Sequence[int] = EDGES) -> DataFrame:

@@ -46,16 +46,22 @@ def tail_heavy_counts(total: int, n: int, ratio: float) -> tuple[int, int]:
 def sample(rows: DataFrame, n: int, strategy: str = "random", position: str = "row_index", strength: float = 0.8, id_column: str | None = None, total: int | None = None, seed: str = "") -> DataFrame:
     """``rows`` of the sample; all rows if there are no more than ``n``.
 
-    Positions must be those of a store of ``total`` rows: ValueError if one lies outside [0, total).
+    Positions must be those of a store of ``total`` rows, from 0 on. Without ``total`` a first pass counts the rows and looks at
+    their positions: ValueError if one lies outside. With it there is one scan, and a row outside ends the job.
     """
-    met = rows.agg(F.count(F.lit(1)).alias("n"), F.min(position).alias("low"), F.max(position).alias("high")).first()
-    total = met["n"] if total is None else total
-    if met["n"] and not 0 <= met["low"] <= met["high"] < total:
-        raise ValueError(f"positions from {met['low']} to {met['high']} are none of a store of {total} rows")
+    at = F.col(position)
+    if total is None:
+        met = rows.agg(F.count(F.lit(1)).alias("n"), F.min(position).alias("low"), F.max(position).alias("high")).first()
+        total = met["n"]
+        if total and not 0 <= met["low"] <= met["high"] < total:
+            raise ValueError(f"positions from {met['low']} to {met['high']} are none of a store of {total} rows")
+    else:
+        outside = F.raise_error(F.format_string(f"position %s is none of a store of {total} rows", at.cast("string"))).cast("boolean")
+        rows = rows.where(F.when((at >= 0) & (at < total), True).otherwise(outside))
     name = id_column or position
     if strategy == "tail_heavy":
         head, tail = tail_heavy_counts(total, min(n, total), strength)
-        low, high = rows.where(F.col(position) < total // 2), rows.where(F.col(position) >= total // 2)
+        low, high = rows.where(at < total // 2), rows.where(at >= total // 2)
         return low.orderBy(uniform(name, seed), position).limit(head).unionAll(high.orderBy(uniform(name, seed), position).limit(tail))
     return rows.orderBy(-F.log(uniform(name, seed)) / weight(strategy, position, total, strength), position).limit(n)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -17,15 +19,23 @@ SETTINGS = {
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``; a local session without one gets a temporary folder."""
     found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        known = spark.sparkContext._jsc.sc().getCheckpointDir()
+        found = known.get() if known.isDefined() else None
     if not found:
         if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        found = _local.setdefault("folder", None) or tempfile.mkdtemp(prefix="corvane-")
-        _local["folder"] = found
+        made = tempfile.mkdtemp(prefix="corvane-")
+        atexit.register(shutil.rmtree, made, True)
+        spark.sparkContext.setCheckpointDir(made)  # so whatever else asks the session finds the same
+        found = spark.sparkContext._jsc.sc().getCheckpointDir().get()
     return found.rstrip("/")
 
 
-_local: dict[str, str | None] = {}
+def delete(spark: SparkSession, path: str) -> None:
+    """A file or folder, with what is in it."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
 
 
 def session(name: str = "corvane", master: str | None = None, **more: str) -> SparkSession:
