@@ -13,7 +13,7 @@ from ..functions import vector as V
 from ..operators import bounded, clustered, collection, compare, embed, merge, profile, quality, reconcile, sampling, search
 from ..schemas import PUBMED_COLUMNS
 from ..sources import papers as S
-from ..sources import hdf5, pubmed, sinks, stores
+from ..sources import hdf5, npz, pubmed, sinks, stores
 from ..streaming import incremental
 from . import fixtures as D
 
@@ -721,6 +721,14 @@ def hdf5_slab_scan(spark, sf):
     return store.select("paper_id", "row_index", r6(V.norm("title_embedding")).alias("title_norm"), r6(F.get("abstract_embedding", F.lit(0)).cast("double")).alias("abstract_first"))
 
 
+@query(f"WITH {D.CORPUS_SQL} SELECT paper_id, round(sqrt(list_sum(list_transform(t, lambda x: x * x))), 6) AS norm FROM pv")
+def npz_slab_scan(spark, sf):
+    """Vectors written to NPZ parts, one a partition, and read back in slabs."""
+    path = D.folder(spark)
+    D.write_npz(D.corpus(spark, sf).repartition(3).select("paper_id", "title_embedding"), path)
+    return npz.read_npz(spark, path, slab_rows=60).select("paper_id", r6(V.norm("embedding")).alias("norm"))
+
+
 @query("SELECT CAST(vec_id AS VARCHAR) AS paper_id FROM embeddings WHERE label <> 3")
 def hdf5_id_scan(spark, sf):
     path = f"{D.folder(spark)}/store.h5"

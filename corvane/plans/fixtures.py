@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
+from ..sources.hdf5 import as_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -110,6 +111,30 @@ def write_arrays(lines: DataFrame, path: str) -> None:
     lines.select("value").mapInArrow(work, "value string").write.text(path)
 
 
+def write_npz(vectors: DataFrame, path: str) -> None:
+    """Ids and vectors (two columns) as NPZ parts, one a partition, compressed for every other one."""
+    folder = as_path(path)
+
+    def work(frames):
+        import os
+
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        number, ids, found = TaskContext.get().partitionId(), [], []
+        for frame in frames:
+            ids += frame.column(0).to_pylist()
+            found += frame.column(1).to_pylist()
+        os.makedirs(folder, exist_ok=True)
+        part = f"{folder}/.part{number}.{os.getpid()}.npz"
+        (np.savez_compressed if number % 2 else np.savez)(part, ids=np.array(ids), embeddings=np.array(found, np.float32))
+        os.replace(part, f"{folder}/part{number}.npz")
+        yield pa.RecordBatch.from_arrays([pa.array([len(ids)], pa.int64())], names=["n"])
+
+    vectors.mapInArrow(work, "n bigint").count()
+
+
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """file, value: each document as an article's XML in which every element that is read stands, most of them twice."""
     d = table(spark, sf_dir, "documents")

@@ -311,7 +311,7 @@ class Hdf5Reader(DataSourceReader):
             slab = -(-self.slab // whole) * whole  # so that no chunk is decoded for two slabs
             out += [Slab(path, first, a, min(rows, a + slab)) for a in range(0, rows, slab)]
             first += rows
-        return out
+        return out or [Slab(self.paths[0], 0, 0, 0)]  # one at least: with none the reader would be asked for no slab
 
     def read(self, partition: Slab) -> Iterator[pa.RecordBatch]:
         with open_file(partition.path) as f:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .hdf5 import read_hdf5
+from .npz import read_npz  # noqa: F401
 
 # Wordings of failure lines in logs; group 1 is the paper's id.
 FAILURE_PATTERNS = [
@@ -197,43 +198,6 @@ def download_manifest(spark: SparkSession, first: int = 1, last: int = 1274, yea
     return wanted.join(have.select("name"), "name", "left_anti") if have is not None else wanted
 
 
-PARTS = "part string, pos bigint, paper_id string, embedding array<float>"
-
-
-def _read_binary_store(spark: SparkSession, paths: Sequence[str], parse) -> DataFrame:
-    """part, pos, paper_id, embedding of files that a Python library reads from bytes; one task a file."""
-    import pyarrow as pa
-
-    def work(frames):
-        for frame in frames:
-            for name, content in zip(frame.column("path").to_pylist(), frame.column("content").to_pylist()):
-                ids, vectors = parse(content)
-                n = len(ids)
-                values = pa.array(vectors.astype("float32").ravel())
-                lists = pa.ListArray.from_arrays(pa.array([i * vectors.shape[1] for i in range(n + 1)], pa.int32()), values)
-                yield pa.RecordBatch.from_arrays([pa.array([name] * n, pa.string()), pa.array(range(n), pa.int64()), pa.array(ids, pa.string()), lists], names=["part", "pos", "paper_id", "embedding"])
-
-    return spark.read.format("binaryFile").load(list(paths)).select("path", "content").mapInArrow(work, PARTS)
-
-
-def _text_ids(ids) -> list[str]:
-    return [i.decode() if isinstance(i, bytes) else str(i) for i in ids.tolist()]
-
-
-def _parse_npz(content: bytes):
-    import io
-
-    import numpy as np
-
-    with np.load(io.BytesIO(content), allow_pickle=False) as f:
-        return _text_ids(f["ids"]), f["embeddings"]
-
-
-def read_npz(spark: SparkSession, *paths: str) -> DataFrame:
-    """Numbered NPZ parts with arrays ``embeddings`` and ``ids``; half precision is widened."""
-    return _read_binary_store(spark, paths, _parse_npz)
-
-
 def zip_parts(title: DataFrame, abstract: DataFrame) -> DataFrame:
     """paper_id, both vectors of parts (part, pos, paper_id, embedding) whose ids agree row by row.
 

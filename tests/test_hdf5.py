@@ -154,6 +154,12 @@ def test_faults_are_named(spark, tmp_path):
     assert H.write_hdf5(frame.limit(0), str(tmp_path / "d")).count() == 0
 
 
+def test_a_store_without_rows(spark, tmp_path):
+    file = io.BytesIO(newer_file({"paper_ids": (struct.pack("<BBBBQ", 2, 1, 0, 1, 0), struct.pack("<B3BI", 0x13, 0, 0, 0, 6), lambda at: struct.pack("<BBQQ", 3, 1, NONE, 0), b"", b"")}))
+    (tmp_path / "e.h5").write_bytes(file.getvalue())
+    assert H.read_hdf5(spark, str(tmp_path / "e.h5"), sides=()).count() == 0
+
+
 def test_command_line_converts_both_ways(spark, tmp_path):
     from corvane.__main__ import main
 
