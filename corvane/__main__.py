@@ -109,7 +109,7 @@ def do_merge(spark: SparkSession, a) -> None:
 
 def do_failed(spark: SparkSession, a) -> None:
     rows = papers_source.read_papers(spark, a.input)
-    source, stored = rows.select(F.col("id").alias("paper_id")).where("paper_id <> ''"), spark.read.parquet(a.vectors).select("paper_id")
+    source, stored = papers_source.valid_ids(spark, a.input), stores.read_store(spark, a.vectors).select("paper_id")
     _show(reconcile.id_diff(source, stored), None)
     failed = reconcile.missing_ids(source, stored)
     if a.logs:

@@ -14,6 +14,7 @@ from ..operators import bounded, clustered, collection, compare, embed, merge, p
 from ..schemas import PUBMED_COLUMNS
 from ..sources import papers as S
 from ..sources import hdf5, npz, pubmed, sinks, stores
+from ..sources.hdf5 import as_path
 from ..streaming import incremental
 from . import fixtures as D
 
@@ -414,6 +415,14 @@ def json_array_scan(spark, sf):
     return S.read_papers(spark, path).select("id", "title", "abstract", "categories")
 
 
+@query(f"WITH {_DEFECTS} SELECT id AS paper_id FROM j WHERE lang = 'en' AND text <> '' AND row_index % 4 <> 0")
+def valid_id_scan(spark, sf):
+    """Ids of valid papers; every fourth paper has an empty id."""
+    path = D.folder(spark)
+    D.whole_lines(spark, sf).select(F.when(F.col("row_index") % 4 == 0, F.regexp_replace("value", '"id":"[0-9]+"', '"id":""')).otherwise(F.col("value")).alias("value")).write.text(path)
+    return S.valid_ids(spark, path)
+
+
 @query("SELECT kind, path FROM (VALUES ('jsonl', 'lines'), ('json', 'array'), ('json', 'object')) v(kind, path)")
 def format_sniffing(spark, sf):
     path, lines = D.folder(spark), D.whole_lines(spark, sf).select("value")
@@ -750,6 +759,36 @@ def id_list_files(spark, sf):
     return text.intersect(csv).intersect(spark.read.schema("paper_id string").json(f"{path}/json"))
 
 
+@query("SELECT count(*) AS rows, 2 * 64 * 4 * count(*) AS raw_bytes, 2 AS files FROM embeddings")
+def storage_sizes(spark, sf):
+    """Sizes of a store of two files, from the files' own metadata; what compression saves differs from machine to machine and is left out."""
+    path = D.folder(spark)
+    sinks.append_vectors(D.corpus(spark, sf).repartition(2).select("paper_id", "title_embedding", "abstract_embedding"), path)
+    scan = spark.read.parquet(path)
+    files = stores.file_sizes(scan).where("bytes > 0").agg(F.count(F.lit(1)).cast("int").alias("files"))
+    return stores.storage_report(scan, 64).where("bytes > 0 and ratio > 0").select("rows", "raw_bytes").crossJoin(files)  # one row each
+
+
+@query("SELECT 'l' || label || '.xlsx' AS workbook, count(*) AS rows FROM embeddings GROUP BY label")
+def workbook_rows(spark, sf):
+    rows = D.table(spark, sf, "embeddings").select(F.concat(F.lit("l"), F.col("label").cast("string")).alias("file"), F.col("vec_id").alias("id"), V.preview("embedding").cast("string").alias("preview"))
+    path = as_path(D.folder(spark))
+    return sinks.write_workbooks(rows, path)
+
+
+@query(_top_sql(_A))
+def search_result_file(spark, sf):
+    """Hits as a JSON file, read back."""
+    path = D.folder(spark)
+    sinks.write_json(_hits(search.search(D.corpus(spark, sf), D.query_vector(spark, sf), K, "abstract")), path)
+    return spark.read.schema("paper_id string, score double, rank bigint").json(path)
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS id, 'Title: ' || ' ' || split_part(text, chr(10), 1) AS spaced FROM documents")
+def prompted_with_separator(spark, sf):
+    return D.papers(spark, sf).select("id", X.prompted("title", F.col("title"), " ").alias("spaced"))
+
+
 @query("SELECT event_id, 'run_' || strftime(ts, '%Y%m%d_%H%M%S') || '.parquet' AS name FROM events")
 def run_names(spark, sf):
     return D.table(spark, sf, "events").select("event_id", X.run_name("run", F.col("ts")).alias("name"))
@@ -920,3 +959,12 @@ def stream_embedding(spark, sf):
     assert n == last + 1 == incremental.runs(spark, f"{path}/failed").agg(F.sum("succeeded")).first()[0]
     failed = incremental.still_failed(spark, f"{path}/store", f"{path}/failed")
     return store.select("paper_id", F.lit("stored").alias("state")).unionAll(failed.select("paper_id", F.lit("failed").alias("state")))
+
+
+@query(f"WITH {_DEFECTS} SELECT count(*) AS succeeded, CAST(0 AS BIGINT) AS failed, true AS timed FROM j WHERE lang = 'en' AND text <> ''")
+def stream_run_counts(spark, sf):
+    """What the batches of a stream counted while they were written."""
+    path = D.folder(spark)
+    D.json_lines(spark, sf).select("value").write.text(f"{path}/in")
+    incremental.embed_stream(incremental.paper_stream(spark, f"{path}/in"), f"{path}/store", f"{path}/failed", f"{path}/checkpoint", lambda: embed.HashEmbedder(8), concurrency=2).awaitTermination()
+    return incremental.runs(spark, f"{path}/failed").agg(F.sum("succeeded").alias("succeeded"), F.sum("failed").alias("failed"), (F.min("seconds") > 0).alias("timed"))

@@ -89,6 +89,11 @@ def read_papers(spark: SparkSession, path: str, start: int = 0, limit: int | Non
     return (read_jsonl if sniff_format(spark, path) == "jsonl" else read_json_array)(spark, path, start, limit)
 
 
+def valid_ids(spark: SparkSession, path: str, start: int = 0, limit: int | None = None) -> DataFrame:
+    """paper_id of the papers that an embedding run would take, as ``read_papers``; empty ids are left out."""
+    return read_papers(spark, path, start, limit).select(F.col("id").alias("paper_id")).where("paper_id <> ''")
+
+
 def field(name: str) -> Column:
     """A field of ``paper``: empty if the key is absent, null if its value is."""
     key = "journal-ref" if name == "journal_ref" else name

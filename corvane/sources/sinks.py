@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vector as V
 from ..functions.text import percent
+from .hdf5 import as_path
 
 
 def append_vectors(vectors: DataFrame, path: str, rows_per_file: int | None = None, codec: str = "zstd") -> None:
@@ -37,7 +38,7 @@ def write_workbooks(rows: DataFrame, folder: str, file: str = "file") -> DataFra
     more rows than a sheet takes goes on in further workbooks. A workbook is written under another name and
     then takes its own, so a task that is run again leaves whole ones. Cells are text; a null is an empty cell.
     """
-    columns = [c for c in rows.columns if c != file]
+    columns, folder = [c for c in rows.columns if c != file], as_path(folder)
 
     def work(frames):
         import os
@@ -50,6 +51,7 @@ def write_workbooks(rows: DataFrame, folder: str, file: str = "file") -> DataFra
 
         odd = re.compile("[^\t\n\r -\ud7ff\ue000-\ufffd\U00010000-\U0010ffff]")  # what XML cannot hold
         made, now = [], None
+        os.makedirs(folder, exist_ok=True)
 
         def line(values):
             return f"<row>{''.join(f'<c t=\"inlineStr\"><is><t xml:space=\"preserve\">{escape(odd.sub("", v or ""))}</t></is></c>' for v in values)}</row>".encode()
