@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
@@ -37,6 +38,7 @@ def shared_folder(spark: SparkSession) -> str:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="corvane-")
+        atexit.register(shutil.rmtree, found, True)
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
 

@@ -192,8 +192,8 @@ def scan_text(text: str | None, patterns) -> dict:
 def scan_licenses(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): base places and labels, all labels, score, expressions.
 
-    A null or empty text has no words and score 0; overlapping phrases all count; repeated rows are
-    judged alike; an empty table gives an empty result; further columns are ignored.
+    A null or empty text has no words and score 0; texts, lines and expressions of any length are read whole;
+    overlapping phrases all count; repeated rows are judged alike; a null id stays null; an empty table gives an empty result; further columns are ignored.
     ``permitted`` is null where no expression was found.
     """
 
