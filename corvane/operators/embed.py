@@ -168,7 +168,7 @@ def embed_papers(
     ``make`` builds the embedder once a task. Up to ``concurrency`` requests are under way in a task, titles and
     abstracts alike, in a window that follows the server (``requests``); with the number of task slots that bounds
     what a server sees. Papers come as they are done. They are given on once there are ``batch_rows``, or
-    once the worker holds more than ``memory_mb``. A failed paper is a row with its error and null vectors.
+    once the worker's memory has grown by more than ``memory_mb``. A failed paper is a row with its error and null vectors.
     Tasks may be repeated, so an embedder must not depend on being called once. ``partitions`` deals the
     papers anew before, where the input has too few splits for the work.
     """
@@ -181,7 +181,7 @@ def embed_papers(
         embedder, window = make(), requests.RequestWindow(concurrency)
         if hasattr(embedder, "watch"):
             embedder.watch = window.busy
-        kind = None
+        kind, before = None, memory()  # with the model that ``make`` may have loaded
 
         def one(text):
             try:
@@ -217,7 +217,7 @@ def embed_papers(
             held[side] = found
             if held[2] and held[3]:
                 rows.append(held)
-                if len(rows) >= batch_rows or memory() > memory_mb:
+                if len(rows) >= batch_rows or memory() - before > memory_mb:
                     yield batch(rows)
                     rows = []
         if rows:

@@ -110,13 +110,13 @@ def test_results_are_given_on_at_a_count_or_at_a_bound_of_memory(spark):
 
 
 class Held:
-    """Asks for memory: more than the bound whenever three papers are held."""
+    """Memory at the start, and then more than the bound beyond it whenever three papers are held."""
 
-    asked = 0
+    asked = -1
 
     def __call__(self):
-        Held.asked += 1
-        return 200.0 if Held.asked % 3 == 0 else 50.0
+        self.asked += 1
+        return 1000.0 + (200.0 if self.asked and self.asked % 3 == 0 else 50.0)
 
 
 def test_memory_bound_empties_what_is_held(monkeypatch):
