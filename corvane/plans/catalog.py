@@ -411,7 +411,7 @@ def jsonl_file_scan(spark, sf):
 @query(_VALID)
 def json_array_scan(spark, sf):
     path = D.folder(spark)
-    D.write_arrays(D.whole_lines(spark, sf).repartition(3), path)
+    D.write_arrays(D.whole_lines(spark, sf), path)
     return S.read_papers(spark, path).select("id", "title", "abstract", "categories")
 
 
@@ -725,7 +725,7 @@ def appended_parts(spark, sf):
 def hdf5_slab_scan(spark, sf):
     """Vectors written to HDF5 files in the order of their places, and read back in slabs."""
     path = f"{D.folder(spark)}/store.h5"
-    hdf5.write_hdf5(D.corpus(spark, sf).repartitionByRange(3, "row_index").sortWithinPartitions("row_index"), path, dtype="float32", chunk_rows=50).count()
+    hdf5.write_hdf5(D.corpus(spark, sf).repartitionByRange("row_index").sortWithinPartitions("row_index"), path, dtype="float32", chunk_rows=50).count()
     store = hdf5.read_hdf5(spark, path, slab_rows=100)
     return store.select("paper_id", "row_index", r6(V.norm("title_embedding")).alias("title_norm"), r6(F.get("abstract_embedding", F.lit(0)).cast("double")).alias("abstract_first"))
 
@@ -734,7 +734,7 @@ def hdf5_slab_scan(spark, sf):
 def npz_slab_scan(spark, sf):
     """Vectors written to NPZ parts, one a partition, and read back in slabs."""
     path = D.folder(spark)
-    D.write_npz(D.corpus(spark, sf).repartition(3).select("paper_id", "title_embedding"), path)
+    D.write_npz(D.corpus(spark, sf).select("paper_id", "title_embedding"), path)
     return npz.read_npz(spark, path, slab_rows=60).select("paper_id", r6(V.norm("embedding")).alias("norm"))
 
 
@@ -759,13 +759,13 @@ def id_list_files(spark, sf):
     return text.intersect(csv).intersect(spark.read.schema("paper_id string").json(f"{path}/json"))
 
 
-@query("SELECT count(*) AS rows, 2 * 64 * 4 * count(*) AS raw_bytes, 2 AS files FROM embeddings")
+@query("SELECT count(*) AS rows, 2 * 64 * 4 * count(*) AS raw_bytes, true AS all_files FROM embeddings")
 def storage_sizes(spark, sf):
-    """Sizes of a store of two files, from the files' own metadata; what compression saves differs from machine to machine and is left out."""
+    """Sizes of a store from its files' own metadata; what compression saves differs from machine to machine and is left out."""
     path = D.folder(spark)
-    sinks.append_vectors(D.corpus(spark, sf).repartition(2).select("paper_id", "title_embedding", "abstract_embedding"), path)
+    sinks.append_vectors(D.corpus(spark, sf).select("paper_id", "title_embedding", "abstract_embedding"), path)
     scan = spark.read.parquet(path)
-    files = stores.file_sizes(scan).where("bytes > 0").agg(F.count(F.lit(1)).cast("int").alias("files"))
+    files = stores.file_sizes(scan).agg((F.sum("rows") == F.sum(F.when(F.col("bytes") > 0, F.col("rows")))).alias("all_files"))
     return stores.storage_report(scan, 64).where("bytes > 0 and ratio > 0").select("rows", "raw_bytes").crossJoin(files)  # one row each
 
 
