@@ -72,8 +72,28 @@ def zero_count(v) -> Column:
 
 
 def preview(v, n: int = 10, digits: int = 8) -> Column:
-    """The first ``n`` elements as text with ``digits`` decimals."""
-    return F.transform(F.slice(_doubles(v), 1, n), lambda x: F.format_string(f"%.{digits}f", x.cast("double")))
+    """The first ``n`` elements as text with ``digits`` decimals, 8 at most, rounded as printf does: by the exact value, halves to the even digit.
+
+    ``nan``, ``inf`` and ``-inf`` stand for what is no number. From 2**63 on, 17 digits are exact.
+    """
+    unit = 10.0**digits
+
+    def text(x: Column) -> Column:
+        size = F.abs(x)
+        whole = F.when(size < 2.0**63, size).otherwise(0.0).cast("long")
+        part = F.when(size < 2.0**63, size - whole.cast("double")).otherwise(0.0)
+        high = part * 134217729.0 - (part * 134217729.0 - part)  # its upper 26 bits, so products with ``unit`` are exact
+        scaled = part * unit
+        missing = (high * unit - scaled) + (part - high) * unit  # what rounding took from ``scaled``
+        half = scaled - F.floor(scaled) == 0.5
+        near = F.floor(scaled) + F.when(half & (missing != 0), (missing > 0).cast("long")).otherwise(F.rint(scaled).cast("long") - F.floor(scaled))
+        sign = F.when(x.cast("string").startswith("-"), "-").otherwise("")
+        decimals = F.lpad(F.pmod(near, F.lit(int(unit))).cast("string"), digits, "0")
+        plain = F.concat(sign, (whole + F.floor(near / unit)).cast("string"), F.lit("."), decimals)
+        shown = F.when(F.isnan(x), "nan").when(x == float("inf"), "inf").when(x == float("-inf"), "-inf")
+        return shown.when(size < 2.0**63, plain).when(x.isNotNull(), F.format_string(f"%.{digits}f", x))
+
+    return F.transform(F.slice(_doubles(v), 1, n), lambda x: text(x.cast("double")))
 
 
 def last_token_pool(states, mask) -> Column:

@@ -345,3 +345,10 @@ def test_sinks(spark, tmp_path, corpus):
     sinks.export_sample(corpus, str(tmp_path / "s"), 2)
     assert spark.read.option("header", True).csv(str(tmp_path / "s" / "csv")).count() == 2
     assert not math.isnan(sinks.sample_rows(corpus, 10).agg(F.sum("similarity")).first()[0])
+
+
+def test_previews_round_by_the_exact_value(spark):
+    """Halves of 8 decimals, doubles next to one, and what is no number, as SQL's format shows them."""
+    values = [1 / 512, -3 / 512, 0.123456785, 1 - 1 / 512, 0.999999995, 5e-9, -0.0, 2.0**40 + 1 / 512, 2.0**60, float("nan"), None]
+    row = spark.createDataFrame([(values,)], "v array<double>").select(V.preview("v", 11)).first()[0]
+    assert row == ["0.00195312", "-0.00585938", "0.12345678", "0.99804688", "1.00000000", "0.00000001", "-0.00000000", "1099511627776.00195312", "1152921504606846976.00000000", "nan", None]
