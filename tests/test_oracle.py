@@ -42,3 +42,9 @@ def test_query_equals_sql(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(catalog.queries()) - set(catalog.oracle_sql())))
 def test_query_has_rows(spark, name):
     assert catalog.queries()[name](spark, SF).count() > 0
+
+
+def test_the_stream_has_failures_too(duck):
+    """The embedder of stream_embedding declines some texts; these are rows of its result."""
+    found = duck.sql(f"SELECT state, count(*) FROM ({catalog.oracle_sql()['stream_embedding']}) GROUP BY state").fetchall()
+    assert {s for s, _ in found} == {"stored", "failed"} and min(n for _, n in found) > 0
