@@ -444,11 +444,11 @@ def fallback_ids(spark, sf):
 def sidecar_round_trip(spark, sf):
     path, p = D.folder(spark), D.papers(spark, sf)
     info = spark.createDataFrame([("hash", "32")], "model string, embedding_dim string")
-    sinks.write_sidecar(sinks.metadata_sidecar(p, info), path)
+    sinks.write_sidecar_parts(p, info, path)
     papers, places, settings = S.sidecar_tables(spark, path)
     model = settings.where("name = 'model'").select(F.col("value").alias("model"))
     each = papers.select(F.get_json_object("value", "$.id").alias("id"), F.get_json_object("value", "$.abstract").alias("abstract"))
-    return each.join(places, "id").crossJoin(model).select("id", "abstract", "row_index", "model")  # one row
+    return each.join(places, "id").crossJoin(F.broadcast(model)).select("id", "abstract", "row_index", "model")  # one row
 
 
 @query(f"WITH {_DEFECTS} SELECT count(*) AS total, count(*) FILTER (WHERE lang = 'en' AND text <> '') AS valid, round(count(*) FILTER (WHERE lang = 'en' AND text <> '') * 100.0 / count(*), 6) AS valid_rate FROM j")

@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import mapped
+
 _ESCAPED = re.compile(r"\\.", re.S)
 _MARKS = re.compile(r"[\[\]{},]")
 _TOKEN = re.compile(r'"(?:[^"\\]++|\\.)*+("?)|[\[\]{},]', re.S)
@@ -75,7 +77,7 @@ def beginnings(pieces: DataFrame, level: int) -> DataFrame:
     """file, start, inside, depth, containers, commas of each split: its true state, and what began at ``level`` before it."""
     before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     so_far = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0))
-    states = pieces.mapInArrow(_ends, _ENDS).withColumn("inside", (so_far(F.col("flips").cast("int")) % 2).cast("int"))
+    states = mapped(pieces, _ends, _ENDS).withColumn("inside", (so_far(F.col("flips").cast("int")) % 2).cast("int"))
     deep = states.withColumn("depth", so_far(F.get("deltas", "inside")))
     here = [F.coalesce(F.try_element_at(F.get(c, "inside"), (level - F.col("depth")).cast("int")), F.lit(0)) for c in ("opens", "commas")]
     return deep.select("file", "start", (F.col("inside") == 1).alias("inside"), "depth", so_far(here[0]).alias("containers"), so_far(here[1]).alias("commas"))
@@ -84,8 +86,11 @@ def beginnings(pieces: DataFrame, level: int) -> DataFrame:
 _CUT = "file string, container bigint, name string, index bigint, start bigint, whole boolean, value string"
 
 
-def _cut(known: dict, level: int, names_only: bool):
-    """Maps fragments to elements, or pieces of them; with ``names_only`` to the containers' names."""
+def _cut(known: dict, level: int, names_only: bool, files: set[str] | None = None):
+    """Maps fragments to elements, or pieces of them; with ``names_only`` to the containers' names (whole) and last indices (not whole).
+
+    ``files`` are those that are cut, by default all.
+    """
 
     def split(key: tuple[str, int], texts: Iterator[str]):
         if key not in known:
@@ -94,7 +99,7 @@ def _cut(known: dict, level: int, names_only: bool):
         index, name, held, begun = containers + commas - 1, None, [], False
         for text in texts:
             text += "}"
-            pos, mark, last = 0, 0, None  # of the element at hand, what lies before ``mark`` is done
+            pos, mark, last, opened = 0, 0, None, None  # of the element at hand, what lies before ``mark`` is done
             if inside:
                 found = _STRING_REST.match(text)
                 pos, inside = found.end(), not found[1]
@@ -108,7 +113,7 @@ def _cut(known: dict, level: int, names_only: bool):
                 if c in "[{":
                     depth += 1
                     if depth == level:
-                        containers, index, begun, mark, held = containers + 1, index + 1, True, m.end(), []
+                        containers, index, begun, mark, opened, held = containers + 1, index + 1, True, m.end(), m.end(), []
                         name = _name(last)
                         if names_only and name is not None:
                             yield containers - 1, name, index, True, ""
@@ -121,6 +126,9 @@ def _cut(known: dict, level: int, names_only: bool):
                     if depth == level:
                         index, mark = index + 1, m.end()
                 else:
+                    if depth == level and names_only:
+                        empty = opened is not None and not text[opened : m.start()].strip()
+                        yield containers - 1, None, index - empty, False, ""
                     depth -= 1
             if depth >= level and not names_only:
                 held.append(text[mark:])
@@ -142,6 +150,8 @@ def _cut(known: dict, level: int, names_only: bool):
             return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*held), kinds)], names=names)
 
         for (file, start), texts in _by_split(frames):
+            if files is not None and file not in files:
+                continue
             for container, name, index, whole, value in split((file, start), texts):
                 held.append((file, container, name, index, start, whole, value))
                 size += len(value)
@@ -170,13 +180,19 @@ class Document:
         self.pieces, self.level = fragments(spark, path), level
         self.known = {(r["file"], r["start"]): (r["inside"], r["depth"], r["containers"], r["commas"]) for r in beginnings(self.pieces, level).collect()}
 
-    def elements(self) -> DataFrame:
-        """file, container, index, value: the text of each element, numbered over its document; empty ones are left out."""
-        cut = self.pieces.mapInArrow(_cut(self.known, self.level, False), _CUT)
+    def elements(self, files: set[str] | None = None) -> DataFrame:
+        """file, container, index, value: the text of each element, numbered over its document; empty ones are left out. Of all files or of some."""
+        cut = mapped(self.pieces, _cut(self.known, self.level, False, files), _CUT)
         together = cut.where(~F.col("whole")).groupBy("file", "container", "index").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "value"))), lambda p: p["value"]), "").alias("value"))
         both = cut.where("whole").select("file", "container", "index", "value").unionByName(together)
         return both.withColumn("value", F.btrim("value", F.lit(" \t\r\n"))).where("value <> ''")
 
     def names(self) -> DataFrame:
         """file, container, name of the containers of an object."""
-        return self.pieces.mapInArrow(_cut(self.known, self.level, True), _CUT).select("file", "container", "name")
+        return mapped(self.pieces, _cut(self.known, self.level, True), _CUT).where("whole").select("file", "container", "name")
+
+    def spans(self) -> DataFrame:
+        """file, container, name, first, last: containers of an object with the indices of their elements; an empty one ends before it begins."""
+        marks = mapped(self.pieces, _cut(self.known, self.level, True), _CUT).groupBy("file", "container")
+        found = marks.agg(F.max("name").alias("name"), F.max(F.when(F.col("whole"), F.col("index"))).alias("first"), F.max(F.when(~F.col("whole"), F.col("index"))).alias("last"))
+        return found.where("name is not null")

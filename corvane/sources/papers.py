@@ -149,14 +149,24 @@ def sidecar_tables(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     """papers (row_index, value: raw JSON), id_to_index (id, row_index), embedding_info (name, value) of a metadata sidecar.
 
     The document is read in splits, so neither list is ever one value. A container that is missing gives no rows.
+    A folder of documents (``sinks.write_sidecar_parts``) is read as one, whose papers go on in order of the files'
+    names. Of each container its name and place, and no element, go through the driver: three rows a document.
     """
     document = Document(spark, path, level=2)
-    elements = document.elements().join(document.names(), ["file", "container"])
-    own = lambda name: elements.where(F.col("name") == name)
-    papers, first = own("papers"), F.min("index").over(Window.partitionBy("file", "container"))
+    spans = sorted(document.spans().where(F.col("name").isin("papers", "id_to_index", "embedding_info")).collect())
+
+    def own(name: str) -> DataFrame:
+        moved, n = [], 0
+        for span in spans:
+            if span["name"] == name:
+                moved.append((span["file"], span["container"], n - span["first"]))
+                n += 0 if span["last"] is None else span["last"] - span["first"] + 1
+        places = spark.createDataFrame(moved, "file string, container bigint, moved bigint")
+        return document.elements({file for file, _, _ in moved}).join(F.broadcast(places), ["file", "container"])  # a row a document
+
     one = lambda kind: F.map_entries(F.from_json(F.concat(F.lit("{"), "value", F.lit("}")), f"map<string,{kind}>"))[0]
     pairs = lambda name, kind, *names: own(name).select(one(kind).alias("e")).select(F.col("e.key").alias(names[0]), F.col("e.value").alias(names[1]))
-    return papers.select((F.col("index") - first).alias("row_index"), "value"), pairs("id_to_index", "bigint", "id", "row_index"), pairs("embedding_info", "string", "name", "value")
+    return own("papers").select((F.col("index") + F.col("moved")).alias("row_index"), "value"), pairs("id_to_index", "bigint", "id", "row_index"), pairs("embedding_info", "string", "name", "value")
 
 
 def read_sidecar(spark: SparkSession, path: str) -> DataFrame:

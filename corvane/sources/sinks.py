@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vector as V
 from ..functions.text import percent
+from ..session import mapped
 from .hdf5 import as_path
 
 
@@ -139,8 +140,8 @@ SIDECAR_PAPERS = 1_000_000  # that one document may hold
 def metadata_sidecar(papers: DataFrame, info: DataFrame, most: int = SIDECAR_PAPERS) -> DataFrame:
     """One row: papers, id_to_index, embedding_info, the nested document of small runs.
 
-    A document is one value: with more than ``most`` papers it is a ValueError, and large runs keep papers
-    and their row_index as a table instead.
+    A document is one value: with more than ``most`` papers it is a ValueError; ``write_sidecar_parts`` writes
+    those of large runs.
     """
     if (n := papers.count()) > most:
         raise ValueError(f"{n} papers are too many for one document of {most}; keep them as a table")
@@ -152,10 +153,47 @@ def metadata_sidecar(papers: DataFrame, info: DataFrame, most: int = SIDECAR_PAP
 
 def write_sidecar(sidecar: DataFrame, path: str) -> None:
     """Writes the document to ``path`` + ``.temp`` and then gives it its name: a reader never meets a part of it."""
-    spark = sidecar.sparkSession
     write_json(sidecar, f"{path}.temp")
+    _take_name(sidecar.sparkSession, path)
+
+
+def _take_name(spark: SparkSession, path: str) -> None:
     part, whole = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (f"{path}.temp", path))
     fs = whole.getFileSystem(spark._jsc.hadoopConfiguration())
     fs.delete(whole, True)
     if not fs.rename(part, whole):
         raise OSError(f"{path}.temp cannot be renamed")
+
+
+def write_sidecar_parts(papers: DataFrame, info: DataFrame, path: str) -> None:
+    """Writes the sidecar of a run of any size: a folder of JSON documents, each with a part of papers or of id_to_index, or with embedding_info.
+
+    The papers are in order of row_index, file by file in order of their names. No list is one value, and no task holds more of
+    it than a batch. A paper without an id has no place. The folder takes its name when it is whole, as ``write_sidecar``.
+    """
+    fields = [c for c in papers.columns if c != "row_index"]
+    ordered = papers.repartitionByRange("row_index").sortWithinPartitions("row_index", *fields).select(F.to_json(F.struct(*fields)).alias("value"))
+    places = papers.where("id is not null").groupBy(F.col("id").cast("string").alias("id")).agg(F.max("row_index").alias("i"))
+    entry = F.to_json(F.create_map("id", "i"))
+    _documents(ordered, '{"papers":[', "]}").write.mode("overwrite").text(f"{path}.temp")
+    _documents(places.select(F.substr(entry, F.lit(2), F.length(entry) - 2).alias("value")), '{"id_to_index":{', "}}").write.mode("append").text(f"{path}.temp")
+    _documents(info.limit(1).select(F.to_json(F.struct("*")).alias("value")), '{"embedding_info":', "}").write.mode("append").text(f"{path}.temp")
+    _take_name(papers.sparkSession, path)
+
+
+def _documents(elements: DataFrame, head: str, foot: str) -> DataFrame:
+    """The lines of a JSON document a partition, of its elements (value) between ``head`` and ``foot``; none of an empty one."""
+
+    def work(frames):
+        import pyarrow as pa
+
+        mark = head
+        for frame in frames:
+            if frame.num_rows:
+                first, *others = frame.column(0).to_pylist()
+                yield pa.RecordBatch.from_arrays([pa.array([mark + first, *("," + v for v in others)], pa.string())], names=["value"])
+                mark = ","
+        if mark != head:
+            yield pa.RecordBatch.from_arrays([pa.array([foot], pa.string())], names=["value"])
+
+    return mapped(elements, work, "value string")

@@ -145,3 +145,30 @@ def test_sidecar_round_trip(spark, tmp_path):
     sinks.write_json(sinks.metadata_sidecar(papers, info), str(tmp_path / "side"))
     row = S.read_sidecar(spark, str(tmp_path / "side")).first()
     assert row["id_to_index"] == {"a": 2, "b": 1} and len(row["papers"]) == 3 and row["embedding_info"]["model"] == "m"
+
+
+def test_sidecar_in_parts(spark, tmp_path):
+    """Several documents of one sidecar, read as one: papers in order, over the files; a second writing replaces the first."""
+    papers = spark.range(500).select(F.concat(F.lit('q"{'), F.col("id") % 400).alias("id"), F.concat(F.lit("t,]}\n"), F.col("id")).alias("title"), (499 - F.col("id")).alias("row_index")).repartition(7)
+    info = spark.createDataFrame([("m", 4)], "model string, embedding_dim int")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for _ in range(2):
+            sinks.write_sidecar_parts(papers, info, str(tmp_path / "side"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = [json.loads(p.read_text()) for p in (tmp_path / "side").glob("part-*")]
+    assert {p.name for p in tmp_path.iterdir()} == {"side"} and sum("papers" in f for f in files) > 1 and all(len(f["papers"]) < 500 for f in files if "papers" in f)
+    found, places, settings = S.sidecar_tables(spark, str(tmp_path / "side"))
+    want = {r["row_index"]: (r["id"], r["title"]) for r in papers.collect()}
+    assert {r["row_index"]: (json.loads(r["value"])["id"], json.loads(r["value"])["title"]) for r in found.collect()} == want
+    assert {r["id"]: r["row_index"] for r in places.collect()} == {i: max(n for n, (j, _) in want.items() if j == i) for i, _ in want.values()}
+    assert {r["name"]: r["value"] for r in settings.collect()} == {"model": "m", "embedding_dim": "4"}
+
+
+def test_empty_containers_move_no_paper(spark, tmp_path):
+    (tmp_path / "s").mkdir()
+    for name, text in (("a", '{"papers": [ ], "id_to_index": {}}'), ("b", '{"papers": [{"id": "x"}, {"id": "y"}]}'), ("c", '{"embedding_info": {}, "papers": [{"id": "z"}]}')):
+        (tmp_path / "s" / name).write_text(text)
+    found, places, info = S.sidecar_tables(spark, str(tmp_path / "s"))
+    assert {r["row_index"]: json.loads(r["value"])["id"] for r in found.collect()} == {0: "x", 1: "y", 2: "z"} and places.isEmpty() and info.isEmpty()
