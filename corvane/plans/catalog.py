@@ -394,7 +394,7 @@ def processable_share(spark, sf):
 @query("WITH l AS (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS line FROM documents) SELECT CAST(doc_id AS VARCHAR) AS id, line AS row_index FROM l WHERE line >= 100 AND source <> 'src7' AND lang = 'en' AND text <> '' ORDER BY line LIMIT 50")
 def skip_limit(spark, sf):
     path = D.folder(spark)
-    D.json_lines(spark, sf).orderBy("row_index").select("value").coalesce(1).write.text(path)
+    D.json_lines(spark, sf).orderBy("row_index").select("value").write.text(path)
     return S.read_jsonl(spark, path, 100, 50).select("id", "row_index")
 
 

@@ -42,17 +42,18 @@ def sniff_format(spark: SparkSession, path: str) -> str:
     raise ValueError(f"{path} is neither JSON lines nor a JSON array")
 
 
-def numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """file, line (from 0, blank lines counted), value of text files.
+def numbered_lines(spark: SparkSession, paths: str | Sequence[str], together: bool = False) -> DataFrame:
+    """file, line (from 0, blank lines counted), value of text files; ``together`` counts on over the files, in order of their names.
 
     Files are split and read in parallel. A line's number is its place in its split and the number of
     lines in the splits before; only these counts, a row a split, are shuffled.
     """
     raw = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("place"))
     splits = raw.groupBy("file", "start").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("lines"))
-    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.orderBy("file", "start") if together else Window.partitionBy("file").orderBy("start")  # a row a split
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
     moved = splits.select(F.col("file").alias("f"), F.col("start").alias("s"), "first", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("base"))
-    return raw.join(moved, (F.col("file") == F.col("f")) & (F.col("start") == F.col("s"))).select("file", (F.col("place") - F.col("first") + F.col("base")).cast("long").alias("line"), "value")
+    return raw.join(F.broadcast(moved), (F.col("file") == F.col("f")) & (F.col("start") == F.col("s"))).select("file", (F.col("place") - F.col("first") + F.col("base")).cast("long").alias("line"), "value")
 
 
 def parsed(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -67,8 +68,11 @@ def parsed(lines: DataFrame, value: str = "value") -> DataFrame:
 
 
 def read_jsonl(spark: SparkSession, path: str, start: int = 0, limit: int | None = None) -> DataFrame:
-    """Valid papers of JSON lines: ``start`` skips physical lines, ``limit`` counts valid papers (0: no limit)."""
-    lines = numbered_lines(spark, path).where(F.col("line") >= start)
+    """Valid papers of JSON lines: ``start`` skips physical lines, ``limit`` counts valid papers (0: no limit).
+
+    The files of a folder are parts of one list, in order of their names.
+    """
+    lines = numbered_lines(spark, path, together=True).where(F.col("line") >= start)
     found = valid(parsed(lines.select(F.col("line").alias("row_index"), "value")))
     return found.orderBy("row_index").limit(limit) if limit else found
 

@@ -172,3 +172,12 @@ def test_empty_containers_move_no_paper(spark, tmp_path):
         (tmp_path / "s" / name).write_text(text)
     found, places, info = S.sidecar_tables(spark, str(tmp_path / "s"))
     assert {r["row_index"]: json.loads(r["value"])["id"] for r in found.collect()} == {0: "x", 1: "y", 2: "z"} and places.isEmpty() and info.isEmpty()
+
+
+def test_lines_go_on_over_the_files_of_a_folder(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name, some in (("p0", GOOD[:2]), ("p1", GOOD[2:3]), ("p2", GOOD[3:])):
+        (tmp_path / "in" / name).write_text("".join(json.dumps(o) + "\n" for o in some) + "\n" * (name == "p1"))
+    rows = S.read_jsonl(spark, str(tmp_path / "in"), start=1, limit=4).collect()
+    assert [(r["row_index"], r["id"]) for r in rows] == [(1, "1"), (2, "2"), (4, "3"), (5, "4")]
+    assert {(r["file"][-2:], r["line"]) for r in S.numbered_lines(spark, str(tmp_path / "in")).collect()} >= {("p0", 0), ("p1", 0), ("p2", 0)}
