@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vector as V
 from ..functions.text import PROMPTS
+from ..session import mapped
 from . import requests
 
 TITLE_PREFIX, ABSTRACT_PREFIX = PROMPTS["title"], PROMPTS["abstract"]
@@ -168,7 +169,8 @@ def embed_papers(
     ``make`` builds the embedder once a task. Up to ``concurrency`` requests are under way in a task, titles and
     abstracts alike, in a window that follows the server (``requests``); with the number of task slots that bounds
     what a server sees. Papers come as they are done. They are given on once there are ``batch_rows``, or
-    once the worker's memory has grown by more than ``memory_mb``. A failed paper is a row with its error and null vectors.
+    once the worker's memory has grown by more than ``memory_mb``. Texts come to a worker in batches of bounded size (``mapped``),
+    so its memory doesn't grow with the input. A failed paper is a row with its error and null vectors.
     Tasks may be repeated, so an embedder must not depend on being called once. ``partitions`` deals the
     papers anew before, where the input has too few splits for the work.
     """
@@ -224,7 +226,7 @@ def embed_papers(
             yield batch(rows)
 
     columns = ["id", "title", "abstract"] + [F.col("row_index").cast("long").alias("row_index")] * placed
-    return papers.select(*columns).mapInArrow(work, RESULT + ", row_index bigint" * placed)
+    return mapped(papers.select(*columns), work, RESULT + ", row_index bigint" * placed)
 
 
 def write_results(results: DataFrame, path: str) -> dict[str, float]:
@@ -258,7 +260,7 @@ def token_lengths(texts: DataFrame, column: str, make: Callable[[], Callable[[st
             lengths = pa.array([count(t or "") for t in frame.column(column).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([*frame.columns, lengths], names=out.names)
 
-    return texts.mapInArrow(work, out)
+    return mapped(texts, work, out)
 
 
 def reembedded(sampled: DataFrame, papers: DataFrame, make: Callable[[], Embedder], concurrency: int = 1) -> DataFrame:

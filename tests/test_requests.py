@@ -252,3 +252,18 @@ def test_sentence_transformers_model(monkeypatch):
     monkeypatch.setitem(sys.modules, "sentence_transformers", types.SimpleNamespace(SentenceTransformer=Model))
     assert embed.LocalModelEmbedder("m", normalize=False, max_tokens=77)("four") == [4.0, 77.0, 0.0]
     assert embed.LocalModelEmbedder("m")("four") == [4.0, 512.0, 1.0]
+
+
+def test_texts_come_in_batches_of_bounded_size(spark):
+    """What a worker is given at once is bounded, whatever Spark's own bounds are."""
+    keys = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in zip(keys, ("10000", str(256 << 20))):
+            spark.conf.set(k, v)
+        papers = spark.range(3000).selectExpr("string(id) id", "'t' title", "repeat('a ', 10000) abstract").coalesce(1)
+        given = embed.embed_papers(papers, lambda: lambda text: [1.0], batch_rows=1 << 30)
+        assert given.count() == 3000 and int(spark.conf.get(keys[0])) <= 2000 and int(spark.conf.get(keys[1])) <= 8 << 20
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
