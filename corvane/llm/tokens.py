@@ -21,7 +21,7 @@ CHUNK = re.compile(rf"[{_LETTERS}]++(?=[.,]*+(?:[ \t\n\r]|\Z))|[.,]++(?=[ \t\n\r
 PLAIN = re.compile(rf"[{_LETTERS}]{{1,64}}+")
 #: Beyond Latin letters, lower-casing and composing of characters may not commute; < opens a special token.
 KEEP_CASE = re.compile(r"[̀-\U0010ffff]|<\|")
-MEMORY_CHUNKS = 300_000  # chunks remembered in a worker, some 60 MB; beyond, only those of the batch at hand stay
+MEMORY_CHUNKS = 600_000  # chunks remembered in a worker, some 120 MB; beyond, only those of the batch at hand stay
 MEMORY_CHARS = 64  # longer chunks are not remembered
 
 

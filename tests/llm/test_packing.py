@@ -109,3 +109,15 @@ def test_hot_length_is_dealt(spark):
     pieces = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit(0).cast("long").alias("piece"), F.lit(100).cast("long").alias("length"))
     rows = P.place(Scratch(spark).keep(pieces)).collect()
     assert check(rows) == 75 and len(rows) == 3000
+
+
+def test_many_chunks_are_remembered():
+    """Hundreds of thousands of words in between don't make a worker encode the first ones again."""
+    own = ChunkTokenizer(tokenizer_path())
+    names = ["".join(chr(97 + n // 26**k % 26) for k in range(4)) for n in range(400_000)]
+    for at in range(0, len(names), 20_000):
+        own.ids([" ".join(names[at : at + 20_000])])
+    asked = []
+    own._learn_words = asked.extend
+    own.ids([" ".join(names[:1000])])
+    assert not asked
